@@ -2,22 +2,79 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillage.llm import language_id, quality
+from tillage.llm.ann import nearest
+from tillage.llm.common import held_out
+from tillage.llm.embedding_dedup import embedding_links
+from tillage.llm.line_dedup import dedup_lines
+from tillage.llm.packing import pack_documents
+from tillage.llm.sentencepiece_nbest import nbest_digest
 from tillage.llm.simhash import simhash_groups
+from tillage.llm.token_counts import section_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text as it stays, and how many lines it had and lost."""
+    return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op2_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=4096, end=1)
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_table(spark, sf_dir, "documents"), tau=3, words=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return section_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, rule="most")
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its importance weight, its key and whether it is in the sample; target: quality 1."""
+    docs = _table(spark, sf_dir, "documents")
+    good = _table(spark, sf_dir, "labels").where("quality = 1")
+    return quality.resample(docs, quality.fit(docs, good))
+
+
+def op9_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), n=3)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.train(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_best_two_fit_packing": op2_best_two_fit_packing,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_token_counts": op4_token_counts,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op8_importance_resampling": op8_importance_resampling,
+    "op9_sentencepiece_nbest": op9_sentencepiece_nbest,
+    "op10_language_id": op10_language_id,
 }
 
 #: The ten operators are iterative, learned or tokenizer-bound; none has a SQL form. tests/llm holds
