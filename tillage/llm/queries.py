@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillage.llm import language_id, quality
+from tillage.llm import language_id, quality, toxicity
 from tillage.llm.ann import nearest
 from tillage.llm.common import held_out
 from tillage.llm.embedding_dedup import embedding_links
@@ -48,6 +48,12 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.predict(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its importance weight, its key and whether it is in the sample; target: quality 1."""
     docs = _table(spark, sf_dir, "documents")
@@ -72,6 +78,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_toxicity": op7_toxicity,
     "op8_importance_resampling": op8_importance_resampling,
     "op9_sentencepiece_nbest": op9_sentencepiece_nbest,
     "op10_language_id": op10_language_id,
