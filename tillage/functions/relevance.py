@@ -16,6 +16,16 @@ ACTION = (2, 2)
 EFFECT = (1, 2)
 FOCUSED = 2
 NOISE_MOST = 3
+REASONS = {
+    "crop": "matched crop identity",
+    "no_crop": "missing crop identity",
+    "scenario": "matched weather scenario terms",
+    "no_scenario": "missing weather scenario terms",
+    "action": "matched action/effect terms",
+    "effect": "matched agronomic effect terms",
+    "focused": "weather scenario appears in title or subject",
+    "noise": "contains crop-only noise terms",
+}
 DIRECT, SUPPORTING, REJECTED = "direct_match", "supporting_match", "rejected_irrelevant"
 
 
@@ -86,8 +96,14 @@ def assess(crop: Column, scenario: Column, action: Column, effect: Column, focus
         .when((n["n"] > 0) & (n["f"] == 0) & (n["a"] == 0), REJECTED)
         .otherwise(DIRECT)
     )
-    named = lambda key, label, terms: F.when(n[key] > 0, F.concat(F.lit(f"{label}: "), F.array_join(terms, ", ")))
-    reasons = F.array(named("c", "crop", crop), named("s", "scenario", scenario), named("a", "action", action), named("e", "effect", effect), F.when(n["f"] > 0, "scenario in title or subjects"), named("n", "noise", noise))
+    reasons = F.array(
+        F.when(n["c"] > 0, REASONS["crop"]).otherwise(REASONS["no_crop"]),
+        F.when(n["s"] > 0, REASONS["scenario"]).otherwise(REASONS["no_scenario"]),
+        F.when(n["a"] > 0, REASONS["action"]),
+        F.when(n["e"] > 0, REASONS["effect"]),
+        F.when(n["f"] > 0, REASONS["focused"]),
+        F.when(n["n"] > 0, REASONS["noise"]),
+    )
     score = F.when(status == REJECTED, F.least(raw, F.lit(0))).otherwise(raw).cast("int")
     return F.struct(status.alias("status"), score.alias("score"), F.filter(reasons, lambda x: x.isNotNull()).alias("reasons"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 #: Punctuation that public questions and signatures are compared without.
 PUBLIC_PUNCTUATION = "\"'“”‘’.,;:!?()[]{}"
@@ -20,7 +20,7 @@ def casefold(c: Column) -> Column:
     return F.translate(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), "ς", "σ")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def casefold_full(s: pd.Series) -> pd.Series:
     """Full Unicode case folding, for scripts that `casefold` doesn't cover."""
     return s.str.casefold()
@@ -80,7 +80,7 @@ def unescape(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_full(s: pd.Series) -> pd.Series:
     """All HTML entities, named and numeric."""
     return s.map(lambda x: x if x is None else html.unescape(x))

@@ -1,6 +1,534 @@
-"""Every registered query of the engine with its SQL equivalent."""
+"""Every registered query of the engine with its SQL equivalent.
+
+The synthetic tables stand in for the engine's own: documents and pages for search hits,
+conversations and events for questions and taxonomies, orders and lineitem for audits and top-k.
+"""
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLES = {}
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tillage.functions import relevance, text, urls
+from tillage.operators import audits, candidates, selection, tables
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query and the SQL that gives the same rows."""
+
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sql_collapse(x: str) -> str:
+    return rf"regexp_replace(regexp_replace({x}, '\s+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def sql_normalize(x: str) -> str:
+    return sql_collapse(f"replace(replace(lower({x}), 'ß', 'ss'), 'ς', 'σ')")
+
+
+def _sql_translate(x: str, chars: str) -> str:
+    return f"translate({x}, '{chars.replace(chr(39), chr(39) * 2)}', '{' ' * len(chars)}')"
+
+
+def sql_public(x: str) -> str:
+    return sql_normalize(_sql_translate(x, text.PUBLIC_PUNCTUATION))
+
+
+def sql_signature(x: str) -> str:
+    return sql_collapse(_sql_translate(sql_normalize(x), text.SIGNATURE_PUNCTUATION))
+
+
+def sql_id(prefix: str, x: str) -> str:
+    return f"'{prefix}' || upper(substr(sha256({x}), 1, 12))"
+
+
+def sql_unescape(x: str) -> str:
+    for entity, char in text.ENTITIES:
+        x = f"replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+# ---- text ----
+
+
+@query("text_normalize", f"SELECT doc_id, {sql_normalize('text')} AS norm FROM documents")
+def text_normalize(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.normalize(F.col("text")).alias("norm"))
+
+
+@query("text_normalize_public", f"SELECT doc_id AS id, 'document' AS kind, {sql_public('text')} AS norm FROM documents UNION ALL SELECT conv_id, 'turn', {sql_public('text')} FROM conversations")
+def text_normalize_public(spark, sf_dir):
+    norm = text.normalize_public(F.col("text")).alias("norm")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit("document").alias("kind"), norm)
+    return docs.union(table(spark, sf_dir, "conversations").select("conv_id", F.lit("turn"), norm))
+
+
+@query("text_signature", f"SELECT conv_id, turn, {sql_signature('text')} AS sig FROM conversations")
+def text_signature(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.signature(F.col("text")).alias("sig"))
+
+
+@query("stable_id_docs", f"SELECT doc_id, {sql_id('DQ-', sql_normalize('text'))} AS dq, {sql_id('A2Q-', 'concat(' + chr(39) + 'A2|' + chr(39) + ', ' + sql_public('text') + ')')} AS a2q, {sql_id('CQ-', sql_public('text'))} AS cq FROM documents")
+def stable_id_docs(spark, sf_dir):
+    norm, public = text.normalize(F.col("text")), text.normalize_public(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.stable_id("DQ-", norm).alias("dq"), text.stable_id("A2Q-", F.concat(F.lit("A2|"), public)).alias("a2q"), text.stable_id("CQ-", public).alias("cq"))
+
+
+@query("clean_web_text", f"SELECT page_id, {sql_collapse(sql_unescape('html'))} AS clean FROM pages")
+def clean_web_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.clean_web_text(F.col("html")).alias("clean"))
+
+
+SQL_MARKUP = sql_collapse(f"regexp_replace({sql_unescape('html')}, '<[^>]+>', ' ', 'g')")
+
+
+@query("clean_markup_text", f"SELECT page_id, {SQL_MARKUP} AS clean FROM pages")
+def clean_markup_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.clean_markup_text(F.col("html")).alias("clean"))
+
+
+@query("query_phrases", "SELECT item_id, trim('\"' || split_part(text, ' ', 1) || '\" \"' || split_part(text, ' ', 2) || '\" care' || CASE WHEN item_id % 2 = 0 THEN ' North' ELSE '' END) AS local_query, split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) || ' care' || CASE WHEN item_id % 2 = 0 THEN ' North' ELSE '' END AS english_query, 'how does ' || split_part(text, ' ', 1) || ' grow' || CASE WHEN item_id % 2 = 0 THEN ' North' ELSE '' END AS question FROM benchmark")
+def query_phrases(spark, sf_dir):
+    words = F.split("text", " ")
+    crop, weather, region = F.get(words, F.lit(0)), F.coalesce(F.get(words, F.lit(1)), F.lit("")), F.when(F.col("item_id") % 2 == 0, "North").otherwise("")
+    return table(spark, sf_dir, "benchmark").select(
+        "item_id", text.local_query(crop, weather, F.lit("care"), region).alias("local_query"), text.english_query(crop, weather, F.lit("care"), region).alias("english_query"),
+        text.question(F.lit("how does {crop} grow"), crop, region).alias("question"),
+    )
+
+
+# ---- URLs ----
+
+_PARTS = urls._PARTS.replace("'", "''")
+_TRACK = ", ".join(f"'{k}'" for k in urls.TRACKING_KEYS)
+SQL_URL = rf"""
+parts AS (
+  SELECT page_id, url, html, lower(regexp_extract(trim(url), '{_PARTS}', 1)) AS s, lower(regexp_extract(trim(url), '{_PARTS}', 2)) AS raw,
+         regexp_replace(regexp_extract(trim(url), '{_PARTS}', 3), '/+$', '') AS path, regexp_extract(trim(url), '{_PARTS}', 3) AS full_path, regexp_extract(trim(url), '{_PARTS}', 4) AS q
+  FROM pages),
+pairs AS (
+  SELECT p.page_id, t.token, CASE WHEN contains(t.token, '=') THEN split_part(t.token, '=', 1) ELSE t.token END AS k,
+         CASE WHEN contains(t.token, '=') THEN substr(t.token, strpos(t.token, '=') + 1) ELSE '' END AS v
+  FROM parts p, unnest(string_split(p.q, '&')) AS t(token) WHERE t.token <> ''),
+decoded AS (SELECT page_id, url_decode(replace(k, '+', ' ')) AS k, url_decode(replace(v, '+', ' ')) AS v FROM pairs),
+joined AS (
+  SELECT page_id, string_agg(replace(url_encode(k), '%20', '+') || '=' || replace(url_encode(v), '%20', '+'), '&' ORDER BY k, v) AS q
+  FROM decoded WHERE NOT (lower(k) IN ({_TRACK}) OR starts_with(lower(k), 'utm_')) GROUP BY page_id),
+canon AS (
+  SELECT p.page_id, p.url, p.html, p.full_path, p.s, CASE WHEN p.s = 'http' THEN regexp_replace(p.raw, ':80$', '') WHEN p.s = 'https' THEN regexp_replace(p.raw, ':443$', '') ELSE p.raw END AS host,
+         p.raw, CASE WHEN p.s = '' OR p.raw = '' THEN '' ELSE p.s || '://' || CASE WHEN p.s = 'http' THEN regexp_replace(p.raw, ':80$', '') WHEN p.s = 'https' THEN regexp_replace(p.raw, ':443$', '') ELSE p.raw END
+           || p.path || CASE WHEN coalesce(j.q, '') <> '' THEN '?' || j.q ELSE '' END END AS canonical
+  FROM parts p LEFT JOIN joined j USING (page_id))
+"""
+
+
+@query("url_canonical", f"WITH {SQL_URL} SELECT page_id, canonical FROM canon")
+def url_canonical(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.canonicalize(F.col("url")).alias("canonical"))
+
+
+@query("url_domain_counts", f"WITH {SQL_URL} SELECT host AS domain, count(*) AS n, min(page_id) AS first_seen FROM canon WHERE canonical <> '' GROUP BY host")
+def url_domain_counts(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").withColumn("domain", urls.domain(urls.canonicalize(F.col("url"))))
+    return tables.domain_breakdown(pages, "domain", "page_id")
+
+
+@query("url_source_type", f"WITH {SQL_URL} SELECT page_id, CASE WHEN ends_with(lower(full_path), '.pdf') THEN 'pdf' WHEN page_id % 3 = 0 THEN 'book' WHEN page_id % 2 = 0 THEN 'web_page' ELSE 'scholarly_record' END AS source_type FROM canon")
+def url_source_type(spark, sf_dir):
+    hint, channel = F.when(F.col("page_id") % 3 == 0, "book").otherwise(""), F.when(F.col("page_id") % 2 == 0, "web").otherwise("scholarly")
+    return table(spark, sf_dir, "pages").select("page_id", urls.source_type(F.col("url"), hint, channel).alias("source_type"))
+
+
+@query("url_validity", f"WITH {SQL_URL} SELECT page_id, s IN ('http', 'https') AND raw <> '' AS ok FROM canon")
+def url_validity(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.is_valid(F.col("url")).alias("ok"))
+
+
+@query("url_dedup_first_wins", f"WITH {SQL_URL} SELECT page_id, url, key FROM (SELECT page_id, url, CASE WHEN canonical = '' THEN 'INVALID:' || url ELSE canonical END AS key, row_number() OVER (PARTITION BY CASE WHEN canonical = '' THEN 'INVALID:' || url ELSE canonical END ORDER BY page_id) AS rn FROM canon) WHERE rn = 1")
+def url_dedup_first_wins(spark, sf_dir):
+    keyed = table(spark, sf_dir, "pages").select("page_id", "url", candidates.document_key(F.col("url")).alias("key"))
+    return tables.first_wins(keyed, F.col("key"), F.col("page_id"))
+
+
+# ---- the bank's shapes over the tables ----
+
+
+@query("bank_cross_product", "SELECT r_regionkey, n_nationkey, p.p_brand, '\"' || n_name || '\" \"' || p.p_brand || '\" care ' || r_name AS local_query, " + sql_id("DQ-", sql_normalize("'\"' || n_name || '\" \"' || p.p_brand || '\" care ' || r_name")) + " AS query_id FROM region, nation, (SELECT DISTINCT p_brand FROM part) p")
+def bank_cross_product(spark, sf_dir):
+    brands = table(spark, sf_dir, "part").select("p_brand").distinct()
+    rows = table(spark, sf_dir, "region").crossJoin(table(spark, sf_dir, "nation")).crossJoin(brands)
+    q = text.local_query(F.col("n_name"), F.col("p_brand"), F.lit("care"), F.col("r_name"))
+    return rows.select("r_regionkey", "n_nationkey", "p_brand", q.alias("local_query"), text.stable_id("DQ-", text.normalize(q)).alias("query_id"))
+
+
+@query("bank_template_expand", "SELECT n_nationkey, e.event_type, 'does ' || n_name || ' see ' || e.event_type AS question FROM nation, (SELECT DISTINCT event_type FROM events) e")
+def bank_template_expand(spark, sf_dir):
+    kinds = table(spark, sf_dir, "events").select("event_type").distinct()
+    pattern = F.concat(F.lit("does {crop} see "), F.col("event_type"))
+    return table(spark, sf_dir, "nation").crossJoin(kinds).select("n_nationkey", "event_type", text.question(pattern, F.col("n_name"), F.lit("")).alias("question"))
+
+
+@query("bank_dedup_first_wins", f"SELECT doc_id, norm_id FROM (SELECT doc_id, {sql_id('DQ-', sql_normalize('text'))} AS norm_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1")
+def bank_dedup_first_wins(spark, sf_dir):
+    # Copies are found by the hash of the normal form, so whole texts aren't shuffled.
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize(F.col("text")), 256).alias("h"))
+    return tables.first_wins(docs, F.col("h"), F.col("doc_id")).select("doc_id", F.concat(F.lit("DQ-"), F.upper(F.substring("h", 1, 12))).alias("norm_id"))
+
+
+@query("bank_combined_union", f"SELECT source_stage, id, combined_query_id FROM (SELECT source_stage, id, {sql_id('CQ-', 'norm')} AS combined_query_id, row_number() OVER (PARTITION BY norm ORDER BY source_stage, id) AS rn FROM (SELECT 'A1' AS source_stage, doc_id AS id, {sql_public('text')} AS norm FROM documents UNION ALL SELECT 'A2', item_id, {sql_public('text')} FROM benchmark)) WHERE rn = 1")
+def bank_combined_union(spark, sf_dir):
+    h = F.sha2(text.normalize_public(F.col("text")), 256).alias("h")
+    one = table(spark, sf_dir, "documents").select(F.lit("A1").alias("source_stage"), F.col("doc_id").alias("id"), h)
+    two = table(spark, sf_dir, "benchmark").select(F.lit("A2").alias("source_stage"), F.col("item_id").alias("id"), h)
+    return tables.ordered_union([one, two], F.col("h"), "id").select("source_stage", "id", F.concat(F.lit("CQ-"), F.upper(F.substring("h", 1, 12))).alias("combined_query_id"))
+
+
+@query("provenance_inherit", "SELECT c.conv_id, c.turn, coalesce(nullif(CASE WHEN c.turn % 2 = 0 THEN c.role ELSE '' END, ''), p.role, '') AS source_title FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1")
+def provenance_inherit(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    parents = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("_parent"))
+    own = F.when(F.col("turn") % 2 == 0, F.col("role")).otherwise("")
+    return turns.join(parents, ["conv_id", "turn"], "left").select("conv_id", "turn", F.coalesce(text.nonempty(own, F.lit(None)), "_parent", F.lit("")).alias("source_title"))
+
+
+SQL_CHANNEL = "CASE WHEN source = 'src0' OR lang = 'en' THEN 'scholarly' WHEN source IN ('src1', 'src2') OR lang = 'de' THEN 'web' ELSE '' END"
+_SCOPE = F.when(F.col("doc_id") % 2 == 0, "crop_specific").otherwise("crop_group")
+
+
+def _routed(spark, sf_dir):
+    kind = F.when(F.col("source") == "src0", "scholarly").when(F.col("source").isin("src1", "src2"), "web").otherwise("")
+    language = F.when(F.col("lang") == "de", "vi").otherwise(F.when(F.col("lang") == "en", "en").otherwise(""))
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", selection.channel(language, kind).alias("discovery_channel"))
+
+
+@query("channel_route", f"SELECT doc_id, {SQL_CHANNEL} AS discovery_channel FROM documents")
+def channel_route(spark, sf_dir):
+    return _routed(spark, sf_dir).select("doc_id", "discovery_channel")
+
+
+@query("effective_priority", f"SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 5 WHEN doc_id % 5 = 0 THEN 1 WHEN c = 'web' AND doc_id % 2 = 0 THEN 1 WHEN c = 'web' THEN 2 WHEN c = 'scholarly' AND doc_id % 2 = 0 THEN 2 WHEN c = 'scholarly' THEN 3 ELSE 9 END AS selection_priority FROM (SELECT doc_id, {SQL_CHANNEL} AS c FROM documents)")
+def effective_priority(spark, sf_dir):
+    given = F.when(F.col("doc_id") % 7 == 0, "5").when(F.col("doc_id") % 11 == 0, "no number")
+    stage = F.when(F.col("doc_id") % 5 == 0, "A2").otherwise("A1")
+    return _routed(spark, sf_dir).select("doc_id", selection.priority(given, stage, F.col("discovery_channel"), _SCOPE).alias("selection_priority"))
+
+
+@query("bank_project_common", f"SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END, ''), lang) AS crop_key, {SQL_CHANNEL} AS channel, 'natural_question' AS query_kind FROM documents")
+def bank_project_common(spark, sf_dir):
+    own = F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise("")
+    return _routed(spark, sf_dir).select("doc_id", text.nonempty(own, F.col("lang")).alias("crop_key"), F.col("discovery_channel").alias("channel"), F.lit("natural_question").alias("query_kind"))
+
+
+# ---- ranking and selection ----
+
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+SQL_RANK = "CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 3 END"
+
+
+@query("query_sort_rank", f"SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY {SQL_RANK}, o_totalprice DESC, o_orderkey) AS selection_rank FROM orders")
+def query_sort_rank(spark, sf_dir):
+    rank = selection.position(F.col("o_orderpriority"), PRIORITIES, 3)
+    orders = table(spark, sf_dir, "orders")
+    return tables.top_k(orders, ["o_custkey"], 2**31 - 1, rank, F.desc("o_totalprice"), F.col("o_orderkey"), rank="selection_rank").select("o_custkey", "o_orderkey", F.col("selection_rank").cast("long").alias("selection_rank"))
+
+
+@query("pick_first_per_criterion", "SELECT c.c_mktsegment, c.c_custkey, c.o_orderkey FROM (SELECT c_mktsegment, c_custkey, o_orderkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders JOIN customer ON o_custkey = c_custkey) c WHERE rn = 1")
+def pick_first_per_criterion(spark, sf_dir):
+    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return tables.first_wins(joined, F.col("c_mktsegment"), F.desc("o_totalprice"), F.col("o_orderkey")).select("c_mktsegment", "c_custkey", "o_orderkey")
+
+
+CRITERIA = ({"lang": "en", "source": "src0"}, {"lang": "en"}, {"lang": "de"}, {"source": "src3"}, {"lang": "fr", "source": "src4"})
+
+
+@query("representative_by_criteria")
+def representative_by_criteria(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return tables.first_per_criterion(docs, CRITERIA, [F.col("doc_id")], 24, "doc_id")
+
+
+@query("representative_by_dimension", "WITH f AS (SELECT min(doc_id) AS doc_id, 0 AS dim FROM documents GROUP BY lang UNION ALL SELECT min(doc_id), 1 FROM documents GROUP BY source), m AS (SELECT doc_id, min(dim) AS dim FROM f GROUP BY doc_id) SELECT doc_id, lang, source FROM (SELECT d.doc_id, lang, source, row_number() OVER (ORDER BY m.dim NULLS LAST, d.doc_id) AS rn FROM documents d LEFT JOIN m USING (doc_id)) WHERE rn <= 12")
+def representative_by_dimension(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return tables.representatives(docs, ["lang", "source"], F.col("doc_id"), 12)
+
+
+@query("topk_per_query", "SELECT l_orderkey, l_linenumber, rank FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag, l_extendedprice DESC, l_linenumber) AS rank FROM lineitem) WHERE rank <= 3")
+def topk_per_query(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    top = tables.top_k(lines, ["l_orderkey"], 3, F.col("l_returnflag"), F.desc("l_extendedprice"), F.col("l_linenumber"))
+    return top.select("l_orderkey", "l_linenumber", F.col("rank").cast("long").alias("rank"))
+
+
+@query("quota_select_single_dim", "SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rn FROM documents) WHERE rn <= CASE lang WHEN 'en' THEN 33 WHEN 'de' THEN 14 WHEN 'fr' THEN 14 WHEN 'es' THEN 11 END")
+def quota_select_single_dim(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return selection.select_by_cap(docs, "lang", {"en": 33, "de": 14, "fr": 14, "es": 11}, F.desc("n_chars"), F.col("doc_id")).select("doc_id", "lang")
+
+
+@query("quota_select_greedy")
+def quota_select_greedy(spark, sf_dir):
+    """The whole selection, with documents as a bank."""
+    pick = lambda values, salt: F.get(F.array(*map(F.lit, values)), F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(len(values))).cast("int"))
+    docs = table(spark, sf_dir, "documents")
+    bank = docs.select(
+        text.stable_id("CQ-", F.col("doc_id").cast("string")).alias("combined_query_id"), F.when(F.col("doc_id") % 4 == 0, "A2").otherwise("A1").alias("source_stage"), F.col("text").alias("query_text"),
+        F.when(F.col("lang") == "en", "en").otherwise("vi").alias("language"), F.when(F.col("lang") == "en", "scholarly").otherwise("web").alias("channel"), pick(selection.RANKS["query_kind"], 1).alias("query_kind"),
+        pick(selection.RANKS["scope_type"], 2).alias("scope_type"), F.col("source").alias("crop_key"), pick(selection.SCENARIO_ORDER, 3).alias("weather_scenario"), pick(selection.CORE_ACTIONS, 4).alias("action"),
+        pick(tuple(selection.REGION_SHARES), 5).alias("search_region"), F.lit("").alias("query_origin"),
+    )
+    return selection.select_queries(bank, 96).select("combined_query_id", "selection_rank", "discovery_channel", "query_kind", "scope_type", "search_region")
+
+
+# ---- relevance ----
+
+CROP = ("the", "der", "les", "los")
+SCENARIO = ("and the", "und", "ou", "con", "of the")
+ACTION = ("for the", "nicht", "pour", "para")
+EFFECT = ("with", "ist", "est", "es")
+NOISE = ("license", "apache-license", "trash")
+SQL_FORM = sql_normalize("regexp_replace(text, '[-_/]+', ' ', 'g')")
+SQL_FOCUS = sql_normalize("regexp_replace(string_split(text, chr(10))[1], '[-_/]+', ' ', 'g')")
+
+
+def _sql_hits(form: str, terms) -> list[str]:
+    return [f"regexp_matches({form}, '(^|[^a-z0-9]){relevance._folded(t)}($|[^a-z0-9])')" for t in terms]
+
+
+def _sql_count(form: str, terms) -> str:
+    return "(" + " + ".join(f"CAST({h} AS INT)" for h in _sql_hits(form, terms)) + ")"
+
+
+def _sql_list(form: str, terms) -> str:
+    order = sorted(terms, key=lambda t: (len(t), t), reverse=True)
+    return "concat_ws('|', " + ", ".join(f"CASE WHEN {h} THEN '{t}' END" for t, h in zip(order, _sql_hits(form, order), strict=True)) + ")"
+
+
+SQL_SCORED = f"""
+forms AS (SELECT doc_id, {SQL_FORM} AS f, {SQL_FOCUS} AS g FROM documents),
+n AS (SELECT doc_id, {_sql_count('f', CROP)} AS c, {_sql_count('f', SCENARIO)} AS s, {_sql_count('f', ACTION)} AS a, {_sql_count('f', EFFECT)} AS e, {_sql_count('g', SCENARIO)} AS o, {_sql_count('f', NOISE)} AS x FROM forms),
+r AS (SELECT *, CASE WHEN c > 0 THEN 3 ELSE 0 END + CASE WHEN s > 0 THEN 4 + least(s - 1, 3) ELSE 0 END + CASE WHEN a > 0 THEN 2 + least(a - 1, 2) ELSE 0 END + CASE WHEN e > 0 THEN 1 + least(e - 1, 2) ELSE 0 END + CASE WHEN o > 0 THEN 2 ELSE 0 END - least(x, 3) AS raw,
+  CASE WHEN c = 0 THEN 'rejected_irrelevant' WHEN s = 0 AND (a > 0 OR e > 0) THEN 'supporting_match' WHEN s = 0 THEN 'rejected_irrelevant' WHEN x > 0 AND o = 0 AND a = 0 THEN 'rejected_irrelevant' ELSE 'direct_match' END AS status FROM n),
+scored AS (SELECT doc_id, status, CAST(CASE WHEN status = 'rejected_irrelevant' THEN least(raw, 0) ELSE raw END AS INT) AS score,
+  concat_ws('|', CASE WHEN c > 0 THEN 'matched crop identity' ELSE 'missing crop identity' END, CASE WHEN s > 0 THEN 'matched weather scenario terms' ELSE 'missing weather scenario terms' END, CASE WHEN a > 0 THEN 'matched action/effect terms' END, CASE WHEN e > 0 THEN 'matched agronomic effect terms' END,
+    CASE WHEN o > 0 THEN 'weather scenario appears in title or subject' END, CASE WHEN x > 0 THEN 'contains crop-only noise terms' END) AS reasons FROM r)
+"""
+
+
+def scored_documents(spark, sf_dir) -> DataFrame:
+    """Documents as hits: the first line is the title, the whole text the abstract."""
+    none = F.array().cast("array<string>")
+    fields = {"title": F.get(F.split("text", "\n"), F.lit(0)), "snippet": F.lit(""), "abstract": F.col("text"), "subjects": none}
+    docs = table(spark, sf_dir, "documents")
+    everywhere = relevance.match_form(fields["abstract"])
+    focus = relevance.focused_form(fields["title"], fields["snippet"], fields["subjects"])
+    found = docs.select("doc_id", "source", everywhere.alias("f"), focus.alias("g"))
+    m = relevance.matched_terms
+    terms = found.select("doc_id", "source", m(F.col("f"), CROP).alias("crop"), m(F.col("f"), SCENARIO).alias("scenario"), m(F.col("f"), ACTION).alias("action"), m(F.col("f"), EFFECT).alias("effect"), m(F.col("g"), SCENARIO).alias("focus"), m(F.col("f"), NOISE).alias("noise"))
+    r = relevance.assess(*map(F.col, ("crop", "scenario", "action", "effect", "focus", "noise")))
+    return terms.withColumn("r", r).select("doc_id", "source", "crop", "scenario", "action", "r.status", "r.score", "r.reasons")
+
+
+@query("term_matches", f"WITH forms AS (SELECT doc_id, {SQL_FORM} AS f FROM documents) SELECT doc_id, {_sql_list('f', CROP)} AS crop, {_sql_list('f', SCENARIO)} AS scenario, {_sql_list('f', ACTION)} AS action FROM forms")
+def term_matches(spark, sf_dir):
+    rows = scored_documents(spark, sf_dir)
+    return rows.select("doc_id", *[F.array_join(c, "|").alias(c) for c in ("crop", "scenario", "action")])
+
+
+@query("relevance_score", f"WITH {SQL_SCORED} SELECT doc_id, status, score, reasons FROM scored")
+def relevance_score(spark, sf_dir):
+    return scored_documents(spark, sf_dir).select("doc_id", "status", "score", F.array_join("reasons", "|").alias("reasons"))
+
+
+@query("relevance_status_counts", f"WITH {SQL_SCORED} SELECT status, count(*) AS n FROM scored WHERE status <> 'rejected_irrelevant' GROUP BY status")
+def relevance_status_counts(spark, sf_dir):
+    return tables.count_by(scored_documents(spark, sf_dir).where(F.col("status") != relevance.REJECTED), "status")
+
+
+# ---- variants and fallback ----
+
+SQL_VARIANTS = """
+q AS (SELECT n_nationkey, n_name, r_name, CASE WHEN n_nationkey % 3 = 0 THEN 'VIETNAM' ELSE 'NONE' END AS region FROM nation JOIN region ON n_regionkey = r_regionkey),
+v AS (SELECT n_nationkey, 0 AS variant_ord, 'original' AS kind, 'about ' || n_name AS search_text FROM q
+  UNION ALL SELECT n_nationkey, 1, 'crop_scenario', '"' || n_name || '" "' || r_name || '"' || CASE WHEN region = 'VIETNAM' THEN ' Việt Nam' ELSE '' END FROM q
+  UNION ALL SELECT n_nationkey, 2, 'crop_scenario_action', '"' || n_name || '" ' || r_name || ' care' FROM q
+  UNION ALL SELECT n_nationkey, 3, 'crop_weather_general', '"' || n_name || '" ' || r_name || ' thời tiết chăm sóc' FROM q)
+"""
+
+
+def _variants(spark, sf_dir) -> DataFrame:
+    from tillage.plans.search import Vocabulary, variants
+
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = nations.select("n_nationkey", "n_name", "r_name").collect()  # 25 rows: the taxonomy of this query
+    vocabulary = Vocabulary({r.n_name: [r.n_name] for r in rows}, {r.r_name: [r.r_name] for r in rows}, {"care": ["care"]}, [])
+    queries = nations.select(
+        "n_nationkey", F.col("n_nationkey").cast("string").alias("combined_query_id"), F.concat(F.lit("about "), "n_name").alias("query_text"), F.lit("web").alias("discovery_channel"), F.col("n_name").alias("crop_key"),
+        F.col("r_name").alias("weather_scenario"), F.lit("care").alias("action"), F.when(F.col("n_nationkey") % 3 == 0, "VIETNAM").otherwise("NONE").alias("search_region"),
+    )
+    return variants(queries, vocabulary)
+
+
+@query("fallback_variants", f"WITH {SQL_VARIANTS} SELECT n_nationkey, variant_ord, kind, search_text FROM v")
+def fallback_variants(spark, sf_dir):
+    return _variants(spark, sf_dir).select("n_nationkey", "variant_ord", F.col("search_variant_type").alias("kind"), "search_text")
+
+
+@query("first_successful_variant", f"WITH {SQL_VARIANTS}, h AS (SELECT v.n_nationkey, v.variant_ord, c.c_custkey FROM v JOIN customer c ON c.c_nationkey = v.n_nationkey AND c.c_custkey % 4 = v.variant_ord AND c.c_acctbal > 5000), f AS (SELECT n_nationkey, min(variant_ord) AS w FROM h GROUP BY n_nationkey) SELECT h.n_nationkey, h.variant_ord, h.c_custkey FROM h JOIN f ON h.n_nationkey = f.n_nationkey AND h.variant_ord = f.w")
+def first_successful_variant(spark, sf_dir):
+    from tillage.plans.search import first_successful
+
+    customers = table(spark, sf_dir, "customer").where("c_acctbal > 5000")
+    v = _variants(spark, sf_dir)
+    hits = v.join(customers, (F.col("c_nationkey") == F.col("n_nationkey")) & (F.col("c_custkey") % 4 == F.col("variant_ord")))
+    return first_successful(hits).select("n_nationkey", "variant_ord", "c_custkey")
+
+
+# ---- candidates ----
+
+
+def page_hits(spark, sf_dir) -> DataFrame:
+    """Pages as scored hits of three queries."""
+    none = F.array().cast("array<string>")
+    pages = table(spark, sf_dir, "pages").withColumn("q", F.concat(F.lit("Q"), F.col("page_id") % 3))
+    title = F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1))
+    base = pages.select(
+        F.col("page_id").alias("ord"), "url", F.when(F.col("page_id") % 5 == 0, "").otherwise(title).alias("title"), text.clean_markup_text(F.col("html")).alias("snippet"), F.lit("").alias("doi"), F.lit("").alias("abstract"), none.alias("subjects"),
+        urls.source_type(F.col("url"), F.lit(""), F.lit("web")).alias("source_type"), F.lit("2024-01-01T00:00:00Z").alias("retrieved_at"), F.col("q").alias("query_id"), F.col("q").alias("original_query_id"), F.col("q").alias("original_query_text"),
+        F.col("q").alias("search_variant_text"), F.lit("original").alias("search_variant_type"), F.lit("A1").alias("source_stage"), F.col("q").alias("source_query_id"), F.lit("").alias("query_origin"), F.col("q").alias("query_text"), F.lit("vi").alias("language"),
+        F.lit("web").alias("discovery_channel"), F.lit("action").alias("query_kind"), F.lit("crop_group").alias("crop_scope"), F.lit("leafy_vegetable").alias("crop_key"), F.lit("heavy_rain").alias("scenario"), F.lit("drainage").alias("action"), F.lit("NONE").alias("search_region"),
+        (F.col("page_id") % 5 + 1).cast("int").alias("result_rank"), F.concat(F.lit("p"), F.col("page_id") % 2).alias("provider"),
+        F.when(F.col("page_id") % 4 == 0, "supporting_match").otherwise("direct_match").alias("relevance_status"), (F.col("page_id") % 9).cast("int").alias("relevance_score"),
+        F.array(F.concat(F.lit("r"), F.col("page_id") % 4)).alias("relevance_reasons"), F.array(F.concat(F.lit("c"), F.col("page_id") % 3)).alias("matched_crop_terms"), none.alias("matched_scenario_terms"), none.alias("matched_action_terms"),
+    )
+    return base
+
+
+SQL_MERGE = rf"""{SQL_URL},
+hits AS (SELECT page_id, url, canonical, CASE WHEN canonical = '' THEN 'INVALID:' || url ELSE canonical END AS key, CASE WHEN page_id % 5 = 0 THEN '' ELSE trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) END AS title,
+  CASE WHEN page_id % 4 = 0 THEN 'supporting_match' ELSE 'direct_match' END AS status, CAST(page_id % 9 AS INT) AS score, 'r' || (page_id % 4) AS reason, 'p' || (page_id % 2) AS provider, 'Q' || (page_id % 3) AS q FROM canon),
+reasons AS (SELECT key, string_agg(reason, '|' ORDER BY o) AS reasons FROM (SELECT key, reason, min(page_id) AS o FROM hits GROUP BY key, reason) GROUP BY key),
+providers AS (SELECT key, string_agg(provider, '|' ORDER BY o) AS providers FROM (SELECT key, provider, min(page_id) AS o FROM hits GROUP BY key, provider) GROUP BY key),
+merged AS (SELECT key, arg_min(url, page_id) AS url, arg_min(canonical, page_id) AS canonical, coalesce(arg_min(title, page_id) FILTER (WHERE title <> ''), '') AS title, max(score) AS score, arg_min(status, (9 - score)::BIGINT * 1000000000 + page_id) AS status,
+  CAST(count(*) AS INT) AS raw_result_count, string_agg(q || ':' || page_id % 5 + 1, '|' ORDER BY page_id) AS refs FROM hits GROUP BY key)
+"""
+
+
+@query("merge_candidates", f"WITH {SQL_MERGE} SELECT {sql_id('CD-', 'CASE WHEN canonical = ' + chr(39) * 2 + ' THEN url ELSE canonical END')} AS candidate_id, url, canonical AS canonical_url, title, CASE WHEN title <> '' THEN 'from_search_result' ELSE 'missing' END AS title_status, score AS relevance_score, status AS relevance_status, raw_result_count, reasons, providers FROM merged JOIN reasons USING (key) JOIN providers USING (key)")
+def merge_candidates(spark, sf_dir):
+    merged = candidates.merge_hits(page_hits(spark, sf_dir))
+    return merged.select("candidate_id", "url", "canonical_url", "title", "title_status", "relevance_score", "relevance_status", "raw_result_count", F.array_join("relevance_reasons", "|").alias("reasons"), F.array_join("discovery_providers", "|").alias("providers"))
+
+
+@query("provenance_counts", f"WITH {SQL_MERGE} SELECT canonical AS canonical_url, refs, raw_result_count AS n_refs FROM merged".replace("q || ':' || page_id % 5 + 1", "q || ':' || (page_id % 5 + 1)"))
+def provenance_counts(spark, sf_dir):
+    merged = candidates.merge_hits(page_hits(spark, sf_dir))
+    refs = F.array_join(F.transform("query_references", lambda r: F.concat(r["query_id"], F.lit(":"), r["result_rank"].cast("string"))), "|")
+    return merged.select("canonical_url", refs.alias("refs"), F.size("query_references").alias("n_refs"))
+
+
+ORACLES["merge_candidates"] = ORACLES["merge_candidates"].replace("q || ':' || page_id % 5 + 1", "q || ':' || (page_id % 5 + 1)")
+
+
+# ---- counts and summaries ----
+
+
+@query("count_by_all_dims", "SELECT 'lang' AS dim, lang AS key, count(*) AS n FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY source")
+def count_by_all_dims(spark, sf_dir):
+    return tables.count_by_dims(table(spark, sf_dir, "documents").select("lang", "source"), ["lang", "source"])
+
+
+@query("count_with_defaults", "SELECT k.key, CAST(k.ord AS INT) AS ord, count(e.event_id) AS n FROM (VALUES ('view', 0), ('purchase', 1), ('refund', 2)) k(key, ord) LEFT JOIN events e ON e.event_type = k.key GROUP BY k.key, k.ord")
+def count_with_defaults(spark, sf_dir):
+    return tables.count_with_defaults(table(spark, sf_dir, "events"), "event_type", ["view", "purchase", "refund"])
+
+
+@query("conditional_counts", "SELECT count(*) FILTER (WHERE lang = 'en') AS with_region, count(*) FILTER (WHERE lang <> 'en') AS without_region FROM documents")
+def conditional_counts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").agg(F.count_if(F.col("lang") == "en").alias("with_region"), F.count_if(F.col("lang") != "en").alias("without_region"))
+
+
+@query("coverage_summary", "SELECT count(*) AS executed, count(*) FILTER (WHERE h > 0) AS with_hits, count(*) FILTER (WHERE h = 0) AS without_hits, round(count(*) FILTER (WHERE h > 0) / count(*), 4) AS query_hit_rate FROM (SELECT d.source, d.lang, count(l.doc_id) AS h FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id AND l.toxic = 1 GROUP BY d.source, d.lang)")
+def coverage_summary(spark, sf_dir):
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id", F.lit(1).alias("hit"))
+    hits = table(spark, sf_dir, "documents").select("doc_id", "source", "lang").join(toxic, "doc_id", "left").groupBy("source", "lang").agg(F.count("hit").alias("hits"))
+    return tables.coverage(hits, F.col("hits"))
+
+
+@query("run_summary", f"WITH {SQL_SCORED}, s AS (SELECT count(*) AS raw_hits, count(*) FILTER (WHERE status <> 'rejected_irrelevant') AS kept FROM scored) SELECT raw_hits, kept, raw_hits - kept AS irrelevant, CASE WHEN kept > 0 AND kept * 1.0 / raw_hits >= 0.6 THEN 'READY_FOR_A4' ELSE 'A3_LOW_COVERAGE' END AS status FROM s")
+def run_summary(spark, sf_dir):
+    kept = F.count_if(F.col("status") != relevance.REJECTED)
+    s = scored_documents(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_hits"), kept.alias("kept"))
+    ready = (F.col("kept") > 0) & (F.col("kept") / F.greatest("raw_hits", F.lit(1)) >= 0.6)
+    return s.select("raw_hits", "kept", (F.col("raw_hits") - F.col("kept")).alias("irrelevant"), F.when(ready, "READY_FOR_A4").otherwise("A3_LOW_COVERAGE").alias("status"))
+
+
+# ---- audits ----
+
+
+@query("audit_duplicates", f"WITH d AS (SELECT doc_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn FROM documents) SELECT 'DUPLICATE_QUERY' AS type, doc_id AS id FROM d WHERE rn > 1")
+def audit_duplicates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize(F.col("text")), 256).alias("h"))
+    return audits.audit(docs, "doc_id", {"DUPLICATE_QUERY": audits.repeated(F.col("h"), F.col("doc_id"))})
+
+
+@query("audit_membership", "SELECT 'orders' AS side, o_orderkey AS id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'unlabelled', doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def audit_membership(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    orders = tables.missing(table(spark, sf_dir, "orders"), customers, ["o_custkey"]).select(F.lit("orders").alias("side"), F.col("o_orderkey").alias("id"))
+    return orders.union(tables.missing(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), ["doc_id"]).select(F.lit("unlabelled"), "doc_id"))
+
+
+@query("audit_required_pairs", "SELECT n.n_name, s.c_mktsegment FROM nation n, (SELECT DISTINCT c_mktsegment FROM customer) s WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_nationkey = n.n_nationkey AND c.c_mktsegment = s.c_mktsegment AND c.c_acctbal > 9000)")
+def audit_required_pairs(spark, sf_dir):
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    present = customer.where("c_acctbal > 9000").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return tables.missing_pairs(nation.select("n_name"), customer.select("c_mktsegment").distinct(), present)
+
+
+@query("audit_domain_values", "SELECT 'INVALID_LANGUAGE' AS type, event_id AS id FROM events WHERE event_type NOT IN ('view', 'click') UNION ALL SELECT 'INVALID_CHANNEL', event_id FROM events WHERE event_type IN ('view', 'click') AND value > 50 UNION ALL SELECT 'INVALID_RELEVANCE_SCORE', event_id FROM events WHERE value < 1")
+def audit_domain_values(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    rules = audits.exclusive(("INVALID_LANGUAGE", audits.outside("event_type", ("view", "click"))), ("INVALID_CHANNEL", F.col("value") > 50))
+    return audits.audit(events, "event_id", rules | {"INVALID_RELEVANCE_SCORE": F.col("value") < 1})
+
+
+@query("audit_reference_rules", f"WITH {SQL_URL} SELECT type, id FROM (SELECT 'A3_UNKNOWN_QUERY_ID' AS type, {sql_id('CD-', 'canonical')} AS id, q FROM (SELECT canonical, 'Q' || (arg_min(page_id, page_id) % 3) AS q FROM canon GROUP BY canonical)) WHERE q = 'Q2' UNION ALL SELECT 'A3_REFERENCE_UNKNOWN_QUERY_ID', {sql_id('CD-', 'canonical')} FROM canon WHERE page_id % 3 = 2")
+def audit_reference_rules(spark, sf_dir):
+    known = spark.createDataFrame([("Q0",), ("Q1",)], "query_id string")
+    return audits.audit_candidates(candidates.merge_hits(page_hits(spark, sf_dir)), known)
+
+
+@query("vocab_overlap_audit", "SELECT 'A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD' AS type, 'c1:s1:rain' AS id UNION ALL SELECT 'A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD', 'c2:s2:strasse'")
+def vocab_overlap_audit(spark, sf_dir):
+    return audits.audit_vocabularies(spark, {"c1": ["Rain!", "leaf"], "c2": ["Straße"]}, {"s1": ["rain"], "s2": ["STRASSE", "wind"]})
+
+
+# ---- formats ----
+
+
+@query("jsonl_roundtrip", "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events")
+def jsonl_roundtrip(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    parsed = events.select("event_id", F.from_json("props", "k bigint").alias("p"))
+    again = parsed.select("event_id", F.from_json(F.to_json("p"), "k bigint").alias("p"))
+    return again.select("event_id", "p.k")
+
+
+@query("effects_join_split", "SELECT p_partkey, string_agg(w, '|' ORDER BY i) AS effects, CAST(count(*) AS INT) AS n FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS w, generate_subscripts(string_split(p_type, ' '), 1) AS i FROM part) GROUP BY p_partkey")
+def effects_join_split(spark, sf_dir):
+    joined = table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.split("p_type", " "), "|").alias("effects"))
+    return joined.select("p_partkey", "effects", F.size(F.split("effects", r"\|")).alias("n"))
