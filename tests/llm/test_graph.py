@@ -22,8 +22,10 @@ def test_components_of_paths_stars_and_random_graphs(spark):
     rng = np.random.default_rng(8)
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, i) for i in range(1001, 1300)] + [(5000 - i, 5001) for i in range(50)]
     edges += [(int(a), int(b)) for a, b in rng.integers(10_000, 10_300, (200, 2)) if a != b]
-    got = connected_components(Scratch(spark), spark.createDataFrame([*edges, (7, 7)], "u long, v long").repartition(7)).collect()
-    assert {r.id: r.root for r in got} == slow(edges) and len(got) == len({r.id for r in got})
+    frame = spark.createDataFrame([*edges, (7, 7)], "u long, v long").repartition(7)
+    for small in (0, 500_000):
+        got = connected_components(Scratch(spark), frame, small).collect()
+        assert {r.id: r.root for r in got} == slow(edges) and len(got) == len({r.id for r in got})
 
 
 def test_no_edges(spark):
