@@ -83,8 +83,8 @@ def test_toxicity_without_labels(spark, awkward, corpus):
 
 
 def test_ratios():
-    own, feature = np.array([0, 0, 1, 2]), np.array([0, 1, 0, 1])
-    r = toxicity.log_count_ratio(own, feature, np.array([1.0, 1.0, 0.0]), 3, 1.0, 1)
+    rows = [np.array([0, 1]), np.array([0]), np.array([1])]
+    r = toxicity.log_count_ratio(rows, np.array([1.0, 1.0, 0.0]), 3, 1.0, 1)
     assert np.isclose(r[0], np.log(3 / 4) - np.log(1 / 3)) and r[2] == 0
 
 

@@ -33,22 +33,32 @@ def distinct(texts: list[str], orders: tuple[int, ...], size: int) -> tuple[np.n
     return both // size, both % size
 
 
-def log_count_ratio(own: np.ndarray, feature: np.ndarray, label: np.ndarray, size: int, smooth: float, rare: int) -> np.ndarray:
+def log_count_ratio(rows: list[np.ndarray], label: np.ndarray, size: int, smooth: float, rare: int) -> np.ndarray:
     """log of the smoothed share of the positive texts' features over that of the negative ones'; 0 for rare features."""
-    positive = label[own] == 1
-    p, q = np.bincount(feature[positive], minlength=size), np.bincount(feature[~positive], minlength=size)
+    counts = np.zeros((2, size), np.int64)
+    for features, y in zip(rows, label, strict=True):
+        counts[int(y), features] += 1  # a row's features are distinct
     n, m = max(1, int(label.sum())), max(1, int((1 - label).sum()))
-    ratio = np.log((p + smooth) / (n + 2 * smooth)) - np.log((q + smooth) / (m + 2 * smooth))
-    return np.where(p + q >= rare, ratio, 0.0)
+    ratio = np.log((counts[1] + smooth) / (n + 2 * smooth)) - np.log((counts[0] + smooth) / (m + 2 * smooth))
+    return np.where(counts.sum(0) >= rare, ratio, 0.0)
 
 
-def fit(own: np.ndarray, feature: np.ndarray, label: np.ndarray, size: int, orders: tuple[int, ...], smooth: float = 1.0, rare: int = 8, strongest: float = 1.0, penalty: float = 30.0, rounds: int = 200) -> Model:
-    """Logistic regression with an L2 penalty over the scaled features, by accelerated gradient descent."""
-    ratio = log_count_ratio(own, feature, label, size, smooth, rare)
-    used = np.abs(ratio[feature]) >= strongest
-    own, feature = own[used], feature[used]
+def fit(rows: list[np.ndarray], label: np.ndarray, size: int, orders: tuple[int, ...], smooth: float = 1.0, rare: int = 8, strongest: float = 1.0, penalty: float = 30.0, rounds: int = 200) -> Model:
+    """Logistic regression with an L2 penalty over the scaled features, by accelerated gradient descent.
+
+    rows: each text's distinct features, shortened in place to those whose ratio is ``strongest`` or more
+    either way, so memory is that of the given arrays and of what is left of them.
+    """
+    ratio = log_count_ratio(rows, label, size, smooth, rare)
+    strong = np.abs(ratio) >= strongest
+    for i, features in enumerate(rows):
+        rows[i] = features[strong[features]]
+    own = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    feature = np.concatenate(rows)
+    rows.clear()
     columns, at = np.unique(feature, return_inverse=True)
-    value = ratio[columns][at]
+    at = at.astype(np.int32)
+    value = ratio[columns].astype(np.float32)[at]
     n = len(label)
     w, b = np.zeros(len(columns)), float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
     v, c = w.copy(), b
@@ -73,7 +83,7 @@ def fit(own: np.ndarray, feature: np.ndarray, label: np.ndarray, size: int, orde
     return Model(weights, b, orders)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, orders: tuple[int, ...] = (3, 4, 5), size: int = 1 << 18) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000, orders: tuple[int, ...] = (3, 4, 5), size: int = 1 << 18) -> Model | None:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), leaving out held-out doc_ids.
 
     ``per_class`` bounds the labelled documents of a class: where it has more, a share of this size
@@ -106,10 +116,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, orders: tup
         label, rows = [], []
         for pdf in batches:
             label.append(pdf["toxic"].to_numpy())
-            rows += list(pdf["features"])
+            rows += [np.array(f, np.int32) for f in pdf["features"]]
         if rows:
-            y = np.concatenate(label).astype(np.float64)
-            model = fit(np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows).astype(np.int64), y, size, orders)
+            model = fit(rows, np.concatenate(label).astype(np.float64), size, orders)
             yield pd.DataFrame({"intercept": [model.intercept + np.log(prior)], "weights": [model.weights]})
 
     row = vectors.coalesce(1).mapInPandas(learn, "intercept double, weights array<double>").first()
