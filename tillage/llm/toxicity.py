@@ -22,14 +22,18 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Probability of the label for each text; every distinct n-gram of the whole text counts once."""
-        own, feature = distinct(texts, self.orders, len(self.weights))
+        own, feature = distinct(texts, self.orders, len(self.weights), self.weights != 0)
         return 1 / (1 + np.exp(-np.clip(self.intercept + np.bincount(own, self.weights[feature], len(texts)), -500, 500)))
 
 
-def distinct(texts: list[str], orders: tuple[int, ...], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) of the distinct hashed n-grams of each text, sorted."""
+def distinct(texts: list[str], orders: tuple[int, ...], size: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) of the distinct hashed n-grams of each text, sorted; only those ``wanted`` if given."""
     h, own = text_ngrams(texts, orders)
-    both = np.unique(own.astype(np.int64) * size + (h % np.uint64(size)).astype(np.int64))
+    feature = (h % np.uint64(size)).astype(np.int64)
+    if wanted is not None:
+        keep = wanted[feature]
+        own, feature = own[keep], feature[keep]
+    both = np.unique(own.astype(np.int64) * size + feature)
     return both // size, both % size
 
 
