@@ -55,11 +55,12 @@ def fit(docs: DataFrame, target: DataFrame, buckets: int = 16384, smooth: float
 
     The raw model counts every row of ``docs`` (doc_id, text), the target model those whose doc_id
     is in ``target`` (doc_id). Both are smoothed by ``smooth`` for each bucket. Tasks count into
-    arrays of ``buckets`` numbers, which are added up; without a target row all ratios are 0.
+    arrays of ``buckets`` numbers, which are added up; without a target row all ratios are 0. The
+    target grows with the corpus, so both sides are shuffled by doc_id at every size.
     """
     text_batches(docs.sparkSession)
     ids = target.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     parts = marked.mapInPandas(_count(buckets), "bucket int, raw long, target long")
     sums = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, good = np.zeros(buckets), np.zeros(buckets)
