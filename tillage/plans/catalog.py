@@ -205,7 +205,9 @@ def provenance_inherit(spark, sf_dir):
 
 
 SQL_CHANNEL = "CASE WHEN source = 'src0' OR lang = 'en' THEN 'scholarly' WHEN source IN ('src1', 'src2') OR lang = 'de' THEN 'web' ELSE '' END"
-_SCOPE = F.when(F.col("doc_id") % 2 == 0, "crop_specific").otherwise("crop_group")
+def _scope():
+    return F.when(F.col("doc_id") % 2 == 0, "crop_specific").otherwise("crop_group")
+
 
 
 def _routed(spark, sf_dir):
@@ -223,7 +225,7 @@ def channel_route(spark, sf_dir):
 def effective_priority(spark, sf_dir):
     given = F.when(F.col("doc_id") % 7 == 0, "5").when(F.col("doc_id") % 11 == 0, "no number")
     stage = F.when(F.col("doc_id") % 5 == 0, "A2").otherwise("A1")
-    return _routed(spark, sf_dir).select("doc_id", selection.priority(given, stage, F.col("discovery_channel"), _SCOPE).alias("selection_priority"))
+    return _routed(spark, sf_dir).select("doc_id", selection.priority(given, stage, F.col("discovery_channel"), _scope()).alias("selection_priority"))
 
 
 @query("bank_project_common", f"SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END, ''), lang) AS crop_key, {SQL_CHANNEL} AS channel, 'natural_question' AS query_kind FROM documents")
