@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillage.functions.relevance import REJECTED, assess, focused_form, matched_terms_of, metadata_form
 from tillage.functions.text import filled, first_available, quoted, second_available, signature
 from tillage.functions.urls import source_type
-from tillage.operators.audits import audit_candidates
+from tillage.operators.audits import audit, audit_candidates, audit_vocabularies
 from tillage.operators.candidates import merge_hits
 from tillage.operators.selection import select_queries
 from tillage.operators.tables import coverage, domain_breakdown
@@ -188,3 +188,16 @@ def dry_run(bank: DataFrame, config: RunConfig, issues: int = 0) -> tuple[DataFr
     total, rows = bank.count(), [r.asDict() for r in selected.select(*dims).collect()]
     counts = {f"by_{d}": {k: sum(r[d] == k for r in rows) for k in sorted({r[d] for r in rows})} for d in dims}
     return selected, {"total_query_bank": total, "selected_queries": len(rows), "skipped_queries": total - len(rows), "status": run_status(issues, 0, 0, 0, 0.0, False)} | counts
+
+
+#: A hit about weather only, which must match no crop and be rejected.
+PROBE = {"crop_key": "cai_xanh", "weather_scenario": "prolonged_rain", "action": "NONE", "title": "mưa kéo dài ảnh hưởng chăm sóc Việt Nam", "snippet": "mưa kéo dài, mưa liên tục và ngập úng"}
+
+
+def audit_relevance_rules(spark, vocabulary: Vocabulary) -> DataFrame:
+    """(type, id): terms that are both a crop's and a scenario's, and faults of the built-in probe."""
+    probe = spark.createDataFrame([tuple(PROBE.values())], "crop_key string, weather_scenario string, action string, title string, snippet string")
+    hit = F.struct("title", "snippet", F.lit("").alias("abstract"), F.array().cast("array<string>").alias("subjects"))
+    scored = score_hits(vocabulary.attach(probe.withColumn("hit", hit)), vocabulary)
+    rules = {"A3_SCENARIO_TERM_MATCHED_AS_CROP": F.size("matched_crop_terms") > 0, "A3_WEATHER_ONLY_RESULT_NOT_REJECTED": F.col("relevance_status") != REJECTED}
+    return audit(scored, "crop_key", rules).union(audit_vocabularies(spark, vocabulary.crops, vocabulary.scenarios))
