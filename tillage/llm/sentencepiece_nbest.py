@@ -15,16 +15,24 @@ from tillage.llm.common import text_batches
 
 SPACE = "▁"
 #: Units (words) kept in a task's memory, and the longest unit that is kept.
-_UNITS, _LONGEST = 300_000, 48
+_UNITS, _LONGEST = 600_000, 40
 _models: dict[str, "Pieces"] = {}
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hash(text: str) -> int:
+    h = 0
+    for c in text:
+        h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+    return h
 
 
 class Pieces:
     """The vocabulary of a SentencePiece model and its lattice.
 
     The score of a segmentation is the sum of its pieces' scores. A character that is no piece is
-    spelt by its UTF-8 bytes, at ten below the worst score. As no piece reaches over the start
-    of a word, a text's segmentations are those of its units, each from one run of spaces to the next.
+    spelt by its UTF-8 bytes, at ten below the worst score. A text is cut into units where no piece
+    reaches over, from one run of spaces or line feed to the next: its segmentations are those of its units.
     """
 
     def __init__(self, path: str):
@@ -43,6 +51,10 @@ class Pieces:
         line = not any("\n" in p for p in self.pieces)
         self.unit = re.compile(f"{SPACE}*\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if line else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+") if apart else re.compile(".+", re.S)
         self.units: dict[str, tuple[float, bytes, float]] = {}
+        every = sorted((_hash(t), i, score) for t, (i, score) in self.pieces.items())
+        self.keys = np.array([h for h, _, _ in every], np.uint64)
+        self.key_ids = np.array([i for _, i, _ in every], np.int32)
+        self.key_scores = np.array([x for _, _, x in every])
 
     def lattice(self, unit: str) -> tuple[list[float], list[list[tuple[int, float, bytes]]]]:
         """Best score up to each position (forward Viterbi), and the arcs that end there: (start, score, ids)."""
@@ -93,37 +105,72 @@ class Pieces:
 
     def first(self, unit: str) -> tuple[float, bytes, float]:
         """(score, ids, how much lower the second best scores) of a unit."""
-        found = self.units.get(unit)
-        if found is None:
-            best, arcs = self.lattice(unit)
-            end, ids, used = len(unit), [], set()
-            while end:
-                start, _, token = max(arcs[end], key=lambda a: best[a[0]] + a[1])
-                used.add((start, end))
-                ids[:0] = self.ids(token)
-                end = start
-            n = len(unit)
-            back = [-1e300] * n + [0.0]
-            second = -1e300
-            for e in range(n, 0, -1):
-                if back[e] > -1e299:
-                    for start, score, _ in arcs[e]:
-                        if score + back[e] > back[start]:
-                            back[start] = score + back[e]
-                        if (start, e) not in used and best[start] + score + back[e] > second:
-                            second = best[start] + score + back[e]
-            found = (best[-1], struct.pack(f"<{len(ids)}I", *ids), best[-1] - second)
-            if n <= _LONGEST:
-                if len(self.units) >= _UNITS:
-                    self.units.clear()
-                self.units[unit] = found
-        return found
+        best = self.nbest(unit, 2)
+        return best[0][0], best[0][1], best[0][0] - best[1][0] if len(best) > 1 else 1e300
+
+    def learn(self, units: list[str]) -> None:
+        """Put the best segmentation of new units in the cache: forward Viterbi over all units of a length at once.
+
+        With each position's best score goes its second best, so the loss of a unit's second
+        segmentation comes with the first. Substrings are looked up by 64-bit hashes. Ties go
+        to the shorter last piece.
+        """
+        by_length: dict[int, list[str]] = {}
+        for u in units:
+            by_length.setdefault(len(u), []).append(u)
+        for n, every in by_length.items():
+            for at in range(0, len(every), 20_000):
+                part = every[at : at + 20_000]
+                codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n).astype(np.uint64)
+                m, low = len(part), -1e290
+                best, second = np.full((n + 1, m), low), np.full((n + 1, m), low)
+                best[0] = 0
+                came, token = np.zeros((n + 1, m), np.int8), np.full((n + 1, m), -1, np.int32)
+                hashes: list[np.ndarray] = []
+                for end in range(1, n + 1):
+                    c = codes[:, end - 1]
+                    hashes = [h * _BASE + c + np.uint64(1) for h in [*hashes, np.zeros(m, np.uint64)]]
+                    first = max(0, end - self.longest)
+                    for start in range(end - 1, first - 1, -1):
+                        k = np.minimum(np.searchsorted(self.keys, hashes[start]), len(self.keys) - 1)
+                        known = self.keys[k] == hashes[start]
+                        score = np.where(known, self.key_scores[k], low)
+                        if start == end - 1:
+                            score = np.where(known, score, self.worst)
+                        one, two = best[start] + score, second[start] + score
+                        better = one > best[end]
+                        second[end] = np.maximum(np.where(better, best[end], np.maximum(one, second[end])), two)
+                        best[end] = np.where(better, one, best[end])
+                        came[end] = np.where(better, start, came[end])
+                        token[end] = np.where(better, np.where(known, self.key_ids[k], -1), token[end])
+                loss = np.where(second[n] > low / 2, best[n] - second[n], 1e300)
+                score, came, token = best[n].tolist(), came.T.tolist(), token.T.tolist()
+                for i, u in enumerate(part):
+                    ids, end, row, back = [], n, token[i], came[i]
+                    while end:
+                        t = row[end]
+                        ids.append(t if t >= 0 else u[end - 1])
+                        end = back[end]
+                    flat = ids[::-1]
+                    if -1 in row and any(isinstance(t, str) for t in flat):
+                        flat = [x for t in flat for x in self.ids(t)]
+                    self.units[u] = (score[i], struct.pack(f"<{len(flat)}I", *flat), float(loss[i]))
+
+    def split(self, text: str) -> list[str]:
+        return self.unit.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+    def prepare(self, texts: list[str]) -> None:
+        """Learn the units of texts that are encoded next."""
+        if len(self.units) > _UNITS:
+            self.units.clear()
+        known = self.units
+        self.learn([u for u in {u for t in texts for u in self.split(t)} if u not in known and len(u) <= _LONGEST])
 
     def encode(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations of a whole text: (score, ids), best first; empty text: one, without ids."""
         if not text:
             return [(0.0, b"")]
-        units = self.unit.findall(SPACE + text.replace(" ", SPACE))
+        units = self.split(text)
         get, missing = self.units.get, self.first
         found = [get(u) or missing(u) for u in units]
         score, ids = sum(f[0] for f in found), [f[1] for f in found]
@@ -187,6 +234,7 @@ def encode_nbest(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
+            model(path).prepare([t or "" for t in pdf["text"]])
             rows = [(doc, r, s, np.frombuffer(i, "<u4").astype(np.int32)) for doc, t in zip(pdf["doc_id"], pdf["text"], strict=True) for r, (s, i) in enumerate(model(path).encode(t or "", n), 1)]
             out = pd.DataFrame(rows, columns=["doc_id", "rank", "score", "ids"])
             out["doc_id"] = out["doc_id"].astype("Int64")
@@ -204,9 +252,10 @@ def nbest_digest(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            rows = []
+            rows, pieces = [], model(path)
+            pieces.prepare([t or "" for t in pdf["text"]])
             for doc, t in zip(pdf["doc_id"], pdf["text"], strict=True):
-                pieces, t = model(path), t or ""
+                t = t or ""
                 for r, (s, i) in enumerate(pieces.encode(t, n), 1):
                     rows.append((doc, r, s, len(i) // 4, zlib.crc32(i), pieces.decode(i) == t))
             out = pd.DataFrame(rows, columns=["doc_id", "rank", "score", "n_ids", "ids_crc32", "exact"])
