@@ -70,12 +70,18 @@ class Index:
         order = np.argsort(far, kind="stable")
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
         base = float(q @ q) + self.top**2
+        slack = 1e-9 * base
         for i in range(0, len(order), step):
             if len(ids) == k and far[order[i]] >= limit * max(0.0, base - 2 * scores[-1]):
                 break
-            at = np.concatenate([self.leaves[j] for j in order[i : i + step]])
-            at = at[self.ids[at] != own]
-            ids, scores = np.concatenate([ids, self.ids[at]]), np.concatenate([scores, (self.x[at] * q).sum(1)])
+            at = np.concatenate([self.leaves[j] for j in order[i : i + step].tolist()])
+            x, names = self.x[at], self.ids[at]
+            keep = names != own
+            if len(ids) == k:  # a matrix product rules out most; the rest is computed the same way for every copy
+                keep &= x @ q >= scores[-1] - slack
+                if not keep.any():
+                    continue
+            ids, scores = np.concatenate([ids, names[keep]]), np.concatenate([scores, (x[keep] * q).sum(1)])
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
         return ids, scores
