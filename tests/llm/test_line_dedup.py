@@ -59,6 +59,22 @@ def test_bands_meet_as_often_as_they_should():
     assert met >= 149
 
 
+def _random(rng, n):
+    return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n))
+
+
+def test_lines_of_neighbouring_lengths_meet(spark):
+    rng = np.random.default_rng(8)
+    for n in (50, 60, 64, 66, 67, 80, 120):
+        pairs = [(s, s + "".join(rng.choice(list("QRSTUV"), 4))) for s in (_random(rng, n) for _ in range(100))]
+        a, b = (band_keys(signatures(list(x), 5, 96), 16) for x in zip(*pairs, strict=True))
+        assert (a == b).any(1).all(), n
+    docs = [(i, "x" + _random(rng, 64) + "x") for i in range(10)]
+    docs += [(100 + i, t + "QRST") for i, t in docs]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == slow_dedup(docs) and not any(got[100 + i] for i in range(10))
+
+
 def test_awkward_rows(awkward):
     got = dedup_lines(awkward)
     assert set(awkward.columns) <= set(got.columns)

@@ -13,11 +13,8 @@ from tillage.llm.ngrams import _ODD, mix
 
 #: Characters whose shingles are hashed at once.
 _CHARS = 1_000_000
-_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-#: Shingles from which on one permutation serves for all values.
-_FEW = 64
-#: Odd multipliers of the hash functions.
-_FACTORS = mix(np.arange(1, 257, dtype=np.uint64) * _ODD[3]) | np.uint64(1)
+#: Shingles that all hash functions go over at once; they fit a core's cache.
+_BLOCK = 64_000
 
 
 def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,42 +40,32 @@ def shingles(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(lines: list[str], size: int, values: int) -> np.ndarray:
-    """MinHash values of each line's shingles.
+    """MinHash values of each line's shingles: one minimum for each of ``values`` hash functions.
 
-    Lines of under ``_FEW`` shingles get one minimum for each of ``values`` hash functions. For longer
-    lines one permutation does: each shingle falls into one of ``values`` bins, which keeps its
-    least hash, and an empty bin takes over the next filled one's value, as many steps away as it is.
+    Lines of every length have the same functions, so any two are comparable.
     """
     h, line = shingles(lines, size)
+    h = (h >> np.uint64(32)).astype(np.uint32)
+    factors, offsets = (mix(np.arange(1, 2 * values + 1, dtype=np.uint64) * _ODD[3]) >> np.uint64(32)).astype(np.uint32).reshape(2, values)
+    factors |= np.uint32(1)
     first = starts([line])
-    n = np.diff(np.append(first, len(line)))
+    end = np.append(first, len(h))
     out = np.empty((len(lines), values), np.uint64)
-    few = np.flatnonzero(n < _FEW)
-    if len(few):
-        own = h[n[line] < _FEW]
-        at = np.cumsum(n[few]) - n[few]
+    low = 0
+    while low < len(lines):
+        high = max(low + 1, int(np.searchsorted(end, end[low] + _BLOCK, "right")) - 1)
+        part, at = h[end[low] : end[high]], first[low:high] - first[low]
+        x = np.empty_like(part)
         for k in range(values):
-            out[few, k] = np.minimum.reduceat(own * _FACTORS[k % len(_FACTORS)] + _FACTORS[-1 - k % len(_FACTORS)], at)
-    many = np.flatnonzero(n >= _FEW)
-    if len(many):
-        keep = n[line] >= _FEW
-        own = np.repeat(np.arange(len(many)), n[many])
-        h = h[keep]
-        cell = own * values + (((h >> np.uint64(32)) * np.uint64(values)) >> np.uint64(32)).astype(np.int64)
-        sig = np.full(len(many) * values, _NONE)
-        np.minimum.at(sig, cell, h)
-        sig = sig.reshape(-1, values)
-        filled = sig != _NONE
-        column = np.where(np.concatenate([filled, filled], 1), np.arange(2 * values), 2 * values)
-        following = np.minimum.accumulate(column[:, ::-1], axis=1)[:, ::-1][:, :values]
-        away = (following - np.arange(values)).astype(np.uint64)
-        out[many] = np.take_along_axis(sig, following % values, 1) + away * _ODD[0]
+            np.multiply(part, factors[k], out=x)
+            np.add(x, offsets[k], out=x)
+            out[low:high, k] = np.minimum.reduceat(x, at)
+        low = high
     return out
 
 
 def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     rows = sig.shape[1] // bands
-    # A band takes values that lie apart, as neighbouring bins may share a borrowed one.
     part = sig.reshape(len(sig), rows, bands).transpose(0, 2, 1)
     h = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * _ODD[1], part.shape[:2])
     for j in range(rows):
