@@ -75,6 +75,15 @@ def test_lines_of_neighbouring_lengths_meet(spark):
     assert got == slow_dedup(docs) and not any(got[100 + i] for i in range(10))
 
 
+def test_short_lines_meet_as_often_as_long_ones():
+    rng = np.random.default_rng(9)
+    for n, m in ((20, 2), (64, 7), (70, 7), (80, 8), (100, 11), (300, 33)):  # shingles, and how many of them differ
+        lines = [_random(rng, n + 4) for _ in range(2000)]
+        near = [s[: n // 2] + _random(rng, m - 4).upper().replace(" ", "#") + s[n // 2 + m - 4 :] if m > 4 else s[:-m] + "Q" * m for s in lines]
+        met = (band_keys(signatures(lines, 5, 96), 16) == band_keys(signatures(near, 5, 96), 16)).any(1).mean()
+        assert met >= 0.988, (n, met)
+
+
 def test_awkward_rows(awkward):
     got = dedup_lines(awkward)
     assert set(awkward.columns) <= set(got.columns)

@@ -244,7 +244,7 @@ def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int =
     position stay together, and a null doc_id sorts first. An empty table gives no rows.
 
     A pair is found if one of ``bands`` bands of ``rows`` MinHash values agrees: 99.2 % of pairs at
-    similarity 0.8, over 99.9 % from 0.85. Each key's lines are compared with its smallest line
+    similarity 0.8, over 99.9 % from 0.85, whatever the lines' lengths. Each key's lines are compared with its smallest line
     (a star, combined before the shuffle), so a huge group costs no more than its size. Keys that
     still hold several components have their outer lines compared with some inner ones, then with
     all that similarity to the leader and set sizes allow; no pair within the bands is lost.
