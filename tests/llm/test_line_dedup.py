@@ -1,4 +1,5 @@
 import numpy as np
+import xxhash
 
 from tillage.llm.line_dedup import band_keys, dedup_lines, signatures
 
@@ -84,6 +85,20 @@ def test_short_lines_meet_as_often_as_long_ones():
         assert met >= 0.988, (n, met)
 
 
+def test_lines_that_share_only_a_far_leader(spark):
+    rng = np.random.default_rng(10)
+    while True:
+        x = _random(rng, 60).replace(" ", "_")
+        y, leader = x + "QRST", x[:30] + _random(rng, 30).replace(" ", "_")
+        keys = {int(k) for k in band_keys(signatures([x, y.lower(), leader], 5, 1), 1).ravel()}
+        ids = [int(np.uint64(xxhash.xxh64_intdigest(s.lower().encode(), 42)).view(np.int64)) for s in (x, y, leader)]
+        if len(keys) == 1 and ids[2] == min(ids):
+            break
+    docs = [(1, f"{leader}\n{x}\n{y}")]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), bands=1, rows=1).collect()}
+    assert got == slow_dedup(docs) == {1: f"{leader}\n{x}"}
+
+
 def test_awkward_rows(awkward):
     got = dedup_lines(awkward)
     assert set(awkward.columns) <= set(got.columns)

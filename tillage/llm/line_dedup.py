@@ -278,7 +278,10 @@ def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int =
     if not more.isEmpty():
         checked = scratch.save(checked.union(verified(more)))
         roots = scratch.save(connected_components(scratch, links(checked)))
-        cells = blocked(scratch, _rest(scratch, stars, checked, roots, texts, least), ["key"], "line", 512)
+    # Without new pairs keys may still be open: their lines were compared with the leader, not among themselves.
+    rest = _rest(scratch, stars, checked, roots, texts, least)
+    if not rest.isEmpty():
+        cells = blocked(scratch, rest, ["key"], "line", 512)
         found = map_runs(cells, ["key", "block_i", "block_j"], _across(size, least), "u long, v long")
         roots = scratch.save(connected_components(scratch, links(checked).union(found)))
     merged = classes.join(roots.withColumnRenamed("id", "line"), "line", "left").groupBy(F.coalesce("root", "line").alias("root")).agg(F.min("first").alias("first"))
