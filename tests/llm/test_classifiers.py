@@ -1,3 +1,4 @@
+import inspect
 import zlib
 
 import numpy as np
@@ -82,6 +83,10 @@ def test_toxicity_without_labels(spark, awkward, corpus):
     assert toxicity.predict(awkward.limit(0), None).count() == 0
 
 
+def test_toxicity_sample_is_not_lowered():
+    assert inspect.signature(toxicity.train).parameters["per_class"].default >= 6000
+
+
 def test_ratios():
     rows = [np.array([0, 1]), np.array([0]), np.array([1])]
     r = toxicity.log_count_ratio(rows, np.array([1.0, 1.0, 0.0]), 3, 1.0, 1)
