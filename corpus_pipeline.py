@@ -46,10 +46,17 @@ def dedup_document_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each SimHash group; rows without a doc_id stay."""
-    groups = simhash_groups(docs.select("doc_id", "text"))
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Keep the document with the smallest doc_id of each SimHash group; rows without a doc_id stay.
+
+    A doc_id with several texts, or other columns, is as many documents, each in the group of its own
+    text; of one group's the smallest by a hash of the row stays. Rows repeated in full count once.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    keyed = docs.where("doc_id is not null").withColumn("_key", F.xxhash64("doc_id", "text", F.to_json(F.struct(*others))))
+    groups = simhash_groups(keyed.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    placed = groups.join(keyed.select("_key", "doc_id").distinct(), "_key")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key")
+    kept = keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*[f"`{c}`" for c in docs.columns])
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -60,6 +60,14 @@ def test_stages_against_brute_force(spark, folder):
     assert sorted(run.ids_crc32) == sorted(packed.ids_crc32)
 
 
+def test_one_doc_id_with_several_texts(spark):
+    rng = np.random.default_rng(21)
+    a, b, c, d = (" ".join(rng.choice([f"w{i}" for i in range(500)], 80)) for _ in range(4))
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, b, "x"), (3, a, "x"), (4, c, "x"), (5, a, "x"), (5, d, "x"), (None, a, "x"), (None, a, "x")]
+    got = corpus_pipeline.dedup_documents(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, a), (0, a), (1, a), (1, b), (4, c), (5, d)])
+
+
 def test_awkward_documents(spark, folder, awkward):
     d, _ = folder
     frame = awkward

@@ -188,8 +188,8 @@ def simhash_groups(docs: DataFrame, tau: int = 3, words: int = 3, block: int = 5
 
     fp is the 64-bit fingerprint as a signed long, component_id the smallest doc_id reachable by
     links of at most ``tau`` differing bits. Null and wordless texts have fingerprint zero and link
-    like any other. Rows with the same doc_id count as one document for linking; a row whose
-    doc_id is null gets the component of its fingerprint, null if no other row has it. Extra
+    like any other. Of a doc_id with several texts each row is linked by its own fingerprint; these
+    fingerprints are joined only where it is the smallest doc_id of both. A row whose doc_id is null gets the component of its fingerprint, null if no other row has it. Extra
     columns are ignored; an empty table gives no rows.
     Copies collapse to distinct fingerprints first; buckets are cut into blocks; a block pair
     reports a spanning forest of its links, so no group is expanded into all its pairs.
