@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tillage.operators import audits, tables
 from tillage.operators.audits import audit_candidates
-from tillage.plans.search import Vocabulary, discover, run_status, variants
+from tillage.plans.search import Vocabulary, discover, domain_counts, run_status, variants
 from tillage.sources import files
 from tillage.sources.config import RunConfig
 from tillage.sources.providers import SearchProviderError, SearchProviderUnavailable, overfetch, provider_of, scholarly_hits, search_fixture, search_live, web_a_hits, web_b_hits, with_retries
@@ -98,6 +98,12 @@ def test_live_search_retries_and_keeps_errors(spark):
     assert got == {0: (None, "down"), 1: ("[]", None)}
 
 
+def test_every_domain_is_counted(spark):
+    rows = [(f"d{i % 1500}.org", [(i,)]) for i in range(1600)]
+    got = domain_counts(spark.createDataFrame(rows, "source_domain string, query_references array<struct<result_rank:int>>"))
+    assert got == {f"d{i}.org": 2 if i < 100 else 1 for i in range(1500)}
+
+
 def test_statuses():
     assert run_status(1, 5, 5, 0, 1.0, True) == "NEEDS_A3_REVIEW" and run_status(0, 0, 3, 3, 0.0, True) == "SEARCH_PROVIDER_ERROR"
     assert run_status(0, 2, 5, 0, 0.6, True) == "READY_FOR_A4" and run_status(0, 2, 5, 0, 0.5, True) == "A3_LOW_COVERAGE"

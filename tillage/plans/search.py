@@ -137,6 +137,12 @@ def bank_status(issues: int) -> str:
     return "NEEDS_REVIEW" if issues else "READY_FOR_A3"
 
 
+def domain_counts(candidates: DataFrame) -> dict[str, int]:
+    """Candidates of every domain, most first; there are no more domains than hits kept."""
+    ranked = candidates.withColumn("_ord", F.get("query_references", F.lit(0))["result_rank"])
+    return {r["domain"]: r["n"] for r in domain_breakdown(ranked, "source_domain", "_ord").collect()}
+
+
 @dataclass(frozen=True)
 class Run:
     selected: DataFrame
@@ -176,7 +182,7 @@ def discover(bank: DataFrame, vocabulary: Vocabulary, config: RunConfig, search:
         "query_hit_rate": cover["query_hit_rate"],
         "issues": wrong,
         "status": run_status(wrong, n, totals["original_queries"], totals["queries_with_errors"], cover["query_hit_rate"], True, config.min_hit_rate),
-        "by_domain": {r["domain"]: r["n"] for r in domain_breakdown(candidates.withColumn("_ord", F.get("query_references", F.lit(0))["result_rank"]), "source_domain", "_ord").limit(1000).collect()},
+        "by_domain": domain_counts(candidates),
     }
     return Run(selected, candidates, issues, statistics, summary)
 
