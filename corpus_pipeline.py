@@ -49,8 +49,9 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep the document with the smallest doc_id of each SimHash group; rows without a doc_id stay.
 
     Groups are op3's: 3-word shingles, links of at most 3 differing bits. That reaches copies and all but
-    identical texts, not the similarity of 0.8 of the line stage (README). A doc_id with several texts, or other columns, is as many documents, each in the group of its own
-    text; of one group's the smallest by a hash of the row stays. Rows repeated in full count once.
+    identical texts, not the similarity of 0.8 of the line stage (README). A doc_id with several texts,
+    or other columns, is as many documents, each in the group of its own text; of one group's the
+    smallest by (doc_id, a hash of the row) stays. Rows repeated in full count once.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     keyed = docs.where("doc_id is not null").withColumn("_key", F.xxhash64("doc_id", "text", F.to_json(F.struct(*others))))
