@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillage.llm.common import Scratch, row_batches
+from tillage.llm.common import Scratch, arrow_batches
 from tillage.llm.embedding_dedup import dimension, valid
 
 
@@ -117,7 +117,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, axes: int = 8,
     confidence of having missed none of its k best, so the expected recall is at least that.
     """
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession)
-    row_batches(spark)
+    arrow_batches(spark)
     dim = dimension(vectors, "embedding")
     take = lambda d: d.where("vec_id is not null").where(valid("embedding", dim)).select(F.col("vec_id").cast("long"), "embedding")
     data, asks = scratch.save(take(vectors)), scratch.save(take(queries).dropDuplicates(["vec_id"]))

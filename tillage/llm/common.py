@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Rows of one Arrow batch sent to Python where rows hold whole texts.
-TEXT_ROWS = 400
+#: Bytes of one Arrow batch sent to Python, whether its rows are whole texts or a few numbers.
+BATCH_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,14 +51,9 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: rows hold whole documents of any length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
-
-
-def row_batches(spark: SparkSession) -> None:
-    """Arrow batches for rows of a few numbers."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+def arrow_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: one setting for every plan, whenever it runs."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def held_out(doc_id) -> F.Column:

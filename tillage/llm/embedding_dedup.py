@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, blocked, forest, map_runs, row_batches, starts
+from tillage.llm.common import Scratch, blocked, forest, map_runs, arrow_batches, starts
 from tillage.llm.graph import connected_components
 
 
@@ -159,11 +159,10 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.9, width: float = 4.0,
     and a spanning forest instead of pairs.
     """
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession)
-    row_batches(spark)
+    arrow_batches(spark)
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding")
     dim = dimension(rows, "embedding")
     rows = scratch.save(rows.withColumn("ok", valid("embedding", dim)).withColumn("hash", F.when(F.col("ok"), F.xxhash64("embedding"))))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     alone = rows.where("not ok or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     good = rows.where("ok and vec_id is not null")
     classes = scratch.save(good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, edge_batch, forest, row_batches
+from tillage.llm.common import Scratch, edge_batch, forest, arrow_batches
 
 _GATHER = 200_000
 
@@ -37,7 +37,7 @@ def connected_components(scratch: Scratch, edges: DataFrame, small: int = 500_00
     is collected but one checksum a round. Once the reduced graph has at most ``small`` edges, one
     task finishes it, which gives the same labels in fewer jobs. An empty table gives an empty table.
     """
-    row_batches(scratch.spark)
+    arrow_batches(scratch.spark)
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u is not null and v is not null and u <> v")
     e = scratch.save(e.mapInArrow(_local(_GATHER), "u long, v long").distinct())
     total = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, held_out, text_batches
+from tillage.llm.common import Scratch, held_out, arrow_batches
 from tillage.llm.ngrams import chunks, word_ngrams
 
 UNKNOWN = "und"
@@ -82,7 +82,7 @@ def train(docs: DataFrame, per_language: int = 3000, orders: tuple[int, ...] = (
     leaked in with quotations and wrong labels.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    text_batches(spark)
+    arrow_batches(spark)
     known = docs.select("doc_id", "text", "lang").where("lang is not null and lang <> '' and text is not null").where(~held_out("doc_id"))
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not sizes:
@@ -110,7 +110,7 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     replaced.
     """
     spark = docs.sparkSession
-    text_batches(spark)
+    arrow_batches(spark)
     shared = spark.sparkContext.broadcast(filters)
 
     @F.pandas_udf("lang_pred string, score double")

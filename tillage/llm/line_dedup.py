@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, blocked, edge_batch, forest, map_runs, row_batches, starts
+from tillage.llm.common import Scratch, blocked, edge_batch, forest, map_runs, arrow_batches, starts
 from tillage.llm.graph import connected_components
 from tillage.llm.ngrams import _ODD, mix
 
@@ -251,7 +251,7 @@ def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int =
     Lines are told apart by 64-bit hashes.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    row_batches(spark)
+    arrow_batches(spark)
     lines = _lines(docs.select("doc_id", "text"))
     classes = scratch.save(lines.groupBy("line").agg(F.min(F.struct("doc_id", "pos")).alias("first")))
     banded = lines.select("line", "norm").mapInArrow(_bands(size, bands, rows), "key long, line long, leader long")

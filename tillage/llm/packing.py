@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillage.llm.common import Scratch, text_batches
+from tillage.llm.common import Scratch, arrow_batches
 
 #: Words kept in a task's memory with their ids, about 200 bytes each.
 _WORDS = 300_000
@@ -184,7 +184,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 4096, end:
     (task, running number), both written with them, so no length is gathered or sorted.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    text_batches(spark)
+    arrow_batches(spark)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
     made = scratch.save(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(_pieces(tokenizer_path, end, size), schema))
     each = scratch.save(made.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")))

@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, text_batches
+from tillage.llm.common import Scratch, arrow_batches
 
 _WORD = re.compile(r"\w+|[^\w\s]+")
 _hashes: dict[str, int] = {}
@@ -58,7 +58,7 @@ def fit(docs: DataFrame, target: DataFrame, buckets: int = 16384, smooth: float
     arrays of ``buckets`` numbers, which are added up; without a target row all ratios are 0. The
     target grows with the corpus, so both sides are shuffled by doc_id at every size.
     """
-    text_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession)
     ids = target.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
     marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     parts = marked.mapInPandas(_count(buckets), "bucket int, raw long, target long")
@@ -96,7 +96,7 @@ def resample(docs: DataFrame, ratios: np.ndarray, share: float = 0.5, seed: int
     table gives no rows; extra columns are ignored.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    text_batches(spark)
+    arrow_batches(spark)
     shared, buckets = spark.sparkContext.broadcast(ratios), len(ratios)
 
     @F.pandas_udf("double")

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import text_batches
+from tillage.llm.common import arrow_batches
 
 SPACE = "▁"
 #: Units (words) kept in a task's memory, and the longest unit that is kept.
@@ -230,7 +230,7 @@ def encode_nbest(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
     are ignored, an empty table gives no rows. The text is taken as it is, with spaces as the
     model's space marks and one in front; the model's own normalisation is not applied.
     """
-    text_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession)
 
     def run(batches):
         for pdf in batches:
@@ -248,7 +248,7 @@ def nbest_digest(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
 
     Columns: doc_id, rank, score, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids), exact.
     """
-    text_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession)
 
     def run(batches):
         for pdf in batches:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, blocked, edge_batch, forest, map_runs, row_batches, starts, text_batches
+from tillage.llm.common import Scratch, blocked, edge_batch, forest, map_runs, arrow_batches, starts
 from tillage.llm.graph import connected_components
 
 BITS = 64
@@ -195,9 +195,8 @@ def simhash_groups(docs: DataFrame, tau: int = 3, words: int = 3, block: int = 5
     reports a spanning forest of its links, so no group is expanded into all its pairs.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    text_batches(spark)
+    arrow_batches(spark)
     made = scratch.save(docs.select("doc_id", _fingerprints(words)(F.col("text")).alias("fp")))
-    row_batches(spark)
     fps = scratch.save(made.groupBy("fp").agg(F.min("doc_id").alias("node")))
     parts = plan(scratch, fps.where("node is not null"), tau)
     members = fps.where("node is not null").withColumn("x", F.explode(_probes(parts))).select("x.part", "x.value", "x.home", "fp", "node")

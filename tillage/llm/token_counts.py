@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import text_batches
+from tillage.llm.common import arrow_batches
 
 #: Ways to allocate a token that lies in several sections.
 RULES = ("most", "first", "last")
@@ -112,7 +112,7 @@ def section_tokens(docs: DataFrame, ranks_path: str, pattern: str, rule: str = "
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    text_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession)
     columns = [F.col("doc_id").cast("long"), "text"]
     if sections:
         columns.append(F.transform(sections, lambda s: F.struct(s["start"].cast("long").alias("start"), s["end"].cast("long").alias("end"))).alias("sections"))

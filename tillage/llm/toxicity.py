@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, held_out, text_batches
+from tillage.llm.common import Scratch, held_out, arrow_batches
 from tillage.llm.ngrams import chunks, text_ngrams
 
 
@@ -95,7 +95,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, orders: tup
     documents; a doc_id with several labels counts as toxic if one is 1. Null: nothing was labelled.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    text_batches(spark)
+    arrow_batches(spark)
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
@@ -135,7 +135,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     Null and empty texts get the score of a text without n-grams; without a model every score is 0.
     """
     spark = docs.sparkSession
-    text_batches(spark)
+    arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
