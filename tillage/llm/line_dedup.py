@@ -2,66 +2,82 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillage.llm.common import Scratch, blocked, edge_batch, forest, map_runs, arrow_batches, starts
+from tillage.llm.common import Scratch, arrow_batches, edge_batch, forest, map_runs, starts
 from tillage.llm.graph import connected_components
 from tillage.llm.ngrams import _ODD, mix
 
-#: Characters whose shingles are hashed at once.
-_CHARS = 1_000_000
-#: Shingles that all hash functions go over at once; they fit a core's cache.
-_BLOCK = 64_000
-
-
-def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the lines one after the other, and where each line starts."""
-    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    return points, np.concatenate([[0], np.cumsum([len(s) for s in lines])]).astype(np.int64)
+#: Characters whose shingles are hashed at once; they fit a core's cache.
+_CHARS = 200_000
+#: Band keys that a task combines before it sends them on.
+_KEYS = 600_000
+#: Characters of the corpus for each partition of band keys: some 1.5 million keys.
+_PART = 32_000_000
+_BLANK = " \t\r\f\x0b"
+_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 def shingles(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, line) of every run of ``size`` characters; a shorter line is one shingle."""
-    points, at = _points(lines)
-    points = np.concatenate([points, np.zeros(size, np.uint64)])
-    length = np.diff(at)
-    n = np.maximum(length - size + 1, 1)
-    line = np.repeat(np.arange(len(lines)), n)
-    first = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + at[:-1][line]
-    h = np.zeros(len(first), np.uint64)
-    for j in range(size):
-        h += points[first + j] * _ODD[j]
-    for i in np.flatnonzero(length < size):
-        h[np.cumsum(n)[i] - 1] = (points[at[i] : at[i + 1]] * _ODD[: length[i]]).sum(dtype=np.uint64) + np.uint64(length[i] + 1)
-    return mix(h), line
+    length = np.array([len(s) for s in lines], np.int64)
+    points = np.frombuffer("".join([*lines, "\0" * size]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    end = np.cumsum(length)
+    h = points[: end[-1]] * _ODD[0]
+    for j in range(1, size):
+        h += points[j : end[-1] + j] * _ODD[j]
+    line = np.repeat(np.arange(len(lines)), length)
+    whole = np.ones(len(h), bool)
+    for j in range(1, size):  # the last runs of a line would reach into the next one
+        whole[(end - j)[length >= j]] = False
+    for i in np.flatnonzero(length < size).tolist():
+        first = end[i] - length[i]
+        h[first] = (points[first : end[i]] * _ODD[: length[i]]).sum(dtype=np.uint64) + np.uint64(length[i] + 1)
+        whole[first] = True
+    return mix(h[whole]), line[whole]
 
 
 def signatures(lines: list[str], size: int, values: int) -> np.ndarray:
-    """MinHash values of each line's shingles: one minimum for each of ``values`` hash functions.
+    """MinHash sketches of the lines' shingles: ``values`` numbers, each equal for two lines with the chance of their similarity.
 
-    Lines of every length have the same functions, so any two are comparable.
+    Fast similarity sketching: in round r every shingle falls into one place at random with a value
+    of this round; a place keeps its smallest, and earlier rounds win. Lines go on until every place
+    is taken, long ones for a round or two; after ``values`` rounds, which only the shortest lines
+    reach, each round fills one place from all shingles. The rounds are the same hash functions for
+    lines of every length, so any two are comparable.
     """
     h, line = shingles(lines, size)
-    h = (h >> np.uint64(32)).astype(np.uint32)
-    factors, offsets = (mix(np.arange(1, 2 * values + 1, dtype=np.uint64) * _ODD[3]) >> np.uint64(32)).astype(np.uint32).reshape(2, values)
-    factors |= np.uint32(1)
-    first = starts([line])
-    end = np.append(first, len(h))
-    out = np.empty((len(lines), values), np.uint64)
-    low = 0
-    while low < len(lines):
-        high = max(low + 1, int(np.searchsorted(end, end[low] + _BLOCK, "right")) - 1)
-        part, at = h[end[low] : end[high]], first[low:high] - first[low]
-        x = np.empty_like(part)
-        for k in range(values):
-            np.multiply(part, factors[k], out=x)
-            np.add(x, offsets[k], out=x)
-            out[low:high, k] = np.minimum.reduceat(x, at)
-        low = high
-    return out
+    out = np.full(len(lines) * values, _EMPTY)
+    base, done = line * values, 0
+    while len(h):
+        # Later rounds change nothing where a place is taken, so several can go at once.
+        count = min(max(1, _CHARS // len(h)), max(1, done), 2 * values - done)
+        r = np.arange(done, done + count, dtype=np.uint64)[:, None]
+        x = h ^ (r * _ODD[3])
+        x *= _ODD[4]
+        x ^= x >> np.uint64(32)
+        x *= _ODD[5]
+        place = ((x & _LOW) * np.uint64(values) >> np.uint64(32)).view(np.int64)
+        last = max(0, values - done)
+        place[last:] = r[last:].view(np.int64) - values
+        place += base
+        x >>= np.uint64(32)
+        x |= r << np.uint64(32)
+        np.minimum.at(out, place.ravel(), x.ravel())
+        done += count
+        todo = (out.reshape(-1, values) == _EMPTY).any(1)
+        if not todo.any():
+            break
+        keep = todo[base // values]
+        h, base = h[keep], base[keep]
+    return out.reshape(-1, values)
 
 
 def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
@@ -73,88 +89,160 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _stars(key: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sort, and give each row its key's smallest line: (key, line, leader) without repeats."""
-    order = np.lexsort((line, key))
+def normal_lines(text: str) -> list[str]:
+    """The lines of a text as they are compared; blank ones are empty."""
+    return [s.strip(_BLANK).lower() for s in text.split("\n")]
+
+
+def line_id(norm: str) -> int:
+    """XXH64 of a normal line, unsigned."""
+    return xxhash.xxh64_intdigest(norm.encode("utf-8", "replace"), 42)
+
+
+def _stars(key: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sort by key (unsigned), and give each row its key's smallest line: (key, line, leader)."""
+    order = np.argsort(key.view(np.uint64))
     key, line = key[order], line[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-    key, line = key[new], line[new]
     first = starts([key])
-    return key, line, np.repeat(line[first], np.diff(np.append(first, len(key))))
+    return key, line, np.repeat(np.minimum.reduceat(line, first), np.diff(np.append(first, len(key))))
 
 
-def _bands(size: int, bands: int, rows: int):
-    """Band keys of lines; lines that share one within a batch are linked at once and one goes on."""
+def _cuts(values: np.ndarray, parts: int) -> np.ndarray:
+    """Where each of ``parts`` equal ranges of 64-bit numbers starts in sorted values, and the end."""
+    part = (values.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+
+
+def _packed(columns: list[np.ndarray], cuts: np.ndarray) -> list[bytes]:
+    """The columns' rows of each range, as bytes."""
+    table = np.stack(columns, 1)
+    return [table[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _unpacked(blobs: list[bytes], width: int) -> list[np.ndarray]:
+    return list(np.frombuffer(b"".join(blobs), np.int64).reshape(-1, width).T.copy())
+
+
+def _bands(size: int, bands: int, rows: int, parts: int):
+    """Lines of whole documents: their first places, and their band keys as stars.
+
+    Equal lines and equal keys are combined for some ten thousand lines at a time. Each time one row
+    goes to every part, with the packed numbers of its range: first places (line, doc_id, place) by
+    line, leaders (key, line) by key, and what a leader already has linked (key, leader, line) by line.
+    """
 
-    def flush(held: list[tuple[np.ndarray, np.ndarray]]):
-        key, line, leader = _stars(np.concatenate([k for k, _ in held]), np.concatenate([i for _, i in held]))
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(leader)], names=["key", "line", "leader"])
+    def flush(ids: list[int], firsts: list[tuple[bool, int, int]], keys: list[np.ndarray]) -> pa.RecordBatch:
+        line = np.array(ids, np.uint64).view(np.int64)
+        order = np.argsort(line.view(np.uint64))
+        some, doc, pos = (np.array(x, np.int64)[order] for x in zip(*firsts, strict=True))
+        places = _packed([line[order], doc, pos * 2 + some], _cuts(line[order], parts))
+        key, member, leader = _stars(np.concatenate(keys).ravel(), np.repeat(line, bands))
+        first = starts([key])
+        own = _packed([key[first], leader[first]], _cuts(key[first], parts))
+        more = np.flatnonzero(member != leader)
+        more = more[np.argsort(member[more].view(np.uint64))]
+        linked = _packed([key[more], leader[more], member[more]], _cuts(member[more], parts))
+        blobs = [pa.array(x, pa.binary()) for x in (places, own, linked)]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), *blobs], names=["part", "places", "own", "linked"])
 
     def run(batches):
-        held, met, n = [], set(), 0
+        met, ids, firsts, keys, lines, chars = {}, [], [], [], [], 0
+
+        def learn():
+            keys.append(band_keys(signatures(lines, size, bands * rows), bands))
+
         for b in batches:
-            ids, texts = b["line"].to_pylist(), b["norm"].to_pylist()
-            lines, own, chars = [], [], 0
-            for i, s in zip([*ids, None], [*texts, None], strict=True):
-                if i is not None and i in met:
-                    continue
-                if i is not None:
-                    met.add(i)
-                    lines.append(s)
-                    own.append(i)
-                    chars += len(s)
-                if lines and (i is None or chars >= _CHARS):
-                    keys = band_keys(signatures(lines, size, bands * rows), bands)
-                    held.append((keys.ravel(), np.repeat(np.array(own, np.int64), bands)))
-                    n += keys.size
-                    lines, own, chars = [], [], 0
-            if n >= 600_000:
-                yield flush(held)
-                held, met, n = [], set(), 0
-        if n:
-            yield flush(held)
+            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
+                for pos, norm in enumerate(normal_lines(text) if text else ()):
+                    if not norm:
+                        continue
+                    i = line_id(norm)
+                    here, at = (doc is not None, doc or 0, pos), met.get(i)
+                    if at is not None:
+                        firsts[at] = min(firsts[at], here)
+                        continue
+                    met[i] = len(ids)
+                    ids.append(i)
+                    firsts.append(here)
+                    lines.append(norm)
+                    chars += len(norm)
+                    if chars >= _CHARS:
+                        learn()
+                        lines, chars = [], 0
+                if len(ids) * bands >= _KEYS:
+                    if lines:
+                        learn()
+                        lines, chars = [], 0
+                    yield flush(ids, firsts, keys)
+                    met, ids, firsts = {}, [], []
+                    keys.clear()
+        if lines:
+            learn()
+        if ids:
+            yield flush(ids, firsts, keys)
 
     return run
 
 
-def _lead(table: pa.Table):
-    """Star of each key over the batches' leaders; rows already linked pass through."""
-    key, line, leader = (table[c].to_numpy() for c in ("key", "line", "leader"))
-    own = line == leader
-    k, i, first = _stars(key[own], line[own])
-    more = i != first
-    out = [np.concatenate(x) for x in ((k[more], key[~own]), (first[more], leader[~own]), (i[more], line[~own]))]
-    if len(out[0]):
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "a", "b"])
-
-
-class Sets:
-    """Sorted distinct shingle hashes of texts, kept while a task meets the same lines again."""
-
-    def __init__(self, size: int, most: int = 4_000_000):
-        self.size, self.most, self.held, self.n = size, most, {}, 0
-
-    def of(self, ids: list[int], texts: list[str]) -> list[np.ndarray]:
-        if self.n > self.most:
-            self.held, self.n = {}, 0
-        new = {i: t for i, t in zip(ids, texts, strict=True) if i not in self.held}
-        todo = list(new.items())
-        while todo:
-            part, chars = [], 0
-            while todo and (not part or chars < _CHARS):
-                part.append(todo.pop())
-                chars += len(part[-1][1])
-            h, line = shingles([t for _, t in part], self.size)
-            order = np.lexsort((h, line))
-            h, line = h[order], line[order]
-            keep = np.ones(len(h), bool)
-            keep[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-            h, line = h[keep], line[keep]
-            for (key, _), own in zip(part, np.split(h, starts([line])[1:]), strict=True):
-                self.held[key] = own
-                self.n += len(own)
-        return [self.held[i] for i in ids]
+def _lead(batches):
+    """All rows of a part: each line's first place (kind 0), and the stars of its keys (kind 1)."""
+    places, own, linked = [], [], []
+    for b in batches:
+        for held, name in ((places, "places"), (own, "own"), (linked, "linked")):
+            held += b[name].to_pylist()
+    if not places:
+        return
+    line, doc, pos = _unpacked(places, 3)
+    order = np.lexsort((pos >> 1, doc, pos & 1, line))
+    order = order[starts([line[order]])]
+    yield _rows(0, line[order], pa.array(doc[order], mask=(pos[order] & 1) == 0), pos[order] >> 1)
+    key, member, leader = _stars(*_unpacked(own, 2))
+    more = member != leader
+    done = _unpacked(linked, 3)
+    yield _rows(1, *(np.concatenate(x) for x in zip((key[more], leader[more], member[more]), done, strict=True)))
+
+
+def _rows(kind: int, x, y, z) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), *(c if isinstance(c, pa.Array) else pa.array(c) for c in (x, y, z))], names=["kind", "x", "y", "z"])
+
+
+#: Bits of a shingle's hash that are compared; the others number the lines of a batch.
+_BITS = 52
+
+
+def sets_of(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text one after the other, and where each text's start, with the end."""
+    hashes, counts, low = [np.zeros(0, np.uint64)], [], 0
+    while low < len(texts):
+        high, chars = low, 0
+        while high < len(texts) and high - low < 1 << (64 - _BITS) and (high == low or chars < _CHARS):
+            chars += len(texts[high])
+            high += 1
+        h, own = shingles(texts[low:high], size)
+        x = np.sort((h >> np.uint64(64 - _BITS)) | (own.astype(np.uint64) << np.uint64(_BITS)))
+        x = x[starts([x])]
+        hashes.append(x & np.uint64((1 << _BITS) - 1))
+        counts.append(np.bincount((x >> np.uint64(_BITS)).astype(np.int64), minlength=high - low))
+        low = high
+    return np.concatenate(hashes), np.concatenate([[0], *counts]).cumsum()
+
+
+def overlaps(hashes: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many hashes the texts ``a`` and ``b`` have in common, pair by pair."""
+    n_a, n_b = at[a + 1] - at[a], at[b + 1] - at[b]
+    total, out, low = np.cumsum(n_a + n_b), np.zeros(len(a), np.int64), 0
+    while low < len(a):
+        high = int(np.searchsorted(total, (total[low - 1] if low else 0) + 2 * _CHARS, "right"))
+        high = min(max(high, low + 1), low + (1 << (64 - _BITS)))
+        which = np.concatenate([a[low:high], b[low:high]])
+        n = np.concatenate([n_a[low:high], n_b[low:high]])
+        pair = np.repeat(np.tile(np.arange(high - low, dtype=np.uint64), 2), n)
+        x = hashes[np.arange(n.sum()) + np.repeat(at[which] - np.cumsum(n) + n, n)] | (pair << np.uint64(_BITS))
+        x.sort()
+        same = x[1:][x[1:] == x[:-1]]
+        out[low:high] = np.bincount((same >> np.uint64(_BITS)).astype(np.int64), minlength=high - low)
+        low = high
+    return out
 
 
 def shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -168,37 +256,51 @@ def _verify(size: int):
     """Exact similarity of pairs of texts, and the number of distinct shingles of each."""
 
     def run(batches):
-        sets = Sets(size)
         for pdf in batches:
             if not len(pdf):
                 continue
-            a, b = sets.of(pdf["a"].tolist(), pdf["text_a"].tolist()), sets.of(pdf["b"].tolist(), pdf["text_b"].tolist())
-            n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-            both = np.empty(len(pdf), np.int64)
             first = starts([pdf["a"].to_numpy()])
-            for low, high in zip(first, np.append(first[1:], len(pdf)), strict=True):
-                both[low:high] = shared(a[low], b[low:high])
-            yield pd.DataFrame({"a": pdf["a"].to_numpy(), "b": pdf["b"].to_numpy(), "similarity": both / (n_a + n_b - both), "n_a": n_a.astype(np.int32), "n_b": n_b.astype(np.int32)})
+            hashes, at = sets_of([*pdf["text_a"].iloc[first], *pdf["text_b"]], size)
+            a = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(pdf))))
+            b = np.arange(len(pdf)) + len(first)
+            n = np.diff(at)
+            both = overlaps(hashes, at, a, b)
+            yield pd.DataFrame({"a": pdf["a"].to_numpy(), "b": pdf["b"].to_numpy(), "similarity": both / (n[a] + n[b] - both), "n_a": n[a].astype(np.int32), "n_b": n[b].astype(np.int32)})
 
     return run
 
 
-def _across(size: int, least: float):
-    """Links between lines of different components in the cells of open keys."""
+def _across(size: int, least: float, first: int = 6):
+    """Links between lines of different components in the cells of open keys.
+
+    A line is compared with ``first`` lines of a component before the rest: most join there.
+    """
 
     def cell(rows: dict[str, np.ndarray], sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        line, root, n, near, odd = rows["line"], rows["root"], rows["n"], rows["similarity"], rows["root"] != rows["leader_root"]
+        line, root, near, odd = rows["line"], rows["root"], rows["similarity"], rows["root"] != rows["leader_root"]
+        n = np.array([len(x) for x in sets])
         same = rows["block_i"][0] == rows["block_j"][0]
         us, vs = [], []
+
+        def compare(k: int, at: np.ndarray) -> np.ndarray:
+            both = shared(sets[k], [sets[i] for i in at])
+            return at[both >= least * (n[k] + n[at] - both)]
+
         for k in np.flatnonzero(odd):
-            fit = (root != root[k]) & (np.abs(near - near[k]) <= 1 - least + 1e-9) & (np.minimum(n, n[k]) >= (least - 1e-9) * np.maximum(n, n[k]))
+            fit = ~(np.abs(near - near[k]) > 1 - least + 1e-9) & (np.minimum(n, n[k]) >= (least - 1e-9) * np.maximum(n, n[k]))
             fit &= ~odd | (np.arange(len(line)) > k)
             if not same:
                 fit &= rows["side"] != rows["side"][k]
-            at = np.flatnonzero(fit)
-            if len(at):
-                both = shared(sets[k], [sets[i] for i in at])
-                hit = at[both >= least * (n[k] + n[at] - both)]
+            for tried in (first, len(line)):
+                at = np.flatnonzero(fit & (root != root[k]))
+                if tried < len(at):
+                    order = at[np.argsort(root[at], kind="stable")]
+                    runs = starts([root[order]])
+                    at = order[np.arange(len(order)) - np.repeat(runs, np.diff(np.append(runs, len(order)))) < tried]
+                if not len(at):
+                    break
+                fit[at] = False
+                hit = compare(k, at)
                 if len(hit):
                     us.append(np.full(len(hit), line[k]))
                     vs.append(line[hit])
@@ -206,34 +308,57 @@ def _across(size: int, least: float):
         return (np.concatenate(us), np.concatenate(vs)) if us else (line[:0], line[:0])
 
     def run(table: pa.Table):
-        names = ("line", "root", "leader_root", "n", "similarity", "side", "block_i", "block_j")
+        names = ("line", "root", "leader_root", "similarity", "side", "block_i", "block_j")
         columns = {c: table[c].to_numpy() for c in names}
-        keys = [table["key"].to_numpy(), columns["block_i"], columns["block_j"]]
-        sets = Sets(size)
-        first = starts(keys)
+        first = starts([table["key"].to_numpy(), columns["block_i"], columns["block_j"]])
+        cells = [(a, b) for a, b in zip(first, np.append(first[1:], table.num_rows), strict=True) if (columns["root"][a:b] != columns["root"][a]).any() and (columns["root"][a:b] != columns["leader_root"][a:b]).any()]
+        if not cells:
+            return
+        # Each line's set once, however many cells it is in.
+        rows = np.concatenate([np.arange(a, b) for a, b in cells])
+        lines, at = np.unique(columns["line"][rows], return_index=True)
+        hashes, bounds = sets_of(table["norm"].take(rows[at]).to_pylist(), size)
         u, v = [], []
-        for low, high in zip(first, np.append(first[1:], table.num_rows), strict=True):
-            part = {c: x[low:high] for c, x in columns.items()}
-            if (part["root"] != part["root"][0]).any() and (part["root"] != part["leader_root"]).any():
-                a, b = cell(part, sets.of(part["line"].tolist(), table["norm"].slice(low, high - low).to_pylist()))
-                u.append(a)
-                v.append(b)
-        if u:
-            a, b = forest(np.concatenate(u), np.concatenate(v))
-            yield edge_batch(a, b)
+        for a, b in cells:
+            part = {c: x[a:b] for c, x in columns.items()}
+            i = np.searchsorted(lines, part["line"])
+            found = cell(part, [hashes[bounds[k] : bounds[k + 1]] for k in i])
+            u.append(found[0])
+            v.append(found[1])
+        yield edge_batch(*forest(np.concatenate(u), np.concatenate(v)))
 
     return run
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, norm, line) of the lines that aren't blank; line is the XXH64 of the normal form."""
-    each = docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
-    norm = each.select("doc_id", "pos", F.lower(F.btrim("raw", F.lit(" \t\r\f\x0b"))).alias("norm")).where("norm <> ''")
-    return norm.withColumn("line", F.xxhash64("norm"))
+def _texts(batches):
+    """(line, norm) of the wanted lines at given places of documents."""
+    for b in batches:
+        lines, norms = [], []
+        for text, wanted in zip(b["text"].to_pylist(), b["wanted"].to_pylist(), strict=True):
+            every = normal_lines(text)
+            for place in wanted:
+                norm = every[place["pos"]] if place["pos"] < len(every) else ""
+                if norm and (line := np.uint64(line_id(norm)).view(np.int64)) == place["line"]:
+                    lines.append(line)
+                    norms.append(norm)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(lines, np.int64)), pa.array(norms, pa.string())], names=["line", "norm"])
+
+
+def _rebuild(texts: pd.Series, kept: pd.Series) -> pd.DataFrame:
+    """Each text without the lines that are neither blank nor kept."""
+    rows = []
+    for text, places in zip(texts, kept, strict=True):
+        if text is None:
+            rows.append((None, 0, 0))
+            continue
+        lines, stay = text.split("\n"), set() if places is None else set(places.tolist())
+        out = [s for p, s in enumerate(lines) if p in stay or not s.strip(_BLANK)]
+        rows.append(("\n".join(out), len(lines), len(lines) - len(out)))
+    return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed"])
 
 
 def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int = 16, rows: int = 6) -> DataFrame:
-    """Keep one line of each group of near-duplicate lines of ``docs`` (doc_id, text, ...).
+    """Keep one line of each group of near-duplicate lines of ``docs`` (doc_id, text, ...); doc_id is an integer.
 
     Lines end at a line feed. They are compared in lower case without white space at the ends;
     two are linked if the Jaccard similarity of their sets of ``size``-character shingles is
@@ -243,26 +368,29 @@ def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int =
     lines; empty text stays empty. Repeated doc_ids count as one document whose lines at one
     position stay together, and a null doc_id sorts first. An empty table gives no rows.
 
-    A pair is found if one of ``bands`` bands of ``rows`` MinHash values agrees: 99.2 % of pairs at
+    A pair is found if one of ``bands`` bands of ``rows`` MinHash values agrees: over 99 % of pairs at
     similarity 0.8, over 99.9 % from 0.85, whatever the lines' lengths. Each key's lines are compared with its smallest line
-    (a star, combined before the shuffle), so a huge group costs no more than its size. Keys that
-    still hold several components have their outer lines compared with some inner ones, then with
-    all that similarity to the leader and set sizes allow; no pair within the bands is lost.
-    Lines are told apart by 64-bit hashes.
+    (a star; tasks combine equal keys and send on only leaders), so a huge group costs no more than its size. Keys that
+    still hold several components have their outer lines compared with some lines of each other
+    component, then with all that similarity to the leader and set sizes allow; no pair within the bands is lost.
+    Lines are told apart by 64-bit hashes, shingles by 52-bit ones.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     arrow_batches(spark)
-    lines = _lines(docs.select("doc_id", "text"))
-    classes = scratch.save(lines.groupBy("line").agg(F.min(F.struct("doc_id", "pos")).alias("first")))
-    banded = lines.select("line", "norm").mapInArrow(_bands(size, bands, rows), "key long, line long, leader long")
-    stars = scratch.save(map_runs(banded, ["key"], _lead, "key long, a long, b long"))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chars = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(chars / _PART))
+    blobs = given.mapInArrow(_bands(size, bands, rows, parts), "part int, places binary, own binary, linked binary")
+    found = scratch.save(blobs.repartitionById(parts, "part").mapInArrow(_lead, "kind int, x long, y long, z long"))
+    classes = found.where("kind = 0").select(F.col("x").alias("line"), F.col("y").alias("doc_id"), F.col("z").cast("int").alias("pos"))
+    stars = found.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("a"), F.col("z").alias("b"))
 
     first = scratch.save(stars.select("a", "b").distinct())
     needed = first.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    places = classes.join(needed, "line").select(F.col("line").alias("_want"), "first.*")
-    here = lines.doc_id.eqNullSafe(places.doc_id) & (lines.pos == places.pos) & (lines.line == places["_want"])
+    places = classes.join(needed.hint("shuffle_hash"), "line").groupBy("doc_id").agg(F.collect_list(F.struct("line", "pos")).alias("wanted"))
+    holders = given.alias("d").join(places.alias("p").hint("shuffle_hash"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))).where("text is not null").select("text", "wanted")
     # The text of each line that shares a key, from its first place.
-    texts = scratch.save(lines.join(places, here).select("line", "norm").dropDuplicates(["line"]))
+    texts = scratch.save(holders.mapInArrow(_texts, "line long, norm string").distinct())
 
     def verified(pairs: DataFrame) -> DataFrame:
         one = pairs.join(texts.select(F.col("line").alias("b"), F.col("norm").alias("text_b")), "b")
@@ -274,68 +402,39 @@ def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int =
 
     checked = verified(first)
     roots = scratch.save(connected_components(scratch, links(checked)))
-    more = _pivots(scratch, stars, checked, roots, least)
-    if not more.isEmpty():
-        checked = scratch.save(checked.union(verified(more)))
-        roots = scratch.save(connected_components(scratch, links(checked)))
-    # Without new pairs keys may still be open: their lines were compared with the leader, not among themselves.
-    rest = _rest(scratch, stars, checked, roots, texts, least)
-    if not rest.isEmpty():
-        cells = blocked(scratch, rest, ["key"], "line", 512)
-        found = map_runs(cells, ["key", "block_i", "block_j"], _across(size, least), "u long, v long")
-        roots = scratch.save(connected_components(scratch, links(checked).union(found)))
-    merged = classes.join(roots.withColumnRenamed("id", "line"), "line", "left").groupBy(F.coalesce("root", "line").alias("root")).agg(F.min("first").alias("first"))
-    kept = scratch.save(merged.groupBy("first.doc_id").agg(F.collect_set("first.pos").alias("_kept")))
+    cells = _open(scratch, stars, checked, roots, texts, least)
+    if not cells.isEmpty():
+        joined = map_runs(cells, ["key", "block_i", "block_j"], _across(size, least), "u long, v long")
+        roots = scratch.save(connected_components(scratch, links(checked).union(joined)))
+    rooted = classes.join(roots.withColumnRenamed("id", "line").hint("shuffle_hash"), "line", "left")
+    grouped = rooted.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select("first.*")
+    kept = rooted.where("root is null").select("doc_id", "pos").union(grouped).groupBy("doc_id").agg(F.collect_set("pos").alias("kept"))
+    kept = scratch.save(kept)
     others = [c for c in docs.columns if c.lower() not in ("doc_id", "text", "n_lines", "n_removed")]
-    joined = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left").select("d.doc_id", "d.text", *[F.col(f"d.`{c}`") for c in others], "_kept")
-    raw = F.split("text", "\n", -1)
-    blank = F.filter(F.transform(raw, lambda s, i: F.when(F.btrim(s, F.lit(" \t\r\f\x0b")) == "", i)), lambda i: i.isNotNull())
-    stay = F.array_sort(F.concat(F.coalesce("_kept", F.array().cast("array<int>")), blank))
-    out = joined.withColumn("_raw", raw).withColumn("_stay", stay)
-    return out.select("doc_id", F.array_join(F.transform("_stay", lambda i: F.get("_raw", i)), "\n").alias("text"), *[f"`{c}`" for c in others], F.coalesce(F.size("_raw"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("_raw") - F.size("_stay"), F.lit(0)).alias("n_removed"))
-
-
-def _open(scratch: Scratch, stars: DataFrame, checked: DataFrame, roots: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Keys whose lines are in several components: (key, line, root) and (key, leader, leader_root)."""
-    root = roots.select(F.col("id").alias("line"), "root")
-    failed = checked.where(F.col("similarity") < least).select("a", "b")
-    ends = failed.join(root.withColumnsRenamed({"line": "a", "root": "root_a"}), "a", "left").join(root.withColumnsRenamed({"line": "b", "root": "root_b"}), "b", "left")
-    apart = ends.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    keys = scratch.save(stars.join(apart, ["a", "b"]).select("key").distinct())
-    inside = stars.join(keys, "key", "left_semi").select("key", F.explode(F.array("a", "b")).alias("line")).distinct()
-    members = scratch.save(inside.join(root, "line", "left").select("key", "line", F.coalesce("root", "line").alias("root")))
-    first = scratch.save(members.groupBy("key").agg(F.min("line").alias("leader")))
-    return members, scratch.save(first.join(members.withColumnsRenamed({"line": "leader", "root": "leader_root"}), ["key", "leader"]))
-
-
-def _new(scratch: Scratch, pairs: DataFrame, checked: DataFrame) -> DataFrame:
-    """Pairs in order, each once, that weren't compared yet."""
-    ordered = pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return scratch.save(ordered.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
-
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0)]).alias("rest"))
+    joined = whole.alias("d").join(kept.alias("k").hint("shuffle_hash"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left")
+    out = joined.select("d.doc_id", "d.rest", F.pandas_udf(_rebuild, "text string, n_lines int, n_removed int")("d.text", "k.kept").alias("new"))
+    return out.select("doc_id", "new.text", *[F.col(f"rest.`{c}`") for c in others], "new.n_lines", "new.n_removed")
 
-def _pivots(scratch: Scratch, stars: DataFrame, checked: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """In open keys, each line with the leader, and lines outside the leader's component with some lines inside it.
-
-    Most lines of a large group join its component here, which leaves few for _rest.
-    """
-    members, lead = _open(scratch, stars, checked, roots, least)
-    placed = members.join(lead, "key")
-    pick = [F.min_by("line", F.xxhash64("line", F.lit(i))).alias(f"p{i}") for i in range(6)]
-    inner = scratch.save(placed.where("root = leader_root").groupBy("key").agg(F.array(*pick).alias("pivots")))
-    odd = placed.where("root <> leader_root").select("key", "line")
-    near = odd.join(inner, "key").select(F.col("line").alias("x"), F.explode("pivots").alias("y"))
-    return _new(scratch, near.union(placed.select(F.col("leader").alias("x"), F.col("line").alias("y"))), checked)
 
+def _open(scratch: Scratch, stars: DataFrame, checked: DataFrame, roots: DataFrame, texts: DataFrame, least: float, block: int = 512) -> DataFrame:
+    """The lines of keys that still hold several components, in cells of blocks, with root, leader's root and text.
 
-def _rest(scratch: Scratch, stars: DataFrame, checked: DataFrame, roots: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The lines of open keys with their text, similarity to the leader and number of shingles.
-
-    Of two lines of different components one is outside the leader's. Jaccard distance is a metric and
-    bounds set sizes, so _across leaves out pairs whose sizes, or whose distances to the key's leader,
-    are too far apart, and compares all others.
+    A key of two lines has one pair, which was compared. Of two lines of different components one is
+    outside the leader's. Jaccard distance is a metric, so _across leaves out pairs whose similarities
+    to the leader are too far apart; where a line was compared with another leader first, that is null.
     """
-    members, lead = _open(scratch, stars, checked, roots, least)
-    known = checked.select("a", "b", "similarity", "n_b").union(checked.select("b", "a", "similarity", "n_a")).toDF("leader", "line", "similarity", "n").dropDuplicates(["leader", "line"])
-    placed = members.join(lead, "key").where("line <> leader").join(known, ["leader", "line"])
-    return scratch.save(placed.select("key", "line", "root", "leader_root", "similarity", "n").join(texts, "line"))
+    failed = checked.select("a", "b", (F.col("similarity") < least).cast("int").alias("failed"))
+    keys = stars.join(failed, ["a", "b"]).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("failed").alias("failed")).where("n > 1 and failed > 0").select("key")
+    inside = stars.join(keys, "key", "left_semi").select("key", F.explode(F.array("a", "b")).alias("line")).distinct()
+    members = scratch.save(inside.join(roots.withColumnRenamed("id", "line"), "line", "left").select("key", "line", F.coalesce("root", "line").alias("root")))
+    # Longs in every buffer, so that the groups are hashed and combined before the shuffle.
+    lead = members.groupBy("key").agg(F.min("line").alias("leader"), F.min_by("root", "line").alias("leader_root"), F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    lead = lead.where("n > 2 and low <> high").select("key", "leader", "leader_root", F.ceil((F.col("n") - 1) / block).cast("int").alias("blocks"))
+    known = checked.select("a", "b", "similarity").union(checked.select("b", "a", "similarity")).toDF("leader", "line", "similarity").dropDuplicates(["leader", "line"])
+    placed = members.join(lead, "key").where("line <> leader").join(known, ["leader", "line"], "left")
+    own = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = placed.select("key", "line", "root", "leader_root", "similarity", "blocks", own.alias("own")).withColumn("other", other)
+    cells = cells.select("key", "line", "root", "leader_root", "similarity", F.least("own", "other").alias("block_i"), F.greatest("own", "other").alias("block_j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    return scratch.save(cells.join(texts, "line"))
