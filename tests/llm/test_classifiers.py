@@ -116,3 +116,40 @@ def test_resampling_awkward_rows(awkward):
     assert len(got) == 9 and sum(r.selected for r in got) >= 5
     assert quality.resample(awkward.limit(0), np.zeros(64)).count() == 0
     assert not quality.fit(awkward, awkward.limit(0), buckets=64).any()
+
+
+def test_features_of_a_text_do_not_depend_on_its_neighbours():
+    from tillage.llm.ngrams import text_ngrams, word_ngrams
+
+    rng = np.random.default_rng(15)
+    pieces = ["x y", "zed", "", " ", "  lead", "trail \n", "\n", "a", "ab", "né ñ", "\u00a0q", "one two  three"]
+    texts = [str(t) for t in rng.choice(pieces, 200)]
+    for make in (text_ngrams, word_ngrams):
+        h, own = make(texts, (3, 4, 5))[:2]
+        for i, t in enumerate(texts):
+            assert sorted(h[own == i]) == sorted(make([t], (3, 4, 5))[0]), (make.__name__, i, t)
+
+
+def test_toxicity_scores_do_not_depend_on_how_rows_lie(spark, corpus):
+    docs = spark.createDataFrame(corpus, "doc_id long, text string, lang string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    model = toxicity.train(docs, labels)
+    other = toxicity.train(docs.repartition(7, "text"), labels.repartition(3))
+    assert model.intercept == other.intercept and (model.weights == other.weights).all()
+    together = model.scores([t for _, t, _, _ in corpus])
+    assert (together == [model.scores([t])[0] for _, t, _, _ in corpus]).all()
+
+
+def test_repeated_labelled_rows_count_once(spark, corpus):
+    docs = spark.createDataFrame(corpus, "doc_id long, text string, lang string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    one, two = toxicity.train(docs, labels), toxicity.train(docs.union(docs.where("toxic = 1")), labels.union(labels))
+    assert one.intercept == two.intercept and (one.weights == two.weights).all()
+
+
+def test_sample_has_the_asked_size_in_spite_of_ties(spark):
+    docs = spark.createDataFrame([(i % 3 if i % 2 else None, "same words") for i in range(101)], "doc_id long, text string")
+    for share in (0.1, 0.5, 0.77, 1.0):
+        got = quality.resample(docs, np.zeros(64), share).collect()
+        assert len(got) == 101 and sum(r.selected for r in got) == int(np.ceil(share * 101))
+        assert min(r.gumbel_key for r in got if r.selected) >= max((r.gumbel_key for r in got if not r.selected), default=-1e300)

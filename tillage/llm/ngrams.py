@@ -82,7 +82,10 @@ def word_ngrams(texts: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray,
 
 
 def text_ngrams(texts: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text index) of every character n-gram of the texts, runs of white space as one space."""
+    """(hash, text index) of every character n-gram of each text, runs of white space as one space, with one before and after it.
+
+    An n-gram's characters are all of one text, but for a first space: that before a text ends the one in front.
+    """
     points, owner = code_points(texts)
     space = _spaces()[points] | (points == 0)
     keep = ~space
@@ -97,8 +100,7 @@ def text_ngrams(texts: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray,
         h = np.full(m, n, np.uint64)
         for j in range(n):
             h += c[j : j + m] * _ODD[j]
-        one = o[:m] == o[n - 1 :]
-        one |= c[:m] == 32
+        one = (o[:m] == o[n - 1 :]) | ((c[:m] == 32) & (o[1 : m + 1] == o[n - 1 :]))
         hashes.append(mix(h[one]))
         owners.append(o[n - 1 :][one])
     if not hashes:

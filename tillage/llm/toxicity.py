@@ -92,7 +92,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, orders: tup
 
     ``per_class`` bounds the labelled documents of a class: where it has more, a share of this size
     is taken by a hash of doc_id. The model is fitted in one task over these at most 2 * per_class
-    documents; a doc_id with several labels counts as toxic if one is 1. Null: nothing was labelled.
+    documents, in the order of their ids, so it doesn't depend on how the rows lie; the classes' shares are put
+    back into the intercept. A doc_id with several labels counts as toxic if one is 1; of several
+    texts of a doc_id, repeats included, one counts (the smallest hash). Null: nothing was labelled.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     arrow_batches(spark)
@@ -102,27 +104,31 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, orders: tup
         return None
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
     part = F.when(F.col("toxic") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
-    # The class prior of the sample is put back into the intercept below.
     sample = scratch.save(known.where(draw < part))
-    made = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    made = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("hash")).join(F.broadcast(sample), "doc_id")
 
     def features(batches):
         for pdf in batches:
             for first, texts in chunks(pdf["text"]):
                 own, feature = distinct(texts, orders, size)
                 cut = np.searchsorted(own, np.arange(1, len(texts)))
-                yield pd.DataFrame({"toxic": pdf["toxic"].to_numpy()[first : first + len(texts)], "features": [f.astype(np.int32) for f in np.split(feature, cut)]})
+                rows = slice(first, first + len(texts))
+                yield pd.DataFrame({**{c: pdf[c].to_numpy()[rows] for c in ("doc_id", "toxic", "hash")}, "features": [f.astype(np.int32) for f in np.split(feature, cut)]})
 
-    vectors = scratch.save(made.mapInPandas(features, "toxic int, features array<int>").dropDuplicates())
-    prior = (sizes[1] / sizes[0]) / (min(sizes[1], per_class) / min(sizes[0], per_class))
+    each = made.mapInPandas(features, "doc_id long, toxic int, hash long, features array<int>")
+    vectors = scratch.save(each.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "features"), "hash").alias("v")).select("doc_id", "v.*"))
+    # Each class has a share of 1 / part of the sample's odds.
+    prior = min(1.0, per_class / sizes[0]) / min(1.0, per_class / sizes[1])
 
     def learn(batches):
-        label, rows = [], []
+        rows = []
         for pdf in batches:
-            label.append(pdf["toxic"].to_numpy())
-            rows += [np.array(f, np.int32) for f in pdf["features"]]
+            rows += [(i, y, np.array(f, np.int32)) for i, y, f in zip(pdf["doc_id"], pdf["toxic"], pdf["features"], strict=True)]
         if rows:
-            model = fit(rows, np.concatenate(label).astype(np.float64), size, orders)
+            rows.sort(key=lambda r: r[0])
+            label = np.array([y for _, y, _ in rows], np.float64)
+            rows = [f for _, _, f in rows]
+            model = fit(rows, label, size, orders)
             yield pd.DataFrame({"intercept": [model.intercept + np.log(prior)], "weights": [model.weights]})
 
     row = vectors.coalesce(1).mapInPandas(learn, "intercept double, weights array<double>").first()
