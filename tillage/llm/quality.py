@@ -70,48 +70,50 @@ def fit(docs: DataFrame, target: DataFrame, buckets: int = 16384, smooth: float
     return np.log((good + smooth) / (good.sum() + smooth * buckets)) - np.log((raw + smooth) / (raw.sum() + smooth * buckets))
 
 
-def _kth_largest(keys: DataFrame, k: int) -> int:
-    """The k-th largest value of a long column ``sortable``, sixteen bits at a time; no sort, no sample."""
+def _kth_largest(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
+    """The k-th largest value of a long column, sixteen bits at a time, and how many of its rows are among the k."""
     low, rest = None, k
     for shift in (48, 32, 16, 0):
-        bits = F.shiftright("sortable", shift)
-        here = keys if low is None else keys.where(F.shiftright("sortable", shift + 16) == low)
-        rows = sorted(((r["bits"], r["count"]) for r in here.groupBy(bits.alias("bits")).count().collect()), reverse=True)
-        for value, n in rows:
+        bits = F.shiftright(column, shift)
+        here = rows if low is None else rows.where(F.shiftright(column, shift + 16) == low)
+        for value, n in sorted(((r["bits"], r["count"]) for r in here.groupBy(bits.alias("bits")).count().collect()), reverse=True):
             if rest <= n:
                 low = value
                 break
             rest -= n
-    return low
+    return low, rest
 
 
 def resample(docs: DataFrame, ratios: np.ndarray, share: float = 0.5, seed: int = 17) -> DataFrame:
-    """(doc_id, log_weight, gumbel_key, rank_ok) -> doc_id, log_weight, gumbel_key, selected.
+    """(doc_id, log_weight, gumbel_key, selected) for every row of ``docs`` (doc_id, text).
 
     log_weight is the sum of the log ratios of the text's features: the importance weight of target
     over raw. gumbel_key adds Gumbel noise drawn from a hash of doc_id and ``seed``, and the
     ceil(share * rows) rows with the largest keys are selected: a sample without replacement in
-    proportion to the weights. Ties at the border are all selected. Null and empty texts
-    weigh 0; rows with a null doc_id share one draw; repeated rows are rows of their own. An empty
-    table gives no rows; extra columns are ignored.
+    proportion to the weights. Of rows with the same key at the border (repeated rows, and null doc_ids
+    with texts of the same weight, which share one draw) as many are selected as there is room for.
+    Null and empty texts weigh 0; repeated rows are rows of their own. An empty table gives no
+    rows; extra columns are ignored.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     arrow_batches(spark)
     shared, buckets = spark.sparkContext.broadcast(ratios), len(ratios)
 
-    @F.pandas_udf("double")
-    def weigh(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("log_weight double, gumbel_key double, place long")
+    def weigh(texts: pd.Series, uniform: pd.Series) -> pd.DataFrame:
         r = shared.value
-        return pd.Series([float(r[features(t, buckets)].sum()) for t in texts], dtype="float64")
+        weight = np.array([float(r[features(t, buckets)].sum()) for t in texts], np.float64)
+        key = weight - np.log(-np.log(uniform.to_numpy()))
+        bits = (key + 0.0).view(np.int64)
+        # A long that sorts as the key does.
+        return pd.DataFrame({"log_weight": weight, "gumbel_key": key, "place": np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)})
 
     uniform = (F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / float(1 << 52)
-    scored = docs.select("doc_id", weigh("text").alias("log_weight")).withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
-    scored = scratch.save(scored)
+    scored = scratch.save(docs.select("doc_id", weigh("text", uniform).alias("w")).select("doc_id", "w.*", F.monotonically_increasing_id().alias("row")))
     n = scored.count()
     if not n:
-        return scored.withColumn("selected", F.lit(False))
-    # Rising with the key: a fixed-point form with a resolution of 2^-30, exact in a long.
-    sortable = F.round(F.greatest(F.least("gumbel_key", F.lit(float(1 << 32))), F.lit(-float(1 << 32))) * float(1 << 30)).cast("long")
-    keys = scored.withColumn("sortable", sortable)
-    border = _kth_largest(keys, int(np.ceil(share * n)))
-    return keys.withColumn("selected", F.col("sortable") >= F.lit(border)).drop("sortable")
+        return scored.select("doc_id", "log_weight", "gumbel_key", F.lit(False).alias("selected"))
+    border, room = _kth_largest(scored, "place", int(np.ceil(share * n)))
+    last, _ = _kth_largest(scored.where(F.col("place") == border), "row", room)
+    chosen = (F.col("place") > border) | ((F.col("place") == border) & (F.col("row") >= last))
+    return scored.select("doc_id", "log_weight", "gumbel_key", chosen.alias("selected"))
