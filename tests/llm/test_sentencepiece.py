@@ -29,17 +29,25 @@ def slow(pieces, text):
 def test_nbest_equals_all_segmentations(text):
     pieces = model(PATH)
     every = sorted((-s for s, _ in slow(pieces, SPACE + text.replace(" ", SPACE))))[:8]
-    got = pieces.encode(text, 8)
+    got = next(pieces.encode_all([text], 8))
     assert [-s for s, _ in got] == pytest.approx(every)
     assert len({i for _, i in got}) == len(got)
-    assert pieces.encode(text, 1)[0][0] == got[0][0]
+    assert next(pieces.encode_all([text], 1))[0][0] == got[0][0]
     assert all(pieces.decode(i) == text for _, i in got)
 
 
 def test_second_best_loss():
     pieces = model(PATH)
-    for unit in ("▁thing", "▁international", "▁x", "ßtraße"):
+    units = ["▁thing", "▁international", "▁x", "ßtraße", "漢字x"]
+    pieces.forget()
+    pieces.learn(units)
+    learnt = {u: (np.concatenate(pieces.scores)[k], np.concatenate(pieces.losses)[k], pieces.blobs[k]) for u, k in pieces.units.items()}
+    pieces.forget()
+    for unit in units:
         n = pieces.nbest(unit, 2)
+        score, loss, ids = learnt[unit]
+        assert score == pytest.approx(n[0][0]) and (loss == pytest.approx(n[0][0] - n[1][0]) if len(n) > 1 else loss > 1e200)
+        assert pieces.decode(ids) == pieces.decode(n[0][1])
         assert pieces.first(unit)[2] == pytest.approx(n[0][0] - n[1][0]) if len(n) > 1 else pieces.first(unit)[2] > 1e200
 
 
@@ -55,3 +63,11 @@ def test_awkward_rows(awkward):
     assert [(r.score, list(r.ids)) for r in rows if r.doc_id == 2] == [(0.0, [])]
     assert encode_nbest(awkward.limit(0), PATH).count() == 0
     assert np.isfinite([r.score for r in rows]).all()
+
+
+def test_one_long_unbroken_run():
+    """Long runs go through the lattice alone, ties and all, in time that grows with their length."""
+    pieces = model(PATH)
+    for text in ("a" * 100_000, "xqz" * 40_000):
+        got = next(pieces.encode_all([text], 3))
+        assert len(got) >= 2 and all(pieces.decode(i) == text for _, i in got) and [x for x, _ in got] == sorted((x for x, _ in got), reverse=True)
