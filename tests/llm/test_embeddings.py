@@ -3,8 +3,8 @@ from math import inf, nan
 import numpy as np
 import pytest
 
-from tillage.llm.ann import chi_square_cdf, chi_square_quantile, nearest
-from tillage.llm.embedding_dedup import bands_for, embedding_links, encode, estimate, margin, rotations
+from tillage.llm.ann import Index, Space, chi_square_cdf, chi_square_quantile, nearest
+from tillage.llm.embedding_dedup import bands_for, embedding_links, encode, estimate, margin, quantise, restored, rotations, turned
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +36,71 @@ def test_links_equal_brute_force(spark, vectors):
     assert len(wrong) <= 0.02 * len(x)
     assert all(got[i][0] <= link[i].sum() for i in range(len(x)))
     for i, _ in ODD:
-        assert got[i][:2] == (0, i)
+        assert got[i] == (0, i, i is not None)
+
+
+def _truth(x, least=0.9):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= least
+    np.fill_diagonal(link, False)
+    return link
+
+
+def test_thousands_of_planted_links_are_found(spark):
+    rng = np.random.default_rng(16)
+    base = rng.standard_normal((400, 64))
+    # Copies with a cosine around the threshold, a large group of near copies, and exact copies.
+    noise = rng.uniform(0.2, 0.55, (2000, 1)) * rng.standard_normal((2000, 64))
+    x = np.concatenate([base, base[rng.integers(0, 400, 2000)] + noise, base[0] + 0.1 * rng.standard_normal((400, 64)), np.repeat(base[1:2], 50, 0)]).astype(np.float32).astype(np.float64)
+    link = _truth(x)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=64).collect()}
+    want = link.sum(1)
+    assert want.sum() > 100_000 and all(got[i] <= want[i] for i in range(len(x)))
+    near = np.arange(400, 2400)  # pairs around the threshold, without the large group
+    assert sum(got[i] for i in near) >= 0.99 * want[near].sum() and sum(got.values()) >= 0.99 * want.sum()
+
+
+def test_vectors_of_other_sizes_link_among_themselves(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.0]), (4, [1.0, 0.0]), (5, [2.0, 0.1]), (6, []), (7, [5.0])]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (1, 4, True), 5: (1, 4, False), 6: (0, 6, True), 7: (0, 7, True)}
+
+
+def test_nearest_over_many_slots_ties_and_repeats(spark):
+    """Cells, hot groups of copies and repeated ids; in clusters the stopping test leaves most leaves out."""
+    rng = np.random.default_rng(17)
+    centres = 3 * rng.standard_normal((40, 24))
+    x = np.concatenate([centres[rng.integers(0, 40, 3000)] + 0.3 * rng.standard_normal((3000, 24)), np.repeat(centres[:1], 900, 0)])
+    rows = [(i, [float(v) for v in r], "x", 1, True) for i, r in enumerate(x)] + [(0, [0.0] * 24, "x", 1, True)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string, slot int, ask boolean")
+    got = nearest(df, df.where("vec_id % 20 = 0"), k=20, block=150, sample=600).toPandas()
+    assert list(got.columns) == ["query_id", "rank", "vec_id", "score"] and got.groupby("query_id").size().eq(20).all()
+    hit = total = 0
+    for q, part in got.sort_values("rank").groupby("query_id"):
+        s = (x * x[q]).sum(1)
+        s[q] = -inf
+        want = np.lexsort((np.arange(len(s)), -s))[:20]
+        assert (s[part.vec_id] == part.score).all() and part.vec_id.is_unique
+        hit += len(set(want) & set(part.vec_id))
+        total += 20
+    assert hit >= 0.95 * total
+    hot = got[got.query_id == 3000].sort_values("rank").vec_id.tolist()
+    assert len(hot) == 20
+
+
+def test_the_stopping_test_stops():
+    rng = np.random.default_rng(18)
+    centres = rng.standard_normal((64, 256))
+    x = centres[rng.integers(0, 64, 4000)] + 0.2 * rng.standard_normal((4000, 256))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = Index(Space(256, 1.000001, 16, 0.95, 5), np.arange(4000), x, 20)
+    row, found, score = index.search(np.arange(0, 4000, 20), x[::20], np.full(200, -inf), 20)
+    assert index.visited < 0.5 * index.offered
+    true = x[::20] @ x.T
+    true[np.arange(200), np.arange(0, 4000, 20)] = -inf
+    best = np.argsort(-true, axis=1)[:, :20]
+    assert np.mean([len(set(best[q]) & set(found[row == q])) / 20 for q in range(200)]) >= 0.95
 
 
 def test_estimates_are_unbiased_and_bounded():
@@ -49,9 +113,13 @@ def test_estimates_are_unbiased_and_bounded():
     for seed in range(40):
         turn = rotations(dim, 2, seed)
         code, factor = encode(a, turn)
-        guess = np.diag(estimate(code, factor, b, turn, dim))
+        y = turned(b, turn)
+        guess = np.diag(estimate(code, factor, y, dim))
         error.append(guess - true)
-        assert (np.abs(guess - true) <= margin(factor, turn, dim, 5)).mean() > 0.995
+        assert (np.abs(guess - true) <= margin(factor, len(turn), dim, 5)).mean() > 0.995
+        packed, low, step = quantise(y)
+        coarse = np.diag(estimate(code, factor, restored(packed, low, step, len(turn)), dim))
+        assert (np.abs(coarse - true) <= np.diag(margin(factor, len(turn), dim, 5, step))).mean() > 0.995
     assert abs(np.mean(error)) < 0.005
 
 

@@ -12,11 +12,16 @@ from tillage.llm.common import Scratch, blocked, forest, map_runs, arrow_batches
 from tillage.llm.graph import connected_components
 
 
-def valid(column: str, dim: int) -> F.Column:
-    """The vector has ``dim`` components, none null or non-finite, and isn't zero."""
+def sound(column: str) -> F.Column:
+    """The vector has components, none null or non-finite, and isn't zero."""
     v = F.col(column)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce((F.size(v) == dim) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
+    return F.coalesce(finite & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def valid(column: str, dim: int) -> F.Column:
+    """The vector is sound and has ``dim`` components."""
+    return sound(column) & F.coalesce(F.size(column) == dim, F.lit(False))
 
 
 def dimension(vectors: DataFrame, column: str) -> int:
@@ -48,93 +53,123 @@ def encode(x: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return y > 0, np.abs(y).sum(1) / np.sqrt(turn.shape[0] * (turn.shape[0] / x.shape[1]))
 
 
-def estimate(bits: np.ndarray, factor: np.ndarray, x: np.ndarray, turn: np.ndarray, dim: int) -> np.ndarray:
-    """Unbiased estimates of the cosines between the coded vectors and the vectors x."""
-    y = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ turn.T
+def turned(x: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """The rotated unit vectors."""
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)) @ turn.T
+
+
+def quantise(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rotated vectors in 4 bits a component, two in a byte: (bytes, lowest value, step)."""
+    low = y.min(1)
+    step = np.maximum((y.max(1) - low) / 15, 1e-30)
+    q = np.rint((y - low[:, None]) / step[:, None]).astype(np.uint8)
+    q = np.concatenate([q, np.zeros((len(q), q.shape[1] % 2), np.uint8)], 1)
+    return q[:, ::2] << 4 | q[:, 1::2], low, step
+
+
+def restored(packed: np.ndarray, low: np.ndarray, step: np.ndarray, size: int) -> np.ndarray:
+    q = np.stack([packed >> 4, packed & 15], 2).reshape(len(packed), -1)[:, :size]
+    return low[:, None] + q * step[:, None]
+
+
+def estimate(bits: np.ndarray, factor: np.ndarray, y: np.ndarray, dim: int) -> np.ndarray:
+    """Unbiased estimates of the cosines between the coded vectors and the rotated unit vectors y."""
+    size = y.shape[1]
     signs = (2.0 * bits - 1).astype(np.float32)
-    return (signs @ y.T.astype(np.float32)) / (np.sqrt(turn.shape[0] * (turn.shape[0] / dim)) * factor[:, None])
+    return (signs @ y.T.astype(np.float32)) / (np.sqrt(size * (size / dim)) * factor[:, None])
 
 
-def margin(factor: np.ndarray, turn: np.ndarray, dim: int, width: float) -> np.ndarray:
-    """Half the confidence interval of an estimate, ``width`` standard deviations wide."""
-    return width * np.sqrt(np.maximum(1 - factor**2, 0) / factor**2 / max(1, dim - 1) / (turn.shape[0] / dim))
+def margin(factor: np.ndarray, size: int, dim: int, width: float, step: np.ndarray | None = None) -> np.ndarray:
+    """Half the confidence interval of an estimate, ``width`` standard deviations wide: of each code, or of each code with each vector rounded to ``step``."""
+    variance = np.maximum(1 - factor**2, 0) / factor**2 / max(1, dim - 1) / (size / dim)
+    if step is not None:
+        variance = variance[:, None] + (step[None, :] / factor[:, None]) ** 2 / 12 * dim / size
+    return width * np.sqrt(variance)
 
 
-def _members(turn: np.ndarray, bands: int, bits: int):
+def _code(turn: np.ndarray, bands: int, bits: int):
+    """Everything that is kept of a vector, once: its bands' buckets, code, correction factor, rounded rotation, and itself."""
     weights = 1 << np.arange(bits, dtype=np.int64)
+    names = ["node", "copies", "buckets", "code", "factor", "rounded", "low", "step", "vector"]
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             x = b["embedding"].flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.float64)
+            y = turned(x, turn)
             code, factor = encode(x, turn)
-            keys = code[:, : bands * bits].reshape(len(x), bands, bits) @ weights
-            packed = np.packbits(code, axis=1)
+            buckets = code[:, : bands * bits].reshape(len(x), bands, bits) @ weights
+            rounded, low, step = quantise(y)
             raw = x.astype(np.float32) if b["embedding"].type.value_type == pa.float32() else x
-            each = np.repeat(np.arange(len(x)), bands)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.tile(np.arange(bands, dtype=np.int32), len(x))),
-                    pa.array(keys.ravel()),
-                    b["node"].take(pa.array(each)),
-                    b["copies"].take(pa.array(each)),
-                    pa.array([r.tobytes() for r in packed], pa.binary()).take(pa.array(each)),
-                    pa.array(factor).take(pa.array(each)),
-                    pa.array([r.tobytes() for r in raw], pa.binary()).take(pa.array(each)),
-                ],
-                names=["band", "bucket", "node", "copies", "code", "factor", "vector"],
-            )
+            blobs = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (np.packbits(code, axis=1), rounded, raw)]
+            yield pa.RecordBatch.from_arrays([b["node"], b["copies"], pa.array(list(buckets)), blobs[0], pa.array(factor), blobs[1], pa.array(low), pa.array(step), blobs[2]], names=names)
 
     return run
 
 
-def _links(turn: np.ndarray, dim: int, bands: int, bits: int, kind: str, cosine: float, width: float):
-    weights = 1 << np.arange(bits, dtype=np.int64)
+CELL = ("band", "bucket", "block_i", "block_j")
+
 
-    def cell(node, copies, code, factor, x, left, right, band, same):
-        """Links between rows ``left`` and ``right`` of one bucket: per node the vectors linked, and a forest."""
-        guess = estimate(code[left], factor[left], x[right], turn, dim)
-        i, j = np.nonzero(guess + margin(factor[left], turn, dim, width)[:, None] >= cosine)
-        if same:
-            i, j = i[i < j], j[i < j]
-        i, j = left[i], right[j]
-        keys = code[:, : bands * bits].reshape(len(code), bands, bits) @ weights
-        u = x / np.linalg.norm(x, axis=1, keepdims=True)
-        out_i, out_j = [], []
-        for at in range(0, len(i), 50_000):
-            a, b = i[at : at + 50_000], j[at : at + 50_000]
-            ok = np.einsum("ij,ij->i", u[a], u[b]) >= cosine
-            a, b = a[ok], b[ok]
-            mine = (keys[a] == keys[b]).argmax(1) == band  # the first band they share counts the pair
-            out_i.append(a[mine])
-            out_j.append(b[mine])
-        if not out_i:
-            return None
-        i, j = np.concatenate(out_i), np.concatenate(out_j)
-        if not len(i):
-            return None
-        n = np.bincount(i, copies[j], len(node)) + np.bincount(j, copies[i], len(node))
-        some = np.flatnonzero(n)
-        u, v = forest(node[i], node[j])
-        return np.concatenate([np.zeros(len(some), np.int32), np.ones(len(u), np.int32)]), np.concatenate([node[some], u]), np.concatenate([n[some].astype(np.int64), v])
+def _cells(table: pa.Table):
+    """(columns, first row, end, left rows, right rows, same) of each cell that can hold a pair."""
+    c = {k: table[k].to_numpy() for k in (*CELL, "node", "side")}
+    first = starts([c[k] for k in CELL])
+    for low, high in zip(first, np.append(first[1:], table.num_rows), strict=True):
+        same, side = c["block_i"][low] == c["block_j"][low], c["side"][low:high]
+        left, right = (np.arange(high - low),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        if len(left) and len(right) and high - low > 1:
+            yield c, low, high, left, right, same
+
+
+def _blob(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def _open(size: int, dim: int, cosine: float, width: float):
+    """The rows of each cell that have a partner whose confidence interval reaches the threshold."""
 
     def work(table: pa.Table):
-        table = table.combine_chunks()
-        columns = {c: table[c].to_numpy() for c in ("band", "bucket", "node", "copies", "factor", "block_i", "block_j", "side")}
-        first = starts([columns[c] for c in ("band", "bucket", "block_i", "block_j")])
-        found = []
-        for low, high in zip(first, np.append(first[1:], table.num_rows), strict=True):
-            if high - low < 2:
-                continue
+        table, out = table.combine_chunks(), []
+        for _, low, high, left, right, same in _cells(table):
+            part = table.slice(low, high - low)
+            code = np.unpackbits(_blob(part["code"], "u1"), axis=1, count=size).astype(bool)
+            factor, step = part["factor"].to_numpy(), part["step"].to_numpy()
+            y = restored(_blob(part["rounded"], "u1"), part["low"].to_numpy(), step, size)
+            open_ = estimate(code[left], factor[left], y[right], dim) + margin(factor[left], size, dim, width, step[right]) >= cosine
+            if same:
+                np.fill_diagonal(open_, False)
+            out.append(low + np.union1d(left[open_.any(1)], right[open_.any(0)]))
+        if out and len(rows := np.concatenate(out)):
+            yield table.select([*CELL, "side", "node"]).take(pa.array(rows)).combine_chunks().to_batches()[0]
+
+    return work
+
+
+def _links(kind: str, cosine: float):
+    """Exact cosines of the open rows of a cell: per node the vectors linked (kind 0), and a forest (kind 1)."""
+
+    def work(table: pa.Table):
+        table, found = table.combine_chunks(), []
+        copies = table["copies"].to_numpy()
+        for c, low, high, left, right, same in _cells(table):
             part = table.slice(low, high - low)
-            code = np.unpackbits(np.frombuffer(b"".join(part["code"].to_pylist()), np.uint8).reshape(high - low, -1), axis=1, count=turn.shape[0]).astype(bool)
-            x = np.frombuffer(b"".join(part["vector"].to_pylist()), kind).reshape(high - low, -1).astype(np.float64)
-            c = {k: v[low:high] for k, v in columns.items()}
-            same = c["block_i"][0] == c["block_j"][0]
-            left, right = (np.arange(high - low),) * 2 if same else (np.flatnonzero(c["side"] == 0), np.flatnonzero(c["side"] == 1))
-            if len(left) and len(right) and (rows := cell(c["node"], c["copies"], code, c["factor"], x, left, right, c["band"][0], same)):
-                found.append(rows)
+            x = _blob(part["vector"], kind).astype(np.float64)
+            u = x / np.linalg.norm(x, axis=1, keepdims=True)
+            i, j = np.nonzero(u[left] @ u[right].T >= cosine - 1e-9)
+            if same:
+                i, j = i[i < j], j[i < j]
+            i, j = left[i], right[j]
+            ok = np.concatenate([np.einsum("ij,ij->i", u[i[k : k + 50_000]], u[j[k : k + 50_000]]) >= cosine for k in range(0, len(i), 50_000)] or [np.zeros(0, bool)])
+            i, j = i[ok], j[ok]
+            buckets = part["buckets"].combine_chunks().flatten().to_numpy().reshape(high - low, -1)
+            mine = np.concatenate([(buckets[i[k : k + 50_000]] == buckets[j[k : k + 50_000]]).argmax(1) == c["band"][low] for k in range(0, len(i), 50_000)] or [np.zeros(0, bool)])
+            i, j = i[mine], j[mine]  # the first band that a pair shares counts it
+            if len(i):
+                n = np.bincount(i, copies[low + j], high - low) + np.bincount(j, copies[low + i], high - low)
+                node, some = c["node"][low:high], np.flatnonzero(n)
+                a, b = forest(node[i], node[j])
+                found.append((np.repeat(np.array([0, 1], np.int32), [len(some), len(a)]), np.concatenate([node[some], a]), np.concatenate([n[some].astype(np.int64), b])))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["kind", "a", "b"])
 
@@ -144,41 +179,53 @@ def _links(turn: np.ndarray, dim: int, bands: int, bits: int, kind: str, cosine:
 def embedding_links(vectors: DataFrame, cosine: float = 0.9, width: float = 4.0, block: int = 256, seed: int = 11) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
 
-    Two vectors are linked if their cosine in double precision is ``cosine`` or more. n_links counts
-    the other rows linked directly, component_id is the smallest vec_id reachable, kept marks it.
-    Null and zero vectors, and those with null or non-finite components or an unusual number of
-    components, link with nothing. Rows of the same vec_id are vertices of their own for n_links
-    and one for components; a null vec_id has no component of its own. An empty table gives no
-    rows; extra columns are ignored.
-
-    Vectors are rotated at random and stored as sign bits with a correction factor. Bands of the
-    code's bits give buckets, some hundred vectors each; a pair at the threshold meets in one with
-    chance 99.8 %. In a bucket, the codes estimate all inner products; only pairs whose confidence
-    interval of ``width`` standard deviations reaches the threshold are computed exactly. A pair is counted in the
-    first band it shares. Copies are one vector with a weight; cells of large buckets report counts
-    and a spanning forest instead of pairs.
+    Two vectors of the same number of components are linked if their cosine in double precision is
+    ``cosine`` or more. n_links counts the other rows linked directly, component_id is the smallest
+    vec_id reachable, kept marks it. Null and zero vectors and those with null or non-finite
+    components link with nothing. Rows of the same vec_id are vertices of their own for n_links
+    and one for components; a row with a null vec_id links with nothing, has no component and isn't
+    kept. An empty table gives no rows; extra columns are ignored.
+
+    Vectors are rotated at random and stored once: sign bits with a correction factor, the rotated
+    vector in 4 bits a component, and the vector itself. Bands of the code's bits give buckets, some
+    hundred vectors each; a pair at the threshold meets in one with chance 99.8 %. Only codes
+    travel to the buckets. There they estimate all inner products; rows with a partner whose confidence
+    interval of ``width`` standard deviations reaches the threshold fetch their vectors, and the pairs among
+    these are computed exactly. A pair is counted in the first band it shares. Copies are one
+    vector with a weight; cells of large buckets report counts and a spanning forest instead of pairs.
     """
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession)
     arrow_batches(spark)
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding")
-    dim = dimension(rows, "embedding")
-    rows = scratch.save(rows.withColumn("ok", valid("embedding", dim)).withColumn("hash", F.when(F.col("ok"), F.xxhash64("embedding"))))
-    alone = rows.where("not ok or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    good = rows.where("ok and vec_id is not null")
+    rows = scratch.save(rows.withColumn("dim", F.when(F.col("vec_id").isNotNull() & sound("embedding"), F.size("embedding"))))
+    id_ = F.col("vec_id")
+    out = rows.where("dim is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), id_.alias("component_id"), id_.isNotNull().alias("kept"))
+    # A table has few numbers of components; each is a space of its own.
+    parts: list[DataFrame] = []
+    for r in rows.where("dim is not null").groupBy("dim").count().collect():
+        done = _linked(scratch, rows.where(F.col("dim") == r["dim"]), r["dim"], cosine, width, block, seed)
+        parts.append(done)
+        scratch.keep(rows, *parts)
+        linked = rows.where(F.col("dim") == r["dim"]).join(done, "embedding")
+        out = out.unionByName(linked.select("vec_id", "n_links", "component_id", (id_ == F.col("component_id")).alias("kept")))
+    return out
+
+
+def _linked(scratch: Scratch, good: DataFrame, dim: int, cosine: float, width: float, block: int, seed: int) -> DataFrame:
+    """(embedding, n_links, component_id) of distinct sound vectors of ``dim`` components."""
     classes = scratch.save(good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))
-    n = classes.count()
-    if not n:
-        return alone
-    bands, bits = bands_for(n, cosine)
+    bands, bits = bands_for(classes.count(), cosine)
     turn = rotations(dim, ceil(bands * bits / dim), seed)
     kind = "<f4" if dict(classes.dtypes)["embedding"] == "array<float>" else "<f8"
-    binary = "band int, bucket long, node long, copies long, code binary, factor double, vector binary"
-    members = scratch.save(classes.mapInArrow(_members(turn, bands, bits), binary))
+    schema = "node long, copies long, buckets array<long>, code binary, factor double, rounded binary, low double, step double, vector binary"
+    coded = scratch.save(classes.mapInArrow(_code(turn, bands, bits), schema))
+    members = coded.select("node", "code", "factor", "rounded", "low", "step", F.posexplode("buckets").alias("band", "bucket"))
     cells = blocked(scratch, members, ["band", "bucket"], "node", block)
-    found = scratch.save(map_runs(cells, ["band", "bucket", "block_i", "block_j"], _links(turn, dim, bands, bits, kind, cosine, width), "kind int, a long, b long", rows=4000))
+    spots = "band int, bucket long, block_i int, block_j int, side int, node long"
+    open_ = scratch.save(map_runs(cells, list(CELL), _open(len(turn), dim, cosine, width), spots, rows=4000))
+    exact = open_.join(coded.select("node", "copies", "buckets", "vector"), "node")
+    found = scratch.save(map_runs(exact, list(CELL), _links(kind, cosine), "kind int, a long, b long", rows=4000))
     links = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     roots = connected_components(scratch, found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")))
     done = classes.join(links, "node", "left").join(roots, classes.node == roots.id, "left")
-    done = scratch.save(done.select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id")))
-    linked = good.join(done, "embedding").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    return linked.unionByName(alone)
+    return scratch.save(done.select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id")))
