@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil, exp
 
 import numpy as np
@@ -285,10 +286,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, axes: int = 16,
         return scratch.save(rows.mapInArrow(_answer(space, k), _FOUND))
 
     home = scratch.save(asks.mapInArrow(_place(space, low, high, parts, offset, True), "slot int, vec_id long, embedding array<double>"))
-    found = answer(home.select("slot", F.lit(True).alias("ask"), "vec_id", "embedding", F.lit(float("-inf")).alias("bound")))
+    answers = [answer(home.select("slot", F.lit(True).alias("ask"), "vec_id", "embedding", F.lit(float("-inf")).alias("bound")))]
     if slots > 1:
-        worst = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
+        worst = answers[0].groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
         known = home.join(worst, "vec_id", "left").select("slot", "vec_id", "embedding", F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(float("-inf"))).alias("bound"))
-        found = found.union(answer(known.mapInArrow(_others(space, low, high, parts, offset), _ROWS)))
+        answers.append(answer(known.mapInArrow(_others(space, low, high, parts, offset), _ROWS)))
+    scratch.keep(*answers)
+    found = reduce(DataFrame.union, answers)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

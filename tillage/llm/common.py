@@ -16,18 +16,15 @@ BATCH_BYTES = 4_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where it is unset, a local session (tests) gets a temporary folder and a cluster uses
-    its warehouse, which is shared by definition.
+    Where it is unset, a local session (tests) gets a temporary folder; a cluster must name one.
     """
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return base
-    if spark.sparkContext.master.split("[")[0] == "local":
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(base)
-        return spark.sparkContext.getCheckpointDir()
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 class Scratch:
@@ -35,9 +32,11 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.base, self.made = spark, f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}", {}
+        self.n = 0
 
     def save(self, df: DataFrame) -> DataFrame:
-        path = f"{self.base}/{len(self.made)}"
+        path = f"{self.base}/{self.n}"
+        self.n += 1
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.made[id(out)] = (path, out)
@@ -47,9 +46,14 @@ class Scratch:
         """Delete tables that no later step reads."""
         jvm = self.spark._jvm
         for frame in frames:
-            path = jvm.org.apache.hadoop.fs.Path(self.made[id(frame)][0])
+            path = jvm.org.apache.hadoop.fs.Path(self.made.pop(id(frame))[0])
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def keep(self, *frames: DataFrame) -> None:
+        """Delete all tables but those that the result still reads."""
+        stay = {id(f) for f in frames}
+        self.drop(*[f for i, (_, f) in self.made.items() if i not in stay])
+
 
 def arrow_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes: one setting for every plan, whenever it runs."""

@@ -410,6 +410,7 @@ def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int =
     grouped = rooted.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select("first.*")
     kept = rooted.where("root is null").select("doc_id", "pos").union(grouped).groupBy("doc_id").agg(F.collect_set("pos").alias("kept"))
     kept = scratch.save(kept)
+    scratch.keep(kept)
     others = [c for c in docs.columns if c.lower() not in ("doc_id", "text", "n_lines", "n_removed")]
     whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0)]).alias("rest"))
     joined = whole.alias("d").join(kept.alias("k").hint("shuffle_hash"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left")

@@ -193,6 +193,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 4096, end:
         counts[r["length"]] = r["n"]
     table = places(best_two_fit(counts, size), size)
     base = scratch.save(_running(each))
+    scratch.keep(made, base)
     # One row for each length and task: it grows with the corpus, so it isn't broadcast.
     numbered = made.join(base.hint("shuffle_hash"), ["length", "task"])
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"

@@ -204,4 +204,5 @@ def simhash_groups(docs: DataFrame, tau: int = 3, words: int = 3, block: int = 5
     edges = map_runs(cells, ["part", "value", "block_i", "block_j"], _verify(tau), "u long, v long")
     roots = connected_components(scratch, edges)
     classes = scratch.save(fps.join(roots, fps.node == roots.id, "left").select("fp", F.coalesce("root", "node").alias("component_id")))
+    scratch.keep(made, classes)
     return made.join(classes, "fp").select("doc_id", "fp", "component_id")

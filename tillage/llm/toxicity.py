@@ -132,6 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, orders: tup
             yield pd.DataFrame({"intercept": [model.intercept + np.log(prior)], "weights": [model.weights]})
 
     row = vectors.coalesce(1).mapInPandas(learn, "intercept double, weights array<double>").first()
+    scratch.keep()
     return Model(np.array(row["weights"]), row["intercept"], orders) if row else None
 
 
