@@ -85,4 +85,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir))
+        scratch.keep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
