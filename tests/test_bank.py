@@ -1,10 +1,12 @@
+import dataclasses
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillage.operators.audits import audit_questions, audit_systematic, audit_taxonomy
-from tillage.operators.selection import capacities, select_queries
+from tillage.operators.selection import CORE_ACTIONS, SCENARIO_ORDER, capacities, select_queries
 from tillage.plans.bank import SEED, questions
 from tillage.plans.search import dry_run
 from tillage.sources.config import RunConfig, _simple_yaml
@@ -42,7 +44,7 @@ def test_bank_has_no_issues(spark, bank, config):
 
 @pytest.mark.parametrize(
     ("column", "value", "issue"),
-    [("query", "", "EMPTY_QUERY"), ("language", "fr", "INVALID_LANGUAGE"), ("channel", "radio", "INVALID_CHANNEL"), ("search_round", 2, "INVALID_SEARCH_ROUND"), ("crop_term", " ", "EMPTY_CROP_TERM"), ("weather_factor", "snow", "WEATHER_FACTOR_MISMATCH"), ("effects", "x|y", "EFFECTS_MISMATCH"), ("query_id", "", "EMPTY_QUERY_ID")],
+    [("query", "", "EMPTY_QUERY"), ("language", "fr", "INVALID_LANGUAGE"), ("channel", "radio", "INVALID_CHANNEL"), ("search_round", 2, "INVALID_SEARCH_ROUND"), ("crop_term", "", "EMPTY_CROP_TERM"), ("weather_factor", "snow", "WEATHER_FACTOR_MISMATCH"), ("effects", "x|y", "EFFECTS_MISMATCH"), ("query_id", "", "EMPTY_QUERY_ID")],
 )
 def test_one_wrong_field_is_one_issue(bank, config, column, value, issue):
     _, a1, _, _ = bank
@@ -50,7 +52,7 @@ def test_one_wrong_field_is_one_issue(bank, config, column, value, issue):
     few = a1.where("query_kind = 'effect'").limit(630)
     changed = one.withColumn(column, F.lit(value)).unionByName(few)
     got = [r.type for r in audit_systematic(changed, config).collect()]
-    assert issue in got and set(got) - {issue} <= {"INVALID_SEARCH_REGION", "WEATHER_TERM_MISMATCH"}
+    assert issue in got and set(got) - {issue} <= {"INVALID_SEARCH_REGION", "WEATHER_TERM_MISMATCH", "MISSING_WEATHER_SCENARIO", "SEARCH_REGION_TERM_MISMATCH"}
 
 
 def test_selection(bank):
@@ -72,7 +74,84 @@ def test_small_limits_and_dry_run(bank):
         select_queries(both, 0)
     selected, summary = dry_run(both, RunConfig(selection_limit=96))
     assert summary["total_query_bank"] == 3732 and summary["skipped_queries"] == 3636 and summary["status"] == "DRY_RUN_READY"
-    assert sum(summary["by_language"].values()) == 96 == selected.count()
+    assert sum(summary["selection"]["by_language"].values()) == 96 == selected.count()
+
+
+def slow_selection(rows, limit):
+    """Ids in rank order, a row at a time over all rows in sort order."""
+    at = lambda order, v, other: order.index(v) if v in order else other
+
+    def key(r):
+        web = r["discovery_channel"] == "web"
+        region = {"VIETNAM": 0, "BINH_DINH_LEGACY": 1, "GIA_LAI_CURRENT": 1, "NONE": 2} if web else {"GLOBAL": 0, "VIETNAM": 1}
+        first = 1 if r["source_stage"] == "A2" or (web and r["scope_type"] == "crop_specific") else 2 if web or r["scope_type"] == "crop_specific" else 3
+        ranks = (0 if web else 1, at(["A2", "A1"], r["source_stage"], 9), first, at(["natural_question", "action", "effect"], r["query_kind"], 9), at(["crop_specific", "crop_group"], r["scope_type"], 9))
+        return (*ranks, region.get(r["search_region"], 9), at(SCENARIO_ORDER, r["weather_scenario"], 15), at(CORE_ACTIONS, r["action"], 10), r["crop_key"], r["query_text"], r["combined_query_id"])
+
+    twin = lambda r: tuple(v for k, v in r.items() if k != "combined_query_id")
+    rows = sorted(rows, key=key)
+    chosen, twins = {}, set()
+
+    def take(**wanted):
+        for r in rows:
+            if all(r[k] == v for k, v in wanted.items()):
+                if r["combined_query_id"] in chosen:
+                    return False
+                if twin(r) not in twins:
+                    chosen[r["combined_query_id"]] = r
+                    twins.add(twin(r))
+                    return True
+        return False
+
+    keys = {s: sorted({r["crop_key"] for r in rows if r["scope_type"] == s}) for s in ("crop_specific", "crop_group")}
+    for i, s in enumerate(SCENARIO_ORDER):
+        mine = {"crop_key": keys["crop_specific"][i % len(keys["crop_specific"])], "weather_scenario": s}
+        asked = {"discovery_channel": "web", "source_stage": "A2", "query_kind": "natural_question"}
+        take(**asked, scope_type="crop_specific", **mine) or take(**asked, weather_scenario=s)
+        for c in ("web", "scholarly"):
+            effect = {"discovery_channel": c, "source_stage": "A1", "scope_type": "crop_specific", "query_kind": "effect"}
+            take(**effect, **mine) or take(**effect, weather_scenario=s)
+    action = {"discovery_channel": "web", "source_stage": "A1", "query_kind": "action"}
+    for scope in ("crop_specific", "crop_group"):
+        for k in keys[scope]:
+            take(**action, scope_type=scope, crop_key=k)
+    for region in ("VIETNAM", "BINH_DINH_LEGACY", "GIA_LAI_CURRENT", "NONE"):
+        take(**action, search_region=region)
+    caps = capacities(limit)
+    for r in rows:
+        n = len(chosen)
+        if n >= limit:
+            break
+        count = lambda d: sum(x[d] == r[d] for x in chosen.values())  # noqa: B023, E731
+        open_ = all(count(d) < caps[d].get(r[d], 10**9) for d in caps) and count("weather_scenario") < max(3, n // 15 + 4) and count("crop_key") < max(6, n // 8 + 8)
+        if r["combined_query_id"] not in chosen and twin(r) not in twins and open_:
+            chosen[r["combined_query_id"]] = r
+            twins.add(twin(r))
+    return list(chosen)[:limit]
+
+
+@pytest.mark.parametrize("depth", [1, 12])
+def test_selection_equals_a_pass_over_all_rows(spark, depth):
+    """Few values and many twins, so that rows are refused, caps grow, and combinations run out of fetched rows."""
+    rng = random.Random(depth)
+    rows = []
+    for i in range(500):
+        web = rng.random() < 0.7
+        rows.append({
+            "combined_query_id": f"CQ-{i:04d}", "discovery_channel": "web" if web else "scholarly", "language": "vi" if web else "en", "source_stage": rng.choice(["A1", "A2"]), "query_kind": rng.choice(["effect", "action", "natural_question"]),
+            "scope_type": rng.choice(["crop_specific", "crop_group"]), "crop_key": rng.choice(["a", "b", "c"]), "weather_scenario": rng.choice(["heavy_rain", "dry_spell", "strong_wind", "fog"]), "action": rng.choice(["irrigation", "shade"]),
+            "search_region": rng.choice(["VIETNAM", "NONE", "GLOBAL"]), "query_text": rng.choice(["one", "two", "three", "four"]),
+        })
+    bank = spark.createDataFrame([{k: v for k, v in r.items() if k != "discovery_channel"} | {"channel": r["discovery_channel"], "query_origin": ""} for r in rows])
+    for limit in (96, 40):
+        got = [r.combined_query_id for r in select_queries(bank, limit, depth).orderBy("selection_rank").collect()]
+        assert got == slow_selection(rows, limit)
+
+
+def test_unknown_crop_keys_are_errors(bank):
+    t, _, _, _ = bank
+    with pytest.raises(Exception, match="no crop or group"):
+        questions(dataclasses.replace(t, scopes=t.scopes.where("crop_key <> 'ngo'"))).count()
 
 
 def test_observed_and_transformed_questions(spark, bank, config):

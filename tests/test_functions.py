@@ -35,7 +35,8 @@ def test_cleaning(spark):
     assert apply(spark, text.clean_web_text, values) == [" ".join(html.unescape(v or "").split()) for v in values]
     strip = lambda v: " ".join(re.sub("<[^>]+>", " ", html.unescape(v or "")).split())
     assert apply(spark, text.clean_markup_text, values) == [strip(v) for v in values]
-    assert apply(spark, text.unescape_full, ["&eacute;&#64;", None]) == ["é@", None]
+    odd = ["&eacute;&#64;&#x27;&#39;", "&notit; &not;in &noti", "&#128;&#x81;&#150;", "&#0;&#13;x&#55296;&#1114112;&#99999999999999;", "&#x1;&#xB;&#xFFFE;y", "& &; &# &#; &#x; &x", "&amp;amp; &AMP &ampx; &lt&gt", "&CounterClockwiseContourIntegral;&fjlig;", "a &unknown; b &copy2 &frac12x", "\U0001f600 &#128512; &#x1F600", ""]
+    assert apply(spark, text.unescape, [*odd, None]) == [*map(html.unescape, odd), None]
     assert apply(spark, text.casefold_full, ["Straße"]) == ["strasse"]
 
 

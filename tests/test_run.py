@@ -8,7 +8,7 @@ from tillage.operators.audits import audit_candidates
 from tillage.plans.search import Vocabulary, discover, domain_counts, run_status, variants
 from tillage.sources import files
 from tillage.sources.config import RunConfig
-from tillage.sources.providers import SearchProviderError, SearchProviderUnavailable, overfetch, provider_of, scholarly_hits, search_fixture, search_live, web_a_hits, web_b_hits, with_retries
+from tillage.sources.providers import SearchProviderError, checked, SearchProviderUnavailable, overfetch, provider_of, scholarly_hits, search_fixture, search_live, brave_hits, ddgs_hits, with_retries
 
 
 def mapped(spark, f, payload):
@@ -16,18 +16,18 @@ def mapped(spark, f, payload):
 
 
 def test_payload_mappers(spark):
-    hits = mapped(spark, web_a_hits, {"web": {"results": [{"url": "http://a", "title": "T &amp; U", "description": "", "snippet": "s"}, {"title": "no url"}]}})
+    hits = mapped(spark, brave_hits, {"web": {"results": [{"url": "http://a", "title": "T &amp; U", "description": "", "snippet": "s"}, {"title": "no url"}]}})
     assert [(h.url, h.title, h.snippet) for h in hits] == [("http://a", "T & U", "s")]
-    hits = mapped(spark, web_b_hits, [{"href": "http://b", "title": "t", "body": "x"}, {"url": "http://c", "title": "u", "description": "d"}])
+    hits = mapped(spark, ddgs_hits, [{"href": "http://b", "title": "t", "body": "x"}, {"url": "http://c", "title": "u", "description": "d"}])
     assert [(h.url, h.snippet) for h in hits] == [("http://b", "x"), ("http://c", "d")]
     items = [{"DOI": "10.1/x", "title": ["<i>A</i> &lt;b&gt;"], "abstract": "<p>q</p>", "subject": ["S"]}, {"title": ["none"]}, {"URL": "http://d", "type": "book"}]
     hits = mapped(spark, scholarly_hits, {"message": {"items": items}})
     assert [(h.url, h.title, h.abstract, h.source_type_hint) for h in hits] == [("https://doi.org/10.1/x", "A", "q", "scholarly_record"), ("http://d", "", "", "book")]
-    assert mapped(spark, web_b_hits, []) == []
+    assert mapped(spark, ddgs_hits, []) == []
 
 
 def test_providers():
-    assert provider_of("web", None) == "web_b" and provider_of("web", "k") == "web_a" and provider_of("scholarly", None) == "crossref"
+    assert provider_of("web", None) == "ddgs" and provider_of("web", "k") == "brave" and provider_of("scholarly", None) == "crossref"
     with pytest.raises(SearchProviderUnavailable):
         provider_of("radio", None)
     assert [overfetch(n) for n in (1, 5, 8, 30)] == [6, 10, 16, 20]
@@ -70,7 +70,7 @@ def answers_for(asked):
 
 def test_live_run_on_fixtures(spark, bank, config):
     _, _, _, both = bank
-    v = Vocabulary.of(config)
+    v = Vocabulary.fixed()
 
     def search(asked):
         rows = list({r[0]: r for r in answers_for(asked.collect())}.values())
@@ -81,13 +81,17 @@ def test_live_run_on_fixtures(spark, bank, config):
     assert set(rows) == {"http://site.org/a", "https://doi.org/10.1/z"}
     web = rows["http://site.org/a"]
     assert web.raw_result_count == len(web.query_references) == 2 * run.summary["queries_recovered_by_fallback"]
-    assert web.title != "" and web.discovery_providers == ["web_b"]
-    assert run.issues.count() == 0 or {r.type for r in run.issues.collect()} <= {"A3_REFERENCE_UNKNOWN_QUERY_ID"}
+    assert web.title != "" and web.discovery_providers == ["ddgs"]
+    assert run.issues.count() == 0 and run.summary["audit"] == {"issue_count": 0, "issues": []}
     assert run.summary["queries_recovered_by_fallback"] == 3 and run.summary["status"] == "READY_FOR_A4" and run.summary["query_hit_rate"] == 1.0
+    # Originals of the three web queries bring nothing, their first fallback does, and no later one is asked.
+    assert run.summary["executed_search_requests"] == 7 and run.summary["executed_queries"] == 4 == run.summary["original_queries_succeeded"]
+    assert run.summary["raw_provider_results"] == 10 and run.summary["relevant_results_kept"] == 7 and run.summary["irrelevant_filtered"] == 3
+    assert run.summary["provider_errors"] == [] and run.summary["selection"]["selected_queries"] == 96 == sum(run.summary["by_channel"].values())
 
 
 def test_live_search_retries_and_keeps_errors(spark):
-    asked = spark.createDataFrame([("Q", 0, "web_b", "bad"), ("Q", 1, "web_b", "good")], "original_query_id string, variant_ord int, provider string, search_text string")
+    asked = spark.createDataFrame([("Q", 0, "ddgs", "bad"), ("Q", 1, "ddgs", "good")], "original_query_id string, variant_ord int, provider string, search_text string")
 
     def call(provider, query, limit, timeout):
         if query == "bad":
@@ -98,6 +102,12 @@ def test_live_search_retries_and_keeps_errors(spark):
     assert got == {0: (None, "down"), 1: ("[]", None)}
 
 
+def test_answers_must_be_json():
+    assert checked('{"a": 1}') == '{"a": 1}'
+    with pytest.raises(ValueError):
+        checked("<html>")
+
+
 def test_every_domain_is_counted(spark):
     rows = [(f"d{i % 1500}.org", [(i,)]) for i in range(1600)]
     got = domain_counts(spark.createDataFrame(rows, "source_domain string, query_references array<struct<result_rank:int>>"))
@@ -118,8 +128,8 @@ def test_candidate_audit_finds_each_fault(spark):
     known = spark.createDataFrame([("Q0",), ("Q1",), ("Q2",)], "query_id string")
     assert audit_candidates(merged, known).count() == 0
     one = merged.limit(1)
-    for column, value, issue in (("url", "", "A3_EMPTY_URL"), ("url", "x", "A3_MALFORMED_URL"), ("canonical_url", "", "A3_EMPTY_CANONICAL_URL"), ("relevance_status", "rejected_irrelevant", "A3_REJECTED_CANDIDATE_WRITTEN"), ("relevance_score", -1, "A3_INVALID_RELEVANCE_SCORE"), ("query_id", "Q9", "A3_UNKNOWN_QUERY_ID"), ("raw_result_count", 99, "A3_DEDUP_PROVENANCE_LOST"), ("search_region", "MARS", "A3_INVALID_SEARCH_REGION")):
-        assert [r.type for r in audit_candidates(one.withColumn(column, F.lit(value)), known).collect()] == [issue]
+    for column, value, issue in (("title_status", "fabricated", "A3_FABRICATED_TITLE"), ("url", "x", "A3_MALFORMED_URL"), ("canonical_url", "", "A3_EMPTY_CANONICAL_URL"), ("relevance_status", "rejected_irrelevant", "A3_REJECTED_CANDIDATE_WRITTEN"), ("relevance_score", None, "A3_INVALID_RELEVANCE_SCORE"), ("query_id", "Q9", "A3_UNKNOWN_QUERY_ID"), ("raw_result_count", 99, "A3_DEDUP_PROVENANCE_LOST"), ("search_region", "MARS", "A3_INVALID_SEARCH_REGION")):
+        assert [r.type for r in audit_candidates(one.withColumn(column, F.lit(value).cast(one.schema[column].dataType)), known).collect()] == [issue]
 
 
 def test_files(spark, tmp_path):

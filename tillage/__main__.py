@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import os
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession, functions as F
 
-from tillage.operators.audits import audit_questions, audit_systematic
+from tillage.operators.audits import audit_questions, audit_systematic, audit_taxonomy
 from tillage.plans import report
 from tillage.plans.bank import combined, questions, systematic, taxonomy
-from tillage.plans.search import Vocabulary, audit_relevance_rules, bank_status, discover, dry_run
+from tillage.plans.search import Vocabulary, audit_relevance_rules, bank_status, discover, dry_run, issue_list
 from tillage.sources import files
 from tillage.sources.config import RunConfig, load_config
 from tillage.sources.providers import search_live
@@ -37,23 +38,27 @@ def main(argv: list[str] | None = None) -> int:
     if a.mode == "bank":
         t = taxonomy(spark, config)
         a1, a2 = systematic(t).cache(), questions(t).cache()
-        issues = audit_systematic(a1, config).union(audit_questions(a2, config)).count()
+        found = {"A1": audit_systematic(a1, config).union(audit_taxonomy(spark)), "A2": audit_questions(a2, config)}
+        listed = [x for stage, df in found.items() for x in issue_list(df, stage)]
+        issues = len(listed)
         rows = combined(a1, a2).cache()
         for name, df in (("a1", a1.drop("ord")), ("a2", a2.drop("ord"))):
             files.write_csv(df, f"{a.bank}/{name}_csv", single=True)
             files.write_jsonl(df, f"{a.bank}/{name}", single=True)
         files.write_jsonl(rows, f"{a.bank}/combined", single=True)
-        files.write_summary(spark, {"a1": a1.count(), "a2": a2.count(), "combined": rows.count(), "issues": issues, "status": bank_status(issues)}, f"{a.bank}/summary", sort_keys=False)
+        files.write_summary(spark, {"a1": a1.count(), "a2": a2.count(), "combined": rows.count(), "issues": issues, "issue_list": listed, "status": bank_status(issues)}, f"{a.bank}/summary", sort_keys=False)
         return 0
-    bank, vocabulary = files.read_jsonl(spark, f"{a.bank}/combined", BANK), Vocabulary.of(config)
+    bank, vocabulary = files.read_jsonl(spark, f"{a.bank}/combined", BANK), Vocabulary.fixed()
+    now = datetime.now(timezone.utc).isoformat()
     if a.mode == "dry-run":
-        print(report.selection(*dry_run(bank, settings, audit_relevance_rules(spark, vocabulary).count())))
+        print(report.selection(*dry_run(bank, settings, audit_relevance_rules(spark, vocabulary), now)))
         return 0
-    now = datetime.now(timezone.utc).isoformat()
-    run = discover(bank, vocabulary, settings, lambda asked: search_live(asked, a.results_per_query, a.timeout, settings.attempts, settings.backoff_seconds, a.sleep_seconds), now)
+    outputs = {"candidate_documents_jsonl": f"{a.output}/candidates", "candidate_discovery_summary_json": f"{a.output}/summary"}
+    search = lambda asked: search_live(asked, a.results_per_query, a.timeout, settings.attempts, settings.backoff_seconds, a.sleep_seconds)
+    run = discover(bank, vocabulary, settings, search, now, os.environ.get("BRAVE_SEARCH_API_KEY"), outputs)
     files.write_jsonl(run.candidates.orderBy(F.col("candidate_id")), f"{a.output}/candidates", sort_keys=True, single=True)
-    files.write_summary(spark, run.summary | {"generated_at": now}, f"{a.output}/summary")
-    print(report.counts("run", {k: v for k, v in run.summary.items() if not isinstance(v, dict)}))
+    files.write_summary(spark, run.summary, f"{a.output}/summary")
+    print(report.counts("run", {k: v for k, v in run.summary.items() if not isinstance(v, dict | list)}))
     return 0
 
 

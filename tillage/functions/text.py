@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import html
+import html.entities
+import json
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -11,8 +12,8 @@ from pyspark.sql import Column, functions as F, types as T
 PUBLIC_PUNCTUATION = "\"'“”‘’.,;:!?()[]{}"
 SIGNATURE_PUNCTUATION = "“”\"'`.,;:!?()[]{}"
 
-#: Named entities that the pages here use; `&amp;` is replaced last, in one pass overall.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+#: An entity as HTML has it: a number, or a name of at most 32 characters with or without semicolon.
+ENTITY = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
 
 
 def casefold(c: Column) -> Column:
@@ -28,7 +29,7 @@ def casefold_full(s: pd.Series) -> pd.Series:
 
 def collapse(c: Column) -> Column:
     """White space of any kind as one space, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", "")
+    return F.btrim(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def normalize(c: Column) -> Column:
@@ -73,27 +74,60 @@ def question(template: Column, crop: Column, region: Column) -> Column:
     return filled(F.replace(template, F.lit("{crop}"), crop), region)
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point below 2^31, by its UTF-32 bytes."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _number(code: Column) -> Column:
+    """What a numeric entity stands for: 128 to 159 as in Windows-1252, controls and non-characters nothing, no character U+FFFD."""
+    old = {i: bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)}
+    gone = code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (F.pmod(code, F.lit(0x10000)) >= 0xFFFE)
+    out = F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF) | code.isNull(), "\ufffd").when(code == 0xD, "\r")
+    table = F.create_map(*[F.lit(x) for p in old.items() for x in p])
+    return out.when(code.between(0x80, 0x9F), table[code.cast("int")]).when(gone, "").otherwise(_character(F.when(code.between(0, 0x10FFFF), code).otherwise(0)))
+
+
+def _entity(token: Column) -> Column:
+    """What an entity (with its ampersand) stands for; itself if it is none.
+
+    Names come from Python's table of HTML 5. Of a name that isn't known the longest
+    beginning is decoded that may stand without a semicolon.
+    """
+    names = html.entities.html5
+    bare = {k: v for k, v in names.items() if not k.endswith(";")}
+    table = lambda pairs: F.from_json(F.lit(json.dumps(pairs, ensure_ascii=False)), "map<string,string>")
+    body = F.substring(token, 2, 64)
+    start = F.regexp_extract(body, "^(" + "|".join(sorted(bare, key=len, reverse=True)) + ")", 1)
+    named = F.coalesce(table(names)[body], F.when(start != "", F.concat(table(bare)[start], F.substr(body, F.length(start) + 1))), token)
+    digits = F.regexp_extract(token, "^&#[xX]?([0-9a-fA-F]+)", 1)
+    significant = F.regexp_replace(digits, "^0+(?=.)", "")
+    base = F.when(F.rlike(token, F.lit("^&#[xX]")), 16).otherwise(10)
+    code = F.when(F.length(significant) <= 10, F.when(base == 16, F.conv(significant, 16, 10)).otherwise(F.conv(significant, 10, 10)).cast("long"))
+    return F.when(F.startswith(token, F.lit("&#")), _number(code)).otherwise(named)
+
+
 def unescape(c: Column) -> Column:
-    """The entities of ENTITIES."""
-    for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """All HTML entities, named and numeric, decoded once, in the JVM."""
+    parts, found = F.split(c, ENTITY, -1), F.regexp_extract_all(c, F.lit(ENTITY), 0)
+    pairs = F.arrays_zip(parts.alias("part"), F.transform(found, _entity).alias("char"))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pairs, lambda x: F.concat(x["part"], F.coalesce(x["char"], F.lit("")))), "")).otherwise(c)
 
 
-@F.pandas_udf(T.StringType())
-def unescape_full(s: pd.Series) -> pd.Series:
-    """All HTML entities, named and numeric."""
-    return s.map(lambda x: x if x is None else html.unescape(x))
+def clean_text(c: Column, markup: Column) -> Column:
+    """Null as empty, entities decoded, then tags as spaces where ``markup``, white space collapsed."""
+    decoded = unescape(F.coalesce(c, F.lit("")))
+    return collapse(F.when(markup, F.regexp_replace(decoded, "<[^>]+>", " ")).otherwise(decoded))
 
 
 def clean_web_text(c: Column) -> Column:
-    """Null as empty, entities decoded, white space collapsed; tags stay."""
-    return collapse(unescape(F.coalesce(c, F.lit(""))))
+    """Tags stay."""
+    return clean_text(c, F.lit(False))
 
 
 def clean_markup_text(c: Column) -> Column:
-    """Entities decoded first, then tags as spaces, so escaped tags go too."""
-    return collapse(F.regexp_replace(unescape(F.coalesce(c, F.lit(""))), "<[^>]+>", " "))
+    """Entities are decoded first, so escaped tags go too."""
+    return clean_text(c, F.lit(True))
 
 
 def metadata_text(*fields: Column) -> Column:

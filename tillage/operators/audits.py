@@ -1,31 +1,48 @@
-"""Declarative audits: a rule is an issue type and a predicate; one pass reports all of them."""
+"""Declarative audits: a rule is an issue type and a predicate; one pass reports all of them.
+
+Every audit gives (type, id). An empty value is null or an empty string; a null differs from every
+value it is compared with. Of rows with the same key the one with the smallest id is the first.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillage.functions.text import normalize_public
+from tillage.functions.text import normalize, normalize_public
 from tillage.functions.urls import is_valid
 from tillage.plans import fixed
 from tillage.plans.bank import QUESTION_COLUMNS
 
-STATUSES = ("direct_match", "supporting_match")
+#: What a candidate and its references may hold.
+CHANNELS = ("web", "scholarly")
+STATUSES = ("direct_match", "supporting_match", "rejected_irrelevant")
 VARIANTS = ("original", "crop_scenario", "crop_scenario_action", "crop_weather_general")
+NO_TITLE, FABRICATED = "missing_from_search_result", "fabricated"
+SYSTEMATIC_COLUMNS = ("query_id", "search_round", "language", "channel", "priority", "query_kind", "scope_type", "crop_id", "crop_name", "crop_group", "crop_term", "weather_scenario", "weather_factor", "weather_term", "effects", "action", "search_region", "search_region_term", "query")
+CANDIDATE_COLUMNS = (
+    "candidate_id", "url", "canonical_url", "title", "snippet", "source_domain", "source_type", "doi", "abstract", "subjects", "relevance_status", "relevance_score", "relevance_reasons", "matched_crop_terms", "matched_scenario_terms", "matched_action_terms",
+    "language", "discovery_channel", "query_id", "original_query_id", "original_query_text", "search_variant_text", "search_variant_type", "query_text", "crop_scope", "crop_key", "scenario", "action", "search_region", "retrieved_at", "query_references",
+)
 
 
 def empty(name: str) -> Column:
-    return F.trim(F.coalesce(F.col(name).cast("string"), F.lit(""))) == ""
+    return F.coalesce(F.col(name).cast("string"), F.lit("")) == ""
 
 
 def outside(name: str, values: Sequence[object]) -> Column:
     return ~F.coalesce(F.col(name).isin(*values), F.lit(False))
 
 
-def repeated(key: Column, order: Column) -> Column:
-    """True from the second row of a key on."""
-    return F.row_number().over(Window.partitionBy(key).orderBy(order)) > 1
+def differs(name: str, value: Column) -> Column:
+    return ~F.col(name).eqNullSafe(value)
+
+
+def lookup(pairs: Mapping[str, str], key: Column) -> Column:
+    """The value of a key in a small fixed table; null if it isn't there."""
+    return F.create_map(*[F.lit(x) for p in pairs.items() for x in p])[key] if pairs else F.lit(None).cast("string")
 
 
 def audit(df: DataFrame, ident: str, rules: Mapping[str, Column]) -> DataFrame:
@@ -45,107 +62,137 @@ def exclusive(*steps: tuple[str, Column]) -> dict[str, Column]:
     return out
 
 
+def repeats(df: DataFrame, kind: str, key: Column, ident: str) -> DataFrame:
+    """(type, id) of every row whose key an earlier one has; rows without a key are left out.
+
+    Rows are counted by key and id before they are shuffled, so a key that very many rows share costs
+    a task no more than its distinct ids; the join with the first ids can be split by AQE.
+    """
+    counted = df.select(key.alias("key"), F.col(ident).alias("id")).where(F.coalesce(F.col("key"), F.lit("")) != "").groupBy("key", "id").agg(F.count(F.lit(1)).alias("n"))
+    first = counted.groupBy("key").agg(F.min("id").alias("first"), F.sum("n").alias("total")).where("total > 1").select("key", "first")
+    more = counted.join(first, "key").select("id", (F.col("n") - F.col("id").eqNullSafe(F.col("first")).cast("int")).cast("int").alias("more")).where("more > 0")
+    return more.select(F.lit(kind).alias("type"), "id", F.explode(F.sequence(F.lit(1), "more"))).select("type", "id")
+
+
+def missing_fields(df: DataFrame, kind: str, fields: Sequence[str]) -> DataFrame:
+    """A row for each required column that the table lacks: a table has one schema, so this is checked once."""
+    return df.sparkSession.createDataFrame([(kind, f) for f in fields if f not in df.columns], "type string, id string")
+
+
+def _union(*parts: DataFrame) -> DataFrame:
+    return reduce(DataFrame.union, [p.select("type", F.col("id").cast("string").alias("id")) for p in parts])
+
+
 def audit_systematic(rows: DataFrame, config: dict) -> DataFrame:
     """Issues of systematic queries against the taxonomy and the crops config."""
-    spark = rows.sparkSession
-    crops = {c["id"]: c["name_vi"] for c in config.get("crops", [])}
+    spark, c = rows.sparkSession, F.col
+    crops = {x["id"]: x["name_vi"] for x in config.get("crops", [])}
     groups = list(config.get("crop_groups", {}))
-    scen = spark.createDataFrame([(s, factor, vi, en, "|".join(effects.split()), actions.split()) for s, factor, vi, en, effects, actions in fixed.SCENARIOS], "weather_scenario string, _factor string, _vi string, _en string, _effects string, _actions array<string>")
+    scen = spark.createDataFrame([(s, factor, vi, en, "|".join(effects)) for s, factor, vi, en, effects, _ in fixed.SCENARIOS], "weather_scenario string, _factor string, _vi string, _en string, _effects string")
     regions = spark.createDataFrame([(lang, rid, text) for lang, rid, text, _ in fixed.REGIONS], "language string, search_region string, _region string")
     d = rows.join(F.broadcast(scen), "weather_scenario", "left").join(F.broadcast(regions), ["language", "search_region"], "left")
-    c = F.col
-    language_ok = c("language").isin(*fixed.CHANNELS)
-    channel = F.create_map(*[F.lit(x) for p in fixed.CHANNELS.items() for x in p])[c("language")]
-    specific, group = c("scope_type") == "crop_specific", c("scope_type") == "crop_group"
-    known_crop = c("crop_id").isin(*crops)
-    names = F.create_map(*[F.lit(x) for p in crops.items() for x in p])[c("crop_id")] if crops else F.lit(None)
-    known = c("_factor").isNotNull()
+    language_ok = ~outside("language", list(fixed.CHANNELS))
+    specific, group = c("scope_type").eqNullSafe("crop_specific"), c("scope_type").eqNullSafe("crop_group")
+    names, known = lookup(crops, c("crop_id")), c("_factor").isNotNull()
     rules = {
-        **exclusive(("EMPTY_QUERY_ID", empty("query_id")), ("DUPLICATE_QUERY_ID", repeated(c("query_id"), c("query")))),
-        **exclusive(("EMPTY_QUERY", empty("query")), ("DUPLICATE_QUERY", repeated(F.lower(F.trim("query")), c("query_id")))),
-        "INVALID_SEARCH_ROUND": c("search_round") != 1,
-        **exclusive(("INVALID_LANGUAGE", ~language_ok), ("INVALID_CHANNEL", c("channel") != channel)),
+        "EMPTY_QUERY_ID": empty("query_id"),
+        "EMPTY_QUERY": F.coalesce(normalize(c("query")), F.lit("")) == "",
+        "INVALID_SEARCH_ROUND": differs("search_round", F.lit(1)),
+        **exclusive(("INVALID_LANGUAGE", ~language_ok), ("INVALID_CHANNEL", differs("channel", lookup(fixed.CHANNELS, c("language"))))),
         "INVALID_QUERY_KIND": outside("query_kind", ("effect", "action")),
-        "INVALID_SCOPE_TYPE": outside("scope_type", ("crop_specific", "crop_group")),
-        **exclusive(("INVALID_CROP_ID", specific & ~known_crop), ("MISSING_CROP_NAME", specific & empty("crop_name")), ("CROP_NAME_MISMATCH", specific & (c("crop_name") != names))),
+        "INVALID_SCOPE_TYPE": ~specific & ~group,
+        "INVALID_CROP_ID": specific & outside("crop_id", list(crops)),
+        **exclusive(("MISSING_CROP_NAME", specific & empty("crop_name")), ("CROP_NAME_MISMATCH", specific & names.isNotNull() & differs("crop_name", names))),
         "UNEXPECTED_CROP_GROUP": specific & ~empty("crop_group"),
         "UNEXPECTED_CROP_FIELDS": group & ~(empty("crop_id") & empty("crop_name")),
         "INVALID_CROP_GROUP": group & outside("crop_group", groups),
         "EMPTY_CROP_TERM": empty("crop_term"),
         "INVALID_WEATHER_SCENARIO": ~known,
-        "WEATHER_FACTOR_MISMATCH": known & (c("weather_factor") != c("_factor")),
-        "WEATHER_TERM_MISMATCH": known & (c("weather_term") != F.when(c("language") == "vi", c("_vi")).otherwise(c("_en"))),
-        "EFFECTS_MISMATCH": known & (c("effects") != c("_effects")),
-        **exclusive(("EFFECT_QUERY_HAS_ACTION", (c("query_kind") == "effect") & (c("action") != fixed.NO_ACTION)), ("INVALID_ROW_ACTION", (c("query_kind") == "action") & known & ~F.array_contains("_actions", c("action")))),
-        **exclusive(("INVALID_SEARCH_REGION", language_ok & c("_region").isNull()), ("SEARCH_REGION_TERM_MISMATCH", c("search_region_term") != c("_region"))),
+        "WEATHER_FACTOR_MISMATCH": known & differs("weather_factor", c("_factor")),
+        "WEATHER_TERM_MISMATCH": known & differs("weather_term", F.when(c("language") == "vi", c("_vi")).otherwise(c("_en"))),
+        "EFFECTS_MISMATCH": known & differs("effects", c("_effects")),
+        "EFFECT_QUERY_HAS_ACTION": c("query_kind").eqNullSafe("effect") & differs("action", F.lit(fixed.NO_ACTION)),
+        "INVALID_ROW_ACTION": c("query_kind").eqNullSafe("action") & outside("action", [a[0] for a in fixed.ACTIONS]),
+        **exclusive(("INVALID_SEARCH_REGION", language_ok & c("_region").isNull()), ("SEARCH_REGION_TERM_MISMATCH", language_ok & (F.coalesce("search_region_term", F.lit("")) != c("_region")))),
     }
-    absent = scen.join(rows.select("weather_scenario").distinct(), "weather_scenario", "left_anti")
-    missing_crops = spark.createDataFrame([("MISSING_TARGET_CROPS", k) for k in fixed.TARGET_CROPS if k not in crops], "type string, id string")
-    return audit(d, "query_id", rules).union(missing_crops).union(absent.select(F.lit("MISSING_WEATHER_SCENARIO"), "weather_scenario")).union(missing_fields(rows, "MISSING_FIELD", ["query_id", "search_round", "language", "channel", "priority", "query_kind", "scope_type", "crop_id", "crop_name", "crop_group", "crop_term", "weather_scenario", "weather_factor", "weather_term", "effects", "action", "search_region", "search_region_term", "query"]))
-
-
-def audit_taxonomy(spark, scenarios: Sequence[tuple] = fixed.SCENARIOS, actions: Sequence[tuple] = fixed.ACTIONS) -> DataFrame:
-    """Scenarios with an empty field, and their actions that aren't known."""
+    absent_crops = sorted(set(fixed.TARGET_CROPS) - set(crops))
+    target = spark.createDataFrame([("MISSING_TARGET_CROPS", ",".join(absent_crops))] if absent_crops else [], "type string, id string")
+    # Each crop of the config is to have every scenario; both sides are small dimensions.
+    wanted = spark.createDataFrame([(k,) for k in crops], "crop_id string").crossJoin(scen.select("weather_scenario"))
+    absent = wanted.join(rows.select("crop_id", "weather_scenario").distinct(), ["crop_id", "weather_scenario"], "left_anti").select("crop_id").distinct()
+    return _union(
+        audit(d, "query_id", rules), repeats(rows, "DUPLICATE_QUERY_ID", c("query_id"), "query_id"), repeats(rows, "DUPLICATE_QUERY", normalize(c("query")), "query_id"),
+        target, absent.select(F.lit("MISSING_WEATHER_SCENARIO").alias("type"), c("crop_id").alias("id")), missing_fields(rows, "MISSING_FIELD", SYSTEMATIC_COLUMNS),
+    )
+
+
+def audit_taxonomy(spark: SparkSession, scenarios: Sequence[tuple] = fixed.SCENARIOS, actions: Sequence[tuple] = fixed.ACTIONS) -> DataFrame:
+    """Scenarios with an absent field, and their actions that aren't known."""
     known = {a[0] for a in actions}
-    rows = [("INVALID_SCENARIO", s[0]) for s in scenarios if not all(s)] + [("UNKNOWN_SCENARIO_ACTION", f"{s[0]}:{a}") for s in scenarios for a in s[5].split() if a not in known]
+    rows = [("INVALID_SCENARIO", s[0]) for s in scenarios for x in s[1:] if x is None] + [("UNKNOWN_SCENARIO_ACTION", f"{s[0]}:{a}") for s in scenarios for a in s[5] or () if a not in known]
     return spark.createDataFrame(rows, "type string, id string")
 
 
-def missing_fields(df: DataFrame, kind: str, fields: Sequence[str]) -> DataFrame:
-    """A row for each required column that the table lacks: a table has one schema, so this is checked once."""
-    return df.sparkSession.createDataFrame([(kind, f) for f in fields if f not in df.columns], "type string, id string")
-
-
 def audit_questions(rows: DataFrame, config: dict) -> DataFrame:
-    """Issues of natural questions."""
+    """Issues of natural questions. A transformed question's parent may be any row."""
     spark, c = rows.sparkSession, F.col
     crops, groups = [x["id"] for x in config.get("crops", [])], list(config.get("crop_groups", {}))
-    actions = {s: set(a.split()) for s, _, _, _, _, a in fixed.SCENARIOS}
+    actions = {s: set(a) for s, _, _, _, _, a in fixed.SCENARIOS}
     for s, a in fixed.QUESTION_PAIRS:
         actions[s].add(a)
     pairs = spark.createDataFrame([(s, sorted(a)) for s, a in actions.items()], "scenario string, _allowed array<string>")
     regions = spark.createDataFrame([(rid, text) for lang, rid, text, _ in fixed.REGIONS if lang == "vi"], "search_region string, _region string")
-    observed = rows.where("query_origin = 'observed'").select(c("query_id").alias("parent_query_id"), F.lit(True).alias("_parent")).dropDuplicates()
-    d = rows.join(F.broadcast(pairs), "scenario", "left").join(F.broadcast(regions), "search_region", "left").join(observed, "parent_query_id", "left")
-    origin = c("query_origin")
-    norm = normalize_public(c("query_text"))
-    known_action = c("action").isin(fixed.NO_ACTION, *[a[0] for a in fixed.ACTIONS])
+    parents = rows.select(c("query_id").alias("parent_query_id"), F.lit(True).alias("_parent")).where("parent_query_id is not null").distinct()
+    d = rows.join(F.broadcast(pairs), "scenario", "left").join(F.broadcast(regions), "search_region", "left").join(parents, "parent_query_id", "left")
+    origin, scope = c("query_origin"), c("crop_scope")
+    acts = differs("action", F.lit(fixed.NO_ACTION))
+    transformed = origin.eqNullSafe("transformed")
     rules = {
-        **exclusive(("A2_EMPTY_QUERY_ID", empty("query_id")), ("A2_DUPLICATE_QUERY_ID", repeated(c("query_id"), c("query_text")))),
-        **exclusive(("A2_EMPTY_QUERY_TEXT", empty("query_text")), ("A2_DUPLICATE_NORMALIZED_QUERY", repeated(norm, c("query_id")))),
-        "A2_MALFORMED_STAGE": c("stage") != "A2",
-        "A2_INVALID_LANGUAGE": c("language") != "vi",
+        "A2_EMPTY_QUERY_ID": empty("query_id"),
+        "A2_EMPTY_QUERY_TEXT": F.coalesce(normalize_public(c("query_text")), F.lit("")) == "",
+        "A2_MALFORMED_STAGE": differs("stage", F.lit("A2")),
+        "A2_INVALID_LANGUAGE": differs("language", F.lit("vi")),
         "A2_INVALID_QUERY_ORIGIN": outside("query_origin", fixed.ORIGINS),
         "A2_INVALID_INTENT": outside("intent", fixed.INTENTS),
-        "A2_OBSERVED_WITHOUT_SOURCE_URL": (origin == "observed") & empty("source_url"),
-        **exclusive(("A2_TRANSFORMED_WITHOUT_PARENT_QUERY_ID", (origin == "transformed") & empty("parent_query_id")), ("A2_TRANSFORMED_PARENT_NOT_FOUND", (origin == "transformed") & c("_parent").isNull())),
-        "A2_SYNTHETIC_HAS_FAKE_PROVENANCE": (origin == "synthetic") & ~(empty("source_url") & empty("source_title") & empty("parent_query_id")),
-        **exclusive(("A2_UNKNOWN_CROP_KEY", (c("crop_scope") == "crop_specific") & outside("crop_key", crops)), ("A2_UNKNOWN_CROP_GROUP_KEY", (c("crop_scope") == "crop_group") & outside("crop_key", groups)), ("A2_INVALID_CROP_SCOPE", outside("crop_scope", ("crop_specific", "crop_group")))),
-        **exclusive(("A2_INVALID_SEARCH_REGION", c("_region").isNull()), ("A2_SEARCH_REGION_TERM_MISMATCH", c("search_region_term") != c("_region"))),
+        "A2_OBSERVED_WITHOUT_SOURCE_URL": origin.eqNullSafe("observed") & empty("source_url"),
+        **exclusive(("A2_TRANSFORMED_WITHOUT_PARENT_QUERY_ID", transformed & empty("parent_query_id")), ("A2_TRANSFORMED_PARENT_NOT_FOUND", transformed & c("_parent").isNull())),
+        "A2_SYNTHETIC_HAS_FAKE_PROVENANCE": origin.eqNullSafe("synthetic") & ~(empty("source_url") & empty("source_title") & empty("parent_query_id")),
+        "A2_UNKNOWN_CROP_KEY": scope.eqNullSafe("crop_specific") & outside("crop_key", crops),
+        "A2_UNKNOWN_CROP_GROUP_KEY": scope.eqNullSafe("crop_group") & outside("crop_key", groups),
+        "A2_INVALID_CROP_SCOPE": outside("crop_scope", ("crop_specific", "crop_group")),
+        **exclusive(("A2_INVALID_SEARCH_REGION", c("_region").isNull()), ("A2_SEARCH_REGION_TERM_MISMATCH", differs("search_region_term", c("_region")))),
         "A2_UNKNOWN_SCENARIO": c("_allowed").isNull(),
-        **exclusive(("A2_UNKNOWN_ACTION", ~known_action), ("A2_INCOMPATIBLE_ACTION_SCENARIO", c("_allowed").isNotNull() & (c("action") != fixed.NO_ACTION) & ~F.array_contains("_allowed", c("action")))),
+        "A2_UNKNOWN_ACTION": acts & outside("action", [a[0] for a in fixed.ACTIONS]),
+        "A2_INCOMPATIBLE_ACTION_SCENARIO": c("_allowed").isNotNull() & acts & ~F.coalesce(F.array_contains("_allowed", c("action")), F.lit(False)),
     }
-    return audit(d, "query_id", rules).union(missing_fields(rows, "A2_MISSING_FIELD", QUESTION_COLUMNS))
+    return _union(audit(d, "query_id", rules), repeats(rows, "A2_DUPLICATE_QUERY_ID", c("query_id"), "query_id"), repeats(rows, "A2_DUPLICATE_NORMALIZED_QUERY", normalize_public(c("query_text")), "query_id"), missing_fields(rows, "A2_MISSING_FIELD", QUESTION_COLUMNS))
 
 
 def audit_candidates(candidates: DataFrame, known: DataFrame) -> DataFrame:
-    """Issues of candidates and of their query references; ``known`` has the query_ids that were run."""
+    """Issues of candidates and of their query references; ``known`` has the query_ids of the bank."""
     c = F.col
-    ids = known.select(c("query_id"), F.lit(True).alias("_known")).dropDuplicates(["query_id"])
+    ids = known.select("query_id", F.lit(True).alias("_known")).where("query_id is not null").distinct()
     d = candidates.join(ids, "query_id", "left")
-    refs = F.size("query_references")
+    refs = F.coalesce(F.size("query_references"), F.lit(0))
+    refs = F.greatest(refs, F.lit(0))
+    whole = dict(candidates.dtypes).get("relevance_score") in ("tinyint", "smallint", "int", "bigint")
     rules = {
-        **exclusive(("A3_EMPTY_URL", empty("url")), ("A3_MALFORMED_URL", ~is_valid(c("url")))),
-        **exclusive(("A3_EMPTY_CANONICAL_URL", empty("canonical_url")), ("A3_MALFORMED_CANONICAL_URL", ~is_valid(c("canonical_url"))), ("A3_DUPLICATE_CANONICAL_URL_RECORD", repeated(c("canonical_url"), c("candidate_id")))),
-        "A3_INVALID_DISCOVERY_CHANNEL": outside("discovery_channel", ("web", "scholarly")),
+        "A3_EMPTY_URL": empty("url"),
+        "A3_MALFORMED_URL": ~F.coalesce(is_valid(c("url")), F.lit(False)),
+        **exclusive(("A3_EMPTY_CANONICAL_URL", empty("canonical_url")), ("A3_MALFORMED_CANONICAL_URL", ~F.coalesce(is_valid(c("canonical_url")), F.lit(False)))),
+        "A3_INVALID_DISCOVERY_CHANNEL": outside("discovery_channel", CHANNELS),
         "A3_INVALID_SEARCH_REGION": outside("search_region", [r[1] for r in fixed.REGIONS]),
         "A3_EMPTY_SOURCE_DOMAIN": empty("source_domain"),
         **exclusive(("A3_MISSING_QUERY_ID", empty("query_id")), ("A3_UNKNOWN_QUERY_ID", c("_known").isNull())),
-        **exclusive(("A3_MISSING_QUERY_PROVENANCE", F.coalesce(refs, F.lit(0)) < 1), ("A3_DEDUP_PROVENANCE_LOST", refs != c("raw_result_count"))),
-        **exclusive(("A3_EMPTY_TITLE_WITHOUT_STATUS", empty("title") & (c("title_status") != "missing")), ("A3_FABRICATED_TITLE", ~empty("title") & (c("title_status") == "missing"))),
-        **exclusive(("A3_REJECTED_CANDIDATE_WRITTEN", c("relevance_status") == "rejected_irrelevant"), ("A3_INVALID_RELEVANCE_STATUS", outside("relevance_status", STATUSES))),
-        "A3_INVALID_RELEVANCE_SCORE": F.coalesce(c("relevance_score") < 0, F.lit(True)),
+        "A3_MISSING_QUERY_PROVENANCE": refs == 0,
+        "A3_DEDUP_PROVENANCE_LOST": differs("raw_result_count", refs),
+        "A3_EMPTY_TITLE_WITHOUT_STATUS": empty("title") & differs("title_status", F.lit(NO_TITLE)),
+        "A3_FABRICATED_TITLE": c("title_status").eqNullSafe(FABRICATED),
+        "A3_INVALID_RELEVANCE_STATUS": outside("relevance_status", STATUSES),
+        "A3_REJECTED_CANDIDATE_WRITTEN": c("relevance_status").eqNullSafe("rejected_irrelevant"),
+        "A3_INVALID_RELEVANCE_SCORE": c("relevance_score").isNull() if whole else F.lit(True),
     }
+    valid = candidates.where(F.coalesce(is_valid(c("canonical_url")), F.lit(False)))
     each = candidates.select("candidate_id", F.explode("query_references").alias("r")).select("candidate_id", "r.*")
     each = each.join(ids, "query_id", "left")
     reference = {
@@ -154,19 +201,16 @@ def audit_candidates(candidates: DataFrame, known: DataFrame) -> DataFrame:
         "A3_REFERENCE_MISSING_ORIGINAL_QUERY_TEXT": empty("original_query_text"),
         "A3_REFERENCE_MISSING_SEARCH_VARIANT_TEXT": empty("search_variant_text"),
         "A3_REFERENCE_INVALID_SEARCH_VARIANT_TYPE": outside("search_variant_type", VARIANTS),
-        "A3_REFERENCE_INVALID_DISCOVERY_CHANNEL": outside("discovery_channel", ("web", "scholarly")),
+        "A3_REFERENCE_INVALID_DISCOVERY_CHANNEL": outside("discovery_channel", CHANNELS),
         "A3_REFERENCE_MISSING_SOURCE_STAGE": empty("source_stage"),
-        "A3_A2_REFERENCE_MISSING_QUERY_ORIGIN": (c("source_stage") == "A2") & empty("query_origin"),
+        "A3_A2_REFERENCE_MISSING_QUERY_ORIGIN": c("source_stage").eqNullSafe("A2") & outside("query_origin", fixed.ORIGINS),
         "A3_REFERENCE_INVALID_RELEVANCE_STATUS": outside("relevance_status", STATUSES),
     }
-    needed = ["candidate_id", "url", "canonical_url", "title", "title_status", "source_domain", "relevance_status", "relevance_score", "language", "discovery_channel", "query_id", "search_region", "raw_result_count", "query_references"]
-    return audit(d, "candidate_id", rules).union(audit(each, "candidate_id", reference)).union(missing_fields(candidates, "A3_MISSING_FIELD", needed))
-
+    return _union(audit(d, "candidate_id", rules), repeats(valid, "A3_DUPLICATE_CANONICAL_URL_RECORD", c("canonical_url"), "candidate_id"), audit(each, "candidate_id", reference), missing_fields(candidates, "A3_MISSING_FIELD", CANDIDATE_COLUMNS))
 
-def audit_vocabularies(spark, crops: Mapping[str, Sequence[str]], scenarios: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Terms that both a crop and a scenario have, in normal form."""
-    make = lambda v: spark.createDataFrame([(k, t) for k, ts in v.items() for t in ts], "key string, term string")
-    one = make(crops).select(F.col("key").alias("crop"), normalize_public(F.col("term")).alias("term"))
-    two = make(scenarios).select(F.col("key").alias("scenario"), normalize_public(F.col("term")).alias("term"))
-    return one.join(two, "term").select(F.lit("A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD").alias("type"), F.concat_ws(":", "crop", "scenario", "term").alias("id"))
 
+def audit_vocabularies(spark: SparkSession, crops: Mapping[str, Sequence[str]], scenarios: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Crops with terms that a scenario has too, in normal form: one row each, its id is the crop and those terms."""
+    make = lambda v: spark.createDataFrame([(k, t) for k, ts in v.items() for t in ts], "key string, term string").withColumn("norm", normalize(F.col("term")))
+    both = make(crops).join(make(scenarios).select("norm").distinct(), "norm", "left_semi").groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("term")), ",").alias("terms"))
+    return both.select(F.lit("A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD").alias("type"), F.concat_ws(":", "key", "terms").alias("id"))

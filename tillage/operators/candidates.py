@@ -59,5 +59,5 @@ def merge_hits(hits: DataFrame, ord_: str = "ord") -> DataFrame:
         _sorted(ord_, F.struct(*REFERENCE)).alias("query_references"),
     )
     ident = stable_id("CD-", nonempty(F.col("canonical_url"), F.col("url")))
-    status = F.when(F.col("title") != "", "from_search_result").otherwise("missing")
+    status = F.when(F.col("title") != "", "from_search_result").otherwise("missing_from_search_result")
     return merged.drop("_key").withColumns({"candidate_id": ident, "title_status": status, "source_domain": domain(F.col("canonical_url"))})

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tillage.functions.text import signature
-from tillage.operators.tables import first_wins
 from tillage.plans.bank import near_duplicate
 
+CHANNELS = ("web", "scholarly")
+
 #: The orders that rank scenarios and actions, and the ranks of the other columns.
 SCENARIO_ORDER = ("heavy_rain", "prolonged_rain", "post_rain", "waterlogging", "wet_soil", "dry_spell", "hot_weather", "strong_sun", "hot_dry_wind", "high_humidity", "leaf_wetness", "strong_wind", "rainy_season", "cold_weather", "weather_change")
 CORE_ACTIONS = ("irrigation", "drainage", "post_rain_care", "field_inspection", "disease_monitoring", "crop_protection", "spray_window", "fertilization", "planting", "shade")
@@ -58,8 +60,6 @@ def sort_key() -> Column:
     by = lambda table: F.coalesce(F.create_map(*[F.lit(x) for p in table.items() for x in p])[F.col("search_region")], F.lit(9))
     region = F.when(F.col("discovery_channel") == "scholarly", by(REGION_RANKS["scholarly"])).otherwise(by(REGION_RANKS["web"]))
     rank = lambda c: position(F.col(c), RANKS[c], 9).alias(f"{c}_rank")
-    from tillage.functions.text import signature
-
     return F.struct(
         rank("discovery_channel"), rank("source_stage"), F.col("selection_priority"), rank("query_kind"), rank("scope_type"), region.alias("region_rank"),
         position(F.col("weather_scenario"), SCENARIO_ORDER, len(SCENARIO_ORDER)).alias("scenario_rank"), position(F.col("action"), CORE_ACTIONS, len(CORE_ACTIONS)).alias("action_rank"),
@@ -68,7 +68,7 @@ def sort_key() -> Column:
 
 
 def capacities(limit: int) -> dict[str, dict[str, int]]:
-    """How many rows of a limit each value of a dimension may take; at least one each."""
+    """Fixed formulas: how many rows of a limit each value of a dimension may take; at least one each."""
     most = lambda n: max(1, n)
     web = most(limit * 3 // 4)
     return {
@@ -79,70 +79,106 @@ def capacities(limit: int) -> dict[str, dict[str, int]]:
     }
 
 
-def seed_predicates(crops: Sequence[str], groups: Sequence[str]) -> list[list[Column]]:
-    """For each seed its predicates, the preferred one first."""
-    c = F.col
-    web, a1, specific = c("discovery_channel") == "web", c("source_stage") == "A1", c("scope_type") == "crop_specific"
-    asked = web & (c("source_stage") == "A2") & (c("query_kind") == "natural_question")
-    effect = a1 & specific & (c("query_kind") == "effect")
-    action = web & a1 & (c("query_kind") == "action")
+def seed_predicates(crops: Sequence[str], groups: Sequence[str]) -> list[list[dict[str, str]]]:
+    """For each seed the values its row must have, the preferred ones first."""
+    web, scholarly = {"discovery_channel": "web"}, {"discovery_channel": "scholarly"}
+    asked = web | {"source_stage": "A2", "query_kind": "natural_question"}
+    effect = {"source_stage": "A1", "scope_type": "crop_specific", "query_kind": "effect"}
+    action = web | {"source_stage": "A1", "query_kind": "action"}
     out = []
     for i, s in enumerate(SCENARIO_ORDER):
-        here = c("weather_scenario") == s
-        mine = c("crop_key") == (crops[i % len(crops)] if crops else "")
-        out += [[asked & specific & mine & here, asked & here], [web & effect & mine & here, web & effect & here], [(c("discovery_channel") == "scholarly") & effect & mine & here, (c("discovery_channel") == "scholarly") & effect & here]]
-    out += [[action & specific & (c("crop_key") == k)] for k in crops]
-    out += [[action & (c("scope_type") == "crop_group") & (c("crop_key") == k)] for k in groups]
-    return out + [[action & (c("search_region") == r)] for r in SEED_REGIONS]
+        here = {"weather_scenario": s}
+        mine = here | {"crop_key": crops[i % len(crops)] if crops else ""}
+        out += [[asked | {"scope_type": "crop_specific"} | mine, asked | here], [web | effect | mine, web | effect | here], [scholarly | effect | mine, scholarly | effect | here]]
+    out += [[action | {"scope_type": "crop_specific", "crop_key": k}] for k in crops]
+    out += [[action | {"scope_type": "crop_group", "crop_key": k}] for k in groups]
+    return out + [[action | {"search_region": r}] for r in SEED_REGIONS]
+
+
+#: Columns that seeds and caps look at: rows that agree on them are told apart by the sort key alone.
+DIMENSIONS = ("discovery_channel", "source_stage", "query_kind", "scope_type", "search_region", "weather_scenario", "crop_key")
 
 
-def select_queries(bank: DataFrame, limit: int = 96) -> DataFrame:
+def _nearest(rows: DataFrame, depth: int, after: str | None) -> list[Row]:
+    """The first ``depth`` rows of each combination of DIMENSIONS behind a query, in sort order.
+
+    Ranks are pruned before the shuffle, so what is gathered and put in order is ``depth`` rows for each
+    combination that the taxonomy has, however large the bank is. Texts stay in the cluster.
+    """
+    if after is not None:
+        start = rows.where(F.col("combined_query_id") == after).select(F.col("_key").alias("_start")).limit(1)
+        rows = rows.crossJoin(F.broadcast(start)).where(F.col("_key") > F.col("_start")).drop("_start")
+    ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*DIMENSIONS).orderBy("_key"))).where(F.col("_rn") <= depth)
+    placed = ranked.select("combined_query_id", *DIMENSIONS, "_rn", F.sha2(F.to_json(near_duplicate(F.col("discovery_channel"))), 256).alias("twin"), "_key")
+    return placed.orderBy("_key").select("combined_query_id", *DIMENSIONS, "_rn", "twin").collect()
+
+
+class _Pass:
+    """The state of a selection: what is chosen, and how often each value was."""
+
+    def __init__(self, limit: int):
+        self.limit, self.caps = limit, capacities(limit)
+        self.chosen: dict[str, None] = {}
+        self.twins: set[str] = set()
+        self.counts: Counter[tuple[str, str]] = Counter()
+
+    def add(self, row: Row) -> None:
+        self.chosen[row["combined_query_id"]] = None
+        self.twins.add(row["twin"])
+        self.counts.update((d, row[d]) for d in DIMENSIONS)
+
+    def room(self, values: Mapping[str, str]) -> bool:
+        """No capped value is full. The caps of scenarios and crops grow with what is chosen."""
+        n = len(self.chosen)
+        most = {"weather_scenario": max(3, n // len(SCENARIO_ORDER) + 4), "crop_key": max(6, n // 8 + 8)}
+        for d, v in values.items():
+            cap = most[d] if d in most else self.caps.get(d, {}).get(v)
+            if cap is not None and self.counts[d, v] >= cap:
+                return False
+        return True
+
+
+def select_queries(bank: DataFrame, limit: int = 96, depth: int = 12) -> DataFrame:
     """At most ``limit`` rows of a combined bank, with selection_rank from 1.
 
-    Near duplicates go first: of each signature only the row that sorts first can be chosen. Seeds are
-    then the first row of each predicate; a seed whose row is taken adds nothing, and its fallback
-    predicate is tried. The seeds' rows and, for each combination of capped values, the first
-    ``limit`` rows by the sort key decide everything: the greedy pass takes at most ``limit`` rows of
-    a combination, so later ones can't be reached before it is full. Only these rows, whose number
-    depends on ``limit`` and the number of combinations, reach the driver, where the pass runs.
+    Seeds come first: of each predicate the first row in sort order; if that row is chosen already,
+    the fallback predicate is tried. Then the rows are gone through in sort order, and one is chosen if it is
+    no near duplicate of a chosen one and no value of it has reached its cap. The pass runs on the
+    driver over the first ``depth`` rows of each combination of values; where it has gone through
+    all of these and the combination still has room, it fetches the next ones, so the result
+    is that of a pass over the whole bank.
     """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    rows = annotate(bank).where(F.col("discovery_channel").isin("web", "scholarly")).withColumn("_key", sort_key())
-    rows = first_wins(rows, near_duplicate(F.col("discovery_channel")), F.col("_key"))
-    dims = [*capacities(limit), "weather_scenario", "crop_key"]
-    keys = {r["scope_type"]: sorted(r["keys"]) for r in rows.groupBy("scope_type").agg(F.collect_set("crop_key").alias("keys")).collect()}
-    seeds = seed_predicates(keys.get("crop_specific", []), keys.get("crop_group", []))
-    best = rows.agg(*[F.min(F.when(p, F.col("_key"))).alias(f"s{i}_{j}") for i, ps in enumerate(seeds) for j, p in enumerate(ps)]).first()
-    near = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*dims).orderBy("_key"))).where((F.col("_rn") <= limit) | F.col("combined_query_id").isin([k["combined_query_id"] for k in best if k is not None]))
-    pool = {r["combined_query_id"]: r for r in near.select("combined_query_id", "_key", *dims).orderBy("_key").collect()}
-    chosen: list[str] = []
-    for i, ps in enumerate(seeds):
-        for j in range(len(ps)):
-            key = best[f"s{i}_{j}"]
-            if key is not None and key["combined_query_id"] not in chosen:
-                chosen.append(key["combined_query_id"])
+    rows = annotate(bank).where(F.col("discovery_channel").isin(*CHANNELS)).withColumn("_key", sort_key())
+    pool, state = _nearest(rows, depth, None), _Pass(limit)
+    keys = {scope: sorted({r["crop_key"] for r in pool if r["scope_type"] == scope}) for scope in RANKS["scope_type"]}
+    for predicates in seed_predicates(keys["crop_specific"], keys["crop_group"]):
+        for wanted in predicates:
+            first = next((r for r in pool if all(r[d] == v for d, v in wanted.items())), None)
+            if first is not None and first["combined_query_id"] not in state.chosen:
+                state.add(first)
+                break
+    last = None
+    while len(state.chosen) < limit:
+        # Combinations that may have more rows than were fetched, once their last row is behind.
+        spent: dict[tuple, dict[str, str]] = {}
+        more = False
+        for row in pool:
+            more = any(map(state.room, spent.values()))
+            if more or len(state.chosen) >= limit:
                 break
-    caps = capacities(limit)
-    counts: dict[tuple[str, str], int] = {}
-
-    def add(query: str) -> None:
-        for d in dims:
-            at = (d, pool[query][d])
-            counts[at] = counts.get(at, 0) + 1
-
-    for query in chosen:
-        add(query)
-    for query, r in pool.items():
-        if len(chosen) >= limit:
+            last = row["combined_query_id"]
+            values = {d: row[d] for d in DIMENSIONS}
+            if last not in state.chosen and row["twin"] not in state.twins and state.room(values):
+                state.add(row)
+            if row["_rn"] == depth:
+                spent[tuple(values.values())] = values
+        if last is None or not (more or any(map(state.room, spent.values()))):
             break
-        n = len(chosen)
-        room = {"weather_scenario": max(3, n // len(SCENARIO_ORDER) + 4), "crop_key": max(6, n // 8 + 8)}
-        if query not in chosen and all(counts.get((d, r[d]), 0) < (room[d] if d in room else caps[d].get(r[d], limit + len(pool))) for d in dims):
-            chosen.append(query)
-            add(query)
-    ranks = rows.sparkSession.createDataFrame([(q, i) for i, q in enumerate(chosen[:limit], 1)], "combined_query_id string, selection_rank int")
-    return rows.drop("_key").join(F.broadcast(ranks), "combined_query_id")
+        pool = _nearest(rows, depth, last) if len(state.chosen) < limit else []
+    ranks = bank.sparkSession.createDataFrame([(q, i) for i, q in enumerate(list(state.chosen)[:limit], 1)], "combined_query_id string, selection_rank int")
+    return annotate(bank).join(F.broadcast(ranks), "combined_query_id")
 
 
 def select_by_cap(df: DataFrame, dim: str, caps: dict[str, int], *order: Column) -> DataFrame:

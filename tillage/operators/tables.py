@@ -98,3 +98,8 @@ def missing(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
 def missing_pairs(left: DataFrame, right: DataFrame, present: DataFrame) -> DataFrame:
     """Pairs of two small dimensions (of fixed size) that no row of ``present`` has."""
     return left.crossJoin(right).join(present.select(*left.columns, *right.columns).distinct(), [*left.columns, *right.columns], "left_anti")
+
+
+def conditional_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """One row: how many rows meet each condition. Null is not met."""
+    return df.agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])

@@ -36,11 +36,11 @@ def taxonomy(spark: SparkSession, config: dict) -> Taxonomy:
     for key, g in config.get("crop_groups", {}).items():
         scopes.append((order, "crop_group", key, "", "", key, g["aliases_vi"][0], g["aliases_en"][0]))
         order += 1
-    scenarios = [(i, s, factor, vi, en, effects.split(), actions.split()) for i, (s, factor, vi, en, effects, actions) in enumerate(fixed.SCENARIOS)]
-    pairs = {(s, a) for s, _, _, _, _, actions in fixed.SCENARIOS for a in actions.split()} | set(fixed.QUESTION_PAIRS)
+    scenarios = [(i, s, factor, vi, en, list(effects), list(actions)) for i, (s, factor, vi, en, effects, actions) in enumerate(fixed.SCENARIOS)]
+    pairs = {(s, a) for s, _, _, _, _, actions in fixed.SCENARIOS for a in actions} | set(fixed.QUESTION_PAIRS)
     templates = [
-        (i, intent, text, s, a, scope, list(fixed.TARGET_CROPS) if keys == "all" else keys.split(), ["NONE", region] if region else ["NONE"])
-        for i, (intent, text, s, a, scope, keys, region) in enumerate(fixed.QUESTIONS)
+        (i, intent, text, s, a, scope, list(keys), list(regions))
+        for i, (intent, text, s, a, scope, keys, regions) in enumerate(fixed.QUESTIONS)
     ]
     make = spark.createDataFrame
     return Taxonomy(
@@ -108,14 +108,15 @@ def question_rows(t: Taxonomy, seeds: DataFrame, origin: str) -> DataFrame:
 
 
 def synthetic_seeds(t: Taxonomy) -> DataFrame:
-    """Templates x their keys x their regions, with the first local term of each key filled in."""
+    """Templates x their keys x their regions, with the first local term of each key filled in. A key that the taxonomy lacks is an error."""
     each = t.templates.select("*", F.posexplode("crop_keys").alias("key_ord", "crop_key")).select("*", F.posexplode("search_regions").alias("near_ord", "search_region"))
     terms = t.scopes.select(F.col("scope_type").alias("crop_scope"), "crop_key", "term_vi")
     regions = t.regions.where("language = 'vi'").select("search_region", "search_region_term")
-    joined = each.join(F.broadcast(terms), ["crop_scope", "crop_key"]).join(F.broadcast(regions), "search_region")
+    joined = each.join(F.broadcast(terms), ["crop_scope", "crop_key"], "left").join(F.broadcast(regions), "search_region")
     none = F.lit("")
+    unknown = F.raise_error(F.concat_ws(" ", F.lit("no crop or group for"), "crop_scope", "crop_key")).cast("string")
     return joined.select(
-        question(F.col("template"), F.col("term_vi"), F.col("search_region_term")).alias("query_text"), "intent", "scenario", "action", "crop_scope", "crop_key", "search_region",
+        question(F.col("template"), F.coalesce("term_vi", unknown), F.col("search_region_term")).alias("query_text"), "intent", "scenario", "action", "crop_scope", "crop_key", "search_region",
         none.alias("source_url"), none.alias("source_title"), none.alias("parent_query_id"), F.struct("template_ord", "key_ord", "near_ord").alias("ord"),
     )
 

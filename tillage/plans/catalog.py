@@ -10,56 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillage.functions import relevance, text, urls
 from tillage.operators import audits, candidates, selection, tables
-
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a query and the SQL that gives the same rows."""
-
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def sql_collapse(x: str) -> str:
-    return rf"regexp_replace(regexp_replace({x}, '\s+', ' ', 'g'), '^ | $', '', 'g')"
-
-
-def sql_normalize(x: str) -> str:
-    return sql_collapse(f"replace(replace(lower({x}), 'ß', 'ss'), 'ς', 'σ')")
-
-
-def _sql_translate(x: str, chars: str) -> str:
-    return f"translate({x}, '{chars.replace(chr(39), chr(39) * 2)}', '{' ' * len(chars)}')"
-
-
-def sql_public(x: str) -> str:
-    return sql_normalize(_sql_translate(x, text.PUBLIC_PUNCTUATION))
-
-
-def sql_signature(x: str) -> str:
-    return sql_collapse(_sql_translate(sql_normalize(x), text.SIGNATURE_PUNCTUATION))
-
-
-def sql_id(prefix: str, x: str) -> str:
-    return f"'{prefix}' || upper(substr(sha256({x}), 1, 12))"
-
-
-def sql_unescape(x: str) -> str:
-    for entity, char in text.ENTITIES:
-        x = f"replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
-    return x
-
+from tillage.plans.registry import ORACLES, query, sql_collapse, sql_id, sql_normalize, sql_public, sql_signature, sql_unescape, table
 
 # ---- text ----
 
@@ -112,8 +63,8 @@ def query_phrases(spark, sf_dir):
 
 # ---- URLs ----
 
-_PARTS = urls._PARTS.replace("'", "''")
-_TRACK = ", ".join(f"'{k}'" for k in urls.TRACKING_KEYS)
+_PARTS = "^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:[?]([^#]*))?"
+_TRACK = "'fbclid', 'gclid', 'gclsrc', 'mc_cid', 'mc_eid', 'msclkid', 'spm', 'yclid'"
 SQL_URL = rf"""
 parts AS (
   SELECT page_id, url, html, lower(regexp_extract(trim(url), '{_PARTS}', 1)) AS s, lower(regexp_extract(trim(url), '{_PARTS}', 2)) AS raw,
@@ -166,19 +117,6 @@ def url_dedup_first_wins(spark, sf_dir):
 # ---- the bank's shapes over the tables ----
 
 
-@query("bank_cross_product", "SELECT r_regionkey, n_nationkey, p.p_brand, '\"' || n_name || '\" \"' || p.p_brand || '\" care ' || r_name AS local_query, " + sql_id("DQ-", sql_normalize("'\"' || n_name || '\" \"' || p.p_brand || '\" care ' || r_name")) + " AS query_id FROM region, nation, (SELECT DISTINCT p_brand FROM part) p")
-def bank_cross_product(spark, sf_dir):
-    brands = table(spark, sf_dir, "part").select("p_brand").distinct()
-    rows = table(spark, sf_dir, "region").crossJoin(table(spark, sf_dir, "nation")).crossJoin(brands)
-    q = text.local_query(F.col("n_name"), F.col("p_brand"), F.lit("care"), F.col("r_name"))
-    return rows.select("r_regionkey", "n_nationkey", "p_brand", q.alias("local_query"), text.stable_id("DQ-", text.normalize(q)).alias("query_id"))
-
-
-@query("bank_template_expand", "SELECT n_nationkey, e.event_type, 'does ' || n_name || ' see ' || e.event_type AS question FROM nation, (SELECT DISTINCT event_type FROM events) e")
-def bank_template_expand(spark, sf_dir):
-    kinds = table(spark, sf_dir, "events").select("event_type").distinct()
-    pattern = F.concat(F.lit("does {crop} see "), F.col("event_type"))
-    return table(spark, sf_dir, "nation").crossJoin(kinds).select("n_nationkey", "event_type", text.question(pattern, F.col("n_name"), F.lit("")).alias("question"))
 
 
 @query("bank_dedup_first_wins", f"SELECT doc_id, norm_id FROM (SELECT doc_id, {sql_id('DQ-', sql_normalize('text'))} AS norm_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1")
@@ -188,20 +126,6 @@ def bank_dedup_first_wins(spark, sf_dir):
     return tables.first_wins(docs, F.col("h"), F.col("doc_id")).select("doc_id", F.concat(F.lit("DQ-"), F.upper(F.substring("h", 1, 12))).alias("norm_id"))
 
 
-@query("bank_combined_union", f"SELECT source_stage, id, combined_query_id FROM (SELECT source_stage, id, {sql_id('CQ-', 'norm')} AS combined_query_id, row_number() OVER (PARTITION BY norm ORDER BY source_stage, id) AS rn FROM (SELECT 'A1' AS source_stage, doc_id AS id, {sql_public('text')} AS norm FROM documents UNION ALL SELECT 'A2', item_id, {sql_public('text')} FROM benchmark)) WHERE rn = 1")
-def bank_combined_union(spark, sf_dir):
-    h = F.sha2(text.normalize_public(F.col("text")), 256).alias("h")
-    one = table(spark, sf_dir, "documents").select(F.lit("A1").alias("source_stage"), F.col("doc_id").alias("id"), h)
-    two = table(spark, sf_dir, "benchmark").select(F.lit("A2").alias("source_stage"), F.col("item_id").alias("id"), h)
-    return tables.ordered_union([one, two], F.col("h"), "id").select("source_stage", "id", F.concat(F.lit("CQ-"), F.upper(F.substring("h", 1, 12))).alias("combined_query_id"))
-
-
-@query("provenance_inherit", "SELECT c.conv_id, c.turn, coalesce(nullif(CASE WHEN c.turn % 2 = 0 THEN c.role ELSE '' END, ''), p.role, '') AS source_title FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1")
-def provenance_inherit(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
-    parents = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("_parent"))
-    own = F.when(F.col("turn") % 2 == 0, F.col("role")).otherwise("")
-    return turns.join(parents, ["conv_id", "turn"], "left").select("conv_id", "turn", F.coalesce(text.nonempty(own, F.lit(None)), "_parent", F.lit("")).alias("source_title"))
 
 
 SQL_CHANNEL = "CASE WHEN source = 'src0' OR lang = 'en' THEN 'scholarly' WHEN source IN ('src1', 'src2') OR lang = 'de' THEN 'web' ELSE '' END"
@@ -228,11 +152,6 @@ def effective_priority(spark, sf_dir):
     return _routed(spark, sf_dir).select("doc_id", selection.priority(given, stage, F.col("discovery_channel"), _scope()).alias("selection_priority"))
 
 
-@query("bank_project_common", f"SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END, ''), lang) AS crop_key, {SQL_CHANNEL} AS channel, 'natural_question' AS query_kind FROM documents")
-def bank_project_common(spark, sf_dir):
-    own = F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise("")
-    return _routed(spark, sf_dir).select("doc_id", text.nonempty(own, F.col("lang")).alias("crop_key"), F.col("discovery_channel").alias("channel"), F.lit("natural_question").alias("query_kind"))
-
 
 # ---- ranking and selection ----
 
@@ -247,11 +166,6 @@ def query_sort_rank(spark, sf_dir):
     return tables.top_k(orders, ["o_custkey"], 2**31 - 1, rank, F.desc("o_totalprice"), F.col("o_orderkey"), rank="selection_rank").select("o_custkey", "o_orderkey", F.col("selection_rank").cast("long").alias("selection_rank"))
 
 
-@query("pick_first_per_criterion", "SELECT c.c_mktsegment, c.c_custkey, c.o_orderkey FROM (SELECT c_mktsegment, c_custkey, o_orderkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders JOIN customer ON o_custkey = c_custkey) c WHERE rn = 1")
-def pick_first_per_criterion(spark, sf_dir):
-    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return tables.first_wins(joined, F.col("c_mktsegment"), F.desc("o_totalprice"), F.col("o_orderkey")).select("c_mktsegment", "c_custkey", "o_orderkey")
-
 
 CRITERIA = ({"lang": "en", "source": "src0"}, {"lang": "en"}, {"lang": "de"}, {"source": "src3"}, {"lang": "fr", "source": "src4"})
 
@@ -281,19 +195,6 @@ def quota_select_single_dim(spark, sf_dir):
     return selection.select_by_cap(docs, "lang", {"en": 33, "de": 14, "fr": 14, "es": 11}, F.desc("n_chars"), F.col("doc_id")).select("doc_id", "lang")
 
 
-@query("quota_select_greedy")
-def quota_select_greedy(spark, sf_dir):
-    """The whole selection, with documents as a bank."""
-    pick = lambda values, salt: F.get(F.array(*map(F.lit, values)), F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(len(values))).cast("int"))
-    docs = table(spark, sf_dir, "documents")
-    bank = docs.select(
-        text.stable_id("CQ-", F.col("doc_id").cast("string")).alias("combined_query_id"), F.when(F.col("doc_id") % 4 == 0, "A2").otherwise("A1").alias("source_stage"), F.col("text").alias("query_text"),
-        F.when(F.col("lang") == "en", "en").otherwise("vi").alias("language"), F.when(F.col("lang") == "en", "scholarly").otherwise("web").alias("channel"), pick(selection.RANKS["query_kind"], 1).alias("query_kind"),
-        pick(selection.RANKS["scope_type"], 2).alias("scope_type"), F.col("source").alias("crop_key"), pick(selection.SCENARIO_ORDER, 3).alias("weather_scenario"), pick(selection.CORE_ACTIONS, 4).alias("action"),
-        pick(tuple(selection.REGION_SHARES), 5).alias("search_region"), F.lit("").alias("query_origin"),
-    )
-    return selection.select_queries(bank, 96).select("combined_query_id", "selection_rank", "discovery_channel", "query_kind", "scope_type", "search_region")
-
 
 # ---- relevance ----
 
@@ -307,7 +208,7 @@ SQL_FOCUS = sql_normalize("regexp_replace(string_split(text, chr(10))[1], '[-_/]
 
 
 def _sql_hits(form: str, terms) -> list[str]:
-    return [f"regexp_matches({form}, '(^|[^a-z0-9]){relevance._folded(t)}($|[^a-z0-9])')" for t in terms]
+    return [f"regexp_matches({form}, '(^|[^a-z0-9]){t.lower().replace('-', ' ')}($|[^a-z0-9])')" for t in terms]
 
 
 def _sql_count(form: str, terms) -> str:
@@ -429,7 +330,7 @@ merged AS (SELECT key, arg_min(url, page_id) AS url, arg_min(canonical, page_id)
 """
 
 
-@query("merge_candidates", f"WITH {SQL_MERGE} SELECT {sql_id('CD-', 'CASE WHEN canonical = ' + chr(39) * 2 + ' THEN url ELSE canonical END')} AS candidate_id, url, canonical AS canonical_url, title, CASE WHEN title <> '' THEN 'from_search_result' ELSE 'missing' END AS title_status, score AS relevance_score, status AS relevance_status, raw_result_count, reasons, providers FROM merged JOIN reasons USING (key) JOIN providers USING (key)")
+@query("merge_candidates", f"WITH {SQL_MERGE} SELECT {sql_id('CD-', 'CASE WHEN canonical = ' + chr(39) * 2 + ' THEN url ELSE canonical END')} AS candidate_id, url, canonical AS canonical_url, title, CASE WHEN title <> '' THEN 'from_search_result' ELSE 'missing_from_search_result' END AS title_status, score AS relevance_score, status AS relevance_status, raw_result_count, reasons, providers FROM merged JOIN reasons USING (key) JOIN providers USING (key)")
 def merge_candidates(spark, sf_dir):
     merged = candidates.merge_hits(page_hits(spark, sf_dir))
     return merged.select("candidate_id", "url", "canonical_url", "title", "title_status", "relevance_score", "relevance_status", "raw_result_count", F.array_join("relevance_reasons", "|").alias("reasons"), F.array_join("discovery_providers", "|").alias("providers"))
@@ -458,10 +359,6 @@ def count_with_defaults(spark, sf_dir):
     return tables.count_with_defaults(table(spark, sf_dir, "events"), "event_type", ["view", "purchase", "refund"])
 
 
-@query("conditional_counts", "SELECT count(*) FILTER (WHERE lang = 'en') AS with_region, count(*) FILTER (WHERE lang <> 'en') AS without_region FROM documents")
-def conditional_counts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").agg(F.count_if(F.col("lang") == "en").alias("with_region"), F.count_if(F.col("lang") != "en").alias("without_region"))
-
 
 @query("coverage_summary", "SELECT count(*) AS executed, count(*) FILTER (WHERE h > 0) AS with_hits, count(*) FILTER (WHERE h = 0) AS without_hits, round(count(*) FILTER (WHERE h > 0) / count(*), 4) AS query_hit_rate FROM (SELECT d.source, d.lang, count(l.doc_id) AS h FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id AND l.toxic = 1 GROUP BY d.source, d.lang)")
 def coverage_summary(spark, sf_dir):
@@ -470,22 +367,10 @@ def coverage_summary(spark, sf_dir):
     return tables.coverage(hits, F.col("hits"))
 
 
-@query("run_summary", f"WITH {SQL_SCORED}, s AS (SELECT count(*) AS raw_hits, count(*) FILTER (WHERE status <> 'rejected_irrelevant') AS kept FROM scored) SELECT raw_hits, kept, raw_hits - kept AS irrelevant, CASE WHEN kept > 0 AND kept * 1.0 / raw_hits >= 0.6 THEN 'READY_FOR_A4' ELSE 'A3_LOW_COVERAGE' END AS status FROM s")
-def run_summary(spark, sf_dir):
-    kept = F.count_if(F.col("status") != relevance.REJECTED)
-    s = scored_documents(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_hits"), kept.alias("kept"))
-    ready = (F.col("kept") > 0) & (F.col("kept") / F.greatest("raw_hits", F.lit(1)) >= 0.6)
-    return s.select("raw_hits", "kept", (F.col("raw_hits") - F.col("kept")).alias("irrelevant"), F.when(ready, "READY_FOR_A4").otherwise("A3_LOW_COVERAGE").alias("status"))
-
 
 # ---- audits ----
 
 
-@query("audit_duplicates", f"WITH d AS (SELECT doc_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn FROM documents) SELECT 'DUPLICATE_QUERY' AS type, doc_id AS id FROM d WHERE rn > 1")
-def audit_duplicates(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize(F.col("text")), 256).alias("h"))
-    return audits.audit(docs, "doc_id", {"DUPLICATE_QUERY": audits.repeated(F.col("h"), F.col("doc_id"))})
-
 
 @query("audit_membership", "SELECT 'orders' AS side, o_orderkey AS id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'unlabelled', doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def audit_membership(spark, sf_dir):
@@ -506,31 +391,3 @@ def audit_domain_values(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     rules = audits.exclusive(("INVALID_LANGUAGE", audits.outside("event_type", ("view", "click"))), ("INVALID_CHANNEL", F.col("value") > 50))
     return audits.audit(events, "event_id", rules | {"INVALID_RELEVANCE_SCORE": F.col("value") < 1})
-
-
-@query("audit_reference_rules", f"WITH {SQL_URL} SELECT type, id FROM (SELECT 'A3_UNKNOWN_QUERY_ID' AS type, {sql_id('CD-', 'canonical')} AS id, q FROM (SELECT canonical, 'Q' || (arg_min(page_id, page_id) % 3) AS q FROM canon GROUP BY canonical)) WHERE q = 'Q2' UNION ALL SELECT 'A3_REFERENCE_UNKNOWN_QUERY_ID', {sql_id('CD-', 'canonical')} FROM canon WHERE page_id % 3 = 2")
-def audit_reference_rules(spark, sf_dir):
-    known = spark.createDataFrame([("Q0",), ("Q1",)], "query_id string")
-    return audits.audit_candidates(candidates.merge_hits(page_hits(spark, sf_dir)), known)
-
-
-@query("vocab_overlap_audit", "SELECT 'A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD' AS type, 'c1:s1:rain' AS id UNION ALL SELECT 'A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD', 'c2:s2:strasse'")
-def vocab_overlap_audit(spark, sf_dir):
-    return audits.audit_vocabularies(spark, {"c1": ["Rain!", "leaf"], "c2": ["Straße"]}, {"s1": ["rain"], "s2": ["STRASSE", "wind"]})
-
-
-# ---- formats ----
-
-
-@query("jsonl_roundtrip", "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events")
-def jsonl_roundtrip(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    parsed = events.select("event_id", F.from_json("props", "k bigint").alias("p"))
-    again = parsed.select("event_id", F.from_json(F.to_json("p"), "k bigint").alias("p"))
-    return again.select("event_id", "p.k")
-
-
-@query("effects_join_split", "SELECT p_partkey, string_agg(w, '|' ORDER BY i) AS effects, CAST(count(*) AS INT) AS n FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS w, generate_subscripts(string_split(p_type, ' '), 1) AS i FROM part) GROUP BY p_partkey")
-def effects_join_split(spark, sf_dir):
-    joined = table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.split("p_type", " "), "|").alias("effects"))
-    return joined.select("p_partkey", "effects", F.size(F.split("effects", r"\|")).alias("n"))

@@ -45,21 +45,21 @@ ACTIONS = (
 
 #: (id, factor, Vietnamese, English, effects, actions)
 SCENARIOS = (
-    ("heavy_rain", "rainfall", "mưa lớn", "heavy rainfall", "excess_water nutrient_loss physical_damage disease_risk", "irrigation drainage fertilization disease_management crop_protection spray_window"),
-    ("prolonged_rain", "rainfall", "mưa kéo dài", "prolonged rainfall", "waterlogging root_stress nutrient_loss disease_risk", "irrigation drainage fertilization disease_management disease_monitoring post_rain_care"),
-    ("rainy_season", "rainfall", "mùa mưa", "rainy season", "excess_water disease_risk", "cultivation drainage fertilization disease_management crop_protection"),
-    ("post_rain", "rainfall", "sau mưa", "after heavy rain", "wet_soil nutrient_loss root_stress disease_risk", "irrigation drainage fertilization field_inspection disease_monitoring post_rain_care"),
-    ("hot_weather", "temperature", "nắng nóng", "heat stress", "heat_stress water_loss wilting leaf_damage", "irrigation shade mulching fertilization crop_protection field_inspection"),
-    ("strong_sun", "solar_radiation", "nắng gắt", "intense sunlight", "leaf_heat water_loss leaf_damage", "irrigation shade mulching crop_protection"),
-    ("dry_spell", "rainfall", "nhiều ngày không mưa", "dry spell", "soil_dryness water_stress wilting", "irrigation mulching soil_moisture_management field_inspection"),
-    ("high_humidity", "relative_humidity", "độ ẩm cao", "high humidity", "leaf_wetness disease_risk", "disease_management disease_monitoring field_inspection spray_window"),
-    ("leaf_wetness", "leaf_wetness", "lá ướt lâu", "prolonged leaf wetness", "leaf_wetness disease_risk", "disease_management disease_monitoring field_inspection"),
-    ("cold_weather", "temperature", "trời lạnh", "cold weather", "cold_stress slow_growth", "irrigation crop_protection planting field_inspection"),
-    ("strong_wind", "wind", "gió mạnh", "strong wind", "physical_damage water_loss", "irrigation crop_protection field_inspection spray_window"),
-    ("hot_dry_wind", "wind", "gió nóng khô", "hot dry wind", "water_loss plant_stress flower_damage", "irrigation crop_protection field_inspection"),
-    ("waterlogging", "soil_water", "ngập úng", "waterlogging", "root_stress root_rot_risk oxygen_stress", "irrigation drainage fertilization disease_management field_inspection"),
-    ("wet_soil", "soil_water", "đất quá ướt", "excess soil moisture", "excess_water root_stress disease_risk", "irrigation drainage fertilization disease_monitoring"),
-    ("weather_change", "weather_transition", "thời tiết thay đổi đột ngột", "sudden weather change", "plant_stress disease_risk", "irrigation crop_protection disease_monitoring field_inspection"),
+    ("heavy_rain", "rainfall", "mưa lớn", "heavy rainfall", ("excess_water", "nutrient_loss", "physical_damage", "disease_risk"), ("irrigation", "drainage", "fertilization", "disease_management", "crop_protection", "spray_window")),
+    ("prolonged_rain", "rainfall", "mưa kéo dài", "prolonged rainfall", ("waterlogging", "root_stress", "nutrient_loss", "disease_risk"), ("irrigation", "drainage", "fertilization", "disease_management", "disease_monitoring", "post_rain_care")),
+    ("rainy_season", "rainfall", "mùa mưa", "rainy season", ("excess_water", "disease_risk"), ("cultivation", "drainage", "fertilization", "disease_management", "crop_protection")),
+    ("post_rain", "rainfall", "sau mưa", "after heavy rain", ("wet_soil", "nutrient_loss", "root_stress", "disease_risk"), ("irrigation", "drainage", "fertilization", "field_inspection", "disease_monitoring", "post_rain_care")),
+    ("hot_weather", "temperature", "nắng nóng", "heat stress", ("heat_stress", "water_loss", "wilting", "leaf_damage"), ("irrigation", "shade", "mulching", "fertilization", "crop_protection", "field_inspection")),
+    ("strong_sun", "solar_radiation", "nắng gắt", "intense sunlight", ("leaf_heat", "water_loss", "leaf_damage"), ("irrigation", "shade", "mulching", "crop_protection")),
+    ("dry_spell", "rainfall", "nhiều ngày không mưa", "dry spell", ("soil_dryness", "water_stress", "wilting"), ("irrigation", "mulching", "soil_moisture_management", "field_inspection")),
+    ("high_humidity", "relative_humidity", "độ ẩm cao", "high humidity", ("leaf_wetness", "disease_risk"), ("disease_management", "disease_monitoring", "field_inspection", "spray_window")),
+    ("leaf_wetness", "leaf_wetness", "lá ướt lâu", "prolonged leaf wetness", ("leaf_wetness", "disease_risk"), ("disease_management", "disease_monitoring", "field_inspection")),
+    ("cold_weather", "temperature", "trời lạnh", "cold weather", ("cold_stress", "slow_growth"), ("irrigation", "crop_protection", "planting", "field_inspection")),
+    ("strong_wind", "wind", "gió mạnh", "strong wind", ("physical_damage", "water_loss"), ("irrigation", "crop_protection", "field_inspection", "spray_window")),
+    ("hot_dry_wind", "wind", "gió nóng khô", "hot dry wind", ("water_loss", "plant_stress", "flower_damage"), ("irrigation", "crop_protection", "field_inspection")),
+    ("waterlogging", "soil_water", "ngập úng", "waterlogging", ("root_stress", "root_rot_risk", "oxygen_stress"), ("irrigation", "drainage", "fertilization", "disease_management", "field_inspection")),
+    ("wet_soil", "soil_water", "đất quá ướt", "excess soil moisture", ("excess_water", "root_stress", "disease_risk"), ("irrigation", "drainage", "fertilization", "disease_monitoring")),
+    ("weather_change", "weather_transition", "thời tiết thay đổi đột ngột", "sudden weather change", ("plant_stress", "disease_risk"), ("irrigation", "crop_protection", "disease_monitoring", "field_inspection")),
 )
 
 #: (scenario, action) pairs that questions may have beside those of SCENARIOS.
@@ -75,46 +75,46 @@ QUESTION_PAIRS = (
 ORIGINS = ("observed", "transformed", "synthetic")
 INTENTS = ("irrigation_water", "rain_effect", "heat_sunlight", "humidity_disease", "fertilizer_weather", "spraying_weather", "planting_weather", "weather_recovery")
 
-#: (intent, template, scenario, action, scope, crop or group keys, region besides NONE); "all": TARGET_CROPS.
+#: (intent, template, scenario, action, scope, crop or group keys, regions)
 QUESTIONS = (
-    ("irrigation_water", "hôm nay có cần tưới {crop} không", "dry_spell", "irrigation", "crop_group", "general_vegetable leafy_vegetable", "VIETNAM"),
-    ("irrigation_water", "mưa rồi có cần tưới {crop} nữa không", "post_rain", "irrigation", "crop_specific", "all", "VIETNAM"),
-    ("irrigation_water", "đất còn ướt có tưới {crop} được không", "wet_soil", "irrigation", "crop_specific", "cai_xanh cai_cuc xa_lach rau_muong", "BINH_DINH_LEGACY"),
-    ("irrigation_water", "nắng quá nên tưới {crop} lúc nào", "hot_weather", "irrigation", "crop_specific", "all", "GIA_LAI_CURRENT"),
-    ("irrigation_water", "{crop} bị úng sau mưa phải làm sao", "waterlogging", "drainage", "crop_specific", "cai_xanh cai_cuc xa_lach rau_muong", "VIETNAM"),
-    ("irrigation_water", "mưa liên tục mấy ngày {crop} có bị úng không", "prolonged_rain", "drainage", "crop_group", "general_vegetable leafy_vegetable", "BINH_DINH_LEGACY"),
-    ("rain_effect", "mưa nhiều {crop} bị vàng lá phải làm sao", "prolonged_rain", "field_inspection", "crop_specific", "cai_xanh cai_cuc xa_lach", "VIETNAM"),
-    ("rain_effect", "mưa lớn {crop} có bị chết không", "heavy_rain", "crop_protection", "crop_specific", "all", ""),
-    ("rain_effect", "{crop} mới trồng gặp mưa lớn thì làm sao", "heavy_rain", "crop_protection", "crop_specific", "cai_xanh cai_cuc xa_lach ngo", "BINH_DINH_LEGACY"),
-    ("rain_effect", "sau mưa nên chăm {crop} thế nào", "post_rain", "post_rain_care", "crop_group", "general_vegetable short_cycle_vegetable", "GIA_LAI_CURRENT"),
-    ("rain_effect", "mưa kéo dài ảnh hưởng {crop} thế nào", "prolonged_rain", "NONE", "crop_group", "leafy_vegetable herb_vegetable", "VIETNAM"),
-    ("heat_sunlight", "trời nắng nóng {crop} bị héo phải làm sao", "hot_weather", "irrigation", "crop_specific", "all", "VIETNAM"),
-    ("heat_sunlight", "nắng gắt có nên tưới {crop} giữa trưa không", "strong_sun", "irrigation", "crop_group", "leafy_vegetable general_vegetable", "BINH_DINH_LEGACY"),
-    ("heat_sunlight", "{crop} bị cháy lá do nắng xử lý sao", "strong_sun", "crop_protection", "crop_specific", "cai_xanh cai_cuc xa_lach", "GIA_LAI_CURRENT"),
-    ("heat_sunlight", "nắng nóng có cần che lưới cho {crop} không", "hot_weather", "shade", "crop_specific", "cai_xanh cai_cuc xa_lach ngo", "VIETNAM"),
-    ("heat_sunlight", "nắng kéo dài ảnh hưởng {crop} thế nào", "hot_weather", "NONE", "crop_group", "leafy_vegetable short_cycle_vegetable", "GIA_LAI_CURRENT"),
-    ("humidity_disease", "trời ẩm {crop} dễ bị bệnh gì", "high_humidity", "disease_monitoring", "crop_specific", "all", "VIETNAM"),
-    ("humidity_disease", "mưa nhiều {crop} bị nấm phải làm sao", "prolonged_rain", "disease_management", "crop_specific", "cai_xanh cai_cuc xa_lach ngo", "BINH_DINH_LEGACY"),
-    ("humidity_disease", "độ ẩm cao có làm {crop} bị thối không", "high_humidity", "disease_monitoring", "crop_group", "leafy_vegetable general_vegetable", "GIA_LAI_CURRENT"),
-    ("humidity_disease", "sau mưa {crop} dễ bị sâu bệnh gì", "post_rain", "disease_monitoring", "crop_specific", "all", "VIETNAM"),
-    ("humidity_disease", "{crop} bị ướt lá lâu có dễ bị bệnh không", "leaf_wetness", "disease_monitoring", "crop_group", "leafy_vegetable herb_vegetable", ""),
-    ("fertilizer_weather", "mưa xong có bón phân cho {crop} được không", "post_rain", "fertilization", "crop_specific", "all", "VIETNAM"),
-    ("fertilizer_weather", "bón phân cho {crop} trước khi mưa có bị trôi không", "heavy_rain", "fertilization", "crop_group", "general_vegetable short_cycle_vegetable", "BINH_DINH_LEGACY"),
-    ("fertilizer_weather", "sau mưa bao lâu thì bón phân cho {crop}", "post_rain", "fertilization", "crop_specific", "cai_xanh cai_cuc xa_lach rau_muong", "GIA_LAI_CURRENT"),
-    ("fertilizer_weather", "trời nắng nóng có nên bón phân cho {crop} không", "hot_weather", "fertilization", "crop_group", "leafy_vegetable herb_vegetable", "VIETNAM"),
-    ("spraying_weather", "sắp mưa có nên phun thuốc cho {crop} không", "heavy_rain", "spray_window", "crop_group", "general_vegetable leafy_vegetable", "VIETNAM"),
-    ("spraying_weather", "phun thuốc xong gặp mưa có cần phun lại cho {crop} không", "post_rain", "spray_window", "crop_specific", "cai_xanh cai_cuc xa_lach", "BINH_DINH_LEGACY"),
-    ("spraying_weather", "sau mưa bao lâu thì phun thuốc cho {crop}", "post_rain", "spray_window", "crop_group", "general_vegetable short_cycle_vegetable", "GIA_LAI_CURRENT"),
-    ("spraying_weather", "trời gió có phun thuốc cho {crop} được không", "strong_wind", "spray_window", "crop_group", "general_vegetable leafy_vegetable", "VIETNAM"),
-    ("spraying_weather", "trời ẩm có nên phun thuốc phòng bệnh cho {crop} không", "high_humidity", "spray_window", "crop_specific", "cai_xanh cai_cuc xa_lach ngo", ""),
-    ("planting_weather", "tháng này trồng {crop} có phù hợp không", "weather_change", "planting", "crop_specific", "all", "VIETNAM"),
-    ("planting_weather", "mưa nhiều có nên xuống giống {crop} không", "prolonged_rain", "planting", "crop_group", "general_vegetable short_cycle_vegetable", "BINH_DINH_LEGACY"),
-    ("planting_weather", "trời nóng quá có nên trồng {crop} không", "hot_weather", "planting", "crop_specific", "xa_lach cai_xanh cai_cuc ngo", "GIA_LAI_CURRENT"),
-    ("planting_weather", "mùa mưa nên trồng {crop} thế nào", "rainy_season", "planting", "crop_group", "leafy_vegetable herb_vegetable", "VIETNAM"),
-    ("planting_weather", "trời lạnh gieo {crop} có được không", "cold_weather", "planting", "crop_specific", "cai_xanh cai_cuc xa_lach ngo", ""),
-    ("weather_recovery", "{crop} bị ngập nước phải xử lý sao", "waterlogging", "drainage", "crop_specific", "cai_xanh cai_cuc xa_lach rau_muong", "VIETNAM"),
-    ("weather_recovery", "{crop} bị héo sau nắng nóng phải làm gì", "hot_weather", "irrigation", "crop_specific", "all", "GIA_LAI_CURRENT"),
-    ("weather_recovery", "sau mưa lớn cần làm gì cho {crop}", "heavy_rain", "post_rain_care", "crop_group", "general_vegetable short_cycle_vegetable", "BINH_DINH_LEGACY"),
-    ("weather_recovery", "{crop} bị đổ do gió có cứu được không", "strong_wind", "crop_protection", "crop_group", "general_vegetable leafy_vegetable", "VIETNAM"),
-    ("weather_recovery", "thời tiết thay đổi đột ngột chăm {crop} thế nào", "weather_change", "field_inspection", "crop_specific", "all", ""),
+    ("irrigation_water", "hôm nay có cần tưới {crop} không", "dry_spell", "irrigation", "crop_group", ("general_vegetable", "leafy_vegetable"), ("NONE", "VIETNAM")),
+    ("irrigation_water", "mưa rồi có cần tưới {crop} nữa không", "post_rain", "irrigation", "crop_specific", TARGET_CROPS, ("NONE", "VIETNAM")),
+    ("irrigation_water", "đất còn ướt có tưới {crop} được không", "wet_soil", "irrigation", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "rau_muong"), ("NONE", "BINH_DINH_LEGACY")),
+    ("irrigation_water", "nắng quá nên tưới {crop} lúc nào", "hot_weather", "irrigation", "crop_specific", TARGET_CROPS, ("NONE", "GIA_LAI_CURRENT")),
+    ("irrigation_water", "{crop} bị úng sau mưa phải làm sao", "waterlogging", "drainage", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "rau_muong"), ("NONE", "VIETNAM")),
+    ("irrigation_water", "mưa liên tục mấy ngày {crop} có bị úng không", "prolonged_rain", "drainage", "crop_group", ("general_vegetable", "leafy_vegetable"), ("NONE", "BINH_DINH_LEGACY")),
+    ("rain_effect", "mưa nhiều {crop} bị vàng lá phải làm sao", "prolonged_rain", "field_inspection", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach"), ("NONE", "VIETNAM")),
+    ("rain_effect", "mưa lớn {crop} có bị chết không", "heavy_rain", "crop_protection", "crop_specific", TARGET_CROPS, ("NONE",)),
+    ("rain_effect", "{crop} mới trồng gặp mưa lớn thì làm sao", "heavy_rain", "crop_protection", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "ngo"), ("NONE", "BINH_DINH_LEGACY")),
+    ("rain_effect", "sau mưa nên chăm {crop} thế nào", "post_rain", "post_rain_care", "crop_group", ("general_vegetable", "short_cycle_vegetable"), ("NONE", "GIA_LAI_CURRENT")),
+    ("rain_effect", "mưa kéo dài ảnh hưởng {crop} thế nào", "prolonged_rain", "NONE", "crop_group", ("leafy_vegetable", "herb_vegetable"), ("NONE", "VIETNAM")),
+    ("heat_sunlight", "trời nắng nóng {crop} bị héo phải làm sao", "hot_weather", "irrigation", "crop_specific", TARGET_CROPS, ("NONE", "VIETNAM")),
+    ("heat_sunlight", "nắng gắt có nên tưới {crop} giữa trưa không", "strong_sun", "irrigation", "crop_group", ("leafy_vegetable", "general_vegetable"), ("NONE", "BINH_DINH_LEGACY")),
+    ("heat_sunlight", "{crop} bị cháy lá do nắng xử lý sao", "strong_sun", "crop_protection", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach"), ("NONE", "GIA_LAI_CURRENT")),
+    ("heat_sunlight", "nắng nóng có cần che lưới cho {crop} không", "hot_weather", "shade", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "ngo"), ("NONE", "VIETNAM")),
+    ("heat_sunlight", "nắng kéo dài ảnh hưởng {crop} thế nào", "hot_weather", "NONE", "crop_group", ("leafy_vegetable", "short_cycle_vegetable"), ("NONE", "GIA_LAI_CURRENT")),
+    ("humidity_disease", "trời ẩm {crop} dễ bị bệnh gì", "high_humidity", "disease_monitoring", "crop_specific", TARGET_CROPS, ("NONE", "VIETNAM")),
+    ("humidity_disease", "mưa nhiều {crop} bị nấm phải làm sao", "prolonged_rain", "disease_management", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "ngo"), ("NONE", "BINH_DINH_LEGACY")),
+    ("humidity_disease", "độ ẩm cao có làm {crop} bị thối không", "high_humidity", "disease_monitoring", "crop_group", ("leafy_vegetable", "general_vegetable"), ("NONE", "GIA_LAI_CURRENT")),
+    ("humidity_disease", "sau mưa {crop} dễ bị sâu bệnh gì", "post_rain", "disease_monitoring", "crop_specific", TARGET_CROPS, ("NONE", "VIETNAM")),
+    ("humidity_disease", "{crop} bị ướt lá lâu có dễ bị bệnh không", "leaf_wetness", "disease_monitoring", "crop_group", ("leafy_vegetable", "herb_vegetable"), ("NONE",)),
+    ("fertilizer_weather", "mưa xong có bón phân cho {crop} được không", "post_rain", "fertilization", "crop_specific", TARGET_CROPS, ("NONE", "VIETNAM")),
+    ("fertilizer_weather", "bón phân cho {crop} trước khi mưa có bị trôi không", "heavy_rain", "fertilization", "crop_group", ("general_vegetable", "short_cycle_vegetable"), ("NONE", "BINH_DINH_LEGACY")),
+    ("fertilizer_weather", "sau mưa bao lâu thì bón phân cho {crop}", "post_rain", "fertilization", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "rau_muong"), ("NONE", "GIA_LAI_CURRENT")),
+    ("fertilizer_weather", "trời nắng nóng có nên bón phân cho {crop} không", "hot_weather", "fertilization", "crop_group", ("leafy_vegetable", "herb_vegetable"), ("NONE", "VIETNAM")),
+    ("spraying_weather", "sắp mưa có nên phun thuốc cho {crop} không", "heavy_rain", "spray_window", "crop_group", ("general_vegetable", "leafy_vegetable"), ("NONE", "VIETNAM")),
+    ("spraying_weather", "phun thuốc xong gặp mưa có cần phun lại cho {crop} không", "post_rain", "spray_window", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach"), ("NONE", "BINH_DINH_LEGACY")),
+    ("spraying_weather", "sau mưa bao lâu thì phun thuốc cho {crop}", "post_rain", "spray_window", "crop_group", ("general_vegetable", "short_cycle_vegetable"), ("NONE", "GIA_LAI_CURRENT")),
+    ("spraying_weather", "trời gió có phun thuốc cho {crop} được không", "strong_wind", "spray_window", "crop_group", ("general_vegetable", "leafy_vegetable"), ("NONE", "VIETNAM")),
+    ("spraying_weather", "trời ẩm có nên phun thuốc phòng bệnh cho {crop} không", "high_humidity", "spray_window", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "ngo"), ("NONE",)),
+    ("planting_weather", "tháng này trồng {crop} có phù hợp không", "weather_change", "planting", "crop_specific", TARGET_CROPS, ("NONE", "VIETNAM")),
+    ("planting_weather", "mưa nhiều có nên xuống giống {crop} không", "prolonged_rain", "planting", "crop_group", ("general_vegetable", "short_cycle_vegetable"), ("NONE", "BINH_DINH_LEGACY")),
+    ("planting_weather", "trời nóng quá có nên trồng {crop} không", "hot_weather", "planting", "crop_specific", ("xa_lach", "cai_xanh", "cai_cuc", "ngo"), ("NONE", "GIA_LAI_CURRENT")),
+    ("planting_weather", "mùa mưa nên trồng {crop} thế nào", "rainy_season", "planting", "crop_group", ("leafy_vegetable", "herb_vegetable"), ("NONE", "VIETNAM")),
+    ("planting_weather", "trời lạnh gieo {crop} có được không", "cold_weather", "planting", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "ngo"), ("NONE",)),
+    ("weather_recovery", "{crop} bị ngập nước phải xử lý sao", "waterlogging", "drainage", "crop_specific", ("cai_xanh", "cai_cuc", "xa_lach", "rau_muong"), ("NONE", "VIETNAM")),
+    ("weather_recovery", "{crop} bị héo sau nắng nóng phải làm gì", "hot_weather", "irrigation", "crop_specific", TARGET_CROPS, ("NONE", "GIA_LAI_CURRENT")),
+    ("weather_recovery", "sau mưa lớn cần làm gì cho {crop}", "heavy_rain", "post_rain_care", "crop_group", ("general_vegetable", "short_cycle_vegetable"), ("NONE", "BINH_DINH_LEGACY")),
+    ("weather_recovery", "{crop} bị đổ do gió có cứu được không", "strong_wind", "crop_protection", "crop_group", ("general_vegetable", "leafy_vegetable"), ("NONE", "VIETNAM")),
+    ("weather_recovery", "thời tiết thay đổi đột ngột chăm {crop} thế nào", "weather_change", "field_inspection", "crop_specific", TARGET_CROPS, ("NONE",)),
 )

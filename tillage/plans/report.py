@@ -14,7 +14,7 @@ def counts(title: str, values: Mapping[object, int]) -> str:
 def selection(selected: DataFrame, summary: Mapping[str, object], shown: int = 12) -> str:
     """Totals, counts by dimension, and the first rows in rank order."""
     head = [f"query bank : {summary['total_query_bank']}", f"selected   : {summary['selected_queries']}", f"skipped    : {summary['skipped_queries']}", f"status     : {summary['status']}"]
-    dims = [counts(k.removeprefix("by_"), v) for k, v in summary.items() if k.startswith("by_")]
+    dims = [counts(k.removeprefix("by_"), v) for k, v in summary["selection"].items() if k.startswith("by_")]
     rows = selected.orderBy("selection_rank").limit(shown).collect()
     lines = [f"{r.selection_rank:02d}. [{r.combined_query_id}] {r.discovery_channel} | {r.source_stage} | {r.query_kind} | {r.scope_type} | {r.query_text}" for r in rows]
     return "\n".join([*head, "", *dims, "", *lines])

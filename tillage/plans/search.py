@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -14,9 +15,9 @@ from tillage.operators.audits import audit, audit_candidates, audit_vocabularies
 from tillage.operators.candidates import merge_hits
 from tillage.operators.selection import select_queries
 from tillage.operators.tables import coverage, domain_breakdown
-from tillage.plans import fixed
+from tillage.plans import fixed, vocabulary as words
 from tillage.sources.config import RunConfig
-from tillage.sources.providers import hits_of, provider_of
+from tillage.sources.providers import hits_of, provider_of, raw_results
 
 
 @dataclass(frozen=True)
@@ -31,11 +32,17 @@ class Vocabulary:
     general: dict[str, str] = field(default_factory=dict)
     general_default: str = "thời tiết chăm sóc"
 
+    @staticmethod
+    def fixed() -> Vocabulary:
+        """The vocabularies of tillage.plans.vocabulary."""
+        lists = lambda table: {k: list(v) for k, v in table.items()}
+        return Vocabulary(lists(words.CROP_TERMS), lists(words.SCENARIO_TERMS), lists(words.ACTION_TERMS), list(words.EFFECT_TERMS), list(words.NOISE_TERMS), dict(words.GENERAL_TERMS))
+
     @staticmethod
     def of(config: dict, noise: Sequence[str] = (), general: dict[str, str] | None = None) -> Vocabulary:
-        """From the taxonomy: names, aliases and translations; a larger one can be given in its place."""
+        """From a taxonomy: names, aliases and translations."""
         crops = {c["id"]: [*c["aliases_vi"], *c["aliases_en"]] for c in config.get("crops", [])} | {k: [*g["aliases_vi"], *g["aliases_en"]] for k, g in config.get("crop_groups", {}).items()}
-        effects = list(dict.fromkeys(e.replace("_", " ") for s in fixed.SCENARIOS for e in s[4].split()))
+        effects = list(dict.fromkeys(e.replace("_", " ") for s in fixed.SCENARIOS for e in s[4]))
         return Vocabulary(crops, {s[0]: [s[2], s[3]] for s in fixed.SCENARIOS}, {a: [vi, en] for a, vi, en in fixed.ACTIONS}, effects, list(noise), general or {})
 
     def attach(self, queries: DataFrame) -> DataFrame:
@@ -102,11 +109,11 @@ def score_hits(hits: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def keep_best(scored: DataFrame, limit: int) -> DataFrame:
-    """Hits that aren't rejected, ``limit`` per variant: scholarly ones by status and score, web ones by rank."""
+    """Hits that aren't rejected, ``limit`` per variant, numbered by _rn: scholarly ones by status and score, web ones by rank."""
     status = F.when(F.col("relevance_status") == "direct_match", 0).otherwise(1)
     scholarly = F.col("discovery_channel") == "scholarly"
     order = Window.partitionBy("original_query_id", "variant_ord").orderBy(F.when(scholarly, status), F.when(scholarly, -F.col("relevance_score")), "result_rank")
-    return scored.where(F.col("relevance_status") != REJECTED).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= limit).drop("_rn")
+    return scored.where(F.col("relevance_status") != REJECTED).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= limit)
 
 
 def first_successful(kept: DataFrame) -> DataFrame:
@@ -116,14 +123,20 @@ def first_successful(kept: DataFrame) -> DataFrame:
 
 
 def query_statistics(answers: DataFrame, kept: DataFrame) -> DataFrame:
-    """Per query: requests made, errors, whether one succeeded, hits kept, and whether a fallback brought them."""
+    """Per query: requests made, errors, whether one succeeded, raw results, hits kept, and whether a fallback brought them.
+
+    ``answers`` has a row for each request with ``raw_results``, the number of results before any
+    was left out. A query has zero results if no request failed and none brought a raw result.
+    """
     won = kept.groupBy("original_query_id").agg(F.count(F.lit(1)).alias("hits"), F.min("variant_ord").alias("won"))
-    tried = answers.join(won, "original_query_id", "left").where("won is null or variant_ord <= won")
-    per = tried.groupBy("original_query_id").agg(F.count(F.lit(1)).alias("requests"), F.count_if(F.col("error").isNotNull()).alias("errors"), F.max(F.col("error").isNull()).alias("succeeded"), F.coalesce(F.max("hits"), F.lit(0)).alias("hits"), F.max("won").alias("won"))
-    return per.withColumn("recovered", F.coalesce(F.col("won") > 0, F.lit(False))).withColumn("zero_results", (F.col("hits") == 0) & (F.col("errors") == 0)).drop("won")
+    failed = F.col("error").isNotNull()
+    per = answers.groupBy("original_query_id").agg(F.count(F.lit(1)).alias("requests"), F.count_if(failed).alias("errors"), F.max(~failed).alias("succeeded"), F.sum(F.when(~failed, F.col("raw_results")).otherwise(0)).alias("raw_results"))
+    both = per.join(won, "original_query_id", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
+    return both.withColumn("recovered", F.coalesce(F.col("won") > 0, F.lit(False))).withColumn("zero_results", (F.col("raw_results") == 0) & (F.col("errors") == 0)).drop("won")
 
 
 def run_status(issues: int, candidates: int, queries: int, failed: int, rate: float, live: bool, least: float = 0.60) -> str:
+    """``failed``: queries with a provider error."""
     if not live:
         return "NEEDS_A3_REVIEW" if issues else "DRY_RUN_READY"
     if issues:
@@ -143,6 +156,13 @@ def domain_counts(candidates: DataFrame) -> dict[str, int]:
     return {r["domain"]: r["n"] for r in domain_breakdown(ranked, "source_domain", "_ord").collect()}
 
 
+#: Dimensions of a selection that a summary counts, by their names there.
+SELECTION_COUNTS = {
+    "by_discovery_channel": "discovery_channel", "by_language": "language", "by_source_stage": "source_stage", "by_query_origin": "query_origin_group", "by_query_kind": "query_kind", "by_crop_scope": "scope_type",
+    "by_crop_key": "crop_key", "by_weather_scenario": "weather_scenario", "by_action": "action", "by_search_region": "search_region", "by_selection_priority": "selection_priority",
+}
+
+
 @dataclass(frozen=True)
 class Run:
     selected: DataFrame
@@ -152,48 +172,98 @@ class Run:
     summary: dict
 
 
-def discover(bank: DataFrame, vocabulary: Vocabulary, config: RunConfig, search: Callable[[DataFrame], DataFrame], retrieved_at: str, web_key: str | None = None) -> Run:
-    """Select, search, score, merge, audit. ``search`` adds payload and error to variant rows."""
-    selected = select_queries(bank, config.selection_limit).cache()
-    run = selected.where(F.col("discovery_channel").isin(*config.channels)).orderBy("selection_rank").limit(config.query_limit)
-    asked = variants(run, vocabulary, config.max_fallbacks)
+def search_rounds(run: DataFrame, vocabulary: Vocabulary, config: RunConfig, search: Callable[[DataFrame], DataFrame], web_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(answers, kept hits) of the queries ``run``: each asks its variants in order and stops at the first that brings a hit.
+
+    One round asks one variant of every query that has no hit yet, so there are as many rounds as
+    variants and no request that a query by query search wouldn't make.
+    """
     names = F.create_map(*[F.lit(x) for c in ("web", "scholarly") for x in (c, provider_of(c, web_key))])
-    answers = search(asked.withColumn("provider", names[F.col("discovery_channel")])).cache()
-    scored = score_hits(hits_of(answers), vocabulary)
-    kept = first_successful(keep_best(scored, config.results_per_query)).cache()
-    order = Window.orderBy("selection_rank", "variant_ord", "result_rank")
-    flat = kept.select(
+    asked = variants(run, vocabulary, config.max_fallbacks).withColumn("provider", names[F.col("discovery_channel")]).cache()
+    answers, kept, won = [], [], set()
+    for k in range(config.max_fallbacks + 1):
+        now = asked.where(F.col("variant_ord") == k)
+        if kept:
+            # Only ids come to the driver, no more than the run has queries; the rounds' plans don't nest.
+            done = run.sparkSession.createDataFrame([(i,) for i in sorted(won)], "original_query_id string")
+            now = now.join(F.broadcast(done), "original_query_id", "left_anti")
+        got = search(now)
+        answers.append(got.withColumn("raw_results", raw_results(F.col("provider"), F.col("payload"))).cache())
+        kept.append(keep_best(score_hits(hits_of(answers[-1]), vocabulary), config.results_per_query).cache())
+        won |= {r[0] for r in kept[-1].select("original_query_id").distinct().collect()}
+    return reduce(DataFrame.unionByName, answers), reduce(DataFrame.unionByName, kept)
+
+
+def selection_summary(bank: DataFrame, selected: DataFrame) -> dict:
+    """Totals, and the selected queries by each dimension; ``selected`` has at most the selection's limit of rows."""
+    total, rows = bank.count(), [r.asDict() for r in selected.select(*SELECTION_COUNTS.values()).collect()]
+    counts = {name: {k: sum(r[d] == k for r in rows) for k in sorted({r[d] for r in rows})} for name, d in SELECTION_COUNTS.items()}
+    return {"total_query_bank": total, "selected_queries": len(rows), "skipped_queries": total - len(rows)} | counts
+
+
+def issue_list(issues: DataFrame, stage: str = "A3") -> list[dict]:
+    """The issues of a run with their stage, in order; there are no more than candidates, references and rules allow."""
+    return [{"stage": stage, "type": r["type"], "id": r["id"]} for r in issues.orderBy("type", "id").collect()]
+
+
+def run_summary(mode: str, status: str, selection: dict, statistics: DataFrame | None, errors: list[dict], candidates: int, domains: dict[str, int], issues: list[dict], config: RunConfig, generated_at: str, outputs: dict[str, str] | None = None) -> dict:
+    """What a run did, in the form of its summary file."""
+    columns = {"requests": 0, "succeeded": 0, "recovered": 0, "failed": 0, "zero": 0, "raw": 0, "hits": 0}
+    cover = {"executed": 0, "with_hits": 0, "without_hits": 0, "query_hit_rate": 0.0}
+    if statistics is not None:
+        count = F.count_if
+        s = statistics.agg(F.sum("requests"), count("succeeded"), count("recovered"), count(F.col("errors") > 0), count("zero_results"), F.sum("raw_results"), F.sum("hits")).first()
+        columns = dict(zip(columns, [x or 0 for x in s], strict=True))
+        cover = coverage(statistics, F.col("hits")).first().asDict()
+    kept, filtered = columns["hits"], columns["raw"] - columns["hits"]
+    return {
+        "generated_at": generated_at, "stage": "A3", "mode": mode, "status": status,
+        "total_query_bank": selection["total_query_bank"], "selected_queries": selection["selected_queries"], "skipped_queries": selection["skipped_queries"],
+        "executed_queries": cover["executed"], "executed_original_queries": cover["executed"], "executed_search_requests": columns["requests"],
+        "queries_with_relevant_results": cover["with_hits"], "queries_without_relevant_results": cover["without_hits"], "query_hit_rate": cover["query_hit_rate"], "minimum_query_hit_rate": config.min_hit_rate,
+        "original_queries_succeeded": columns["succeeded"], "queries_recovered_by_fallback": columns["recovered"], "provider_errors": errors, "queries_with_provider_error": columns["failed"], "queries_with_zero_results": columns["zero"],
+        "raw_provider_results": columns["raw"], "raw_results": kept, "relevant_results": kept, "relevant_results_kept": kept, "irrelevant_results_filtered": filtered, "irrelevant_filtered": filtered,
+        "unique_candidates": candidates, "duplicate_urls_removed": kept - candidates,
+        "selection": selection, "by_channel": selection["by_discovery_channel"], "by_language": selection["by_language"], "by_domain": domains, "by_search_region": selection["by_search_region"],
+        "audit": {"issue_count": len(issues), "issues": issues}, "errors": [], "outputs": outputs or {},
+    }
+
+
+def flat_hits(kept: DataFrame, retrieved_at: str) -> DataFrame:
+    """Kept hits in the form that merge_hits takes, numbered in the order they were found."""
+    order = Window.orderBy("selection_rank", "variant_ord", "_rn")
+    return kept.select(
         F.row_number().over(order).alias("ord"), F.col("hit.url").alias("url"), *[F.col(f"hit.{c}").alias(c) for c in ("title", "snippet", "doi", "abstract", "subjects")],
         source_type(F.col("hit.url"), F.col("hit.source_type_hint"), F.col("discovery_channel")).alias("source_type"), F.lit(retrieved_at).alias("retrieved_at"),
         F.col("combined_query_id").alias("query_id"), "original_query_id", "original_query_text", "search_variant_text", "search_variant_type", "source_stage", "source_query_id", "query_origin", F.col("search_text").alias("query_text"),
         "language", "discovery_channel", "query_kind", F.col("scope_type").alias("crop_scope"), "crop_key", F.col("weather_scenario").alias("scenario"), "action", "search_region", "result_rank", "provider",
         "relevance_status", "relevance_score", "relevance_reasons", "matched_crop_terms", "matched_scenario_terms", "matched_action_terms",
     )
-    candidates = merge_hits(flat).cache()
+
+
+def discover(bank: DataFrame, vocabulary: Vocabulary, config: RunConfig, search: Callable[[DataFrame], DataFrame], retrieved_at: str, web_key: str | None = None, outputs: dict[str, str] | None = None) -> Run:
+    """Select, search, score, merge, audit. ``search`` adds payload and error to variant rows."""
+    selected = select_queries(bank, config.selection_limit).cache()
+    run = selected.where(F.col("discovery_channel").isin(*config.channels)).orderBy("selection_rank").limit(config.query_limit)
+    answers, kept = search_rounds(run, vocabulary, config, search, web_key)
+    candidates = merge_hits(flat_hits(kept, retrieved_at)).cache()
     statistics = query_statistics(answers, kept).cache()
-    issues = audit_candidates(candidates, selected.select(F.col("combined_query_id").alias("query_id")))
-    s = statistics.agg(F.count(F.lit(1)), F.sum("requests"), F.count_if(~F.col("succeeded")), F.count_if("zero_results"), F.count_if("recovered"), F.sum("hits")).first()
+    found = audit_relevance_rules(bank.sparkSession, vocabulary).union(audit_candidates(candidates, bank.select(F.col("combined_query_id").alias("query_id"))))
+    issues = found.cache()
+    failed = answers.where(F.col("error").isNotNull()).orderBy("selection_rank", "variant_ord")
+    errors = [r.asDict() for r in failed.select("original_query_id", "original_query_text", "search_variant_text", "search_variant_type", "provider", F.lit(config.attempts).alias("attempts"), "error").collect()]
     cover = coverage(statistics, F.col("hits")).first()
-    n, wrong = candidates.count(), issues.count()
-    totals = dict(zip(("original_queries", "executed_search_requests", "queries_with_errors", "queries_with_zero_results", "queries_recovered_by_fallback", "kept_hits"), [x or 0 for x in s], strict=True))
-    summary = totals | {
-        "unique_candidates": n,
-        "duplicate_hits": totals["kept_hits"] - n,
-        "query_hit_rate": cover["query_hit_rate"],
-        "issues": wrong,
-        "status": run_status(wrong, n, totals["original_queries"], totals["queries_with_errors"], cover["query_hit_rate"], True, config.min_hit_rate),
-        "by_domain": domain_counts(candidates),
-    }
+    n, listed = candidates.count(), issue_list(issues)
+    status = run_status(len(listed), n, cover["executed"], len({e["original_query_id"] for e in errors}), cover["query_hit_rate"], True, config.min_hit_rate)
+    summary = run_summary("live", status, selection_summary(bank, selected), statistics, errors, n, domain_counts(candidates), listed, config, retrieved_at, outputs)
     return Run(selected, candidates, issues, statistics, summary)
 
 
-def dry_run(bank: DataFrame, config: RunConfig, issues: int = 0) -> tuple[DataFrame, dict]:
+def dry_run(bank: DataFrame, config: RunConfig, issues: DataFrame | None = None, generated_at: str = "") -> tuple[DataFrame, dict]:
     """The selection and its summary; nothing is searched or written."""
     selected = select_queries(bank, config.selection_limit)
-    dims = ("discovery_channel", "source_stage", "query_kind", "scope_type", "search_region", "language", "weather_scenario", "crop_key")
-    total, rows = bank.count(), [r.asDict() for r in selected.select(*dims).collect()]
-    counts = {f"by_{d}": {k: sum(r[d] == k for r in rows) for k in sorted({r[d] for r in rows})} for d in dims}
-    return selected, {"total_query_bank": total, "selected_queries": len(rows), "skipped_queries": total - len(rows), "status": run_status(issues, 0, 0, 0, 0.0, False)} | counts
+    listed = issue_list(issues) if issues is not None else []
+    return selected, run_summary("dry_run", run_status(len(listed), 0, 0, 0, 0.0, False), selection_summary(bank, selected), None, [], 0, {}, listed, config, generated_at)
 
 
 #: A hit about weather only, which must match no crop and be rejected.

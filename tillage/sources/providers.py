@@ -13,10 +13,10 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillage.functions.text import clean_markup_text, clean_web_text
+from tillage.functions.text import clean_text
 
-WEB_A = "web struct<results: array<struct<url: string, title: string, description: string, snippet: string, body: string>>>"
-WEB_B = "array<struct<href: string, url: string, title: string, body: string, snippet: string, description: string>>"
+BRAVE = "web struct<results: array<struct<url: string, title: string, description: string, snippet: string, body: string>>>"
+DDGS = "array<struct<href: string, url: string, title: string, body: string, snippet: string, description: string>>"
 SCHOLARLY = "message struct<items: array<struct<DOI: string, URL: string, title: array<string>, abstract: string, subject: array<string>, type: string>>>"
 
 
@@ -32,48 +32,78 @@ def _first(*names: Column) -> Column:
     return F.coalesce(*[F.nullif(n, F.lit("")) for n in names], F.lit(""))
 
 
-def web_a_hits(payload: Column) -> Column:
-    """Array of hits of a `web.results` payload."""
-    results = F.from_json(payload, WEB_A)["web"]["results"]
-    return _hits(results, lambda r: (r["url"], r["title"], _first(r["description"], r["snippet"], r["body"])))
+def _brave(payload: Column) -> Column:
+    return _web(F.from_json(payload, BRAVE)["web"]["results"], lambda r: (r["url"], r["title"], _first(r["description"], r["snippet"], r["body"])))
 
 
-def web_b_hits(payload: Column) -> Column:
-    """Array of hits of a list payload."""
-    return _hits(F.from_json(payload, WEB_B), lambda r: (_first(r["href"], r["url"]), r["title"], _first(r["body"], r["snippet"], r["description"])))
+def _ddgs(payload: Column) -> Column:
+    return _web(F.from_json(payload, DDGS), lambda r: (_first(r["href"], r["url"]), r["title"], _first(r["body"], r["snippet"], r["description"])))
 
 
-def _hits(results: Column, pick: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
-    def make(r: Column) -> Column:
-        url, title, snippet = pick(r)
-        none = F.lit("")
-        return F.struct(F.coalesce(url, none).alias("url"), clean_web_text(title).alias("title"), clean_web_text(snippet).alias("snippet"), none.alias("source_type_hint"), none.alias("doi"), none.alias("abstract"), F.array().cast("array<string>").alias("subjects"))
+def _hit(rank: Column, url: Column, title: Column, snippet: Column, hint: Column, doi: Column, abstract: Column, subjects: Column) -> Column:
+    fields = {"url": url, "title": title, "snippet": snippet, "source_type_hint": hint, "doi": doi, "abstract": abstract}
+    return F.struct(rank.alias("rank"), *[F.coalesce(c, F.lit("")).alias(k) for k, c in fields.items()], F.coalesce(subjects, F.array().cast("array<string>")).alias("subjects"))
 
-    return F.filter(F.transform(results, make), lambda h: h["url"] != "")
 
+def _web(results: Column, pick: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
+    """Array of hits as they come; results without a URL are skipped but counted by rank."""
+    none = F.lit("")
+    return F.filter(F.transform(results, lambda r, i: _hit(i + 1, *pick(r), none, none, none, F.array().cast("array<string>"))), lambda h: h["url"] != "")
 
-def scholarly_hits(payload: Column) -> Column:
-    """Array of hits of a works payload: the URL or else that of the DOI; items without either are skipped."""
-    items = F.from_json(payload, SCHOLARLY)["message"]["items"]
 
-    def make(i: Column) -> Column:
+def _scholarly(payload: Column) -> Column:
+    """Array of hits as they come: the URL or else that of the DOI; items without either are skipped."""
+
+    def make(i: Column, at: Column) -> Column:
         doi = F.coalesce(i["DOI"], F.lit(""))
         url = F.coalesce(F.nullif(i["URL"], F.lit("")), F.when(doi != "", F.concat(F.lit("https://doi.org/"), doi)), F.lit(""))
-        subjects = F.coalesce(F.transform(i["subject"], clean_markup_text), F.array().cast("array<string>"))
-        return F.struct(url.alias("url"), clean_markup_text(F.get(i["title"], F.lit(0))).alias("title"), F.lit("").alias("snippet"), _first(i["type"], F.lit("scholarly_record")).alias("source_type_hint"), doi.alias("doi"), clean_markup_text(i["abstract"]).alias("abstract"), subjects.alias("subjects"))
+        return _hit(at + 1, url, F.get(i["title"], F.lit(0)), F.lit(""), F.coalesce(i["type"], F.lit("scholarly_record")), doi, i["abstract"], i["subject"])
+
+    return F.filter(F.transform(F.from_json(payload, SCHOLARLY)["message"]["items"], make), lambda h: h["url"] != "")
+
+
+def _clean(h: Column, markup: Column) -> Column:
+    """A hit with its texts cleaned, of tags too if they are ``markup``."""
+    text = lambda c: clean_text(c, markup)
+    subjects = F.filter(F.transform(h["subjects"], text), lambda t: t != "")
+    return _hit(h["rank"], h["url"], text(h["title"]), text(h["snippet"]), h["source_type_hint"], h["doi"], text(h["abstract"]), subjects)
+
+
+def brave_hits(payload: Column) -> Column:
+    """Array of hits of a `web.results` payload."""
+    return F.transform(_brave(payload), lambda h: _clean(h, F.lit(False)))
 
-    return F.filter(F.transform(items, make), lambda h: h["url"] != "")
+
+def ddgs_hits(payload: Column) -> Column:
+    """Array of hits of a list payload."""
+    return F.transform(_ddgs(payload), lambda h: _clean(h, F.lit(False)))
+
+
+def scholarly_hits(payload: Column) -> Column:
+    """Array of hits of a works payload."""
+    return F.transform(_scholarly(payload), lambda h: _clean(h, F.lit(True)))
 
 
-MAPPERS = {"web_a": web_a_hits, "web_b": web_b_hits, "crossref": scholarly_hits}
+#: The names of the providers, which candidates keep.
+WEB_KEYED, WEB_OPEN, SCHOLAR = "brave", "ddgs", "crossref"
+MAPPERS = {WEB_KEYED: _brave, WEB_OPEN: _ddgs, SCHOLAR: _scholarly}
+
+
+def raw_results(provider: Column, payload: Column) -> Column:
+    """Results of a payload before any is left out; 0 without a payload."""
+    sizes = {WEB_KEYED: F.from_json(payload, BRAVE)["web"]["results"], WEB_OPEN: F.from_json(payload, DDGS), SCHOLAR: F.from_json(payload, SCHOLARLY)["message"]["items"]}
+    out = F.lit(None)
+    for name, items in sizes.items():
+        out = F.when(provider == name, F.size(items)).otherwise(out)
+    return F.greatest(F.coalesce(out, F.lit(0)), F.lit(0))
 
 
 def provider_of(channel: str, web_key: str | None) -> str:
-    """web_a with a key, web_b without; crossref for scholarly; else SearchProviderUnavailable."""
+    """The keyed web search with a key, the open one without; the scholarly one; else SearchProviderUnavailable."""
     if channel == "web":
-        return "web_a" if web_key else "web_b"
+        return WEB_KEYED if web_key else WEB_OPEN
     if channel == "scholarly":
-        return "crossref"
+        return SCHOLAR
     raise SearchProviderUnavailable(f"no search provider for channel {channel!r}")
 
 
@@ -110,34 +140,43 @@ def with_retries(call: Callable[[], str], attempts: int, backoff: float) -> tupl
     return None, error
 
 
+def checked(body: str) -> str:
+    """The body of an answer, which must be JSON: json.JSONDecodeError if not, which ends the run."""
+    json.loads(body)
+    return body
+
+
 def live_call(provider: str, query: str, limit: int, timeout: float) -> str:
     """Payload of one request to a live provider."""
     quote = urllib.parse.urlencode
-    if provider == "web_a":
-        base, key = os.environ["WEB_SEARCH_URL"], os.environ["WEB_SEARCH_KEY"]
-        return request_json(f"{base}?{quote({'q': query, 'count': clamp(limit), 'search_lang': 'vi'})}", {"Accept": "application/json", "X-Subscription-Token": key}, timeout)
-    if provider == "web_b":
+    if provider == WEB_KEYED:
+        key = os.environ.get("BRAVE_SEARCH_API_KEY", "")
+        if not key:
+            raise SearchProviderUnavailable("the keyed web search needs BRAVE_SEARCH_API_KEY")
+        return checked(request_json(f"https://api.search.brave.com/res/v1/web/search?{quote({'q': query, 'count': clamp(limit), 'search_lang': 'vi'})}", {"Accept": "application/json", "X-Subscription-Token": key}, timeout))
+    if provider == WEB_OPEN:
         try:
-            from ddgs import DDGS
+            from ddgs import DDGS as Client
         except ImportError as e:
             raise SearchProviderUnavailable("the ddgs package is not installed") from e
         try:
-            return json.dumps(list(DDGS(timeout=timeout).text(query, region="vn-vi", safesearch="moderate", max_results=limit)))
+            return json.dumps(list(Client(timeout=timeout).text(query, region="vn-vi", safesearch="moderate", max_results=max(1, limit))))
         except Exception as e:
             if "no results found" in str(e).lower():
                 return "[]"
             raise SearchProviderError(f"web search failed: {e}") from e
-    if provider == "crossref":
-        ask = {"query.bibliographic": query, "rows": overfetch(limit)} | ({"mailto": os.environ["CROSSREF_MAILTO"]} if os.environ.get("CROSSREF_MAILTO") else {})
-        return request_json(f"https://api.crossref.org/works?{quote(ask)}", {"Accept": "application/json"}, timeout)
+    if provider == SCHOLAR:
+        ask = {"query": query, "rows": overfetch(limit)} | ({"mailto": os.environ["A3_CROSSREF_MAILTO"]} if os.environ.get("A3_CROSSREF_MAILTO") else {})
+        return checked(request_json(f"https://api.crossref.org/works?{quote(ask)}", {"Accept": "application/json"}, timeout))
     raise SearchProviderUnavailable(f"unknown provider {provider!r}")
 
 
 def search_live(variants: DataFrame, limit: int, timeout: float, attempts: int, backoff: float, pause: float, call: Callable[[str, str, int, float], str] = live_call) -> DataFrame:
     """Adds payload and error to variant rows (provider, original_query_id, variant_ord, search_text).
 
-    Variants of one query are asked in order and stop at the first non-empty answer, so queries are
-    the unit of distribution; retries happen here, as a task's retry would repeat all its requests.
+    Queries are the unit of distribution, with a pause after each; retries happen here, as a task's
+    retry would repeat all its requests. Which variants are asked is settled by
+    tillage.plans.search.search_rounds.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -154,11 +193,14 @@ def search_live(variants: DataFrame, limit: int, timeout: float, attempts: int,
 
 def search_fixture(variants: DataFrame, payloads: DataFrame) -> DataFrame:
     """As search_live, from a table of (search_text, payload, error): for tests and repeated runs."""
-    return variants.join(payloads, "search_text", "left").withColumn("payload", F.coalesce("payload", F.when(F.col("error").isNull(), F.when(F.col("provider") == "web_b", "[]").otherwise("{}"))))
+    return variants.join(payloads, "search_text", "left").withColumn("payload", F.coalesce("payload", F.when(F.col("error").isNull(), F.when(F.col("provider") == WEB_OPEN, "[]").otherwise("{}"))))
 
 
 def hits_of(answers: DataFrame) -> DataFrame:
-    """One row per hit of answered variants: hit.* and result_rank from 1."""
-    parsed = F.when(F.col("provider") == "web_a", web_a_hits(F.col("payload"))).when(F.col("provider") == "web_b", web_b_hits(F.col("payload"))).otherwise(scholarly_hits(F.col("payload")))
-    return answers.select("*", F.posexplode(parsed).alias("_at", "hit")).withColumn("result_rank", F.col("_at") + 1).drop("_at")
-
+    """One row per hit of answered variants: hit.* and result_rank, the place among all results from 1."""
+    parsed = F.lit(None)
+    for name, mapper in MAPPERS.items():
+        parsed = F.when(F.col("provider") == name, mapper(F.col("payload"))).otherwise(parsed)
+    # Cleaned before they are exploded: a projection behind would be repeated in every column that reads a hit.
+    clean = F.transform(parsed, lambda h: _clean(h, F.col("provider") == SCHOLAR))
+    return answers.select("*", F.explode(clean).alias("hit")).withColumn("result_rank", F.col("hit.rank"))
