@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of one Arrow batch sent to Python, whether its rows are whole texts or a few numbers.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 
 #: Characters worked on at once; a longer text is a chunk of its own.
-CHUNK = 500_000
+CHUNK = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
