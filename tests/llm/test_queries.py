@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_importance_resampling": {"doc_id": "bigint", "log_weight": "double", "gumbel_key": "double", "selected": "boolean"},
     "op9_sentencepiece_nbest": {"doc_id": "bigint", "rank": "int", "score": "double", "n_ids": "bigint", "ids_crc32": "bigint", "exact": "boolean"},
     "op10_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op11_source_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op12_embedding_whitening": {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"},
+    "op13_target_resampling": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
 }
 
 
@@ -36,7 +39,7 @@ def test_columns_and_types(results, name):
     assert dict(results[name][0].dtypes) == COLUMNS[name]
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op3_simhash_dedup", "op7_toxicity", "op8_importance_resampling", "op10_language_id"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op3_simhash_dedup", "op7_toxicity", "op8_importance_resampling", "op10_language_id", "op11_source_mixing", "op13_target_resampling"])
 def test_one_row_for_each_document(spark, results, name):
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
     assert sorted(results[name][1].doc_id) == ids
