@@ -53,12 +53,12 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     or other columns, is as many documents, each in the group of its own text; of one group's the
     smallest by (doc_id, a hash of the row) stays. Rows repeated in full count once.
     """
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    keyed = docs.where("doc_id is not null").withColumn("_key", F.xxhash64("doc_id", "text", F.to_json(F.struct(*others))))
-    groups = simhash_groups(keyed.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
-    placed = groups.join(keyed.select("_key", "doc_id").distinct(), "_key")
-    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key")
-    kept = keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*[f"`{c}`" for c in docs.columns])
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    keyed = docs.where("doc_id is not null").select(F.xxhash64("doc_id", "text", F.to_json(others)).alias("key"), "doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    groups = simhash_groups(keyed.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id").distinct()
+    placed = groups.join(keyed.select("key", "doc_id").distinct(), "key")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("first")).select("first.key")
+    kept = keyed.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
     return kept.unionByName(docs.where("doc_id is null"))
 
 
