@@ -25,7 +25,8 @@ def spark():
 
 @pytest.fixture(scope="session")
 def awkward(spark):
-    """Null ids and texts, empty, blank and long texts, repeated rows, and columns whose names clash."""
-    long = "word " * 30_000
+    """Null ids and texts, empty, blank and long texts, repeated rows, and columns whose names clash with those that operators use."""
+    long = " ".join(f"word{i % 997} und" for i in range(90_000))
     rows = [(1, "a b c"), (1, "a b c"), (2, None), (3, ""), (4, " \n\t\n"), (None, "a b c"), (None, None), (5, long), (6, "ß é ñ \U0001f600 <|endoftext|> ▁ \r\n x")]
-    return spark.createDataFrame([(i, t, 0.5, "x", "y", 1, 2) for i, t in rows], "doc_id long, text string, score double, root string, line string, part int, id int")
+    names = "_p string, _key int, _row int, row int, key int, rest int, given_id int, copies int, chunk int, found string, new string"
+    return spark.createDataFrame([(i, t, 0.5, "x", "y", 1, 2, "p", *range(8), "f", "n") for i, t in rows], "doc_id long, text string, score double, root string, line string, part int, id int, " + names)

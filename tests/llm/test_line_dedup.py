@@ -1,7 +1,10 @@
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-from tillage.llm.line_dedup import band_keys, dedup_lines, signatures
+from tillage.llm.line_dedup import _bands, band_keys, dedup_lines, signatures
 
 
 def slow_dedup(docs, least=0.8, size=5):
@@ -49,6 +52,44 @@ def test_equal_to_brute_force(spark):
     assert got == slow_dedup(docs)
 
 
+def slow_rows(rows):
+    """As slow_dedup, with every row as a document of its own; null doc_ids first."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
+    got = slow_dedup([(n, rows[i][1]) for n, i in enumerate(order)])
+    return Counter((rows[i][0], got[n]) for n, i in enumerate(order))
+
+
+def test_repeated_and_null_doc_ids(spark):
+    """At production parameters: rows of one doc_id, or of none, lose each other's lines, equal rows too; also in two steps of ranges."""
+    rng = np.random.default_rng(12)
+    pool = [_random(rng, int(rng.integers(3, 200))).strip() or "z" for _ in range(50)]
+    rows = []
+    for i in range(150):
+        doc = [None, 7, i][rng.integers(3)]
+        lines = [pool[k] for k in rng.integers(len(pool), size=3)]
+        rows.append((doc, "\n".join([*[""] * (i * 5), *lines])))  # no two lines share a position
+    rows += [rows[0]] * 4 + [rows[5]] * 3 + [(9, None)] * 2 + [(None, "")] * 2 + [(1, "hello world line"), (1, "foo\n\nhello world line"), (None, "\nhello world line"), (None, "\n\n\nfoo")]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string").repartition(5)
+    want = slow_rows(rows)
+    for ranges in (1024, 2):
+        got = dedup_lines(frame, ranges=ranges).collect()
+        assert Counter((r.doc_id, r.text) for r in got) == want
+        assert all(r.source == "x" and r.n_lines - r.n_removed == (0 if r.text is None else len(r.text.split("\n")) if r.n_lines > r.n_removed else 0) for r in got)
+
+
+def test_routing_rows_grow_as_the_lines():
+    """Rows that a task sends: one for each range that gets anything, so at most one for each key however many ranges there are."""
+    rng = np.random.default_rng(13)
+
+    def sent(n, parts):
+        lines = [_random(rng, 40) + str(i) for i in range(n)]
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1], "row": [1], "text": ["\n".join(lines)]})
+        return sum(b.num_rows for b in _bands(5, 16, 6, parts)([batch]))
+
+    assert sent(4, 100_000) <= 4 * (16 + 2) and sent(400, 100_000) <= 400 * 18 and sent(4, 4) <= 4
+    assert sent(40_000, 64) <= 2 * 64
+
+
 def test_bands_meet_as_often_as_they_should():
     rng = np.random.default_rng(6)
     met = 0
@@ -103,7 +144,7 @@ def test_awkward_rows(awkward):
     got = dedup_lines(awkward)
     assert set(awkward.columns) <= set(got.columns)
     rows = got.collect()
-    assert len(rows) == 9
+    assert len(rows) == 9 and sorted(r.text for r in rows if r.text and "b" in r.text and len(r.text) < 9) == ["a b c"]
     assert [r.text for r in rows if r.doc_id == 2] == [None] and [r.text for r in rows if r.doc_id == 3] == [""]
     assert [r.n_lines for r in rows if r.doc_id == 2] == [0]
     assert dedup_lines(awkward.limit(0)).count() == 0

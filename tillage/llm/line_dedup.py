@@ -20,6 +20,10 @@ _CHARS = 200_000
 _KEYS = 600_000
 #: Characters of the corpus for each partition of band keys: some 1.5 million keys.
 _PART = 32_000_000
+#: Ranges that a task's numbers are cut into at once; with more partitions they are cut in two steps.
+_RANGES = 1024
+#: Rows that one task makes of a group of rows that are equal in all columns.
+_CHUNK = 50_000
 _BLANK = " \t\r\f\x0b"
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -113,37 +117,53 @@ def _cuts(values: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
 
 
-def _packed(columns: list[np.ndarray], cuts: np.ndarray) -> list[bytes]:
-    """The columns' rows of each range, as bytes."""
-    table = np.stack(columns, 1)
-    return [table[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+def _packed(columns: list[np.ndarray], by: np.ndarray, parts: int) -> dict[int, bytes]:
+    """The columns' rows of each of ``parts`` ranges of the sorted numbers ``by`` that has any, as bytes."""
+    cuts, table = _cuts(by, parts), np.stack(columns, 1)
+    return {int(i): table[cuts[i] : cuts[i + 1]].tobytes() for i in np.flatnonzero(np.diff(cuts))}
 
 
 def _unpacked(blobs: list[bytes], width: int) -> list[np.ndarray]:
     return list(np.frombuffer(b"".join(blobs), np.int64).reshape(-1, width).T.copy())
 
 
+def _first_places(line: np.ndarray, some: np.ndarray, doc: np.ndarray, pos: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Which rows are the smallest place, by (null first, doc, position, row), of each line, in the lines' order (unsigned)."""
+    order = np.lexsort((row, pos, doc, some, line.view(np.uint64)))
+    return order[starts([line[order]])]
+
+
+def _routed(line: np.ndarray, places: list[np.ndarray], key: np.ndarray, member: np.ndarray, linked: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """Rows for the partitions that get any of: first places by line, the leader of each key by key, and what is linked to a leader by line."""
+    at = _first_places(line, *places)
+    some, doc, pos, row = (x[at] for x in places)
+    one = _packed([line[at], doc, pos * 2 + some, row], line[at], parts)
+    key, member, leader = _stars(key, member)
+    first = starts([key])
+    two = _packed([key[first], leader[first]], key[first], parts)
+    more = np.flatnonzero(member != leader)
+    linked = [np.concatenate(x) for x in zip(linked, (key[more], leader[more], member[more]), strict=True)]
+    order = np.argsort(linked[2].view(np.uint64))
+    linked = [x[order] for x in linked]
+    three = _packed(linked, linked[2], parts)
+    which = sorted({*one, *two, *three})
+    blobs = [pa.array([x.get(i, b"") for i in which], pa.binary()) for x in (one, two, three)]
+    return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), *blobs], names=["part", "places", "own", "linked"])
+
+
 def _bands(size: int, bands: int, rows: int, parts: int):
     """Lines of whole documents: their first places, and their band keys as stars.
 
     Equal lines and equal keys are combined for some ten thousand lines at a time. Each time one row
-    goes to every part, with the packed numbers of its range: first places (line, doc_id, place) by
+    goes to every partition that gets anything, with the packed numbers of its range: first places (line, doc_id, place, row) by
     line, leaders (key, line) by key, and what a leader already has linked (key, leader, line) by line.
     """
+    none = [np.zeros(0, np.int64)] * 3
 
-    def flush(ids: list[int], firsts: list[tuple[bool, int, int]], keys: list[np.ndarray]) -> pa.RecordBatch:
+    def flush(ids: list[int], firsts: list[tuple[bool, int, int, int]], keys: list[np.ndarray]) -> pa.RecordBatch:
         line = np.array(ids, np.uint64).view(np.int64)
-        order = np.argsort(line.view(np.uint64))
-        some, doc, pos = (np.array(x, np.int64)[order] for x in zip(*firsts, strict=True))
-        places = _packed([line[order], doc, pos * 2 + some], _cuts(line[order], parts))
-        key, member, leader = _stars(np.concatenate(keys).ravel(), np.repeat(line, bands))
-        first = starts([key])
-        own = _packed([key[first], leader[first]], _cuts(key[first], parts))
-        more = np.flatnonzero(member != leader)
-        more = more[np.argsort(member[more].view(np.uint64))]
-        linked = _packed([key[more], leader[more], member[more]], _cuts(member[more], parts))
-        blobs = [pa.array(x, pa.binary()) for x in (places, own, linked)]
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), *blobs], names=["part", "places", "own", "linked"])
+        places = [np.array(x, np.int64) for x in zip(*firsts, strict=True)]
+        return _routed(line, places, np.concatenate(keys).ravel(), np.repeat(line, bands), none, parts)
 
     def run(batches):
         met, ids, firsts, keys, lines, chars = {}, [], [], [], [], 0
@@ -152,12 +172,12 @@ def _bands(size: int, bands: int, rows: int, parts: int):
             keys.append(band_keys(signatures(lines, size, bands * rows), bands))
 
         for b in batches:
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
+            for doc, row, text in zip(b["doc_id"].to_pylist(), b["row"].to_pylist(), b["text"].to_pylist(), strict=True):
                 for pos, norm in enumerate(normal_lines(text) if text else ()):
                     if not norm:
                         continue
                     i = line_id(norm)
-                    here, at = (doc is not None, doc or 0, pos), met.get(i)
+                    here, at = (doc is not None, doc or 0, pos, row), met.get(i)
                     if at is not None:
                         firsts[at] = min(firsts[at], here)
                         continue
@@ -184,26 +204,59 @@ def _bands(size: int, bands: int, rows: int, parts: int):
     return run
 
 
+def _read(blobs: dict[str, list[bytes]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, list[np.ndarray]]:
+    """What _routed packed: lines, their places, keys, their members, links."""
+    line, doc, pos, row = _unpacked(blobs["places"], 4)
+    return line, [pos & 1, doc, pos >> 1, row], *_unpacked(blobs["own"], 2), _unpacked(blobs["linked"], 3)
+
+
+_BLOBS = ("places", "own", "linked")
+
+
+def _regroup(parts: int):
+    """The numbers of a wide range, combined again some 600,000 keys at a time, for its narrow ranges."""
+
+    def run(batches):
+        held, size = {k: [] for k in _BLOBS}, 0
+        for b in batches:
+            for values in zip(*(b[k].to_pylist() for k in _BLOBS), strict=True):
+                for k, blob in zip(_BLOBS, values, strict=True):
+                    held[k].append(blob)
+                    size += len(blob)
+                if size >= _KEYS * 16:
+                    yield _routed(*_read(held), parts)
+                    held, size = {k: [] for k in _BLOBS}, 0
+        if size:
+            yield _routed(*_read(held), parts)
+
+    return run
+
+
 def _lead(batches):
-    """All rows of a part: each line's first place (kind 0), and the stars of its keys (kind 1)."""
-    places, own, linked = [], [], []
+    """All numbers of a partition: each line's first place (kind 0), and the stars of its keys (kind 1).
+
+    Lines and keys are dealt by hashes and combined on the way, so a partition holds its share of the distinct ones,
+    and of one that every task has no more than a row from each batch of tasks.
+    """
+    held = {k: [] for k in _BLOBS}
     for b in batches:
-        for held, name in ((places, "places"), (own, "own"), (linked, "linked")):
-            held += b[name].to_pylist()
-    if not places:
+        for k in _BLOBS:
+            held[k] += b[k].to_pylist()
+    if not held["places"]:
         return
-    line, doc, pos = _unpacked(places, 3)
-    order = np.lexsort((pos >> 1, doc, pos & 1, line))
-    order = order[starts([line[order]])]
-    yield _rows(0, line[order], pa.array(doc[order], mask=(pos[order] & 1) == 0), pos[order] >> 1)
-    key, member, leader = _stars(*_unpacked(own, 2))
+    line, places, key, member, done = _read(held)
+    at = _first_places(line, *places)
+    some, doc, pos, row = (x[at] for x in places)
+    yield _rows(0, line[at], row, pos, pa.array(doc, mask=some == 0))
+    key, member, leader = _stars(key, member)
     more = member != leader
-    done = _unpacked(linked, 3)
-    yield _rows(1, *(np.concatenate(x) for x in zip((key[more], leader[more], member[more]), done, strict=True)))
+    links = [np.concatenate(x) for x in zip((key[more], leader[more], member[more]), done, strict=True)]
+    yield _rows(1, *links, pa.nulls(len(links[0]), pa.int64()))
 
 
-def _rows(kind: int, x, y, z) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), *(c if isinstance(c, pa.Array) else pa.array(c) for c in (x, y, z))], names=["kind", "x", "y", "z"])
+def _rows(kind: int, *columns) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(arrays[0]), kind, np.int32)), *arrays], names=["kind", "x", "y", "z", "doc"])
 
 
 #: Bits of a shingle's hash that are compared; the others number the lines of a batch.
@@ -357,38 +410,50 @@ def _rebuild(texts: pd.Series, kept: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed"])
 
 
-def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int = 16, rows: int = 6) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int = 16, rows: int = 6, ranges: int = _RANGES) -> DataFrame:
     """Keep one line of each group of near-duplicate lines of ``docs`` (doc_id, text, ...); doc_id is an integer.
 
     Lines end at a line feed. They are compared in lower case without white space at the ends;
     two are linked if the Jaccard similarity of their sets of ``size``-character shingles is
     ``least`` or more. Of each connected component the line with the smallest (doc_id, position)
-    stays; documents keep their other columns and the order of their lines. Added columns (replaced if there):
+    stays, ties broken by a hash of the row; documents keep their other columns and the order of their lines. Added columns (replaced if there):
     n_lines and n_removed. Blank lines are no duplicates and stay. Null text stays null with no
-    lines; empty text stays empty. Repeated doc_ids count as one document whose lines at one
-    position stay together, and a null doc_id sorts first. An empty table gives no rows.
+    lines; empty text stays empty. Every row is a document of its own: rows that repeat a doc_id, or have none (these sort first), lose
+    each other's lines, and of rows that are equal in all columns one keeps its lines. An empty table gives no rows.
 
     A pair is found if one of ``bands`` bands of ``rows`` MinHash values agrees: over 99 % of pairs at
     similarity 0.8, over 99.9 % from 0.85, whatever the lines' lengths. Each key's lines are compared with its smallest line
-    (a star; tasks combine equal keys and send on only leaders), so a huge group costs no more than its size. Keys that
+    (a star; tasks combine equal keys and send on only leaders, to at most ``ranges`` places at a time), so a huge group costs no more than its size. Keys that
     still hold several components have their outer lines compared with some lines of each other
     component, then with all that similarity to the leader and set sizes allow; no pair within the bands is lost.
     Lines are told apart by 64-bit hashes, shingles by 52-bit ones.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     arrow_batches(spark)
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chars = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    others = [c for c in docs.columns if c.lower() not in ("doc_id", "text", "n_lines", "n_removed")]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0)])
+    # A row is known by a hash of all of it; rows with the same are equal.
+    whole = docs.select(F.col("doc_id").alias("given_id"), F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"))
+    whole = whole.withColumn("row", F.xxhash64("doc_id", "text", F.to_json("rest")))
+    given = whole.select("doc_id", "text", "row")
+    counted = scratch.save(given.groupBy("row").agg(F.count(F.lit(1)).alias("copies"), F.sum(F.octet_length("text")).alias("size")))
+    repeated = scratch.save(counted.where("copies > 1").select("row", "copies"))
+    chars = counted.agg(F.sum("size")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(chars / _PART))
-    blobs = given.mapInArrow(_bands(size, bands, rows, parts), "part int, places binary, own binary, linked binary")
-    found = scratch.save(blobs.repartitionById(parts, "part").mapInArrow(_lead, "kind int, x long, y long, z long"))
-    classes = found.where("kind = 0").select(F.col("x").alias("line"), F.col("y").alias("doc_id"), F.col("z").cast("int").alias("pos"))
+    wide = min(parts, ranges)
+    parts = wide * ceil(parts / wide)
+    schema = "part int, places binary, own binary, linked binary"
+    blobs = given.mapInArrow(_bands(size, bands, rows, wide), schema)
+    if parts > wide:
+        blobs = blobs.repartitionById(wide, "part").mapInArrow(_regroup(parts), schema)
+    found = scratch.save(blobs.repartitionById(parts, "part").mapInArrow(_lead, "kind int, x long, y long, z long, doc long"))
+    classes = found.where("kind = 0").select(F.col("x").alias("line"), F.col("doc").alias("doc_id"), F.col("z").cast("int").alias("pos"), F.col("y").alias("row"))
     stars = found.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("a"), F.col("z").alias("b"))
 
     first = scratch.save(stars.select("a", "b").distinct())
     needed = first.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    places = classes.join(needed.hint("shuffle_hash"), "line").groupBy("doc_id").agg(F.collect_list(F.struct("line", "pos")).alias("wanted"))
-    holders = given.alias("d").join(places.alias("p").hint("shuffle_hash"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))).where("text is not null").select("text", "wanted")
+    places = classes.join(needed.hint("shuffle_hash"), "line").groupBy("row").agg(F.collect_list(F.struct("line", "pos")).alias("wanted"))
+    holders = given.where("text is not null").join(places.hint("shuffle_hash"), "row").select("text", "wanted")
     # The text of each line that shares a key, from its first place.
     texts = scratch.save(holders.mapInArrow(_texts, "line long, norm string").distinct())
 
@@ -402,24 +467,34 @@ def dedup_lines(docs: DataFrame, least: float = 0.8, size: int = 5, bands: int =
 
     checked = verified(first)
     roots = scratch.save(connected_components(scratch, links(checked)))
-    cells = _open(scratch, stars, checked, roots, texts, least)
+    cells = _open(scratch, stars, checked, roots, least)
     if not cells.isEmpty():
-        joined = map_runs(cells, ["key", "block_i", "block_j"], _across(size, least), "u long, v long")
+        joined = map_runs(cells.join(texts, "line"), ["key", "block_i", "block_j"], _across(size, least), "u long, v long")
         roots = scratch.save(connected_components(scratch, links(checked).union(joined)))
     rooted = classes.join(roots.withColumnRenamed("id", "line").hint("shuffle_hash"), "line", "left")
-    grouped = rooted.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select("first.*")
-    kept = rooted.where("root is null").select("doc_id", "pos").union(grouped).groupBy("doc_id").agg(F.collect_set("pos").alias("kept"))
+    grouped = rooted.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "pos", "row")).alias("first")).select("first.row", "first.pos")
+    kept = rooted.where("root is null").select("row", "pos").union(grouped).groupBy("row").agg(F.collect_set("pos").alias("kept"))
     kept = scratch.save(kept)
-    scratch.keep(kept)
-    others = [c for c in docs.columns if c.lower() not in ("doc_id", "text", "n_lines", "n_removed")]
-    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0)]).alias("rest"))
-    joined = whole.alias("d").join(kept.alias("k").hint("shuffle_hash"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left")
-    out = joined.select("d.doc_id", "d.rest", F.pandas_udf(_rebuild, "text string, n_lines int, n_removed int")("d.text", "k.kept").alias("new"))
-    return out.select("doc_id", "new.text", *[F.col(f"rest.`{c}`") for c in others], "new.n_lines", "new.n_removed")
-
-
-def _open(scratch: Scratch, stars: DataFrame, checked: DataFrame, roots: DataFrame, texts: DataFrame, least: float, block: int = 512) -> DataFrame:
-    """The lines of keys that still hold several components, in cells of blocks, with root, leader's root and text.
+    scratch.keep(kept, repeated)
+    rebuild = F.pandas_udf(_rebuild, "text string, n_lines int, n_removed int")
+    columns, spare = ["given_id", "rest"], None
+    if not repeated.isEmpty():
+        # Of equal rows one is rebuilt with its lines, and the others, whose number is known, without.
+        one = whole.join(repeated, "row", "left_semi").groupBy("row").agg(F.first(F.struct("given_id", "text", "rest")).alias("it")).join(repeated, "row")
+        last = F.greatest(F.ceil((F.col("copies") - 1) / _CHUNK) - 1, F.lit(0))
+        chunks = one.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("row", "chunk")
+        low = F.col("chunk") * _CHUNK
+        spare = chunks.select("it.*", F.explode(F.sequence(low + 1, F.least(low + _CHUNK, F.col("copies") - 1))))
+        spare = spare.select(*columns, rebuild("text", F.array().cast("array<int>")).alias("new"))
+        whole = whole.join(repeated, "row", "left_anti").unionByName(one.select("it.given_id", F.col("it.given_id").cast("long").alias("doc_id"), "it.text", "it.rest", "row"))
+    out = whole.join(kept.hint("shuffle_hash"), "row", "left").select(*columns, rebuild("text", "kept").alias("new"))
+    if spare is not None:
+        out = out.unionByName(spare)
+    return out.select(F.col("given_id").alias("doc_id"), "new.text", *[F.col(f"rest.`{c}`") for c in others], "new.n_lines", "new.n_removed")
+
+
+def _open(scratch: Scratch, stars: DataFrame, checked: DataFrame, roots: DataFrame, least: float, block: int = 2048) -> DataFrame:
+    """The lines of keys that still hold several components, in cells of blocks, with root and leader's root.
 
     A key of two lines has one pair, which was compared. Of two lines of different components one is
     outside the leader's. Jaccard distance is a metric, so _across leaves out pairs whose similarities
@@ -438,4 +513,4 @@ def _open(scratch: Scratch, stars: DataFrame, checked: DataFrame, roots: DataFra
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = placed.select("key", "line", "root", "leader_root", "similarity", "blocks", own.alias("own")).withColumn("other", other)
     cells = cells.select("key", "line", "root", "leader_root", "similarity", F.least("own", "other").alias("block_i"), F.greatest("own", "other").alias("block_j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    return scratch.save(cells.join(texts, "line"))
+    return scratch.save(cells)
