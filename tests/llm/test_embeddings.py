@@ -1,6 +1,7 @@
 from math import inf, nan
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillage.llm.ann import Index, Space, chi_square_cdf, chi_square_quantile, nearest
@@ -117,8 +118,11 @@ def test_estimates_are_unbiased_and_bounded():
         guess = np.diag(estimate(code, factor, y, dim))
         error.append(guess - true)
         assert (np.abs(guess - true) <= margin(factor, len(turn), dim, 5)).mean() > 0.995
-        packed, low, step = quantise(y)
-        coarse = np.diag(estimate(code, factor, restored(packed, low, step, len(turn)), dim))
+        packed, step = quantise(y[:, :dim])
+        bits, rounded = restored(packed, step, dim)
+        assert (bits == (y[:, :dim] >= 0)).all() and (np.abs(rounded - y[:, :dim]) <= 0.5 * step[:, None] * 1.001).all()
+        rounded = rounded @ (turn[:dim] @ turn.T)
+        coarse = np.diag(estimate(code, factor, rounded, dim))
         assert (np.abs(coarse - true) <= np.diag(margin(factor, len(turn), dim, 5, step))).mean() > 0.995
     assert abs(np.mean(error)) < 0.005
 
@@ -129,6 +133,20 @@ def test_bands_keep_the_miss_rate():
         assert (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** bands <= 0.002
 
 
+def test_what_travels_is_bounded_by_the_bands():
+    """At 64 dimensions a band row is 68 bytes at any number of vectors."""
+    from tillage.llm.embedding_dedup import _code
+
+    x = np.random.default_rng(3).standard_normal((10, 64)).astype(np.float32)
+    for n in (10**3, 10**9):
+        bands, bits = bands_for(n, 0.9)
+        hashes = rotations(64, -(-bands * bits // 64), 1)
+        batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array([1] * 10), pa.array(list(x))], names=["node", "copies", "embedding"])
+        row = next(_code(rotations(64, 2, 2), hashes, bands, bits)([batch])).to_pylist()[0]
+        assert len(row["buckets"]) == bands and (len(row["code"]), len(row["more"])) == (32, 8)
+    assert bands * (32 + 36) < 40 * 256
+
+
 def test_chi_square():
     assert abs(chi_square_cdf(15.507, 8) - 0.95) < 1e-4 and abs(chi_square_quantile(0.95, 8) - 15.507) < 1e-2
 

@@ -41,8 +41,8 @@ def rotations(dim: int, times: int, seed: int) -> np.ndarray:
 
 
 def bands_for(n: int, cosine: float, miss: float = 0.002) -> tuple[int, int]:
-    """(bands, bits) so that buckets hold some hundreds of n vectors and a pair at ``cosine`` meets in none with chance ``miss``."""
-    bits = int(min(24, max(4, ceil(log2(max(n, 1) / 512 + 1)))))
+    """(bands, bits) so that buckets hold up to about a thousand of n vectors and a pair at ``cosine`` meets in none with chance ``miss``."""
+    bits = int(min(24, max(4, ceil(log2(max(n, 1) / 1024 + 1)))))
     same = (1 - acos(cosine) / pi) ** bits
     return ceil(log(miss) / log(1 - same)), bits
 
@@ -58,18 +58,21 @@ def turned(x: np.ndarray, turn: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)) @ turn.T
 
 
-def quantise(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rotated vectors in 4 bits a component, two in a byte: (bytes, lowest value, step)."""
-    low = y.min(1)
-    step = np.maximum((y.max(1) - low) / 15, 1e-30)
-    q = np.rint((y - low[:, None]) / step[:, None]).astype(np.uint8)
+def quantise(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rotated vectors in 4 bits a component, two in a byte, and the step between levels: (bytes, step).
+
+    Levels lie symmetrically around zero, none on it, so the upper half of them are the sign bits.
+    """
+    step = np.maximum(np.abs(y).max(1) / 8, 1e-30).astype(np.float32)
+    q = np.clip(np.floor(y / step[:, None]) + 8, 0, 15).astype(np.uint8)
     q = np.concatenate([q, np.zeros((len(q), q.shape[1] % 2), np.uint8)], 1)
-    return q[:, ::2] << 4 | q[:, 1::2], low, step
+    return q[:, ::2] << 4 | q[:, 1::2], step
 
 
-def restored(packed: np.ndarray, low: np.ndarray, step: np.ndarray, size: int) -> np.ndarray:
+def restored(packed: np.ndarray, step: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sign bits, rounded components) of quantised vectors."""
     q = np.stack([packed >> 4, packed & 15], 2).reshape(len(packed), -1)[:, :size]
-    return low[:, None] + q * step[:, None]
+    return q >= 8, (q.astype(np.float32) - 7.5) * step[:, None]
 
 
 def estimate(bits: np.ndarray, factor: np.ndarray, y: np.ndarray, dim: int) -> np.ndarray:
@@ -80,30 +83,38 @@ def estimate(bits: np.ndarray, factor: np.ndarray, y: np.ndarray, dim: int) -> n
 
 
 def margin(factor: np.ndarray, size: int, dim: int, width: float, step: np.ndarray | None = None) -> np.ndarray:
-    """Half the confidence interval of an estimate, ``width`` standard deviations wide: of each code, or of each code with each vector rounded to ``step``."""
+    """Half the confidence interval of an estimate, ``width`` standard deviations wide: of each code, or of each code with each vector rounded to ``step``.
+
+    Rounding is that of one rotation, from which the others are computed, so its errors don't average out over them.
+    """
     variance = np.maximum(1 - factor**2, 0) / factor**2 / max(1, dim - 1) / (size / dim)
     if step is not None:
-        variance = variance[:, None] + (step[None, :] / factor[:, None]) ** 2 / 12 * dim / size
+        variance = variance[:, None] + (step[None, :] / factor[:, None]) ** 2 / 12
     return width * np.sqrt(variance)
 
 
-def _code(turn: np.ndarray, bands: int, bits: int):
-    """Everything that is kept of a vector, once: its bands' buckets, code, correction factor, rounded rotation, and itself."""
+def _code(turn: np.ndarray, hashes: np.ndarray, bands: int, bits: int):
+    """Everything that is kept of a vector, once: its bands' buckets, code, correction factor, step, and itself.
+
+    The buckets come from ``bands * bits`` signs of their own rotations, the code from those of ``turn``: the first
+    rotated vector in 4 bits a component, which hold its signs, and the signs of the others.
+    """
     weights = 1 << np.arange(bits, dtype=np.int64)
-    names = ["node", "copies", "buckets", "code", "factor", "rounded", "low", "step", "vector"]
+    names = ["node", "copies", "buckets", "code", "more", "factor", "step", "vector"]
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             x = b["embedding"].flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.float64)
-            y = turned(x, turn)
-            code, factor = encode(x, turn)
-            buckets = code[:, : bands * bits].reshape(len(x), bands, bits) @ weights
-            rounded, low, step = quantise(y)
+            signs = turned(x, hashes) > 0
+            buckets = signs[:, : bands * bits].reshape(len(x), bands, bits) @ weights
+            all_signs, factor = encode(x, turn)
+            code, step = quantise(turned(x, turn[: x.shape[1]]))
+            more = np.packbits(all_signs[:, x.shape[1] :], axis=1)
             raw = x.astype(np.float32) if b["embedding"].type.value_type == pa.float32() else x
-            blobs = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (np.packbits(code, axis=1), rounded, raw)]
-            yield pa.RecordBatch.from_arrays([b["node"], b["copies"], pa.array(list(buckets)), blobs[0], pa.array(factor), blobs[1], pa.array(low), pa.array(step), blobs[2]], names=names)
+            blobs = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (code, more, raw)]
+            yield pa.RecordBatch.from_arrays([b["node"], b["copies"], pa.array(list(buckets)), blobs[0], blobs[1], pa.array(factor.astype(np.float32)), pa.array(step), blobs[2]], names=names)
 
     return run
 
@@ -126,17 +137,25 @@ def _blob(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def _open(size: int, dim: int, cosine: float, width: float):
-    """The rows of each cell that have a partner whose confidence interval reaches the threshold."""
+def _open(turn: np.ndarray, cosine: float, width: float):
+    """The rows of each cell that have a partner whose confidence interval reaches the threshold.
+
+    A pair is judged by the wider of both directions, code against rounded vector, so it is open in every cell or in none.
+    """
+
+    size, dim = turn.shape
 
     def work(table: pa.Table):
         table, out = table.combine_chunks(), []
         for _, low, high, left, right, same in _cells(table):
             part = table.slice(low, high - low)
-            code = np.unpackbits(_blob(part["code"], "u1"), axis=1, count=size).astype(bool)
-            factor, step = part["factor"].to_numpy(), part["step"].to_numpy()
-            y = restored(_blob(part["rounded"], "u1"), part["low"].to_numpy(), step, size)
-            open_ = estimate(code[left], factor[left], y[right], dim) + margin(factor[left], size, dim, width, step[right]) >= cosine
+            factor, step = part["factor"].to_numpy().astype(np.float64), part["step"].to_numpy()
+            bits, y = restored(_blob(part["code"], "u1"), step, dim)
+            bits = np.concatenate([bits, np.unpackbits(_blob(part["more"], "u1"), axis=1, count=size - dim).astype(bool)], 1)
+            y = y @ (turn[:dim] @ turn.T).astype(np.float32)
+            reach = lambda a, b: estimate(bits[a], factor[a], y[b], dim) + margin(factor[a], size, dim, width, step[b])  # noqa: B023, E731
+            one = reach(left, right)
+            open_ = np.maximum(one, one.T if same else reach(right, left).T) >= cosine
             if same:
                 np.fill_diagonal(open_, False)
             out.append(low + np.union1d(left[open_.any(1)], right[open_.any(0)]))
@@ -186,10 +205,10 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.9, width: float = 4.0,
     and one for components; a row with a null vec_id links with nothing, has no component and isn't
     kept. An empty table gives no rows; extra columns are ignored.
 
-    Vectors are rotated at random and stored once: sign bits with a correction factor, the rotated
-    vector in 4 bits a component, and the vector itself. Bands of the code's bits give buckets, some
-    hundred vectors each; a pair at the threshold meets in one with chance 99.8 %. Only codes
-    travel to the buckets. There they estimate all inner products; rows with a partner whose confidence
+    Vectors are rotated at random and stored once: the rotated vector in 4 bits a component, which hold its
+    signs, the signs of a second rotation, a correction factor, and the vector itself. Bands of the signs of further rotations give buckets, up to a
+    thousand vectors each; a pair at the threshold meets in one with chance 99.8 %. Only codes
+    travel to the buckets, five bits a component and 28 bytes, however many vectors there are. There they estimate all inner products; rows with a partner whose confidence
     interval of ``width`` standard deviations reaches the threshold fetch their vectors, and the pairs among
     these are computed exactly. A pair is counted in the first band it shares. Copies are one
     vector with a weight; cells of large buckets report counts and a spanning forest instead of pairs.
@@ -215,14 +234,14 @@ def _linked(scratch: Scratch, good: DataFrame, dim: int, cosine: float, width: f
     """(embedding, n_links, component_id) of distinct sound vectors of ``dim`` components."""
     classes = scratch.save(good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))
     bands, bits = bands_for(classes.count(), cosine)
-    turn = rotations(dim, ceil(bands * bits / dim), seed)
+    turn, hashes = rotations(dim, 2, seed), rotations(dim, ceil(bands * bits / dim), seed + 1)
     kind = "<f4" if dict(classes.dtypes)["embedding"] == "array<float>" else "<f8"
-    schema = "node long, copies long, buckets array<long>, code binary, factor double, rounded binary, low double, step double, vector binary"
-    coded = scratch.save(classes.mapInArrow(_code(turn, bands, bits), schema))
-    members = coded.select("node", "code", "factor", "rounded", "low", "step", F.posexplode("buckets").alias("band", "bucket"))
+    schema = "node long, copies long, buckets array<long>, code binary, more binary, factor float, step float, vector binary"
+    coded = scratch.save(classes.mapInArrow(_code(turn, hashes, bands, bits), schema))
+    members = coded.select("node", "code", "more", "factor", "step", F.posexplode("buckets").alias("band", "bucket"))
     cells = blocked(scratch, members, ["band", "bucket"], "node", block)
     spots = "band int, bucket long, block_i int, block_j int, side int, node long"
-    open_ = scratch.save(map_runs(cells, list(CELL), _open(len(turn), dim, cosine, width), spots, rows=4000))
+    open_ = scratch.save(map_runs(cells, list(CELL), _open(turn, cosine, width), spots, rows=4000))
     exact = open_.join(coded.select("node", "copies", "buckets", "vector"), "node")
     found = scratch.save(map_runs(exact, list(CELL), _links(kind, cosine), "kind int, a long, b long", rows=4000))
     links = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
