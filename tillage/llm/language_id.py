@@ -79,7 +79,8 @@ def train(docs: DataFrame, per_language: int = 3000, orders: tuple[int, ...] = (
     share that has this size is taken by a hash of doc_id. An n-gram enters a language's filter
     if it makes up ``least`` of the language's n-grams, so a profile has 1 / least n-grams at
     most, and at least ``ratio`` times the share it has in any language, which keeps out what
-    leaked in with quotations and wrong labels.
+    leaked in with quotations and wrong labels. Languages are a dimension of the model (each has a bit of
+    every slot), so their number is taken to fit the driver, as the filters do.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     arrow_batches(spark)
@@ -89,10 +90,10 @@ def train(docs: DataFrame, per_language: int = 3000, orders: tuple[int, ...] = (
         return build({}, orders, probes, room)
     part = spark.createDataFrame([(k, min(1.0, per_language / n)) for k, n in sizes.items()], "lang string, part double")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    sample = known.join(F.broadcast(part), "lang").where(F.coalesce(draw, F.lit(0.0)) < F.col("part")).select("lang", "text")
+    sample = known.join(part, "lang").where(F.coalesce(draw, F.lit(0.0)) < F.col("part")).select("lang", "text")
     counts = scratch.save(sample.mapInPandas(_counts(orders), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    common = counts.join(F.broadcast(totals), "lang").where(F.col("n") >= F.greatest(F.lit(2), F.col("total") * least))
+    common = counts.join(totals, "lang").where(F.col("n") >= F.greatest(F.lit(2), F.col("total") * least))
     frame = common.select("lang", "gram", (F.col("n") / F.col("total")).alias("share")).toPandas()
     scratch.drop(counts)
     frame = frame[frame["share"] >= ratio * frame.groupby("gram")["share"].transform("max")]
@@ -104,10 +105,9 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     """Add lang_pred and score (0 to 1) to ``docs``.
 
     The language with the largest corrected share of the text's n-grams wins, ties to the first in
-    the alphabet; the score is that share. A null text, one without a letter, or one none of
-    whose n-grams any filter knows, is `und` with score 0 in the first two cases; a text with
-    letters always gets a learned language unless none was learned. Columns of these names are
-    replaced.
+    the alphabet; the score is that share. A null text and one without a letter are `und` with score 0. A text
+    with letters gets a learned language, with score 0 (the first in the alphabet) if no filter knows any of its
+    n-grams; if no language was learned it is `und` too. Columns of these two names are replaced, all others stay.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -126,5 +126,5 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
                 scores[first : first + len(texts)][has] = share[np.arange(len(texts)), best][has]
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    rest = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    return docs.select(*[f"`{c}`" for c in rest], run(F.col(text)).alias("_p")).select(*[f"`{c}`" for c in rest], "_p.lang_pred", "_p.score")
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")])
+    return docs.select(rest.alias("row"), run(F.col(text)).alias("found")).select("row.*", "found.*")
