@@ -130,10 +130,10 @@ def slow_selection(rows, limit):
     return list(chosen)[:limit]
 
 
-@pytest.mark.parametrize("depth", [1, 12])
-def test_selection_equals_a_pass_over_all_rows(spark, depth):
+@pytest.mark.parametrize("page", [1, 12])
+def test_selection_equals_a_pass_over_all_rows(spark, page):
     """Few values and many twins, so that rows are refused, caps grow, and combinations run out of fetched rows."""
-    rng = random.Random(depth)
+    rng = random.Random(page)
     rows = []
     for i in range(500):
         web = rng.random() < 0.7
@@ -144,7 +144,7 @@ def test_selection_equals_a_pass_over_all_rows(spark, depth):
         })
     bank = spark.createDataFrame([{k: v for k, v in r.items() if k != "discovery_channel"} | {"channel": r["discovery_channel"], "query_origin": ""} for r in rows])
     for limit in (96, 40):
-        got = [r.combined_query_id for r in select_queries(bank, limit, depth).orderBy("selection_rank").collect()]
+        got = [r.combined_query_id for r in select_queries(bank, limit, page).orderBy("selection_rank").collect()]
         assert got == slow_selection(rows, limit)
 
 

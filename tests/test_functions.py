@@ -1,6 +1,8 @@
 import hashlib
 import html
+import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,7 +39,17 @@ def test_cleaning(spark):
     assert apply(spark, text.clean_markup_text, values) == [strip(v) for v in values]
     odd = ["&eacute;&#64;&#x27;&#39;", "&notit; &not;in &noti", "&#128;&#x81;&#150;", "&#0;&#13;x&#55296;&#1114112;&#99999999999999;", "&#x1;&#xB;&#xFFFE;y", "& &; &# &#; &#x; &x", "&amp;amp; &AMP &ampx; &lt&gt", "&CounterClockwiseContourIntegral;&fjlig;", "a &unknown; b &copy2 &frac12x", "\U0001f600 &#128512; &#x1F600", ""]
     assert apply(spark, text.unescape, [*odd, None]) == [*map(html.unescape, odd), None]
-    assert apply(spark, text.casefold_full, ["Straße"]) == ["strasse"]
+
+
+def test_case_folding_of_every_character(spark):
+    # Of characters that Python's Unicode version doesn't have yet the JVM may know more.
+    every = [chr(i) for i in range(1, 0x20000) if unicodedata.category(chr(i)) not in ("Cn", "Cs")]
+    blocks = ["".join(every[i : i + 400]) for i in range(0, len(every), 400)]
+    assert apply(spark, text.casefold, blocks) == [b.casefold() for b in blocks]
+    odd = [c for c in every if c.casefold() not in (c, c.lower())]
+    assert len(odd) > 200 and apply(spark, text.casefold, odd) == [c.casefold() for c in odd]
+    mixed = ["", "plain", "Straße ẞ ﬃ", "ΑΣ", "ΟΔΟΣ ς", "İstanbul", "ᾈͅ ΐ", "ŉ ǰ և", "Ꭰ ꭰ", "CẢI Đậu"]
+    assert apply(spark, text.casefold, [*mixed, None]) == [*[s.casefold() for s in mixed], None]
 
 
 def test_available_terms(spark):
@@ -75,8 +87,21 @@ def test_matching_has_ascii_borders(spark):
     values = ["bị đúng rồi", "chúng ta", "heat-stress and heat", "Ngập  ÚNG", "pre-úng2"]
     got = apply(spark, lambda c: relevance.matched_terms(relevance.match_form(c), ["úng", "heat", "heat stress", "ngập úng"]), values)
     assert got == [["úng"], [], ["heat stress", "heat"], ["ngập úng", "úng"], []]
-    terms = spark.createDataFrame([(v, ["úng", "heat", "heat stress", "ngập úng"]) for v in values], "v string, t array<string>")
-    assert [r.x for r in terms.select(relevance.matched_terms_of(relevance.match_form(F.col("v")), F.col("t")).alias("x")).collect()] == got
+    own = ["úng", "Heat-Stress", "", "ngập úng"]
+    terms = spark.createDataFrame([(v, own, [relevance.folded_term(t) for t in own]) for v in values], "v string, t array<string>, f array<string>")
+    hits = relevance.term_hits(relevance.match_form(F.col("v")), ["úng", "heat", "heat stress", "ngập úng"])
+    assert [r.x for r in terms.select(relevance.picked_of(hits, F.col("t"), F.col("f")).alias("x")).collect()] == [["úng"], [], ["Heat-Stress"], ["ngập úng", "úng"], []]
+
+
+def test_one_pass_finds_what_a_regex_for_each_term_finds(spark):
+    """Nested, overlapping and odd terms over random texts."""
+    rng = random.Random(2)
+    letters = "ab1 ứ.+-"
+    terms = ["a", "ab", "a b", "ab a", "b a", "ứ", "ứa", "a.b", "a+b", "1", "1 a b", "ab-ứ", "(a", "a*b", "\\", "x y z", "aa", "A B", " ", ""]
+    values = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(400)] + ["(a", "\\ a", ""]
+    form = lambda v: " ".join(re.sub("[-_/]+", " ", v).casefold().split())
+    slow = lambda v: sorted({t for t in terms if form(t) and re.search(f"(?<![a-z0-9]){re.escape(form(t))}(?![a-z0-9])", form(v))}, key=lambda t: (len(t), t), reverse=True)
+    assert apply(spark, lambda c: relevance.matched_terms(relevance.match_form(c), terms), values) == [slow(v) for v in values]
 
 
 @pytest.mark.parametrize(

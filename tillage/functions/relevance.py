@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -34,13 +35,49 @@ def match_form(c: Column) -> Column:
     return normalize(F.regexp_replace(c, "[-_/]+", " "))
 
 
-def _folded(term: str) -> str:
+def folded_term(term: str) -> str:
+    """A term's match form."""
     return " ".join(re.sub("[-_/]+", " ", term).casefold().split())
 
 
-def pattern(term: str) -> str:
-    """Java regex of a term with no ASCII letter or digit next to it."""
-    return r"(?<![a-z0-9])\Q" + _folded(term) + r"\E(?![a-z0-9])"
+def _trie(words: Iterable[str]) -> dict:
+    """Nested by characters; the empty key marks the end of a word."""
+    root: dict = {}
+    for word in words:
+        node = root
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+    return root
+
+
+def _regex(node: dict) -> str:
+    """The longest word of a trie that matches here; shorter ones are tried after longer ones."""
+    literal = lambda c: "\\" + c if c.isascii() and not c.isalnum() else c
+    branches = []
+    for c in sorted(k for k in node if k):
+        path, child = literal(c), node[c]
+        while len(child) == 1 and "" not in child:
+            (c, child), = child.items()
+            path += literal(c)
+        branches.append(path + _regex(child))
+    if not branches:
+        return ""
+    inside = branches[0] if len(branches) == 1 and "" not in node else f"(?:{'|'.join(branches)})"
+    return inside + ("?" if "" in node else "")
+
+
+def _alone(text: str, at: int) -> bool:
+    """No ASCII letter or digit at a place."""
+    return at >= len(text) or not (text[at].isascii() and text[at].isalnum())
+
+
+def pattern(terms: Iterable[str]) -> str:
+    """Java regex that finds, wherever a term (in match form) may begin, the longest one that has no ASCII letter or digit next to it.
+
+    It takes no characters, so terms may overlap, and it walks a trie, so a text is read once whatever the number of terms.
+    """
+    return f"(?<![a-z0-9])(?=({_regex(_trie(terms))})(?![a-z0-9]))"
 
 
 def ordered(terms: Column) -> Column:
@@ -49,20 +86,47 @@ def ordered(terms: Column) -> Column:
     return F.transform(F.sort_array(keyed, asc=False), lambda x: x["t"])
 
 
-def matched_terms(form: Column, terms: Sequence[str]) -> Column:
-    """The terms that occur in a text in match form; literal vocabulary, one regex each, no row explosion."""
-    usable = [t for t in dict.fromkeys(terms) if _folded(t)]
-    if not usable:
+def _table(pairs: dict[str, list[str]]) -> Column:
+    return F.from_json(F.lit(json.dumps(pairs, ensure_ascii=False)), "map<string,array<string>>")
+
+
+def term_hits(form: Column, terms: Iterable[str]) -> Column:
+    """The match forms of all terms that occur in a text in match form: one pass of the text for the whole vocabulary.
+
+    Where a term begins only the longest is found by the pattern; the terms that are its beginnings occur too, and are looked up.
+    """
+    forms = sorted({f for f in map(folded_term, terms) if f})
+    if not forms:
         return F.array().cast("array<string>")
-    # A plain search first: it is cheap and rules out most terms.
-    found = [F.when(F.contains(form, F.lit(_folded(t))) & F.rlike(form, F.lit(pattern(t))), F.lit(t)) for t in usable]
-    return ordered(F.filter(F.array(*found), lambda x: x.isNotNull()))
+    found = F.array_distinct(F.regexp_extract_all(form, F.lit(pattern(forms)), 1))
+    known = set(forms)
+    nested = {f: inside for f in forms if (inside := [f[:n] for n in range(1, len(f)) if f[:n] in known and _alone(f, n)])}
+    if not nested:
+        return found
+    shorter = F.flatten(F.filter(F.transform(found, lambda f: _table(nested)[f]), lambda x: x.isNotNull()))
+    return F.array_union(found, shorter)
+
+
+def picked(hits: Column, terms: Sequence[str]) -> Column:
+    """Those of some fixed terms whose match forms are among the hits."""
+    forms: dict[str, list[str]] = {}
+    for t in dict.fromkeys(terms):
+        if f := folded_term(t):
+            forms.setdefault(f, []).append(t)
+    if not forms:
+        return F.array().cast("array<string>")
+    return ordered(F.flatten(F.filter(F.transform(hits, lambda f: _table(forms)[f]), lambda x: x.isNotNull())))
+
 
+def picked_of(hits: Column, terms: Column, forms: Column) -> Column:
+    """Those of a row's own terms whose match forms, in the same order, are among the hits."""
+    some = F.filter(F.arrays_zip(terms.alias("term"), forms.alias("form")), lambda x: F.array_contains(hits, x["form"]))
+    return ordered(F.coalesce(F.transform(some, lambda x: x["term"]), F.array().cast("array<string>")))
 
-def matched_terms_of(form: Column, terms: Column) -> Column:
-    """As matched_terms, for a vocabulary that is a column: each row has its own terms."""
-    hit = lambda t: F.rlike(form, F.concat(F.lit(r"(?<![a-z0-9])\Q"), match_form(t), F.lit(r"\E(?![a-z0-9])")))
-    return ordered(F.filter(F.coalesce(terms, F.array().cast("array<string>")), lambda t: (match_form(t) != "") & hit(t)))
+
+def matched_terms(form: Column, terms: Sequence[str]) -> Column:
+    """The terms that occur in a text in match form; a fixed vocabulary."""
+    return picked(term_hits(form, terms), terms)
 
 
 def metadata_form(title: Column, snippet: Column, abstract: Column, subjects: Column) -> Column:
@@ -110,7 +174,7 @@ def assess(crop: Column, scenario: Column, action: Column, effect: Column, focus
 
 def assess_fields(fields: dict[str, Column], crop: Sequence[str], scenario: Sequence[str], action: Sequence[str], effect: Sequence[str], noise: Sequence[str]) -> dict[str, Column]:
     """Matched terms and the assessment of one query's vocabularies over title, snippet, abstract and subjects."""
-    everywhere = metadata_form(fields["title"], fields["snippet"], fields["abstract"], fields["subjects"])
-    focus = focused_form(fields["title"], fields["snippet"], fields["subjects"])
-    found = {"matched_crop_terms": matched_terms(everywhere, crop), "matched_scenario_terms": matched_terms(everywhere, scenario), "matched_action_terms": matched_terms(everywhere, action)}
-    return found | {"relevance": assess(*found.values(), matched_terms(everywhere, effect), matched_terms(focus, scenario), matched_terms(everywhere, noise))}
+    everywhere = term_hits(metadata_form(fields["title"], fields["snippet"], fields["abstract"], fields["subjects"]), [*crop, *scenario, *action, *effect, *noise])
+    focus = term_hits(focused_form(fields["title"], fields["snippet"], fields["subjects"]), scenario)
+    found = {"matched_crop_terms": picked(everywhere, crop), "matched_scenario_terms": picked(everywhere, scenario), "matched_action_terms": picked(everywhere, action)}
+    return found | {"relevance": assess(*found.values(), picked(everywhere, effect), picked(focus, scenario), picked(everywhere, noise))}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import html.entities
 import json
+from collections.abc import Iterable
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 #: Punctuation that public questions and signatures are compared without.
 PUBLIC_PUNCTUATION = "\"'“”‘’.,;:!?()[]{}"
@@ -16,15 +17,44 @@ SIGNATURE_PUNCTUATION = "“”\"'`.,;:!?()[]{}"
 ENTITY = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
 
 
-def casefold(c: Column) -> Column:
-    """Lower case with ß as ss and final sigma as sigma: Unicode case folding for Latin, Greek and Vietnamese."""
-    return F.translate(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), "ς", "σ")
+#: Case pairs of Unicode 14, which a JVM that has an older version leaves as they are.
+NEW_PAIRS = ((0x2C2F, 0x2C2F), (0xA7C0, 0xA7C0), (0xA7D0, 0xA7D0), (0xA7D6, 0xA7D8), (0x10570, 0x10595))
+
+
+@functools.cache
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """How characters fold that lower case leaves as they are: to one character, and to several. From Python's Unicode table."""
+    one, many = {}, {}
+    for i in range(0x20000):
+        c, folded = chr(i), chr(i).casefold()
+        if c != folded and (c.lower() == c or any(a <= i <= b for a, b in NEW_PAIRS)):
+            (one if len(folded) == 1 else many)[c] = folded
+    return one, many
+
 
+def _class(characters: Iterable[str]) -> str:
+    """A regular expression's class of some characters, in ranges."""
+    ranges: list[list[int]] = []
+    for i in sorted(map(ord, characters)):
+        if ranges and ranges[-1][1] == i - 1:
+            ranges[-1][1] = i
+        else:
+            ranges.append([i, i])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
-@F.pandas_udf(T.StringType())
-def casefold_full(s: pd.Series) -> pd.Series:
-    """Full Unicode case folding, for scripts that `casefold` doesn't cover."""
-    return s.str.casefold()
+
+def casefold(c: Column) -> Column:
+    """Full Unicode case folding: lower case, then what that leaves unfolded.
+
+    Few texts hold any such character (ß, final sigma, ligatures, some Greek and Cherokee); the others are lowered only.
+    """
+    one, many = _folds()
+    low = F.lower(c)
+    several = _class(many)
+    table = F.from_json(F.lit(json.dumps(many, ensure_ascii=False)), "map<string,string>")
+    pairs = F.arrays_zip(F.split(low, several, -1).alias("part"), F.transform(F.regexp_extract_all(low, F.lit(several), 0), lambda x: table[x]).alias("folded"))
+    spelled = F.array_join(F.transform(pairs, lambda x: F.concat(x["part"], F.coalesce(x["folded"], F.lit("")))), "")
+    return F.when(F.rlike(low, F.lit(_class([*one, *many]))), F.translate(spelled, "".join(one), "".join(one.values()))).otherwise(low)
 
 
 def collapse(c: Column) -> Column:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tillage.functions.text import signature
+from tillage.operators.order import positions
+from tillage.operators.tables import matches
 from tillage.plans.bank import near_duplicate
+from tillage.sources.scratch import Scratch
 
 CHANNELS = ("web", "scholarly")
 
@@ -79,8 +82,8 @@ def capacities(limit: int) -> dict[str, dict[str, int]]:
     }
 
 
-def seed_predicates(crops: Sequence[str], groups: Sequence[str]) -> list[list[dict[str, str]]]:
-    """For each seed the values its row must have, the preferred ones first."""
+def seed_predicates(preferred: Sequence[str], crops: Sequence[str], groups: Sequence[str]) -> list[list[dict[str, str]]]:
+    """For each seed the values its row must have, the preferred ones first; ``preferred``: the crop that each scenario prefers."""
     web, scholarly = {"discovery_channel": "web"}, {"discovery_channel": "scholarly"}
     asked = web | {"source_stage": "A2", "query_kind": "natural_question"}
     effect = {"source_stage": "A1", "scope_type": "crop_specific", "query_kind": "effect"}
@@ -88,7 +91,7 @@ def seed_predicates(crops: Sequence[str], groups: Sequence[str]) -> list[list[di
     out = []
     for i, s in enumerate(SCENARIO_ORDER):
         here = {"weather_scenario": s}
-        mine = here | {"crop_key": crops[i % len(crops)] if crops else ""}
+        mine = here | {"crop_key": preferred[i] if preferred else ""}
         out += [[asked | {"scope_type": "crop_specific"} | mine, asked | here], [web | effect | mine, web | effect | here], [scholarly | effect | mine, scholarly | effect | here]]
     out += [[action | {"scope_type": "crop_specific", "crop_key": k}] for k in crops]
     out += [[action | {"scope_type": "crop_group", "crop_key": k}] for k in groups]
@@ -99,18 +102,21 @@ def seed_predicates(crops: Sequence[str], groups: Sequence[str]) -> list[list[di
 DIMENSIONS = ("discovery_channel", "source_stage", "query_kind", "scope_type", "search_region", "weather_scenario", "crop_key")
 
 
-def _nearest(rows: DataFrame, depth: int, after: str | None) -> list[Row]:
-    """The first ``depth`` rows of each combination of DIMENSIONS behind a query, in sort order.
+def twin_key() -> Column:
+    """A hash of all that near duplicates agree on."""
+    return F.sha2(F.to_json(near_duplicate(F.col("discovery_channel"))), 256)
 
-    Ranks are pruned before the shuffle, so what is gathered and put in order is ``depth`` rows for each
-    combination that the taxonomy has, however large the bank is. Texts stay in the cluster.
+
+def projection(bank: DataFrame, scratch: Scratch) -> DataFrame:
+    """(combined_query_id, DIMENSIONS, twin, pos) of the rows that may be selected: pos is their place in sort order, from 0.
+
+    Written once, in the order of pos within its files; everything that follows reads this narrow table. Texts are normalised
+    and sorted once, on the way to it.
     """
-    if after is not None:
-        start = rows.where(F.col("combined_query_id") == after).select(F.col("_key").alias("_start")).limit(1)
-        rows = rows.crossJoin(F.broadcast(start)).where(F.col("_key") > F.col("_start")).drop("_start")
-    ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*DIMENSIONS).orderBy("_key"))).where(F.col("_rn") <= depth)
-    placed = ranked.select("combined_query_id", *DIMENSIONS, "_rn", F.sha2(F.to_json(near_duplicate(F.col("discovery_channel"))), 256).alias("twin"), "_key")
-    return placed.orderBy("_key").select("combined_query_id", *DIMENSIONS, "_rn", "twin").collect()
+    rows = annotate(bank).where(F.col("discovery_channel").isin(*CHANNELS))
+    keyed = scratch.save(rows.select("combined_query_id", *DIMENSIONS, twin_key().alias("twin"), sort_key().alias("key")))
+    placed = positions(keyed, F.col("key"), name="pos", keep=["combined_query_id", *DIMENSIONS, "twin"], scratch=scratch)
+    return scratch.save(placed.sortWithinPartitions("pos"))
 
 
 class _Pass:
@@ -120,63 +126,89 @@ class _Pass:
         self.limit, self.caps = limit, capacities(limit)
         self.chosen: dict[str, None] = {}
         self.twins: set[str] = set()
-        self.counts: Counter[tuple[str, str]] = Counter()
+        self.counts: Counter[tuple[str, str | None]] = Counter()
 
     def add(self, row: Row) -> None:
         self.chosen[row["combined_query_id"]] = None
         self.twins.add(row["twin"])
         self.counts.update((d, row[d]) for d in DIMENSIONS)
 
-    def room(self, values: Mapping[str, str]) -> bool:
-        """No capped value is full. The caps of scenarios and crops grow with what is chosen."""
+    def cap(self, dim: str, value: str | None) -> int | None:
+        """How often a value may be taken. The caps of scenarios and crops grow with what is chosen."""
         n = len(self.chosen)
         most = {"weather_scenario": max(3, n // len(SCENARIO_ORDER) + 4), "crop_key": max(6, n // 8 + 8)}
-        for d, v in values.items():
-            cap = most[d] if d in most else self.caps.get(d, {}).get(v)
-            if cap is not None and self.counts[d, v] >= cap:
-                return False
-        return True
+        return most[dim] if dim in most else self.caps.get(dim, {}).get(value)
+
+    def is_full(self, dim: str, value: str | None) -> bool:
+        cap = self.cap(dim, value)
+        return cap is not None and self.counts[dim, value] >= cap
+
+    def room(self, row: Row) -> bool:
+        return not any(self.is_full(d, row[d]) for d in DIMENSIONS)
 
+    def full(self) -> list[tuple[str, str | None]]:
+        return [k for k in self.counts if self.is_full(*k)]
 
-def select_queries(bank: DataFrame, limit: int = 96, depth: int = 12) -> DataFrame:
+
+def _seed(table: DataFrame, scratch: Scratch, state: _Pass) -> None:
+    """Take the seeds: of each predicate the first row in sort order; if that row is chosen already, that of the fallback.
+
+    All seeds are the first of some combination of DIMENSIONS, so they are looked for among these firsts; the
+    driver gets the first row of each predicate, of at most ``limit`` crops and as many groups.
+    """
+    first = F.min(F.struct("pos", "combined_query_id", "twin")).alias("first")
+    heads = scratch.save(table.groupBy(*DIMENSIONS).agg(first).select(*DIMENSIONS, "first.*"))
+    limit = state.limit
+    keyed = {scope: heads.where(F.col("scope_type") == scope).select("crop_key").distinct() for scope in RANKS["scope_type"]}
+    n = keyed["crop_specific"].count()
+    start = [r["crop_key"] for r in keyed["crop_specific"].orderBy("crop_key").limit(len(SCENARIO_ORDER)).collect()]
+    crops = [start[i % n] if i % n < len(start) else "" for i in range(len(SCENARIO_ORDER))] if n else []
+    # Of the crops and groups only those with a row for their seed can add one, and no more than the limit.
+    acting = heads.where(matches({"discovery_channel": "web", "source_stage": "A1", "query_kind": "action"}))
+    named = {scope: [r["crop_key"] for r in acting.where(F.col("scope_type") == scope).select("crop_key").distinct().orderBy("crop_key").limit(limit).collect()] for scope in RANKS["scope_type"]}
+    seeds = seed_predicates(crops, named["crop_specific"], named["crop_group"])
+    wanted = list({tuple(sorted(w.items())): w for ws in seeds for w in ws}.values())
+    found = heads.agg(*[F.min(F.when(matches(w), F.col("pos"))).alias(f"_{i}") for i, w in enumerate(wanted)]).first()
+    at = {tuple(sorted(w.items())): found[i] for i, w in enumerate(wanted)}
+    rows = {r["pos"]: r for r in heads.where(F.col("pos").isin([p for p in set(at.values()) if p is not None])).collect()}
+    for predicates in seeds:
+        for w in predicates:
+            row = rows.get(at[tuple(sorted(w.items()))])
+            if row is not None and row["combined_query_id"] not in state.chosen:
+                state.add(row)
+                break
+
+
+def select_queries(bank: DataFrame, limit: int = 96, page: int | None = None) -> DataFrame:
     """At most ``limit`` rows of a combined bank, with selection_rank from 1.
 
-    Seeds come first: of each predicate the first row in sort order; if that row is chosen already,
-    the fallback predicate is tried. Then the rows are gone through in sort order, and one is chosen if it is
-    no near duplicate of a chosen one and no value of it has reached its cap. The pass runs on the
-    driver over the first ``depth`` rows of each combination of values; where it has gone through
-    all of these and the combination still has room, it fetches the next ones, so the result
-    is that of a pass over the whole bank.
+    Seeds come first. Then the rows are gone through in sort order, and one is chosen if it is
+    no near duplicate of a chosen one and no value of it has reached its cap. The pass runs on the driver over pages of
+    ``page`` rows (8 times the limit) of the written projection: the next ones in sort order that are no near duplicate of a
+    chosen row and have no value that is full. Each page has a row to choose, if there is any. Where a cap has grown so that a
+    value isn't full any more, the rest of the page is fetched again, so the result is that of a pass over the whole bank
+    and the driver holds a page, whatever the bank's size and number of crops.
     """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    rows = annotate(bank).where(F.col("discovery_channel").isin(*CHANNELS)).withColumn("_key", sort_key())
-    pool, state = _nearest(rows, depth, None), _Pass(limit)
-    keys = {scope: sorted({r["crop_key"] for r in pool if r["scope_type"] == scope}) for scope in RANKS["scope_type"]}
-    for predicates in seed_predicates(keys["crop_specific"], keys["crop_group"]):
-        for wanted in predicates:
-            first = next((r for r in pool if all(r[d] == v for d, v in wanted.items())), None)
-            if first is not None and first["combined_query_id"] not in state.chosen:
-                state.add(first)
-                break
-    last = None
+    scratch, state, last = Scratch(bank.sparkSession), _Pass(limit), -1
+    table = projection(bank, scratch)
+    _seed(table, scratch, state)
     while len(state.chosen) < limit:
-        # Combinations that may have more rows than were fetched, once their last row is behind.
-        spent: dict[tuple, dict[str, str]] = {}
-        more = False
-        for row in pool:
-            more = any(map(state.room, spent.values()))
-            if more or len(state.chosen) >= limit:
-                break
-            last = row["combined_query_id"]
-            values = {d: row[d] for d in DIMENSIONS}
-            if last not in state.chosen and row["twin"] not in state.twins and state.room(values):
-                state.add(row)
-            if row["_rn"] == depth:
-                spent[tuple(values.values())] = values
-        if last is None or not (more or any(map(state.room, spent.values()))):
+        full = state.full()
+        rows = table.where((F.col("pos") > last) & ~F.col("twin").isin(*state.twins))
+        for dim, value in full:
+            rows = rows.where(~F.col(dim).eqNullSafe(F.lit(value)))
+        rows = rows.orderBy("pos").limit(page or 8 * limit).collect()
+        if not rows:
             break
-        pool = _nearest(rows, depth, last) if len(state.chosen) < limit else []
+        for row in rows:
+            last = row["pos"]
+            if row["twin"] not in state.twins and state.room(row):
+                state.add(row)
+                if len(state.chosen) >= limit or not all(state.is_full(*k) for k in full):
+                    break
+    scratch.keep()
     ranks = bank.sparkSession.createDataFrame([(q, i) for i, q in enumerate(list(state.chosen)[:limit], 1)], "combined_query_id string, selection_rank int")
     return annotate(bank).join(F.broadcast(ranks), "combined_query_id")
 

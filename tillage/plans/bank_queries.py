@@ -7,17 +7,17 @@ the oracle's engine read alike; the rules that find the faults are written anew
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillage.functions import text
 from tillage.operators import audits, candidates, selection, tables
-from tillage.plans import bank, catalog, fixed, search
+from tillage.operators.order import positions
+from tillage.plans import bank, catalog, fixed, outputs, search
 from tillage.plans.bank import Taxonomy
 from tillage.plans.registry import ORACLES, query, sql_id, sql_normalize, sql_public, sql_signature, table
 from tillage.sources import files
 from tillage.sources.config import RunConfig
+from tillage.sources.scratch import Scratch
 
 # ---- the bank ----
 
@@ -84,8 +84,15 @@ def bank_systematic(spark, sf_dir):
 @query("bank_systematic_order", f"WITH {SQL_BANK} SELECT query_id, row_number() OVER (ORDER BY CAST(priority AS VARCHAR), language, scope_type, crop_id, crop_group, weather_scenario, query_kind, action, search_region, query_id) AS place FROM a1")
 def bank_systematic_order(spark, sf_dir):
     """Each query's place in the sorted bank."""
-    rows = bank.systematic(taxonomy_of(spark, sf_dir))
-    return rows.select("query_id", F.row_number().over(Window.orderBy("ord", "query_id")).cast("long").alias("place"))
+    rows = positions(bank.systematic(taxonomy_of(spark, sf_dir)).select("query_id", "ord"), F.struct("ord", "query_id"), keep=["query_id"])
+    return rows.select("query_id", (F.col("position") + 1).alias("place"))
+
+
+@query("bank_questions_order", f"WITH {SQL_BANK} SELECT query_id, row_number() OVER (ORDER BY intent, crop_scope, crop_key, search_region, query_text, query_id) AS place FROM a2")
+def bank_questions_order(spark, sf_dir):
+    """Each question's place in the sorted bank; all are synthetic and have one scenario and action here."""
+    rows = positions(bank.questions(taxonomy_of(spark, sf_dir)).select("query_id", "ord"), F.struct("ord", "query_id"), keep=["query_id"])
+    return rows.select("query_id", (F.col("position") + 1).alias("place"))
 
 
 @query("bank_template_expand", f"WITH {SQL_BANK} SELECT query_text, intent, crop_scope, crop_key, search_region FROM seeds")
@@ -114,6 +121,55 @@ def bank_combined_union(spark, sf_dir):
     return bank.combined(bank.systematic(t), bank.questions(t)).select(*COMBINED_COLUMNS)
 
 
+def _sql_counts(part: str, rows: str, dims: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{part}' AS part, '{name}' AS name, CAST({d} AS VARCHAR) AS key, count(*) AS n FROM {rows} GROUP BY ALL" for name, d in dims.items())
+
+
+_A1_DIMS = {"by_language": "language", "by_channel": "channel", "by_scope": "scope_type", "by_query_kind": "query_kind", "by_search_region": "search_region", "by_weather_scenario": "weather_scenario"}
+_A2_DIMS = {"by_intent": "intent", "by_crop_scope": "crop_scope", "by_search_region": "search_region"}
+SQL_SUMMARY = f"""WITH {SQL_BANK}, {SQL_COMBINED}
+{_sql_counts('a1', 'a1', _A1_DIMS)} UNION ALL {_sql_counts('a2', 'a2', _A2_DIMS)}
+UNION ALL SELECT 'a2', 'by_query_origin', o, CASE o WHEN 'synthetic' THEN (SELECT count(*) FROM a2) ELSE 0 END FROM (VALUES ('observed'), ('transformed'), ('synthetic')) t(o)
+UNION ALL SELECT 'a2', 'queries_with_region', '', count(*) FILTER (search_region <> 'NONE') FROM a2 UNION ALL SELECT 'a2', 'queries_without_region', '', count(*) FILTER (search_region = 'NONE') FROM a2
+UNION ALL SELECT 'bank', 'a1_query_count', '', count(*) FROM a1 UNION ALL SELECT 'bank', 'a2_query_count', '', count(*) FROM a2 UNION ALL SELECT 'bank', 'combined_unique_query_count', '', count(*) FROM combined
+UNION ALL SELECT 'bank', 'crop_count', '', count(*) FROM nation
+UNION ALL SELECT 'bank', 'status', 'NEEDS_REVIEW', 1 UNION ALL SELECT 'a1', 'status', 'REVIEW_REQUIRED', 1 UNION ALL SELECT 'a2', 'status', 'READY_FOR_A3', 1
+"""
+
+
+@query("bank_summary", SQL_SUMMARY)
+def bank_summary(spark, sf_dir):
+    """The bank's summary: counts by every dimension, with and without region, totals and statuses (with one issue in A1)."""
+    t, scratch = taxonomy_of(spark, sf_dir), Scratch(spark)
+    a1, a2 = scratch.save(bank.systematic(t)), scratch.save(bank.questions(t))
+    made = outputs.bank_summary(a1, a2, bank.combined(a1, a2).count(), t.scopes.where("scope_type = 'crop_specific'").count(), {"A1": [{"stage": "A1", "type": "X"}], "A2": []}, "2024-01-01T00:00:00Z")
+    rows = [(part, name, k, n) for part in ("a1", "a2") for name, v in made[part].items() if name.startswith("by_") for k, n in v.items()]
+    rows += [("a2", name, "", made["a2"][name]) for name in ("queries_with_region", "queries_without_region")]
+    rows += [("bank", name, "", made[name]) for name in ("a1_query_count", "a2_query_count", "combined_unique_query_count", "crop_count")]
+    rows += [("bank", "status", made["status"], 1), ("a1", "status", made["a1"]["status"], 1), ("a2", "status", made["a2"]["status"], 1)]
+    return spark.createDataFrame(rows, "part string, name string, key string, n long")
+
+
+SQL_REPRESENTATIVES = """WITH r AS (SELECT o_orderkey AS k, o_orderkey % 31 AS i, lpad(CAST(o_orderkey * 7919 % 100003 AS VARCHAR), 6, '0') AS ord FROM orders),
+one AS (SELECT part, n, i, k, row_number() OVER (PARTITION BY part, i ORDER BY ord, k) AS rn, ord FROM r, (VALUES ('A1', 20), ('A2', 24)) t(part, n)),
+picked AS (SELECT part, n, k, CASE WHEN i < n AND rn = 1 THEN i END AS c, ord FROM one)
+SELECT part, k, place FROM (SELECT part, n, k, row_number() OVER (PARTITION BY part ORDER BY c NULLS LAST, ord, k) AS place FROM picked) WHERE place <= n + 5"""
+
+
+@query("bank_representatives", SQL_REPRESENTATIVES)
+def bank_representatives(spark, sf_dir):
+    """The representatives of systematic queries and of questions, and five further rows; orders take the values of a criterion by their key."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("query_id"), (F.col("o_orderkey") % 31).alias("i"), F.lpad((F.col("o_orderkey") * 7919 % 100003).cast("string"), 6, "0").alias("ord"))
+    out = []
+    for part in ("A1", "A2"):
+        wanted = outputs.criteria(part)
+        names = sorted({k for c in wanted for k in c})
+        made = rows.select("query_id", "ord", *[F.get(F.array(*[F.lit(c.get(k, "")) for c in wanted]), F.col("i").cast("int")).alias(k) for k in names])
+        first = outputs.representatives(made, part, len(wanted) + 5)
+        out += [(part, r["query_id"], place) for place, r in enumerate(first.collect(), 1)]
+    return spark.createDataFrame(out, "part string, k long, place long")
+
+
 @query("provenance_inherit", "SELECT c.conv_id || '-' || c.turn AS query_id, coalesce(nullif(CASE WHEN c.turn % 2 = 0 THEN 'own' ELSE '' END, ''), p.role, '') AS source_url, coalesce(nullif(CASE WHEN c.turn % 3 = 0 THEN c.role ELSE '' END, ''), p.text, '') AS source_title FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1 AND p.turn % 4 <> 1")
 def provenance_inherit(spark, sf_dir):
     """A turn inherits what it lacks from the turn before; some turns have no parent."""
@@ -148,8 +204,8 @@ def bank_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RANK = lambda column, order, other: f"CASE {column} " + " ".join(f"WHEN '{v}' THEN {i}" for v, i in order) + f" ELSE {other} END"
-_SCENARIOS = "heavy_rain prolonged_rain post_rain waterlogging wet_soil dry_spell hot_weather strong_sun hot_dry_wind high_humidity leaf_wetness strong_wind rainy_season cold_weather weather_change".split()
-_ACTIONS = "irrigation drainage post_rain_care field_inspection disease_monitoring crop_protection spray_window fertilization planting shade".split()
+_SCENARIOS = ("heavy_rain", "prolonged_rain", "post_rain", "waterlogging", "wet_soil", "dry_spell", "hot_weather", "strong_sun", "hot_dry_wind", "high_humidity", "leaf_wetness", "strong_wind", "rainy_season", "cold_weather", "weather_change")
+_ACTIONS = ("irrigation", "drainage", "post_rain_care", "field_inspection", "disease_monitoring", "crop_protection", "spray_window", "fertilization", "planting", "shade")
 SQL_RANKED = f"""
 rows_ AS (SELECT {', '.join(f'{e} AS {c}' for c, e in BANK_OF_DOCUMENTS.items())} FROM documents),
 routed AS (SELECT *, CASE WHEN channel = 'scholarly' OR language = 'en' THEN 'scholarly' ELSE 'web' END AS discovery_channel, {sql_signature('query_text')} AS sig FROM rows_),
@@ -164,17 +220,16 @@ ranked AS (SELECT *, row_number() OVER (ORDER BY {_RANK('discovery_channel', [('
 @query("query_sort_places", f"WITH {SQL_RANKED} SELECT combined_query_id, discovery_channel, selection_priority, query_origin_group, pos FROM ranked")
 def query_sort_places(spark, sf_dir):
     """Channel, priority, origin group and place of every query of the bank: the sort key of a selection."""
-    rows = selection.annotate(bank_of_documents(spark, sf_dir))
-    pos = F.row_number().over(Window.orderBy(selection.sort_key())).cast("long").alias("pos")
-    return rows.select("combined_query_id", "discovery_channel", "selection_priority", "query_origin_group", pos)
+    kept = ["combined_query_id", "discovery_channel", "selection_priority", "query_origin_group"]
+    rows = selection.annotate(bank_of_documents(spark, sf_dir)).select(*kept, selection.sort_key().alias("key"))
+    return positions(rows, F.col("key"), keep=kept).select(*kept, (F.col("position") + 1).alias("pos"))
 
 
 @query("near_duplicate_groups", f"WITH {SQL_RANKED} SELECT min(pos) AS first_pos, count(*) AS n FROM ranked GROUP BY twin HAVING count(*) > 1")
 def near_duplicate_groups(spark, sf_dir):
     """Near duplicates of the bank: the first one's place, and how many there are."""
-    rows = selection.annotate(bank_of_documents(spark, sf_dir)).withColumn("_key", selection.sort_key())
-    placed = rows.withColumn("pos", F.row_number().over(Window.orderBy("_key")).cast("long"))
-    return placed.groupBy(bank.near_duplicate(F.col("discovery_channel"))).agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n")).where("n > 1").select("first_pos", "n")
+    placed = selection.projection(bank_of_documents(spark, sf_dir), Scratch(spark))
+    return placed.groupBy("twin").agg((F.min("pos") + 1).alias("first_pos"), F.count(F.lit(1)).alias("n")).where("n > 1").select("first_pos", "n")
 
 
 def _sql_seeds() -> str:
@@ -287,6 +342,14 @@ def run_statuses(spark, sf_dir):
     return orders.join(F.broadcast(known), ["m2", "m3", "m5", "m7", "m11"]).select("o_orderkey", "status")
 
 
+@query("bank_statuses", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'READY_FOR_DISCOVERY' ELSE 'REVIEW_REQUIRED' END AS a1, CASE WHEN o_orderkey % 5 = 0 THEN 'READY_FOR_A3' ELSE 'NEEDS_REVIEW' END AS a2 FROM orders")
+def bank_statuses(spark, sf_dir):
+    """The statuses of both parts of a bank for each number of issues that occurs."""
+    known = spark.createDataFrame([(a, b, outputs.systematic_status(a), outputs.bank_status(b)) for a in range(3) for b in range(5)], "m3 int, m5 int, a1 string, a2 string")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 3).alias("m3"), (F.col("o_orderkey") % 5).alias("m5"))
+    return orders.join(F.broadcast(known), ["m3", "m5"]).select("o_orderkey", "a1", "a2")
+
+
 @query("keep_best_hits", "SELECT o_custkey, variant_ord, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, variant_ord ORDER BY CASE WHEN c THEN CASE st WHEN 'direct_match' THEN 0 ELSE 1 END END, CASE WHEN c THEN -sc END, o_orderkey) AS rn FROM (SELECT o_custkey, o_orderkey % 2 AS variant_ord, o_orderkey, o_custkey % 2 = 0 AS c, CASE o_orderkey % 3 WHEN 0 THEN 'direct_match' WHEN 1 THEN 'supporting_match' ELSE 'rejected_irrelevant' END AS st, o_orderkey % 9 AS sc FROM orders) WHERE st <> 'rejected_irrelevant') WHERE rn <= 2")
 def keep_best_hits(spark, sf_dir):
     """The two best hits of each variant: scholarly ones by status and score, web ones by rank."""
@@ -317,8 +380,7 @@ def metadata_text(spark, sf_dir):
 @query("jsonl_roundtrip", "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k, event_type FROM events")
 def jsonl_roundtrip(spark, sf_dir):
     """Events written as JSON lines and read back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    path = f"{base}/events-{spark.sparkContext.applicationId}.jsonl"
+    path = Scratch(spark).path()
     rows = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint").alias("p"), "event_type")
     files.write_jsonl(rows, path, sort_keys=True)
     return files.read_jsonl(spark, path, rows.schema).select("event_id", "p.k", "event_type")
@@ -364,12 +426,39 @@ def _values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in rows) + ")"
 
 
-def _issues(rows: str, ident: str, rules: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{t}' AS type, {ident} AS id FROM {rows} WHERE {p}" for t, p in rules.items())
+#: What each issue shows beside its row's id, as the audits are to give it.
+_SHOWN = {
+    "EMPTY_QUERY_ID": "row", "DUPLICATE_QUERY": "query", "INVALID_LANGUAGE": "query_id language", "INVALID_CHANNEL": "query_id language channel", "INVALID_QUERY_KIND": "query_id query_kind", "INVALID_SCOPE_TYPE": "query_id scope_type", "INVALID_CROP_ID": "query_id crop_id", "CROP_NAME_MISMATCH": "query_id crop_id",
+    "INVALID_CROP_GROUP": "query_id crop_group", "INVALID_WEATHER_SCENARIO": "query_id weather_scenario", "EFFECT_QUERY_HAS_ACTION": "query_id action", "INVALID_ROW_ACTION": "query_id action", "INVALID_SEARCH_REGION": "query_id language search_region", "SEARCH_REGION_TERM_MISMATCH": "query_id search_region",
+    "A2_EMPTY_QUERY_ID": "row", "A2_DUPLICATE_NORMALIZED_QUERY": "query_id query_text", "A2_MALFORMED_STAGE": "query_id stage", "A2_INVALID_LANGUAGE": "query_id language", "A2_INVALID_QUERY_ORIGIN": "query_id query_origin", "A2_INVALID_INTENT": "query_id intent", "A2_TRANSFORMED_PARENT_NOT_FOUND": "query_id parent_query_id",
+    "A2_UNKNOWN_CROP_KEY": "query_id crop_key", "A2_UNKNOWN_CROP_GROUP_KEY": "query_id crop_key", "A2_INVALID_CROP_SCOPE": "query_id crop_scope", "A2_INVALID_SEARCH_REGION": "query_id search_region", "A2_SEARCH_REGION_TERM_MISMATCH": "query_id search_region", "A2_UNKNOWN_SCENARIO": "query_id scenario",
+    "A2_UNKNOWN_ACTION": "query_id action", "A2_INCOMPATIBLE_ACTION_SCENARIO": "query_id scenario action",
+    "A3_MALFORMED_URL": "candidate_id url", "A3_MALFORMED_CANONICAL_URL": "candidate_id canonical_url", "A3_DUPLICATE_CANONICAL_URL_RECORD": "candidate_id canonical_url", "A3_INVALID_DISCOVERY_CHANNEL": "candidate_id discovery_channel", "A3_INVALID_SEARCH_REGION": "candidate_id search_region",
+    "A3_UNKNOWN_QUERY_ID": "candidate_id query_id", "A3_DEDUP_PROVENANCE_LOST": "candidate_id raw_result_count query_reference_count", "A3_INVALID_RELEVANCE_STATUS": "candidate_id relevance_status", "A3_REFERENCE_MISSING_QUERY_ID": "candidate_id", "A3_REFERENCE_INVALID_SEARCH_VARIANT_TYPE": "candidate_id query_id search_variant_type",
+}
+
+
+def _sql_object(fields: dict[str, str]) -> str:
+    """A JSON object of the fields, nulls too."""
+    return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || coalesce(CAST(to_json({v}) AS VARCHAR), 'null')" for k, v in fields.items()) + " || '}'"
+
+
+def _sql_shown(kind: str, default: str, ident: str, row: dict[str, str]) -> str:
+    names = _SHOWN.get(kind, default).split()
+    key = "candidate_id" if "candidate_id" in default else "query_id"
+    values = {n: ident if n == key else n for n in names}
+    if names == ["row"]:
+        return "'{\"row\":' || " + _sql_object({k: k for k in row}) + " || '}'"
+    return _sql_object(values)
+
+
+def _issues(rows: str, ident: str, rules: dict[str, str], default: str = "query_id", row: dict[str, str] | None = None) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS type, {ident} AS id, {_sql_shown(t, default, ident, row or {})} AS details FROM {rows} WHERE {p}" for t, p in rules.items())
 
 
-def _sql_repeats(rows: str, ident: str, kind: str, key: str) -> str:
-    return f"SELECT '{kind}', id FROM (SELECT {ident} AS id, {key} AS key, row_number() OVER (PARTITION BY {key} ORDER BY {ident}) AS rn FROM {rows}) WHERE rn > 1 AND coalesce(key, '') <> ''"
+def _sql_repeats(rows: str, ident: str, kind: str, key: str, default: str = "query_id", text: str = "''") -> str:
+    """Issues of all rows but the first of a key, by (id, text)."""
+    return f"SELECT '{kind}', id, {_sql_shown(kind, default, 'id', {})} FROM (SELECT {ident} AS id, {'' if text == chr(39) * 2 else text + ','} {key} AS key, row_number() OVER (PARTITION BY {key} ORDER BY {ident}, {text}) AS rn FROM {rows}) WHERE rn > 1 AND coalesce(key, '') <> ''"
 
 
 _CROP_OK = "crop_id IN (SELECT 'n' || unnest(range(25)))"
@@ -383,10 +472,10 @@ d AS (SELECT * FROM r LEFT JOIN scen ON weather_scenario = sid)
     'INVALID_CROP_GROUP': "scope_type = 'crop_group' AND crop_group NOT IN ('r0', 'r1', 'r2', 'r3', 'r4')", 'EMPTY_CROP_TERM': "crop_term = ''", 'INVALID_WEATHER_SCENARIO': 'sid IS NULL', 'WEATHER_FACTOR_MISMATCH': 'sid IS NOT NULL AND weather_factor IS DISTINCT FROM sf',
     'WEATHER_TERM_MISMATCH': "sid IS NOT NULL AND weather_term IS DISTINCT FROM CASE language WHEN 'vi' THEN svi ELSE sen END", 'EFFECTS_MISMATCH': 'sid IS NOT NULL AND effects IS DISTINCT FROM se', 'EFFECT_QUERY_HAS_ACTION': "query_kind = 'effect' AND action <> 'NONE'", 'INVALID_ROW_ACTION': "query_kind = 'action' AND action IN ('dance', 'NONE')",
     'INVALID_SEARCH_REGION': "language <> 'fr' AND search_region = 'MARS'", 'SEARCH_REGION_TERM_MISMATCH': "search_region = 'VIETNAM' AND ((language = 'vi' AND search_region_term <> 'Việt Nam') OR (language = 'en' AND search_region_term <> 'Vietnam'))",
-})}
-UNION ALL {_sql_repeats('r', 'query_id', 'DUPLICATE_QUERY_ID', 'query_id')} UNION ALL {_sql_repeats('r', 'query_id', 'DUPLICATE_QUERY', sql_normalize('query'))}
-UNION ALL SELECT 'MISSING_TARGET_CROPS', 'cai_cuc,cai_xanh,ngo,rau_muong,xa_lach'
-UNION ALL SELECT DISTINCT 'MISSING_WEATHER_SCENARIO', c FROM (SELECT 'n' || unnest(range(25)) AS c), scen WHERE NOT EXISTS (SELECT 1 FROM r WHERE crop_id = c AND weather_scenario = sid)"""
+}, row=A1_ROWS)}
+UNION ALL {_sql_repeats('r', 'query_id', 'DUPLICATE_QUERY_ID', 'query_id')} UNION ALL {_sql_repeats('r', 'query_id', 'DUPLICATE_QUERY', sql_normalize('query'), text='query')}
+UNION ALL SELECT 'MISSING_TARGET_CROPS', 'cai_cuc,cai_xanh,ngo,rau_muong,xa_lach', '{{"missing":["cai_cuc","cai_xanh","ngo","rau_muong","xa_lach"]}}'
+UNION ALL SELECT 'MISSING_WEATHER_SCENARIO', c, '{{"crop_id":"' || c || '","missing":' || CAST(to_json(list(sid ORDER BY sid)) AS VARCHAR) || '}}' FROM (SELECT 'n' || unnest(range(25)) AS c), scen WHERE NOT EXISTS (SELECT 1 FROM r WHERE crop_id = c AND weather_scenario = sid) GROUP BY c"""
 
 
 @query("audit_systematic", SQL_A1)
@@ -422,8 +511,8 @@ SQL_A2 = f"""WITH r AS (SELECT {', '.join(f'{e} AS {c}' for c, e in A2_ROWS.item
     'A2_SYNTHETIC_HAS_FAKE_PROVENANCE': "query_origin = 'synthetic' AND (source_url <> '' OR source_title <> '' OR parent_query_id <> '')", 'A2_UNKNOWN_CROP_KEY': "crop_scope = 'crop_specific' AND NOT regexp_full_match(crop_key, 'n([0-9]|1[0-9]|2[0-4])')", 'A2_UNKNOWN_CROP_GROUP_KEY': "crop_scope = 'crop_group' AND NOT regexp_full_match(crop_key, 'r[0-4]')",
     'A2_INVALID_CROP_SCOPE': "crop_scope = 'farm'", 'A2_INVALID_SEARCH_REGION': "search_region = 'GLOBAL'", 'A2_SEARCH_REGION_TERM_MISMATCH': "search_region <> 'GLOBAL' AND search_region_term <> CASE search_region WHEN 'VIETNAM' THEN 'Việt Nam' ELSE '' END", 'A2_UNKNOWN_SCENARIO': "scenario = 'snow'", 'A2_UNKNOWN_ACTION': "action = 'dance'",
     'A2_INCOMPATIBLE_ACTION_SCENARIO': "scenario <> 'snow' AND action <> 'NONE' AND NOT EXISTS (SELECT 1 FROM allowed WHERE s = scenario AND a = action)",
-})}
-UNION ALL {_sql_repeats('r', 'query_id', 'A2_DUPLICATE_QUERY_ID', 'query_id')} UNION ALL {_sql_repeats('r', 'query_id', 'A2_DUPLICATE_NORMALIZED_QUERY', sql_public('query_text'))}"""
+}, row=A2_ROWS)}
+UNION ALL {_sql_repeats('r', 'query_id', 'A2_DUPLICATE_QUERY_ID', 'query_id')} UNION ALL {_sql_repeats('r', 'query_id', 'A2_DUPLICATE_NORMALIZED_QUERY', sql_public('query_text'), text='query_text')}"""
 
 
 @query("audit_questions", SQL_A2)
@@ -464,18 +553,18 @@ _FIRST_OF = ", ".join(f"arg_min({c}, page_id) AS {c}" for c in ("url", "canonica
 SQL_A3 = f"""WITH {catalog.SQL_URL}, h AS (SELECT page_id, url, canonical, CASE canonical WHEN '' THEN 'INVALID:' || url ELSE canonical END AS key, host, CASE WHEN page_id % 5 = 0 THEN '' ELSE trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) END AS title, CAST(page_id % 9 AS INT) AS score, {', '.join(f'{e} AS {c}' for c, e in HIT_FAULTS.items())} FROM canon),
 m AS (SELECT key, {_FIRST_OF}, arg_min(host, page_id) AS host, coalesce(arg_min(title, page_id) FILTER (WHERE title <> ''), '') AS title, max(score) AS relevance_score, arg_min(relevance_status, (9 - score)::BIGINT * 1000000000 + page_id) AS relevance_status, count(*) AS raw_result_count, 'NONE' AS search_region FROM h GROUP BY key),
 named AS (SELECT *, {sql_id('CD-', "CASE canonical WHEN '' THEN url ELSE canonical END")} AS id, canonical AS canonical_url, host AS source_domain, CASE title WHEN '' THEN 'missing_from_search_result' ELSE 'from_search_result' END AS title_status, raw_result_count AS refs, {_N} AS n FROM m),
-f AS (SELECT id, title, refs, {', '.join(f'{e} AS {c}' for c, e in A3_FAULTS.items())} FROM (SELECT id, title, refs, n, {', '.join(A3_FAULTS)} FROM named)),
+f AS (SELECT id, title, refs, refs AS query_reference_count, {', '.join(f'{e} AS {c}' for c, e in A3_FAULTS.items())} FROM (SELECT id, title, refs, n, {', '.join(A3_FAULTS)} FROM named)),
 each_ AS (SELECT h.*, named.id FROM h JOIN named USING (key))
 {_issues('f', 'id', {
     'A3_EMPTY_URL': "url = ''", 'A3_MALFORMED_URL': "NOT regexp_matches(url, '^[ ]*https?://[^/?#]')", 'A3_EMPTY_CANONICAL_URL': "canonical_url = ''", 'A3_MALFORMED_CANONICAL_URL': "canonical_url <> '' AND NOT regexp_matches(canonical_url, '^https?://[^/?#]')", 'A3_INVALID_DISCOVERY_CHANNEL': "discovery_channel = 'radio'", 'A3_INVALID_SEARCH_REGION': "search_region = 'MARS'",
     'A3_EMPTY_SOURCE_DOMAIN': "source_domain = ''", 'A3_MISSING_QUERY_ID': "query_id = ''", 'A3_UNKNOWN_QUERY_ID': "query_id = 'Q9'", 'A3_DEDUP_PROVENANCE_LOST': 'raw_result_count <> refs', 'A3_EMPTY_TITLE_WITHOUT_STATUS': "title = '' AND title_status <> 'missing_from_search_result'", 'A3_FABRICATED_TITLE': "title_status = 'fabricated'",
     'A3_INVALID_RELEVANCE_STATUS': "relevance_status = 'fine'", 'A3_REJECTED_CANDIDATE_WRITTEN': "relevance_status = 'rejected_irrelevant'", 'A3_INVALID_RELEVANCE_SCORE': 'relevance_score IS NULL',
-})}
+}, 'candidate_id')}
 UNION ALL {_issues('each_', 'id', {
     'A3_REFERENCE_MISSING_QUERY_ID': "query_id = ''", 'A3_REFERENCE_UNKNOWN_QUERY_ID': "query_id = 'Q9'", 'A3_REFERENCE_MISSING_ORIGINAL_QUERY_ID': "original_query_id = ''", 'A3_REFERENCE_MISSING_ORIGINAL_QUERY_TEXT': "original_query_text = ''", 'A3_REFERENCE_MISSING_SEARCH_VARIANT_TEXT': "search_variant_text = ''",
     'A3_REFERENCE_INVALID_SEARCH_VARIANT_TYPE': "search_variant_type = 'odd'", 'A3_REFERENCE_INVALID_DISCOVERY_CHANNEL': "discovery_channel = 'radio'", 'A3_REFERENCE_MISSING_SOURCE_STAGE': "source_stage = ''", 'A3_A2_REFERENCE_MISSING_QUERY_ORIGIN': "source_stage = 'A2' AND query_origin = ''", 'A3_REFERENCE_INVALID_RELEVANCE_STATUS': "relevance_status = 'fine'",
-})}
-UNION ALL {_sql_repeats("(SELECT * FROM f WHERE starts_with(canonical_url, 'http'))", 'id', 'A3_DUPLICATE_CANONICAL_URL_RECORD', 'canonical_url')}"""
+}, 'candidate_id query_id')}
+UNION ALL {_sql_repeats("(SELECT * FROM f WHERE starts_with(canonical_url, 'http'))", 'id', 'A3_DUPLICATE_CANONICAL_URL_RECORD', 'canonical_url', 'candidate_id', 'canonical_url')}"""
 
 
 @query("audit_candidates", SQL_A3)
@@ -487,7 +576,7 @@ def audit_candidates(spark, sf_dir):
     return audits.audit_candidates(merged.withColumns({c: F.expr(e) for c, e in A3_FAULTS.items()}).drop("n"), known)
 
 
-@query("audit_vocabularies", f"WITH c AS (SELECT 'n' || n_nationkey AS key, n_name AS term FROM nation UNION ALL SELECT 'n' || n_nationkey, upper(r_name) FROM nation JOIN region ON n_nationkey % 6 = r_regionkey), s AS (SELECT DISTINCT {sql_normalize('r_name')} AS norm FROM region) SELECT 'A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD' AS type, key || ':' || string_agg(DISTINCT term, ',' ORDER BY term) AS id FROM c WHERE {sql_normalize('term')} IN (SELECT norm FROM s) GROUP BY key")
+@query("audit_vocabularies", f"WITH c AS (SELECT 'n' || n_nationkey AS key, n_name AS term FROM nation UNION ALL SELECT 'n' || n_nationkey, upper(r_name) FROM nation JOIN region ON n_nationkey % 6 = r_regionkey), s AS (SELECT DISTINCT {sql_normalize('r_name')} AS norm FROM region) SELECT 'A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD' AS type, key || ':' || string_agg(DISTINCT term, ',' ORDER BY term) AS id, '{{\"crop_key\":\"' || key || '\",\"terms\":' || CAST(to_json(list(DISTINCT term ORDER BY term)) AS VARCHAR) || '}}' AS details FROM c WHERE {sql_normalize('term')} IN (SELECT norm FROM s) GROUP BY key")
 def audit_vocabularies(spark, sf_dir):
     """Nations as crops, regions as scenarios; 25 and 5 rows, which are the vocabularies."""
     regions = {r.r_regionkey: r.r_name for r in table(spark, sf_dir, "region").collect()}
@@ -495,7 +584,7 @@ def audit_vocabularies(spark, sf_dir):
     return audits.audit_vocabularies(spark, crops, {name: [name.lower()] for name in regions.values()})
 
 
-@query("audit_duplicates", f"SELECT 'DUPLICATE_QUERY' AS type, doc_id AS id FROM (SELECT doc_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn, {sql_normalize('text')} AS norm FROM documents) WHERE rn > 1 AND coalesce(norm, '') <> ''")
+@query("audit_duplicates", f"SELECT 'DUPLICATE_QUERY' AS type, CAST(doc_id AS VARCHAR) AS id, '{{\"doc_id\":' || doc_id || '}}' AS details FROM (SELECT doc_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn, {sql_normalize('text')} AS norm FROM documents) WHERE rn > 1 AND coalesce(norm, '') <> ''")
 def audit_duplicates(spark, sf_dir):
     """Documents whose normal form an earlier one has; the forms travel as hashes."""
     norm = text.normalize(F.col("text"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillage.functions import relevance, text, urls
 from tillage.operators import audits, candidates, selection, tables
+from tillage.plans import vocabulary as words
 from tillage.plans.registry import ORACLES, query, sql_collapse, sql_id, sql_normalize, sql_public, sql_signature, sql_unescape, table
 
 # ---- text ----
@@ -239,8 +240,9 @@ def scored_documents(spark, sf_dir) -> DataFrame:
     everywhere = relevance.match_form(fields["abstract"])
     focus = relevance.focused_form(fields["title"], fields["snippet"], fields["subjects"])
     found = docs.select("doc_id", "source", everywhere.alias("f"), focus.alias("g"))
-    m = relevance.matched_terms
-    terms = found.select("doc_id", "source", m(F.col("f"), CROP).alias("crop"), m(F.col("f"), SCENARIO).alias("scenario"), m(F.col("f"), ACTION).alias("action"), m(F.col("f"), EFFECT).alias("effect"), m(F.col("g"), SCENARIO).alias("focus"), m(F.col("f"), NOISE).alias("noise"))
+    hits = found.select("doc_id", "source", relevance.term_hits(F.col("f"), [*CROP, *SCENARIO, *ACTION, *EFFECT, *NOISE]).alias("hits"), relevance.term_hits(F.col("g"), SCENARIO).alias("near"))
+    pick = lambda name, terms, of="hits": relevance.picked(F.col(of), terms).alias(name)
+    terms = hits.select("doc_id", "source", pick("crop", CROP), pick("scenario", SCENARIO), pick("action", ACTION), pick("effect", EFFECT), pick("focus", SCENARIO, "near"), pick("noise", NOISE))
     r = relevance.assess(*map(F.col, ("crop", "scenario", "action", "effect", "focus", "noise")))
     return terms.withColumn("r", r).select("doc_id", "source", "crop", "scenario", "action", "r.status", "r.score", "r.reasons")
 
@@ -261,6 +263,25 @@ def relevance_status_counts(spark, sf_dir):
     return tables.count_by(scored_documents(spark, sf_dir).where(F.col("status") != relevance.REJECTED), "status")
 
 
+#: The search vocabulary's terms, in no order: crops, scenarios, actions, effects, noise.
+TERMS = sorted({t for v in (*words.CROP_TERMS.values(), *words.SCENARIO_TERMS.values(), *words.ACTION_TERMS.values(), words.EFFECT_TERMS, words.NOISE_TERMS) for t in v})
+#: A document's text, with two terms planted before and after a mark that may join them to other letters.
+PLANTED = "concat(text, ' ', {list}[{first} + doc_id % {n}], CASE doc_id % 4 WHEN 0 THEN ' ' WHEN 1 THEN 'x' WHEN 2 THEN '/' ELSE '' END, {list}[{first} + doc_id * 7 % {n}], CASE doc_id % 3 WHEN 0 THEN '9' ELSE '' END)"
+_SQL_TERMS = "[" + ", ".join(f"'{t.replace(chr(39), chr(39) * 2)}'" for t in TERMS) + "]"
+SQL_VOCABULARY = f"""WITH planted AS (SELECT doc_id, {PLANTED.format(list=_SQL_TERMS, n=len(TERMS), first=1)} AS text FROM documents),
+forms AS (SELECT doc_id, {SQL_FORM} AS f FROM planted), terms AS (SELECT t, {sql_normalize("regexp_replace(t, '[-_/]+', ' ', 'g')")} AS m FROM (SELECT unnest({_SQL_TERMS}) AS t))
+SELECT doc_id, string_agg(t, '|' ORDER BY length(t) DESC, t DESC) AS terms FROM forms JOIN terms ON contains(f, m) AND regexp_matches(f, '(^|[^a-z0-9])' || regexp_escape(m) || '($|[^a-z0-9])') GROUP BY doc_id"""
+
+
+@query("vocabulary_matches", SQL_VOCABULARY)
+def vocabulary_matches(spark, sf_dir):
+    """All terms of the search vocabulary in documents, some of them planted."""
+    planted = table(spark, sf_dir, "documents").select("doc_id", F.array(*map(F.lit, TERMS)).alias("list"), "text")
+    texts = planted.select("doc_id", F.expr(PLANTED.format(list="list", n=len(TERMS), first="0")).alias("text"))
+    hits = texts.select("doc_id", relevance.term_hits(relevance.match_form(F.col("text")), TERMS).alias("hits"))
+    return hits.select("doc_id", F.array_join(relevance.picked(F.col("hits"), TERMS), "|").alias("terms")).where("terms <> ''")
+
+
 # ---- variants and fallback ----
 
 SQL_VARIANTS = """

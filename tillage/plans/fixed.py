@@ -118,3 +118,68 @@ QUESTIONS = (
     ("weather_recovery", "{crop} bị đổ do gió có cứu được không", "strong_wind", "crop_protection", "crop_group", ("general_vegetable", "leafy_vegetable"), ("NONE", "VIETNAM")),
     ("weather_recovery", "thời tiết thay đổi đột ngột chăm {crop} thế nào", "weather_change", "field_inspection", "crop_specific", TARGET_CROPS, ("NONE",)),
 )
+
+#: What a summary calls this form of the bank.
+VERSION = "discovery_query_bank_v2_round1_a2"
+STRATEGY = "a1_systematic_coverage_plus_a2_natural_public_questions"
+#: Changes of wording that a summary reports.
+REVIEW_CHANGES = (
+    "Changed A2 region text from direct 'ở <region>' suffix to search-keyword suffix.",
+    "Changed awkward leaf-wetness group wording to '<crop> bị ướt lá lâu...'.",
+    "Changed heat impact wording from 'có nặng không' to 'thế nào'.",
+    "Changed hot-weather planting wording to 'có nên trồng'.",
+    "Changed cold-weather planting wording to 'có được không'.",
+    "Changed weather-change recovery wording to 'chăm <crop> thế nào'.",
+    "Changed heavy-rain mortality wording to 'có bị chết không'.",
+)
+
+#: What each representative systematic query must have: (language, scope, crop or group, scenario, kind, action, region)
+SYSTEMATIC_CRITERIA = (
+    ("vi", "crop_specific", "cai_xanh", "heavy_rain", "action", "irrigation", "NONE"),
+    ("vi", "crop_specific", "cai_xanh", "heavy_rain", "action", "irrigation", "VIETNAM"),
+    ("vi", "crop_specific", "xa_lach", "hot_weather", "action", "shade", "BINH_DINH_LEGACY"),
+    ("vi", "crop_specific", "ngo", "high_humidity", "action", "disease_management", "GIA_LAI_CURRENT"),
+    ("vi", "crop_specific", "cai_cuc", "prolonged_rain", "action", "drainage", "VIETNAM"),
+    ("vi", "crop_specific", "rau_muong", "wet_soil", "effect", NO_ACTION, "NONE"),
+    ("vi", "crop_specific", "xa_lach", "strong_sun", "effect", NO_ACTION, "BINH_DINH_LEGACY"),
+    ("vi", "crop_specific", "cai_xanh", "waterlogging", "action", "drainage", "GIA_LAI_CURRENT"),
+    ("en", "crop_specific", "xa_lach", "hot_weather", "action", "irrigation", "GLOBAL"),
+    ("en", "crop_specific", "ngo", "high_humidity", "action", "disease_management", "VIETNAM"),
+    ("en", "crop_specific", "cai_cuc", "prolonged_rain", "effect", NO_ACTION, "GLOBAL"),
+    ("en", "crop_specific", "rau_muong", "waterlogging", "action", "drainage", "VIETNAM"),
+    ("vi", "crop_group", "leafy_vegetable", "rainy_season", "action", "cultivation", "VIETNAM"),
+    ("vi", "crop_group", "herb_vegetable", "hot_weather", "action", "shade", "NONE"),
+    ("en", "crop_group", "short_cycle_vegetable", "heavy_rain", "effect", NO_ACTION, "GLOBAL"),
+    ("en", "crop_group", "general_vegetable", "dry_spell", "action", "irrigation", "GLOBAL"),
+    ("vi", "crop_specific", "xa_lach", "dry_spell", "action", "soil_moisture_management", "GIA_LAI_CURRENT"),
+    ("vi", "crop_specific", "ngo", "cold_weather", "action", "planting", "VIETNAM"),
+    ("en", "crop_specific", "cai_xanh", "strong_wind", "action", "crop_protection", "GLOBAL"),
+    ("vi", "crop_group", "general_vegetable", "post_rain", "action", "post_rain_care", "VIETNAM"),
+)
+#: What each representative question must have: (intent, scope, crop or group, region)
+QUESTION_CRITERIA = (
+    ("irrigation_water", "crop_group", "general_vegetable", "NONE"),
+    ("irrigation_water", "crop_specific", "cai_xanh", "VIETNAM"),
+    ("irrigation_water", "crop_specific", "xa_lach", "BINH_DINH_LEGACY"),
+    ("rain_effect", "crop_specific", "cai_cuc", "NONE"),
+    ("rain_effect", "crop_group", "short_cycle_vegetable", "GIA_LAI_CURRENT"),
+    ("rain_effect", "crop_specific", "cai_xanh", "VIETNAM"),
+    ("heat_sunlight", "crop_specific", "xa_lach", "VIETNAM"),
+    ("heat_sunlight", "crop_group", "leafy_vegetable", "BINH_DINH_LEGACY"),
+    ("heat_sunlight", "crop_specific", "cai_cuc", "GIA_LAI_CURRENT"),
+    ("humidity_disease", "crop_specific", "ngo", "VIETNAM"),
+    ("humidity_disease", "crop_group", "general_vegetable", "GIA_LAI_CURRENT"),
+    ("fertilizer_weather", "crop_specific", "rau_muong", "NONE"),
+    ("fertilizer_weather", "crop_group", "short_cycle_vegetable", "BINH_DINH_LEGACY"),
+    ("fertilizer_weather", "crop_group", "leafy_vegetable", "VIETNAM"),
+    ("spraying_weather", "crop_group", "general_vegetable", "VIETNAM"),
+    ("spraying_weather", "crop_specific", "cai_xanh", "BINH_DINH_LEGACY"),
+    ("spraying_weather", "crop_group", "leafy_vegetable", "NONE"),
+    ("planting_weather", "crop_specific", "xa_lach", "GIA_LAI_CURRENT"),
+    ("planting_weather", "crop_group", "leafy_vegetable", "VIETNAM"),
+    ("planting_weather", "crop_specific", "ngo", "NONE"),
+    ("weather_recovery", "crop_specific", "cai_xanh", "VIETNAM"),
+    ("weather_recovery", "crop_specific", "ngo", "GIA_LAI_CURRENT"),
+    ("weather_recovery", "crop_group", "general_vegetable", "BINH_DINH_LEGACY"),
+    ("weather_recovery", "crop_group", "leafy_vegetable", "VIETNAM"),
+)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillage.functions.relevance import REJECTED, assess, focused_form, matched_terms_of, metadata_form
+from tillage.functions.relevance import REJECTED, assess, focused_form, folded_term, metadata_form, picked, picked_of, term_hits
 from tillage.functions.text import filled, first_available, quoted, second_available, signature
 from tillage.functions.urls import source_type
 from tillage.operators.audits import audit, audit_candidates, audit_vocabularies
@@ -17,7 +18,8 @@ from tillage.operators.selection import select_queries
 from tillage.operators.tables import coverage, domain_breakdown
 from tillage.plans import fixed, vocabulary as words
 from tillage.sources.config import RunConfig
-from tillage.sources.providers import hits_of, provider_of, raw_results
+from tillage.sources.providers import SearchProviderError, SearchProviderUnavailable, hits_of, provider_of, raw_results
+from tillage.sources.scratch import Scratch
 
 
 @dataclass(frozen=True)
@@ -46,12 +48,18 @@ class Vocabulary:
         return Vocabulary(crops, {s[0]: [s[2], s[3]] for s in fixed.SCENARIOS}, {a: [vi, en] for a, vi, en in fixed.ACTIONS}, effects, list(noise), general or {})
 
     def attach(self, queries: DataFrame) -> DataFrame:
-        """Adds the arrays crop_terms, scenario_terms and action_terms (empty where unknown) by broadcast joins of the key tables."""
+        """Adds the arrays crop_terms, scenario_terms and action_terms (empty where unknown), and their match forms, by broadcast joins of the key tables."""
         for name, column, table in (("crop_terms", "crop_key", self.crops), ("scenario_terms", "weather_scenario", self.scenarios), ("action_terms", "action", self.actions)):
-            terms = queries.sparkSession.createDataFrame(list(table.items()), f"{column} string, {name} array<string>")
-            queries = queries.join(F.broadcast(terms), column, "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+            forms = name.replace("terms", "forms")
+            rows = [(k, list(v), list(map(folded_term, v))) for k, v in table.items()]
+            terms = queries.sparkSession.createDataFrame(rows, f"{column} string, {name} array<string>, {forms} array<string>")
+            queries = queries.join(F.broadcast(terms), column, "left").withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in (name, forms)})
         return queries
 
+    def every(self) -> list[str]:
+        """All terms that hits are matched with."""
+        return [t for table in (self.crops, self.scenarios, self.actions) for terms in table.values() for t in terms] + [*self.effects, *self.noise]
+
 
 def region_terms(region: Column) -> list[Column]:
     """Region of each of the three fallbacks: the country for local regions, else none."""
@@ -89,23 +97,24 @@ def variants(queries: DataFrame, vocabulary: Vocabulary, most: int = 3) -> DataF
 
 
 def score_hits(hits: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Adds matched terms, status, score and reasons to hits (hit.*, crop_terms, scenario_terms, action_terms)."""
+    """Adds matched terms, status, score and reasons to hits (hit.*, and what vocabulary.attach adds).
+
+    A hit's texts are each read once for the whole vocabulary; its query's terms are then picked from what was found.
+    """
     h = lambda c: F.col(f"hit.{c}")
-    lists = lambda x: F.array(*map(F.lit, x)) if x else F.array().cast("array<string>")
+    every, scenarios = vocabulary.every(), [t for v in vocabulary.scenarios.values() for t in v]
     forms = hits.withColumn("_all", metadata_form(h("title"), h("snippet"), h("abstract"), h("subjects"))).withColumn("_focus", focused_form(h("title"), h("snippet"), h("subjects")))
-    terms = forms.withColumns(
+    found = forms.withColumns({"_found": term_hits(F.col("_all"), every), "_near_found": term_hits(F.col("_focus"), scenarios)})
+    own = lambda name, hits="_found": picked_of(F.col(hits), F.col(f"{name}_terms"), F.col(f"{name}_forms"))
+    terms = found.withColumns(
         {
-            "matched_crop_terms": matched_terms_of(F.col("_all"), F.col("crop_terms")),
-            "matched_scenario_terms": matched_terms_of(F.col("_all"), F.col("scenario_terms")),
-            "matched_action_terms": matched_terms_of(F.col("_all"), F.col("action_terms")),
-            "_effect": matched_terms_of(F.col("_all"), lists(vocabulary.effects)),
-            "_near": matched_terms_of(F.col("_focus"), F.col("scenario_terms")),
-            "_noise": matched_terms_of(F.col("_all"), lists(vocabulary.noise)),
+            "matched_crop_terms": own("crop"), "matched_scenario_terms": own("scenario"), "matched_action_terms": own("action"),
+            "_effect": picked(F.col("_found"), vocabulary.effects), "_near": own("scenario", "_near_found"), "_noise": picked(F.col("_found"), vocabulary.noise),
         }
     )
     r = terms.withColumn("_r", assess(*map(F.col, ("matched_crop_terms", "matched_scenario_terms", "matched_action_terms", "_effect", "_near", "_noise"))))
     out = r.withColumns({"relevance_status": F.col("_r.status"), "relevance_score": F.col("_r.score"), "relevance_reasons": F.col("_r.reasons")})
-    return out.drop("_all", "_focus", "_effect", "_near", "_noise", "_r")
+    return out.drop("_all", "_focus", "_found", "_near_found", "_effect", "_near", "_noise", "_r")
 
 
 def keep_best(scored: DataFrame, limit: int) -> DataFrame:
@@ -146,10 +155,6 @@ def run_status(issues: int, candidates: int, queries: int, failed: int, rate: fl
     return "READY_FOR_A4" if candidates and rate >= least else "A3_LOW_COVERAGE"
 
 
-def bank_status(issues: int) -> str:
-    return "NEEDS_REVIEW" if issues else "READY_FOR_A3"
-
-
 def domain_counts(candidates: DataFrame) -> dict[str, int]:
     """Candidates of every domain, most first; there are no more domains than hits kept."""
     ranked = candidates.withColumn("_ord", F.get("query_references", F.lit(0))["result_rank"])
@@ -172,25 +177,25 @@ class Run:
     summary: dict
 
 
-def search_rounds(run: DataFrame, vocabulary: Vocabulary, config: RunConfig, search: Callable[[DataFrame], DataFrame], web_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+def search_rounds(run: DataFrame, vocabulary: Vocabulary, config: RunConfig, search: Callable[[DataFrame], DataFrame], web_key: str | None = None, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(answers, kept hits) of the queries ``run``: each asks its variants in order and stops at the first that brings a hit.
 
     One round asks one variant of every query that has no hit yet, so there are as many rounds as
-    variants and no request that a query by query search wouldn't make.
+    variants and no request that a query by query search wouldn't make. The variants, each round's answers and each round's
+    hits are written in the shared folder before anything reads them.
     """
-    names = F.create_map(*[F.lit(x) for c in ("web", "scholarly") for x in (c, provider_of(c, web_key))])
-    asked = variants(run, vocabulary, config.max_fallbacks).withColumn("provider", names[F.col("discovery_channel")]).cache()
-    answers, kept, won = [], [], set()
+    scratch = scratch or Scratch(run.sparkSession)
+    names = F.create_map(*[F.lit(x) for c in config.channels for x in (c, provider_of(c, web_key))])
+    asked = scratch.save(variants(run, vocabulary, config.max_fallbacks).withColumn("provider", names[F.col("discovery_channel")]))
+    answers, kept = [], []
     for k in range(config.max_fallbacks + 1):
         now = asked.where(F.col("variant_ord") == k)
-        if kept:
-            # Only ids come to the driver, no more than the run has queries; the rounds' plans don't nest.
-            done = run.sparkSession.createDataFrame([(i,) for i in sorted(won)], "original_query_id string")
-            now = now.join(F.broadcast(done), "original_query_id", "left_anti")
-        got = search(now)
-        answers.append(got.withColumn("raw_results", raw_results(F.col("provider"), F.col("payload"))).cache())
-        kept.append(keep_best(score_hits(hits_of(answers[-1]), vocabulary), config.results_per_query).cache())
-        won |= {r[0] for r in kept[-1].select("original_query_id").distinct().collect()}
+        for hits in kept:
+            now = now.join(hits.select("original_query_id").distinct(), "original_query_id", "left_anti")
+        if k and now.isEmpty():
+            break
+        answers.append(scratch.save(search(now).withColumn("raw_results", raw_results(F.col("provider"), F.col("payload")))))
+        kept.append(scratch.save(keep_best(score_hits(hits_of(answers[-1]), vocabulary), config.results_per_query)))
     return reduce(DataFrame.unionByName, answers), reduce(DataFrame.unionByName, kept)
 
 
@@ -202,11 +207,11 @@ def selection_summary(bank: DataFrame, selected: DataFrame) -> dict:
 
 
 def issue_list(issues: DataFrame, stage: str = "A3") -> list[dict]:
-    """The issues of a run with their stage, in order; there are no more than candidates, references and rules allow."""
-    return [{"stage": stage, "type": r["type"], "id": r["id"]} for r in issues.orderBy("type", "id").collect()]
+    """The issues of a run with their stage and what they show, in order; there are no more than candidates, references and rules allow."""
+    return [{"stage": stage, "type": r["type"], **json.loads(r["details"])} for r in issues.orderBy("type", "id", "details").collect()]
 
 
-def run_summary(mode: str, status: str, selection: dict, statistics: DataFrame | None, errors: list[dict], candidates: int, domains: dict[str, int], issues: list[dict], config: RunConfig, generated_at: str, outputs: dict[str, str] | None = None) -> dict:
+def run_summary(mode: str, status: str, selection: dict, statistics: DataFrame | None, errors: list[dict], candidates: int, domains: dict[str, int], issues: list[dict], config: RunConfig, generated_at: str, outputs: dict[str, str] | None = None, failures: Sequence[str] = ()) -> dict:
     """What a run did, in the form of its summary file."""
     columns = {"requests": 0, "succeeded": 0, "recovered": 0, "failed": 0, "zero": 0, "raw": 0, "hits": 0}
     cover = {"executed": 0, "with_hits": 0, "without_hits": 0, "query_hit_rate": 0.0}
@@ -225,7 +230,7 @@ def run_summary(mode: str, status: str, selection: dict, statistics: DataFrame |
         "raw_provider_results": columns["raw"], "raw_results": kept, "relevant_results": kept, "relevant_results_kept": kept, "irrelevant_results_filtered": filtered, "irrelevant_filtered": filtered,
         "unique_candidates": candidates, "duplicate_urls_removed": kept - candidates,
         "selection": selection, "by_channel": selection["by_discovery_channel"], "by_language": selection["by_language"], "by_domain": domains, "by_search_region": selection["by_search_region"],
-        "audit": {"issue_count": len(issues), "issues": issues}, "errors": [], "outputs": outputs or {},
+        "audit": {"issue_count": len(issues), "issues": issues}, "errors": list(failures), "outputs": outputs or {},
     }
 
 
@@ -242,14 +247,14 @@ def flat_hits(kept: DataFrame, retrieved_at: str) -> DataFrame:
 
 
 def discover(bank: DataFrame, vocabulary: Vocabulary, config: RunConfig, search: Callable[[DataFrame], DataFrame], retrieved_at: str, web_key: str | None = None, outputs: dict[str, str] | None = None) -> Run:
-    """Select, search, score, merge, audit. ``search`` adds payload and error to variant rows."""
-    selected = select_queries(bank, config.selection_limit).cache()
+    """Select, search, score, merge, audit. ``search`` adds payload and error to variant rows; a SearchProviderError that it raises is the caller's (see failed_run)."""
+    scratch = Scratch(bank.sparkSession)
+    selected = scratch.save(select_queries(bank, config.selection_limit))
     run = selected.where(F.col("discovery_channel").isin(*config.channels)).orderBy("selection_rank").limit(config.query_limit)
-    answers, kept = search_rounds(run, vocabulary, config, search, web_key)
-    candidates = merge_hits(flat_hits(kept, retrieved_at)).cache()
-    statistics = query_statistics(answers, kept).cache()
-    found = audit_relevance_rules(bank.sparkSession, vocabulary).union(audit_candidates(candidates, bank.select(F.col("combined_query_id").alias("query_id"))))
-    issues = found.cache()
+    answers, kept = search_rounds(run, vocabulary, config, search, web_key, scratch)
+    candidates = scratch.save(merge_hits(flat_hits(kept, retrieved_at)))
+    statistics = scratch.save(query_statistics(answers, kept))
+    issues = scratch.save(audit_relevance_rules(bank.sparkSession, vocabulary).unionByName(audit_candidates(candidates, bank.select(F.col("combined_query_id").alias("query_id")))))
     failed = answers.where(F.col("error").isNotNull()).orderBy("selection_rank", "variant_ord")
     errors = [r.asDict() for r in failed.select("original_query_id", "original_query_text", "search_variant_text", "search_variant_type", "provider", F.lit(config.attempts).alias("attempts"), "error").collect()]
     cover = coverage(statistics, F.col("hits")).first()
@@ -259,6 +264,14 @@ def discover(bank: DataFrame, vocabulary: Vocabulary, config: RunConfig, search:
     return Run(selected, candidates, issues, statistics, summary)
 
 
+def failed_run(bank: DataFrame, vocabulary: Vocabulary, config: RunConfig, error: SearchProviderError, generated_at: str, outputs: dict[str, str] | None = None) -> tuple[DataFrame, dict]:
+    """The selection and the summary of a run that no provider could serve: nothing was searched."""
+    selected = select_queries(bank, config.selection_limit)
+    status = "SEARCH_PROVIDER_UNAVAILABLE" if isinstance(error, SearchProviderUnavailable) else "SEARCH_PROVIDER_ERROR"
+    listed = issue_list(audit_relevance_rules(bank.sparkSession, vocabulary))
+    return selected, run_summary("live", status, selection_summary(bank, selected), None, [], 0, {}, listed, config, generated_at, outputs, [str(error)])
+
+
 def dry_run(bank: DataFrame, config: RunConfig, issues: DataFrame | None = None, generated_at: str = "") -> tuple[DataFrame, dict]:
     """The selection and its summary; nothing is searched or written."""
     selected = select_queries(bank, config.selection_limit)
@@ -271,7 +284,7 @@ PROBE = {"crop_key": "cai_xanh", "weather_scenario": "prolonged_rain", "action":
 
 
 def audit_relevance_rules(spark, vocabulary: Vocabulary) -> DataFrame:
-    """(type, id): terms that are both a crop's and a scenario's, and faults of the built-in probe."""
+    """(type, id, details): terms that are both a crop's and a scenario's, and faults of the built-in probe."""
     probe = spark.createDataFrame([tuple(PROBE.values())], "crop_key string, weather_scenario string, action string, title string, snippet string")
     hit = F.struct("title", "snippet", F.lit("").alias("abstract"), F.array().cast("array<string>").alias("subjects"))
     scored = score_hits(vocabulary.attach(probe.withColumn("hit", hit)), vocabulary)

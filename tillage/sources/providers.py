@@ -8,12 +8,14 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillage.functions.text import clean_text
+from tillage.sources.journal import Journal
 
 BRAVE = "web struct<results: array<struct<url: string, title: string, description: string, snippet: string, body: string>>>"
 DDGS = "array<struct<href: string, url: string, title: string, body: string, snippet: string, description: string>>"
@@ -146,14 +148,19 @@ def checked(body: str) -> str:
     return body
 
 
-def live_call(provider: str, query: str, limit: int, timeout: float) -> str:
-    """Payload of one request to a live provider."""
+#: The addresses of the providers that are asked by HTTP.
+ENDPOINTS = {WEB_KEYED: "https://api.search.brave.com/res/v1/web/search", SCHOLAR: "https://api.crossref.org/works"}
+
+
+def live_call(provider: str, query: str, limit: int, timeout: float, endpoint: str | None = None) -> str:
+    """Payload of one request to a live provider, at another ``endpoint`` if given."""
     quote = urllib.parse.urlencode
+    address = endpoint or ENDPOINTS.get(provider)
     if provider == WEB_KEYED:
         key = os.environ.get("BRAVE_SEARCH_API_KEY", "")
         if not key:
             raise SearchProviderUnavailable("the keyed web search needs BRAVE_SEARCH_API_KEY")
-        return checked(request_json(f"https://api.search.brave.com/res/v1/web/search?{quote({'q': query, 'count': clamp(limit), 'search_lang': 'vi'})}", {"Accept": "application/json", "X-Subscription-Token": key}, timeout))
+        return checked(request_json(f"{address}?{quote({'q': query, 'count': clamp(limit), 'search_lang': 'vi'})}", {"Accept": "application/json", "X-Subscription-Token": key}, timeout))
     if provider == WEB_OPEN:
         try:
             from ddgs import DDGS as Client
@@ -167,28 +174,44 @@ def live_call(provider: str, query: str, limit: int, timeout: float) -> str:
             raise SearchProviderError(f"web search failed: {e}") from e
     if provider == SCHOLAR:
         ask = {"query": query, "rows": overfetch(limit)} | ({"mailto": os.environ["A3_CROSSREF_MAILTO"]} if os.environ.get("A3_CROSSREF_MAILTO") else {})
-        return checked(request_json(f"https://api.crossref.org/works?{quote(ask)}", {"Accept": "application/json"}, timeout))
+        return checked(request_json(f"{address}?{quote(ask)}", {"Accept": "application/json"}, timeout))
     raise SearchProviderUnavailable(f"unknown provider {provider!r}")
 
 
-def search_live(variants: DataFrame, limit: int, timeout: float, attempts: int, backoff: float, pause: float, call: Callable[[str, str, int, float], str] = live_call) -> DataFrame:
-    """Adds payload and error to variant rows (provider, original_query_id, variant_ord, search_text).
+ANSWER = "original_query_id string, variant_ord int, payload string, error string"
 
-    Queries are the unit of distribution, with a pause after each; retries happen here, as a task's
-    retry would repeat all its requests. Which variants are asked is settled by
-    tillage.plans.search.search_rounds.
-    """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in pdf.sort_values("variant_ord").itertuples():
-            payload, error = with_retries(lambda row=row: call(row.provider, row.search_text, limit, timeout), attempts, backoff)
-            out.append((row.original_query_id, row.variant_ord, payload, error))
-        time.sleep(pause)
-        return pd.DataFrame(out, columns=["original_query_id", "variant_ord", "payload", "error"])
+def search_live(variants: DataFrame, limit: int, timeout: float, attempts: int, backoff: float, pause: float, call: Callable[[str, str, int, float], str] = live_call, journal: Journal | None = None) -> DataFrame:
+    """Adds payload and error to variant rows (provider, original_query_id, variant_ord, search_text).
+
+    Answers go through ``journal`` (a new one if none is given), so the result may be read again, and tasks may run again,
+    without a second request. Which variants are asked is settled by tillage.plans.search.search_rounds; retries happen here.
 
-    asked = variants.select("original_query_id", "variant_ord", "provider", "search_text").groupBy("original_query_id").applyInPandas(run, "original_query_id string, variant_ord int, payload string, error string")
-    return variants.join(asked, ["original_query_id", "variant_ord"])
+    ``pause`` is the least time between an answer and the request of the next query, in the whole run: the queries then go
+    through one lane, a single partition in their order (selection_rank if there), which also waits for the last answer in
+    the journal, that of the round before. The rate allows no parallel requests, and a lane holds no more than the run's
+    queries. Without a pause the queries are asked in parallel.
+    """
+    spark = variants.sparkSession
+    journal = journal or Journal.of(spark, uuid.uuid4().hex)
+    rank = [c for c in variants.columns if c == "selection_rank"]
+    asked = variants.select("original_query_id", "variant_ord", "provider", "search_text", *rank)
+    order = [*rank, "original_query_id", "variant_ord"]
+    lanes = asked.repartition(1).sortWithinPartitions(*order) if pause else asked.repartition("original_query_id").sortWithinPartitions(*order)
+    before = journal.last(spark) if pause else 0.0
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, query = before, None
+        for row in (r for f in frames for r in f.itertuples()):
+            fresh = journal.held(row.original_query_id, row.variant_ord) is None
+            if pause and fresh and row.original_query_id != query:
+                time.sleep(max(0.0, last + pause - time.time()))
+            entry = journal.answer(row.original_query_id, row.variant_ord, row.provider, row.search_text, lambda row=row: with_retries(lambda: call(row.provider, row.search_text, limit, timeout), attempts, backoff))
+            if fresh:
+                last, query = time.time(), row.original_query_id
+            yield pd.DataFrame([(row.original_query_id, row.variant_ord, entry["payload"], entry["error"])], columns=["original_query_id", "variant_ord", "payload", "error"])
+
+    return variants.join(lanes.mapInPandas(run, ANSWER), ["original_query_id", "variant_ord"])
 
 
 def search_fixture(variants: DataFrame, payloads: DataFrame) -> DataFrame:
