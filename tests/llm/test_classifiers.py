@@ -1,5 +1,6 @@
 import inspect
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -87,6 +88,60 @@ def test_toxicity_sample_is_not_lowered():
     assert inspect.signature(toxicity.train).parameters["per_class"].default >= 6000
 
 
+def test_toxicity_equals_a_dense_fit(spark, corpus):
+    """Scores of the trained model against n-grams of plain strings and a dense regression solved by Newton's method."""
+    docs = [r for r in corpus if not held(r[0])][:250]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, toxic int")
+    model = toxicity.train(frame, frame.select("doc_id", "toxic"))
+
+    def grams(text):
+        t = " " + " ".join(text.lower().split()) + " "
+        return {t[i : i + n] for n in (3, 4, 5) for i in range(len(t) - n + 1)}
+
+    sets, y = [grams(t) for _, t, _, _ in docs], np.array([t for *_, t in docs], float)
+    n, m = y.sum(), (1 - y).sum()
+    columns, ratios = [], []
+    for g in sorted(set().union(*sets)):
+        has = np.array([g in s for s in sets], float)
+        ratio = np.log((has @ y + 1) / (n + 2)) - np.log((has @ (1 - y) + 1) / (m + 2))
+        if has.sum() >= 8 and abs(ratio) >= 1:
+            columns.append(has * ratio)
+            ratios.append(ratio)
+    x = np.column_stack([*columns, np.ones(len(docs))])
+    w, ridge = np.zeros(x.shape[1]), np.diag([30.0] * len(columns) + [0.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(len(w)), x.T @ (p - y) + ridge @ w)
+    want = 1 / (1 + np.exp(-x @ w))
+    got = model.scores([t for _, t, _, _ in docs])
+    assert len(ratios) > 5 and np.abs(got - want).max() < 0.03 and ((got >= 0.5) == (want >= 0.5)).mean() > 0.99
+
+
+def test_languages_equal_exact_sets(spark, corpus):
+    """Filters against sets of plain strings: the same languages, and shares but for false positives."""
+    docs = spark.createDataFrame(corpus, "doc_id long, text string, lang string, toxic int")
+    f = language_id.train(docs)
+
+    def grams(text):
+        out = []
+        for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+            w = f" {word} "
+            out += [w[i : i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1) if w[i : i + n].strip()]
+        return out
+
+    counts = {k: Counter(g for i, t, lang, _ in corpus if lang == k and not held(i) for g in grams(t)) for k in ("de", "en", "fr")}
+    share = {k: {g: n / c.total() for g, n in c.items() if n >= max(2, c.total() * 2e-5)} for k, c in counts.items()}
+    most = {g: max(s.get(g, 0) for s in share.values()) for s in share.values() for g in s}
+    known = {k: {g for g, x in s.items() if x >= 0.2 * most[g]} for k, s in share.items()}
+    assert f.languages == ("de", "en", "fr")
+    texts = [t for _, t, _, _ in corpus] + ["thing where", "sch eau", "q"]
+    want = np.array([[np.mean([g in known[k] for g in grams(t)]) for k in f.languages] for t in texts])
+    got, _ = f.shares(texts)
+    assert np.abs(got - want).max() < 0.1 and np.abs(got - want).mean() < 0.01
+    clear = np.sort(want, 1)[:, -1] - np.sort(want, 1)[:, -2] > 0.1
+    assert clear.sum() > 500 and (got.argmax(1) == want.argmax(1))[clear].all()
+
+
 def test_ratios():
     rows = [np.array([0, 1]), np.array([0]), np.array([1])]
     r = toxicity.log_count_ratio(rows, np.array([1.0, 1.0, 0.0]), 3, 1.0, 1)

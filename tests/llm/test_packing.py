@@ -33,6 +33,40 @@ def test_bins_hold_all_pieces_and_fit():
     assert bins <= 1.02 * (counts * np.arange(101)).sum() / 100 + 1
 
 
+def one_bin_at_a_time(lengths, size):
+    """The same rule on a plain list of pieces, a bin after the other: sorted contents of the bins."""
+    left, bins = sorted(lengths, reverse=True), []
+    while left:
+        bin_ = [left.pop(0)]
+        while fitting := [n for n in left if n <= size - sum(bin_)]:
+            bin_.append(fitting[0])
+            left.remove(fitting[0])
+        while (gap := size - sum(bin_)) and len(bin_) > 1:
+            small = min(bin_)
+            pairs = [(a + b, -a) for i, a in enumerate(left) for j, b in enumerate(left) if i != j and small < a + b <= gap + small]
+            if not pairs:
+                break
+            total, a = max(pairs)
+            bin_.remove(small)
+            bin_ += [-a, total + a]
+            left.remove(-a)
+            left.remove(total + a)
+            left = sorted([*left, small], reverse=True)
+        bins.append(sorted(bin_))
+    return sorted(bins)
+
+
+def test_fillings_equal_one_bin_at_a_time():
+    """Fillings repeated by counts give the bins of a pass over single pieces."""
+    rng = np.random.default_rng(22)
+    for size, n, high in ((30, 60, 31), (50, 120, 20), (20, 100, 21), (64, 80, 65), (12, 90, 6)):
+        for _ in range(4):
+            lengths = rng.integers(1, high, n).tolist()
+            fills = best_two_fit(np.bincount(lengths, minlength=size + 1), size)
+            got = sorted(sorted(k for k, c in used for _ in range(c)) for used, many in fills for _ in range(many))
+            assert got == one_bin_at_a_time(lengths, size)
+
+
 def test_two_smaller_pieces_replace_one():
     counts = np.zeros(11, np.int64)
     counts[[7, 2, 1]] = [1, 1, 1]
