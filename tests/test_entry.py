@@ -40,7 +40,7 @@ def test_entry_and_a_few_queries_against_duckdb(spark):
     con = duckdb.connect()
     for t in ("documents", "pages", "conversations", "benchmark", "labels", "nation", "region", "customer", "orders", "lineitem", "part", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
-    for name in ("url_canonical", "relevance_score", "merge_candidates", "coverage_summary", "audit_domain_values", "text_signature", "audit_systematic", "audit_questions", "audit_candidates", "quota_select_greedy", "bank_combined_union", "query_statistics"):
+    for name in ("url_canonical", "relevance_score", "merge_candidates", "coverage_summary", "audit_domain_values", "text_signature", "audit_systematic", "audit_questions", "audit_candidates", "quota_select_greedy", "bank_combined_union", "query_statistics", "bank_summary", "bank_representatives", "query_sort_places", "near_duplicate_groups", "vocabulary_matches"):
         got = e.queries()[name](spark, d).toPandas()
         want = con.execute(e.oracle_sql()[name]).df()
         columns = sorted(got.columns)

@@ -324,6 +324,8 @@ SUMMARY_NUMBERS = ("total_query_bank", "selected_queries", "skipped_queries", "e
   SELECT u.key, CAST(u.value AS BIGINT) AS value FROM (UNPIVOT (SELECT (SELECT count(*) FROM documents)::BIGINT AS total_query_bank, 12::BIGINT AS selected_queries, (SELECT count(*) FROM documents)::BIGINT - 12 AS skipped_queries, executed_queries::BIGINT AS executed_queries, executed_search_requests::BIGINT AS executed_search_requests, queries_with_relevant_results::BIGINT AS queries_with_relevant_results,
     queries_without_relevant_results::BIGINT AS queries_without_relevant_results, original_queries_succeeded::BIGINT AS original_queries_succeeded, queries_recovered_by_fallback::BIGINT AS queries_recovered_by_fallback, queries_with_provider_error::BIGINT AS queries_with_provider_error, queries_with_zero_results::BIGINT AS queries_with_zero_results, raw_provider_results::BIGINT AS raw_provider_results,
     relevant_results_kept::BIGINT AS relevant_results_kept, (raw_provider_results - relevant_results_kept)::BIGINT AS irrelevant_filtered, (SELECT count(DISTINCT o_custkey) FROM orders)::BIGINT AS unique_candidates, (relevant_results_kept - (SELECT count(DISTINCT o_custkey) FROM orders))::BIGINT AS duplicate_urls_removed FROM t) ON COLUMNS(*) INTO NAME key VALUE value) u""")
+
+
 def run_summary(spark, sf_dir):
     """The numbers of a run's summary: the selection from documents, the requests from orders."""
     documents = bank_of_documents(spark, sf_dir)
