@@ -12,6 +12,8 @@ from tillage.llm.common import Scratch, held_out, arrow_batches
 from tillage.llm.ngrams import chunks, word_ngrams
 
 UNKNOWN = "und"
+#: Languages up to which tables with a row for each are broadcast.
+_FEW = 10_000
 
 
 @dataclass(frozen=True)
@@ -88,12 +90,13 @@ def train(docs: DataFrame, per_language: int = 3000, orders: tuple[int, ...] = (
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not sizes:
         return build({}, orders, probes, room)
+    few = lambda d: F.broadcast(d) if len(sizes) <= _FEW else d  # noqa: E731  a row for each language
     part = spark.createDataFrame([(k, min(1.0, per_language / n)) for k, n in sizes.items()], "lang string, part double")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    sample = known.join(part, "lang").where(F.coalesce(draw, F.lit(0.0)) < F.col("part")).select("lang", "text")
+    sample = known.join(few(part), "lang").where(F.coalesce(draw, F.lit(0.0)) < F.col("part")).select("lang", "text")
     counts = scratch.save(sample.mapInPandas(_counts(orders), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    common = counts.join(totals, "lang").where(F.col("n") >= F.greatest(F.lit(2), F.col("total") * least))
+    common = counts.join(few(totals), "lang").where(F.col("n") >= F.greatest(F.lit(2), F.col("total") * least))
     frame = common.select("lang", "gram", (F.col("n") / F.col("total")).alias("share")).toPandas()
     scratch.drop(counts)
     frame = frame[frame["share"] >= ratio * frame.groupby("gram")["share"].transform("max")]
