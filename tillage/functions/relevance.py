@@ -100,11 +100,11 @@ def term_hits(form: Column, terms: Iterable[str]) -> Column:
         return F.array().cast("array<string>")
     found = F.array_distinct(F.regexp_extract_all(form, F.lit(pattern(forms)), 1))
     known = set(forms)
-    nested = {f: inside for f in forms if (inside := [f[:n] for n in range(1, len(f)) if f[:n] in known and _alone(f, n)])}
+    nested = {f: [f, *inside] for f in forms if (inside := [f[:n] for n in range(1, len(f)) if f[:n] in known and _alone(f, n)])}
     if not nested:
         return found
-    shorter = F.flatten(F.filter(F.transform(found, lambda f: _table(nested)[f]), lambda x: x.isNotNull()))
-    return F.array_union(found, shorter)
+    # One reference to what was found, so that the text is searched once.
+    return F.array_distinct(F.flatten(F.transform(found, lambda f: F.coalesce(_table(nested)[f], F.array(f)))))
 
 
 def picked(hits: Column, terms: Sequence[str]) -> Column:

@@ -32,11 +32,11 @@ def _folds() -> tuple[dict[str, str], dict[str, str]]:
     return one, many
 
 
-def _class(characters: Iterable[str]) -> str:
-    """A regular expression's class of some characters, in ranges."""
+def _class(characters: Iterable[str], gap: int = 0) -> str:
+    """A regular expression's class of some characters, in ranges; from U+0300 on, ranges less than ``gap`` apart are one."""
     ranges: list[list[int]] = []
     for i in sorted(map(ord, characters)):
-        if ranges and ranges[-1][1] == i - 1:
+        if ranges and i - ranges[-1][1] <= max(1, gap if ranges[-1][1] >= 0x300 else 0):
             ranges[-1][1] = i
         else:
             ranges.append([i, i])
@@ -46,15 +46,18 @@ def _class(characters: Iterable[str]) -> str:
 def casefold(c: Column) -> Column:
     """Full Unicode case folding: lower case, then what that leaves unfolded.
 
-    Few texts hold any such character (ß, final sigma, ligatures, some Greek and Cherokee); the others are lowered only.
+    ß is common and replaced at once. Few texts hold any other such character (final sigma, ligatures, some Greek and Cherokee); a
+    search for a few ranges beyond ASCII that hold them all tells the others, which are lowered only.
     """
     one, many = _folds()
-    low = F.lower(c)
-    several = _class(many)
-    table = F.from_json(F.lit(json.dumps(many, ensure_ascii=False)), "map<string,string>")
+    rest = {k: v for k, v in many.items() if k != "ß"}
+    low = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    several = _class(rest)
+    table = F.from_json(F.lit(json.dumps(rest, ensure_ascii=False)), "map<string,string>")
     pairs = F.arrays_zip(F.split(low, several, -1).alias("part"), F.transform(F.regexp_extract_all(low, F.lit(several), 0), lambda x: table[x]).alias("folded"))
     spelled = F.array_join(F.transform(pairs, lambda x: F.concat(x["part"], F.coalesce(x["folded"], F.lit("")))), "")
-    return F.when(F.rlike(low, F.lit(_class([*one, *many]))), F.translate(spelled, "".join(one), "".join(one.values()))).otherwise(low)
+    some = F.rlike(low, F.lit(r"(?![\x00-\x7f])" + _class([*one, *rest], 0x40)))
+    return F.when(some, F.translate(spelled, "".join(one), "".join(one.values()))).otherwise(low)
 
 
 def collapse(c: Column) -> Column:
@@ -66,14 +69,20 @@ def normalize(c: Column) -> Column:
     return collapse(casefold(c))
 
 
+def _without(punctuation: str, c: Column) -> Column:
+    """Folded, with white space and punctuation of any kind as one space, none at the ends: one search of the text."""
+    marks = "".join("\\" + m for m in punctuation)
+    return F.btrim(F.regexp_replace(casefold(c), rf"(?U)[\s\x1c-\x1f{marks}]+", " "))
+
+
 def normalize_public(c: Column) -> Column:
-    """As `normalize`, with punctuation as spaces first."""
-    return normalize(F.translate(c, PUBLIC_PUNCTUATION, " " * len(PUBLIC_PUNCTUATION)))
+    """As `normalize`, with punctuation as spaces."""
+    return _without(PUBLIC_PUNCTUATION, c)
 
 
 def signature(c: Column) -> Column:
-    """Near-duplicate form of a query text: normalised, then punctuation as spaces."""
-    return collapse(F.translate(normalize(c), SIGNATURE_PUNCTUATION, " " * len(SIGNATURE_PUNCTUATION)))
+    """Near-duplicate form of a query text: normalised, with punctuation as spaces."""
+    return _without(SIGNATURE_PUNCTUATION, c)
 
 
 def stable_id(prefix: str, c: Column) -> Column:

@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tillage.functions.text import signature
-from tillage.operators.order import positions
-from tillage.operators.tables import matches
 from tillage.plans.bank import near_duplicate
 from tillage.sources.scratch import Scratch
 
@@ -58,15 +56,16 @@ def position(c: Column, order: Sequence[str], other: int) -> Column:
     return F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, order)), c), F.lit(0)) - 1, F.lit(other)).cast("int")
 
 
-def sort_key() -> Column:
-    """Eleven ranks, as one struct that sorts as they do."""
+def sort_key(text: Column | None = None) -> Column:
+    """Eleven ranks, as one struct that sorts as they do; ``text``: the signature of the query, if it is there already."""
+    sig = signature(F.col("query_text")) if text is None else text
     by = lambda table: F.coalesce(F.create_map(*[F.lit(x) for p in table.items() for x in p])[F.col("search_region")], F.lit(9))
     region = F.when(F.col("discovery_channel") == "scholarly", by(REGION_RANKS["scholarly"])).otherwise(by(REGION_RANKS["web"]))
     rank = lambda c: position(F.col(c), RANKS[c], 9).alias(f"{c}_rank")
     return F.struct(
         rank("discovery_channel"), rank("source_stage"), F.col("selection_priority"), rank("query_kind"), rank("scope_type"), region.alias("region_rank"),
         position(F.col("weather_scenario"), SCENARIO_ORDER, len(SCENARIO_ORDER)).alias("scenario_rank"), position(F.col("action"), CORE_ACTIONS, len(CORE_ACTIONS)).alias("action_rank"),
-        F.col("crop_key"), signature(F.col("query_text")).alias("text"), F.col("combined_query_id"),
+        F.col("crop_key"), sig.alias("text"), F.col("combined_query_id"),
     )
 
 
@@ -82,41 +81,28 @@ def capacities(limit: int) -> dict[str, dict[str, int]]:
     }
 
 
-def seed_predicates(preferred: Sequence[str], crops: Sequence[str], groups: Sequence[str]) -> list[list[dict[str, str]]]:
-    """For each seed the values its row must have, the preferred ones first; ``preferred``: the crop that each scenario prefers."""
-    web, scholarly = {"discovery_channel": "web"}, {"discovery_channel": "scholarly"}
-    asked = web | {"source_stage": "A2", "query_kind": "natural_question"}
-    effect = {"source_stage": "A1", "scope_type": "crop_specific", "query_kind": "effect"}
-    action = web | {"source_stage": "A1", "query_kind": "action"}
-    out = []
-    for i, s in enumerate(SCENARIO_ORDER):
-        here = {"weather_scenario": s}
-        mine = here | {"crop_key": preferred[i] if preferred else ""}
-        out += [[asked | {"scope_type": "crop_specific"} | mine, asked | here], [web | effect | mine, web | effect | here], [scholarly | effect | mine, scholarly | effect | here]]
-    out += [[action | {"scope_type": "crop_specific", "crop_key": k}] for k in crops]
-    out += [[action | {"scope_type": "crop_group", "crop_key": k}] for k in groups]
-    return out + [[action | {"search_region": r}] for r in SEED_REGIONS]
-
-
 #: Columns that seeds and caps look at: rows that agree on them are told apart by the sort key alone.
 DIMENSIONS = ("discovery_channel", "source_stage", "query_kind", "scope_type", "search_region", "weather_scenario", "crop_key")
 
 
-def twin_key() -> Column:
+def twin_key(text: Column | None = None) -> Column:
     """A hash of all that near duplicates agree on."""
-    return F.sha2(F.to_json(near_duplicate(F.col("discovery_channel"))), 256)
+    return F.sha2(F.to_json(near_duplicate(F.col("discovery_channel"), text)), 256)
+
+
+def keyed(bank: DataFrame, scratch: Scratch) -> DataFrame:
+    """(combined_query_id, DIMENSIONS, twin, key) of the rows that may be selected; written, as texts are normalised on the way."""
+    rows = annotate(bank).where(F.col("discovery_channel").isin(*CHANNELS)).withColumn("_sig", signature(F.col("query_text")))
+    return scratch.save(rows.select("combined_query_id", *DIMENSIONS, twin_key(F.col("_sig")).alias("twin"), sort_key(F.col("_sig")).alias("key")))
 
 
 def projection(bank: DataFrame, scratch: Scratch) -> DataFrame:
-    """(combined_query_id, DIMENSIONS, twin, pos) of the rows that may be selected: pos is their place in sort order, from 0.
+    """(combined_query_id, DIMENSIONS, twin, pos) of the rows that may be selected: pos is a number that sorts as they do.
 
-    Written once, in the order of pos within its files; everything that follows reads this narrow table. Texts are normalised
-    and sorted once, on the way to it.
+    Range-sorted and written once, so pos grows from file to file and within them; everything that follows reads this narrow table.
     """
-    rows = annotate(bank).where(F.col("discovery_channel").isin(*CHANNELS))
-    keyed = scratch.save(rows.select("combined_query_id", *DIMENSIONS, twin_key().alias("twin"), sort_key().alias("key")))
-    placed = positions(keyed, F.col("key"), name="pos", keep=["combined_query_id", *DIMENSIONS, "twin"], scratch=scratch)
-    return scratch.save(placed.sortWithinPartitions("pos"))
+    ordered = keyed(bank, scratch).repartitionByRange("key").sortWithinPartitions("key")
+    return scratch.save(ordered.select("combined_query_id", *DIMENSIONS, "twin", F.monotonically_increasing_id().alias("pos")))
 
 
 class _Pass:
@@ -133,49 +119,56 @@ class _Pass:
         self.twins.add(row["twin"])
         self.counts.update((d, row[d]) for d in DIMENSIONS)
 
-    def cap(self, dim: str, value: str | None) -> int | None:
-        """How often a value may be taken. The caps of scenarios and crops grow with what is chosen."""
-        n = len(self.chosen)
+    def cap(self, dim: str, value: str | None, n: int) -> int | None:
+        """How often a value may be taken once ``n`` rows are chosen. The caps of scenarios and crops grow with n."""
         most = {"weather_scenario": max(3, n // len(SCENARIO_ORDER) + 4), "crop_key": max(6, n // 8 + 8)}
         return most[dim] if dim in most else self.caps.get(dim, {}).get(value)
 
-    def is_full(self, dim: str, value: str | None) -> bool:
-        cap = self.cap(dim, value)
+    def is_full(self, dim: str, value: str | None, at: int | None = None) -> bool:
+        """No row with the value can be chosen now, or ``at`` a later number of chosen rows."""
+        cap = self.cap(dim, value, len(self.chosen) if at is None else at)
         return cap is not None and self.counts[dim, value] >= cap
 
     def room(self, row: Row) -> bool:
         return not any(self.is_full(d, row[d]) for d in DIMENSIONS)
 
-    def full(self) -> list[tuple[str, str | None]]:
-        return [k for k in self.counts if self.is_full(*k)]
+    def full(self, at: int | None = None) -> list[tuple[str, str | None]]:
+        return [k for k in self.counts if self.is_full(*k, at)]
 
 
 def _seed(table: DataFrame, scratch: Scratch, state: _Pass) -> None:
     """Take the seeds: of each predicate the first row in sort order; if that row is chosen already, that of the fallback.
 
-    All seeds are the first of some combination of DIMENSIONS, so they are looked for among these firsts; the
-    driver gets the first row of each predicate, of at most ``limit`` crops and as many groups.
+    Every row says which predicates it meets, by kind and value; one aggregation gives each one's first row. The driver gets
+    those of scenarios and regions, and of at most ``limit`` crops and as many groups.
     """
-    first = F.min(F.struct("pos", "combined_query_id", "twin")).alias("first")
-    heads = scratch.save(table.groupBy(*DIMENSIONS).agg(first).select(*DIMENSIONS, "first.*"))
-    limit = state.limit
-    keyed = {scope: heads.where(F.col("scope_type") == scope).select("crop_key").distinct() for scope in RANKS["scope_type"]}
-    n = keyed["crop_specific"].count()
-    start = [r["crop_key"] for r in keyed["crop_specific"].orderBy("crop_key").limit(len(SCENARIO_ORDER)).collect()]
-    crops = [start[i % n] if i % n < len(start) else "" for i in range(len(SCENARIO_ORDER))] if n else []
-    # Of the crops and groups only those with a row for their seed can add one, and no more than the limit.
-    acting = heads.where(matches({"discovery_channel": "web", "source_stage": "A1", "query_kind": "action"}))
-    named = {scope: [r["crop_key"] for r in acting.where(F.col("scope_type") == scope).select("crop_key").distinct().orderBy("crop_key").limit(limit).collect()] for scope in RANKS["scope_type"]}
-    seeds = seed_predicates(crops, named["crop_specific"], named["crop_group"])
-    wanted = list({tuple(sorted(w.items())): w for ws in seeds for w in ws}.values())
-    found = heads.agg(*[F.min(F.when(matches(w), F.col("pos"))).alias(f"_{i}") for i, w in enumerate(wanted)]).first()
-    at = {tuple(sorted(w.items())): found[i] for i, w in enumerate(wanted)}
-    rows = {r["pos"]: r for r in heads.where(F.col("pos").isin([p for p in set(at.values()) if p is not None])).collect()}
-    for predicates in seeds:
-        for w in predicates:
-            row = rows.get(at[tuple(sorted(w.items()))])
-            if row is not None and row["combined_query_id"] not in state.chosen:
-                state.add(row)
+    c = F.col
+    start = [r["crop_key"] for r in table.where("scope_type = 'crop_specific'").select("crop_key").distinct().orderBy("crop_key").limit(len(SCENARIO_ORDER)).collect()]
+    preferred = {s: start[i % len(start)] for i, s in enumerate(SCENARIO_ORDER)} if start else {}
+    own = F.coalesce(F.create_map(*[F.lit(x) for p in preferred.items() for x in p])[c("weather_scenario")].eqNullSafe(c("crop_key")), F.lit(False)) if preferred else F.lit(False)
+    web, specific = c("discovery_channel") == "web", c("scope_type") == "crop_specific"
+    asked = web & (c("source_stage") == "A2") & (c("query_kind") == "natural_question")
+    effect = specific & (c("source_stage") == "A1") & (c("query_kind") == "effect")
+    action = web & (c("source_stage") == "A1") & (c("query_kind") == "action")
+    met = {
+        "asked_own": (asked & specific & own, "weather_scenario"), "asked": (asked, "weather_scenario"),
+        "web_own": (effect & web & own, "weather_scenario"), "web": (effect & web, "weather_scenario"),
+        "scholarly_own": (effect & ~web & own, "weather_scenario"), "scholarly": (effect & ~web, "weather_scenario"),
+        "crop": (action & specific, "crop_key"), "group": (action & (c("scope_type") == "crop_group"), "crop_key"), "region": (action, "search_region"),
+    }
+    tags = F.filter(F.array(*[F.when(p, F.struct(F.lit(k).alias("kind"), c(v).alias("value"))) for k, (p, v) in met.items()]), lambda x: x.isNotNull())
+    row = F.struct("pos", "combined_query_id", "twin", *DIMENSIONS)
+    firsts = scratch.save(table.select(F.explode(tags).alias("tag"), row.alias("row")).groupBy("tag.kind", "tag.value").agg(F.min("row").alias("row")))
+    fixed_values = firsts.where(~c("kind").isin("crop", "group") & c("value").isin(*SCENARIO_ORDER, *SEED_REGIONS)).collect()
+    found = {(r["kind"], r["value"]): r["row"] for r in fixed_values}
+    seeds = [[found.get((f"{kind}_own", s)), found.get((kind, s))] for s in SCENARIO_ORDER for kind in ("asked", "web", "scholarly")]
+    for kind in ("crop", "group"):
+        seeds += [[r["row"]] for r in firsts.where(c("kind") == kind).orderBy("value").limit(state.limit).collect()]
+    seeds += [[found.get(("region", r))] for r in SEED_REGIONS]
+    for rows in seeds:
+        for first in rows:
+            if first is not None and first["combined_query_id"] not in state.chosen:
+                state.add(first)
                 break
 
 
@@ -185,20 +178,22 @@ def select_queries(bank: DataFrame, limit: int = 96, page: int | None = None) ->
     Seeds come first. Then the rows are gone through in sort order, and one is chosen if it is
     no near duplicate of a chosen one and no value of it has reached its cap. The pass runs on the driver over pages of
     ``page`` rows (8 times the limit) of the written projection: the next ones in sort order that are no near duplicate of a
-    chosen row and have no value that is full. Each page has a row to choose, if there is any. Where a cap has grown so that a
-    value isn't full any more, the rest of the page is fetched again, so the result is that of a pass over the whole bank
-    and the driver holds a page, whatever the bank's size and number of crops.
+    chosen row and have no value that stays full. If such a page has no row to choose, the next leaves out what is full now, so
+    its first row is chosen, and ends once a cap has grown so that one of those values isn't full any more. So the result is that of a pass over the
+    whole bank, and the driver holds a page, whatever the bank's size and number of crops.
     """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    scratch, state, last = Scratch(bank.sparkSession), _Pass(limit), -1
+    scratch, state, last, strict = Scratch(bank.sparkSession), _Pass(limit), -1, False
     table = projection(bank, scratch)
     _seed(table, scratch, state)
     while len(state.chosen) < limit:
-        full = state.full()
+        before, left_out = len(state.chosen), state.full(None if strict else limit)
         rows = table.where((F.col("pos") > last) & ~F.col("twin").isin(*state.twins))
-        for dim, value in full:
-            rows = rows.where(~F.col(dim).eqNullSafe(F.lit(value)))
+        for dim in {d for d, _ in left_out}:
+            values = [v for d, v in left_out if d == dim]
+            found = F.col(dim).isin(*[v for v in values if v is not None]) | (F.col(dim).isNull() if None in values else F.lit(False))
+            rows = rows.where(~F.coalesce(found, F.lit(False)))
         rows = rows.orderBy("pos").limit(page or 8 * limit).collect()
         if not rows:
             break
@@ -206,8 +201,9 @@ def select_queries(bank: DataFrame, limit: int = 96, page: int | None = None) ->
             last = row["pos"]
             if row["twin"] not in state.twins and state.room(row):
                 state.add(row)
-                if len(state.chosen) >= limit or not all(state.is_full(*k) for k in full):
+                if len(state.chosen) >= limit or (strict and not all(state.is_full(*k) for k in left_out)):
                     break
+        strict = len(state.chosen) == before
     scratch.keep()
     ranks = bank.sparkSession.createDataFrame([(q, i) for i, q in enumerate(list(state.chosen)[:limit], 1)], "combined_query_id string, selection_rank int")
     return annotate(bank).join(F.broadcast(ranks), "combined_query_id")

@@ -156,6 +156,7 @@ def combined(a1: DataFrame, a2: DataFrame) -> DataFrame:
     return rows.select(stable_id("CQ-", normalize_public(F.col("query_text"))).alias("combined_query_id"), *rows.columns)
 
 
-def near_duplicate(channel: Column) -> Column:
-    """Rows that agree on all of this are near duplicates for the selection."""
-    return F.struct(channel.alias("channel"), "language", "source_stage", "query_kind", "scope_type", "crop_key", "weather_scenario", "action", "search_region", signature(F.col("query_text")).alias("text"))
+def near_duplicate(channel: Column, text: Column | None = None) -> Column:
+    """Rows that agree on all of this are near duplicates for the selection; ``text``: the signature, if it is there already."""
+    sig = signature(F.col("query_text")) if text is None else text
+    return F.struct(channel.alias("channel"), "language", "source_stage", "query_kind", "scope_type", "crop_key", "weather_scenario", "action", "search_region", sig.alias("text"))

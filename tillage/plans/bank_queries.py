@@ -221,15 +221,16 @@ ranked AS (SELECT *, row_number() OVER (ORDER BY {_RANK('discovery_channel', [('
 def query_sort_places(spark, sf_dir):
     """Channel, priority, origin group and place of every query of the bank: the sort key of a selection."""
     kept = ["combined_query_id", "discovery_channel", "selection_priority", "query_origin_group"]
-    rows = selection.annotate(bank_of_documents(spark, sf_dir)).select(*kept, selection.sort_key().alias("key"))
+    # Written first: dealing by ranges reads its input twice, and the keys hold whole normalised texts.
+    rows = Scratch(spark).save(selection.annotate(bank_of_documents(spark, sf_dir)).select(*kept, selection.sort_key().alias("key")))
     return positions(rows, F.col("key"), keep=kept).select(*kept, (F.col("position") + 1).alias("pos"))
 
 
 @query("near_duplicate_groups", f"WITH {SQL_RANKED} SELECT min(pos) AS first_pos, count(*) AS n FROM ranked GROUP BY twin HAVING count(*) > 1")
 def near_duplicate_groups(spark, sf_dir):
     """Near duplicates of the bank: the first one's place, and how many there are."""
-    placed = selection.projection(bank_of_documents(spark, sf_dir), Scratch(spark))
-    return placed.groupBy("twin").agg((F.min("pos") + 1).alias("first_pos"), F.count(F.lit(1)).alias("n")).where("n > 1").select("first_pos", "n")
+    placed = positions(selection.keyed(bank_of_documents(spark, sf_dir), Scratch(spark)), F.col("key"), keep=["twin"])
+    return placed.groupBy("twin").agg((F.min("position") + 1).alias("first_pos"), F.count(F.lit(1)).alias("n")).where("n > 1").select("first_pos", "n")
 
 
 def _sql_seeds() -> str:
