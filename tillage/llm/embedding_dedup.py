@@ -119,6 +119,8 @@ def _code(turn: np.ndarray, hashes: np.ndarray, bands: int, bits: int):
     return run
 
 
+#: Rows of a cell that are compared with all others at once.
+_ROWS = 256
 CELL = ("band", "bucket", "block_i", "block_j")
 
 
@@ -154,11 +156,15 @@ def _open(turn: np.ndarray, cosine: float, width: float):
             bits = np.concatenate([bits, np.unpackbits(_blob(part["more"], "u1"), axis=1, count=size - dim).astype(bool)], 1)
             y = y @ (turn[:dim] @ turn.T).astype(np.float32)
             reach = lambda a, b: estimate(bits[a], factor[a], y[b], dim) + margin(factor[a], size, dim, width, step[b])  # noqa: B023, E731
-            one = reach(left, right)
-            open_ = np.maximum(one, one.T if same else reach(right, left).T) >= cosine
-            if same:
-                np.fill_diagonal(open_, False)
-            out.append(low + np.union1d(left[open_.any(1)], right[open_.any(0)]))
+            some = np.zeros(high - low, bool)
+            for k in range(0, len(left), _ROWS):
+                mine = left[k : k + _ROWS]
+                open_ = np.maximum(reach(mine, right), reach(right, mine).T) >= cosine
+                if same:
+                    open_[np.arange(len(mine)), mine] = False
+                some[mine] |= open_.any(1)
+                some[right] |= open_.any(0)
+            out.append(low + np.flatnonzero(some))
         if out and len(rows := np.concatenate(out)):
             yield table.select([*CELL, "side", "node"]).take(pa.array(rows)).combine_chunks().to_batches()[0]
 
@@ -195,7 +201,7 @@ def _links(kind: str, cosine: float):
     return work
 
 
-def embedding_links(vectors: DataFrame, cosine: float = 0.9, width: float = 4.0, block: int = 256, seed: int = 11) -> DataFrame:
+def embedding_links(vectors: DataFrame, cosine: float = 0.9, width: float = 4.0, block: int = 1024, seed: int = 11) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
 
     Two vectors of the same number of components are linked if their cosine in double precision is
