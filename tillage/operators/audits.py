@@ -103,16 +103,16 @@ SHOWN = {
 }
 
 
-def shown(kind: str, default: Sequence[str], row: Sequence[str] = ()) -> Column:
-    """The details of an issue, from the columns of the row."""
-    fields = [F.struct(*row).alias("row") if f == "row" else F.col(f) for f in SHOWN.get(kind, default)]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+def shown(fields: Sequence[str], row: Sequence[str] = ()) -> Column:
+    """The details of an issue, from columns of the row."""
+    return F.to_json(F.struct(*[F.struct(*row).alias("row") if f == "row" else F.col(f) for f in fields]), {"ignoreNullFields": "false"})
 
 
-def audit(df: DataFrame, ident: str, rules: Mapping[str, Column], default: Sequence[str] = (), row: Sequence[str] = ()) -> DataFrame:
-    """(type, id, details): one row per rule that a row breaks. It shows the fields of SHOWN, ``default`` (the id) for other types."""
-    found = [F.when(F.coalesce(p, F.lit(False)), F.struct(F.lit(k).alias("type"), shown(k, default or (ident,), row).alias("details"))) for k, p in rules.items()]
-    each = df.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("x"), F.col(ident).cast("string").alias("id"))
+def audit(df: DataFrame, ident: str, rules: Mapping[str, Column], show: Mapping[str, Sequence[str]] | None = None, default: Sequence[str] = (), row: Sequence[str] = ()) -> DataFrame:
+    """(type, id, details): one row per rule that a row breaks. It shows the columns of ``show`` for its type, else ``default`` (the id)."""
+    fields = lambda k: (show or {}).get(k, default or (ident,))
+    found = [F.when(F.coalesce(p, F.lit(False)), F.struct(F.lit(k).alias("type"), shown(fields(k), row).alias("details"))) for k, p in rules.items()]
+    each = df.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("x"), F.col(ident).alias("id"))
     return each.select("x.type", "id", "x.details")
 
 
@@ -136,8 +136,8 @@ def repeats(df: DataFrame, kind: str, key: Column, ident: str, text: str | None
     counted = some.groupBy("key", "it").agg(F.count(F.lit(1)).alias("n"))
     first = counted.groupBy("key").agg(F.min("it").alias("first"), F.sum("n").alias("total")).where("total > 1").select("key", "first")
     more = counted.join(first, "key").select("it.*", (F.col("n") - (F.col("it") == F.col("first")).cast("int")).cast("int").alias("more")).where("more > 0")
-    details = shown(kind if text else "", (ident,))
-    named = more.select(F.lit(kind).alias("type"), F.col(ident).cast("string").alias("id"), details.alias("details"), F.explode(F.sequence(F.lit(1), "more")))
+    details = shown(SHOWN.get(kind, (ident,)) if text else (ident,))
+    named = more.select(F.lit(kind).alias("type"), F.col(ident).alias("id"), details.alias("details"), F.explode(F.sequence(F.lit(1), "more")))
     return named.select("type", "id", "details")
 
 
@@ -196,8 +196,8 @@ def audit_systematic(rows: DataFrame, config: dict) -> DataFrame:
     wanted = spark.createDataFrame([(k,) for k in crops], "crop_id string").crossJoin(scen.select("weather_scenario"))
     absent = wanted.join(rows.select("crop_id", "weather_scenario").distinct(), ["crop_id", "weather_scenario"], "left_anti").groupBy("crop_id").agg(F.sort_array(F.collect_list("weather_scenario")).alias("missing"))
     return _union(
-        audit(d, "query_id", rules, row=own), repeats(rows, "DUPLICATE_QUERY_ID", c("query_id"), "query_id"), repeats(rows, "DUPLICATE_QUERY", c("_norm"), "query_id", "query"),
-        target, absent.select(F.lit("MISSING_WEATHER_SCENARIO").alias("type"), c("crop_id").alias("id"), shown("MISSING_WEATHER_SCENARIO", ()).alias("details")), missing_fields(rows, "MISSING_FIELD", SYSTEMATIC_COLUMNS),
+        audit(d, "query_id", rules, SHOWN, row=own), repeats(rows, "DUPLICATE_QUERY_ID", c("query_id"), "query_id"), repeats(rows, "DUPLICATE_QUERY", c("_norm"), "query_id", "query"),
+        target, absent.select(F.lit("MISSING_WEATHER_SCENARIO").alias("type"), c("crop_id").alias("id"), shown(SHOWN["MISSING_WEATHER_SCENARIO"]).alias("details")), missing_fields(rows, "MISSING_FIELD", SYSTEMATIC_COLUMNS),
     )
 
 
@@ -243,7 +243,7 @@ def audit_questions(rows: DataFrame, config: dict) -> DataFrame:
         "A2_UNKNOWN_ACTION": acts & outside("action", [a[0] for a in fixed.ACTIONS]),
         "A2_INCOMPATIBLE_ACTION_SCENARIO": c("_allowed").isNotNull() & acts & ~F.coalesce(F.array_contains("_allowed", c("action")), F.lit(False)),
     }
-    return _union(audit(d, "query_id", rules, row=own), repeats(rows, "A2_DUPLICATE_QUERY_ID", c("query_id"), "query_id"), repeats(rows, "A2_DUPLICATE_NORMALIZED_QUERY", c("_norm"), "query_id", "query_text"), missing_fields(rows, "A2_MISSING_FIELD", QUESTION_COLUMNS))
+    return _union(audit(d, "query_id", rules, SHOWN, row=own), repeats(rows, "A2_DUPLICATE_QUERY_ID", c("query_id"), "query_id"), repeats(rows, "A2_DUPLICATE_NORMALIZED_QUERY", c("_norm"), "query_id", "query_text"), missing_fields(rows, "A2_MISSING_FIELD", QUESTION_COLUMNS))
 
 
 def audit_candidates(candidates: DataFrame, known: DataFrame) -> DataFrame:
@@ -283,7 +283,7 @@ def audit_candidates(candidates: DataFrame, known: DataFrame) -> DataFrame:
         "A3_A2_REFERENCE_MISSING_QUERY_ORIGIN": c("source_stage").eqNullSafe("A2") & outside("query_origin", fixed.ORIGINS),
         "A3_REFERENCE_INVALID_RELEVANCE_STATUS": outside("relevance_status", STATUSES),
     }
-    return _union(audit(d, "candidate_id", rules), repeats(valid, "A3_DUPLICATE_CANONICAL_URL_RECORD", c("canonical_url"), "candidate_id", "canonical_url"), audit(each, "candidate_id", reference, ("candidate_id", "query_id")), missing_fields(candidates, "A3_MISSING_FIELD", CANDIDATE_COLUMNS))
+    return _union(audit(d, "candidate_id", rules, SHOWN), repeats(valid, "A3_DUPLICATE_CANONICAL_URL_RECORD", c("canonical_url"), "candidate_id", "canonical_url"), audit(each, "candidate_id", reference, SHOWN, ("candidate_id", "query_id")), missing_fields(candidates, "A3_MISSING_FIELD", CANDIDATE_COLUMNS))
 
 
 def audit_vocabularies(spark: SparkSession, crops: Mapping[str, Sequence[str]], scenarios: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -291,4 +291,4 @@ def audit_vocabularies(spark: SparkSession, crops: Mapping[str, Sequence[str]],
     make = lambda v: spark.createDataFrame([(k, t) for k, ts in v.items() for t in ts], "key string, term string").withColumn("norm", normalize(F.col("term")))
     both = make(crops).join(make(scenarios).select("norm").distinct(), "norm", "left_semi").groupBy(F.col("key").alias("crop_key")).agg(F.array_sort(F.collect_set("term")).alias("terms"))
     kind = "A3_CROP_KEYWORD_OVERLAPS_SCENARIO_KEYWORD"
-    return both.select(F.lit(kind).alias("type"), F.concat_ws(":", "crop_key", F.array_join("terms", ",")).alias("id"), shown(kind, ()).alias("details"))
+    return both.select(F.lit(kind).alias("type"), F.concat_ws(":", "crop_key", F.array_join("terms", ",")).alias("id"), shown(SHOWN[kind]).alias("details"))

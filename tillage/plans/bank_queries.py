@@ -587,7 +587,7 @@ def audit_vocabularies(spark, sf_dir):
     return audits.audit_vocabularies(spark, crops, {name: [name.lower()] for name in regions.values()})
 
 
-@query("audit_duplicates", f"SELECT 'DUPLICATE_QUERY' AS type, CAST(doc_id AS VARCHAR) AS id, '{{\"doc_id\":' || doc_id || '}}' AS details FROM (SELECT doc_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn, {sql_normalize('text')} AS norm FROM documents) WHERE rn > 1 AND coalesce(norm, '') <> ''")
+@query("audit_duplicates", f"SELECT 'DUPLICATE_QUERY' AS type, doc_id AS id, '{{\"doc_id\":' || doc_id || '}}' AS details FROM (SELECT doc_id, row_number() OVER (PARTITION BY {sql_normalize('text')} ORDER BY doc_id) AS rn, {sql_normalize('text')} AS norm FROM documents) WHERE rn > 1 AND coalesce(norm, '') <> ''")
 def audit_duplicates(spark, sf_dir):
     """Documents whose normal form an earlier one has; the forms travel as hashes."""
     norm = text.normalize(F.col("text"))

@@ -398,7 +398,7 @@ def audit_required_pairs(spark, sf_dir):
     return tables.missing_pairs(nation.select("n_name"), customer.select("c_mktsegment").distinct(), present)
 
 
-@query("audit_domain_values", "SELECT 'INVALID_LANGUAGE' AS type, event_id AS id FROM events WHERE event_type NOT IN ('view', 'click') UNION ALL SELECT 'INVALID_CHANNEL', event_id FROM events WHERE event_type IN ('view', 'click') AND value > 50 UNION ALL SELECT 'INVALID_RELEVANCE_SCORE', event_id FROM events WHERE value < 1")
+@query("audit_domain_values", "SELECT type, id, '{\"event_id\":' || id || '}' AS details FROM (SELECT 'INVALID_LANGUAGE' AS type, event_id AS id FROM events WHERE event_type NOT IN ('view', 'click') UNION ALL SELECT 'INVALID_CHANNEL', event_id FROM events WHERE event_type IN ('view', 'click') AND value > 50 UNION ALL SELECT 'INVALID_RELEVANCE_SCORE', event_id FROM events WHERE value < 1)")
 def audit_domain_values(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     rules = audits.exclusive(("INVALID_LANGUAGE", audits.outside("event_type", ("view", "click"))), ("INVALID_CHANNEL", F.col("value") > 50))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillage.functions.relevance import REJECTED, assess, focused_form, folded_term, metadata_form, picked, picked_of, term_hits
 from tillage.functions.text import filled, first_available, quoted, second_available, signature
 from tillage.functions.urls import source_type
-from tillage.operators.audits import audit, audit_candidates, audit_vocabularies
+from tillage.operators.audits import SHOWN, audit, audit_candidates, audit_vocabularies
 from tillage.operators.candidates import merge_hits
 from tillage.operators.selection import select_queries
 from tillage.operators.tables import coverage, domain_breakdown
@@ -289,4 +289,4 @@ def audit_relevance_rules(spark, vocabulary: Vocabulary) -> DataFrame:
     hit = F.struct("title", "snippet", F.lit("").alias("abstract"), F.array().cast("array<string>").alias("subjects"))
     scored = score_hits(vocabulary.attach(probe.withColumn("hit", hit)), vocabulary)
     rules = {"A3_SCENARIO_TERM_MATCHED_AS_CROP": F.size("matched_crop_terms") > 0, "A3_WEATHER_ONLY_RESULT_NOT_REJECTED": F.col("relevance_status") != REJECTED}
-    return audit(scored, "crop_key", rules).union(audit_vocabularies(spark, vocabulary.crops, vocabulary.scenarios))
+    return audit(scored, "crop_key", rules, SHOWN).union(audit_vocabularies(spark, vocabulary.crops, vocabulary.scenarios))
