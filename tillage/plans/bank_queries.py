@@ -282,6 +282,13 @@ def quota_select_greedy(spark, sf_dir):
     return selection.select_queries(bank_of_documents(spark, sf_dir), 96).select("combined_query_id", "selection_rank", "discovery_channel", "query_kind", "scope_type", "search_region")
 
 
+@query("executable_queries", f"WITH RECURSIVE {SQL_RANKED}, {SQL_SELECT} SELECT combined_query_id, CAST(selection_rank AS INT) AS selection_rank FROM placed JOIN slim USING (pos) WHERE selection_rank <= 96 AND discovery_channel = 'scholarly' ORDER BY selection_rank LIMIT 8")
+def executable_queries(spark, sf_dir):
+    """The queries that a live run on one channel asks: the first eight of the selection."""
+    chosen = selection.select_queries(bank_of_documents(spark, sf_dir), 96)
+    return search.executable(chosen, ("scholarly",), 8).select("combined_query_id", "selection_rank")
+
+
 def _criterion(i: int, where: str) -> str:
     taken = " ".join(f"AND doc_id NOT IN (SELECT doc_id FROM c{j} WHERE doc_id IS NOT NULL)" for j in range(i))
     return f"c{i} AS (SELECT min(doc_id) AS doc_id, {i} AS i FROM documents WHERE {where} {taken})"

@@ -287,15 +287,15 @@ v AS (SELECT n_nationkey, 0 AS variant_ord, 'original' AS kind, 'about ' || n_na
 """
 
 
-def _variants(spark, sf_dir) -> DataFrame:
+def _variants(spark, sf_dir, action: str = "care", **more) -> DataFrame:
     from tillage.plans.search import Vocabulary, variants
 
     nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = nations.select("n_nationkey", "n_name", "r_name").collect()  # 25 rows: the taxonomy of this query
-    vocabulary = Vocabulary({r.n_name: [r.n_name] for r in rows}, {r.r_name: [r.r_name] for r in rows}, {"care": ["care"]}, [])
+    vocabulary = Vocabulary({r.n_name: [r.n_name] for r in rows}, {r.r_name: [r.r_name] for r in rows}, {"care": ["care"]}, [], **more)
     queries = nations.select(
         "n_nationkey", F.col("n_nationkey").cast("string").alias("combined_query_id"), F.concat(F.lit("about "), "n_name").alias("query_text"), F.lit("web").alias("discovery_channel"), F.col("n_name").alias("crop_key"),
-        F.col("r_name").alias("weather_scenario"), F.lit("care").alias("action"), F.when(F.col("n_nationkey") % 3 == 0, "VIETNAM").otherwise("NONE").alias("search_region"),
+        F.col("r_name").alias("weather_scenario"), F.lit(action).alias("action"), F.when(F.col("n_nationkey") % 3 == 0, "VIETNAM").otherwise("NONE").alias("search_region"),
     )
     return variants(queries, vocabulary)
 
@@ -305,6 +305,12 @@ def fallback_variants(spark, sf_dir):
     return _variants(spark, sf_dir).select("n_nationkey", "variant_ord", F.col("search_variant_type").alias("kind"), "search_text")
 
 
+@query("repeated_variants", f"WITH {SQL_VARIANTS} SELECT n_nationkey, variant_ord, kind, search_text FROM v WHERE variant_ord < 2 UNION ALL SELECT n_nationkey, 2, 'crop_scenario_action', '\"' || n_name || '\" ' || r_name FROM q WHERE region = 'VIETNAM'")
+def repeated_variants(spark, sf_dir):
+    """Variants of queries without an action and general terms: texts that repeat an earlier one but for punctuation are left out."""
+    return _variants(spark, sf_dir, "none", general_default="").select("n_nationkey", "variant_ord", F.col("search_variant_type").alias("kind"), "search_text")
+
+
 @query("first_successful_variant", f"WITH {SQL_VARIANTS}, h AS (SELECT v.n_nationkey, v.variant_ord, c.c_custkey FROM v JOIN customer c ON c.c_nationkey = v.n_nationkey AND c.c_custkey % 4 = v.variant_ord AND c.c_acctbal > 5000), f AS (SELECT n_nationkey, min(variant_ord) AS w FROM h GROUP BY n_nationkey) SELECT h.n_nationkey, h.variant_ord, h.c_custkey FROM h JOIN f ON h.n_nationkey = f.n_nationkey AND h.variant_ord = f.w")
 def first_successful_variant(spark, sf_dir):
     from tillage.plans.search import first_successful

@@ -177,6 +177,11 @@ class Run:
     summary: dict
 
 
+def executable(selected: DataFrame, channels: Sequence[str], limit: int) -> DataFrame:
+    """The first ``limit`` selected queries of the channels, in the order of their rank."""
+    return selected.where(F.col("discovery_channel").isin(*channels)).orderBy("selection_rank").limit(limit)
+
+
 def search_rounds(run: DataFrame, vocabulary: Vocabulary, config: RunConfig, search: Callable[[DataFrame], DataFrame], web_key: str | None = None, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(answers, kept hits) of the queries ``run``: each asks its variants in order and stops at the first that brings a hit.
 
@@ -250,7 +255,7 @@ def discover(bank: DataFrame, vocabulary: Vocabulary, config: RunConfig, search:
     """Select, search, score, merge, audit. ``search`` adds payload and error to variant rows; a SearchProviderError that it raises is the caller's (see failed_run)."""
     scratch = Scratch(bank.sparkSession)
     selected = scratch.save(select_queries(bank, config.selection_limit))
-    run = selected.where(F.col("discovery_channel").isin(*config.channels)).orderBy("selection_rank").limit(config.query_limit)
+    run = executable(selected, config.channels, config.query_limit)
     answers, kept = search_rounds(run, vocabulary, config, search, web_key, scratch)
     candidates = scratch.save(merge_hits(flat_hits(kept, retrieved_at)))
     statistics = scratch.save(query_statistics(answers, kept))
