@@ -290,7 +290,9 @@ def encode_nbest(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
     rank counts from 1, highest score first; a text with fewer segmentations has fewer rows; null
     and empty texts have one, with score 0 and no ids. Repeated rows are encoded each, extra columns
     are ignored, an empty table gives no rows. The text is taken as it is, with spaces as the
-    model's space marks and one in front; the model's own normalisation is not applied.
+    model's space marks and one in front; the model's own normalisation is not applied. Which of two
+    segmentations with equal scores comes first isn't fixed: words of up to 40 characters and longer ones are
+    searched by different passes.
     """
     arrow_batches(docs.sparkSession)
 
