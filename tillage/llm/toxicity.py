@@ -60,8 +60,12 @@ def fit(rows: list[np.ndarray], label: np.ndarray, size: int, orders: tuple[int,
     own = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     feature = np.concatenate(rows)
     rows.clear()
-    columns, at = np.unique(feature, return_inverse=True)
-    at = at.astype(np.int32)
+    # Columns by a table of all features: sorting the features would take several times their memory.
+    columns = np.flatnonzero(np.bincount(feature, minlength=size))
+    place = np.zeros(size, np.int32)
+    place[columns] = np.arange(len(columns), dtype=np.int32)
+    at = place[feature]
+    del feature
     value = ratio[columns].astype(np.float32)[at]
     n = len(label)
     w, b = np.zeros(len(columns)), float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
