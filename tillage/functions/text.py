@@ -15,6 +15,8 @@ SIGNATURE_PUNCTUATION = "“”\"'`.,;:!?()[]{}"
 
 #: An entity as HTML has it: a number, or a name of at most 32 characters with or without semicolon.
 ENTITY = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
+#: Only those that end in a semicolon.
+WHOLE_ENTITY = ENTITY.replace(";?", ";")
 
 
 #: Case pairs of Unicode 14, which a JVM that has an older version leaves as they are.
@@ -127,18 +129,18 @@ def _number(code: Column) -> Column:
     return out.when(code.between(0x80, 0x9F), table[code.cast("int")]).when(gone, "").otherwise(_character(F.when(code.between(0, 0x10FFFF), code).otherwise(0)))
 
 
-def _entity(token: Column) -> Column:
+def _entity(token: Column, whole: bool) -> Column:
     """What an entity (with its ampersand) stands for; itself if it is none.
 
     Names come from Python's table of HTML 5. Of a name that isn't known the longest
-    beginning is decoded that may stand without a semicolon.
+    beginning is decoded that may stand without a semicolon, unless only ``whole`` entities count.
     """
     names = html.entities.html5
     bare = {k: v for k, v in names.items() if not k.endswith(";")}
     table = lambda pairs: F.from_json(F.lit(json.dumps(pairs, ensure_ascii=False)), "map<string,string>")
     body = F.substring(token, 2, 64)
     start = F.regexp_extract(body, "^(" + "|".join(sorted(bare, key=len, reverse=True)) + ")", 1)
-    named = F.coalesce(table(names)[body], F.when(start != "", F.concat(table(bare)[start], F.substr(body, F.length(start) + 1))), token)
+    named = F.coalesce(table(names)[body], token) if whole else F.coalesce(table(names)[body], F.when(start != "", F.concat(table(bare)[start], F.substr(body, F.length(start) + 1))), token)
     digits = F.regexp_extract(token, "^&#[xX]?([0-9a-fA-F]+)", 1)
     significant = F.regexp_replace(digits, "^0+(?=.)", "")
     base = F.when(F.rlike(token, F.lit("^&#[xX]")), 16).otherwise(10)
@@ -146,27 +148,28 @@ def _entity(token: Column) -> Column:
     return F.when(F.startswith(token, F.lit("&#")), _number(code)).otherwise(named)
 
 
-def unescape(c: Column) -> Column:
-    """All HTML entities, named and numeric, decoded once, in the JVM."""
-    parts, found = F.split(c, ENTITY, -1), F.regexp_extract_all(c, F.lit(ENTITY), 0)
-    pairs = F.arrays_zip(parts.alias("part"), F.transform(found, _entity).alias("char"))
+def unescape(c: Column, whole: bool = False) -> Column:
+    """All HTML entities, named and numeric, decoded once, in the JVM. ``whole``: only those that end in a semicolon."""
+    entity = WHOLE_ENTITY if whole else ENTITY
+    parts, found = F.split(c, entity, -1), F.regexp_extract_all(c, F.lit(entity), 0)
+    pairs = F.arrays_zip(parts.alias("part"), F.transform(found, lambda x: _entity(x, whole)).alias("char"))
     return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pairs, lambda x: F.concat(x["part"], F.coalesce(x["char"], F.lit("")))), "")).otherwise(c)
 
 
-def clean_text(c: Column, markup: Column) -> Column:
-    """Null as empty, entities decoded, then tags as spaces where ``markup``, white space collapsed."""
-    decoded = unescape(F.coalesce(c, F.lit("")))
+def clean_text(c: Column, markup: Column, whole: bool = False) -> Column:
+    """Null as empty, entities decoded (see `unescape`), then tags as spaces where ``markup``, white space collapsed."""
+    decoded = unescape(F.coalesce(c, F.lit("")), whole)
     return collapse(F.when(markup, F.regexp_replace(decoded, "<[^>]+>", " ")).otherwise(decoded))
 
 
-def clean_web_text(c: Column) -> Column:
+def clean_web_text(c: Column, whole: bool = False) -> Column:
     """Tags stay."""
-    return clean_text(c, F.lit(False))
+    return clean_text(c, F.lit(False), whole)
 
 
-def clean_markup_text(c: Column) -> Column:
+def clean_markup_text(c: Column, whole: bool = False) -> Column:
     """Entities are decoded first, so escaped tags go too."""
-    return clean_text(c, F.lit(True))
+    return clean_text(c, F.lit(True), whole)
 
 
 def metadata_text(*fields: Column) -> Column:
