@@ -17,6 +17,8 @@ from tillage.llm.common import Scratch, arrow_batches
 
 #: Words kept in a task's memory with their ids, about 200 bytes each.
 _WORDS = 300_000
+#: New words that are encoded as one text.
+_TOGETHER = 200
 #: Characters whose lower case, composition and class are the same in Python and in the tokenizer;
 #: a text with others, or with the start of a special token, goes through the tokenizer whole.
 _PLAIN = re.compile("[\\t-\\r -~ -ÿŒœ]*")
@@ -29,8 +31,9 @@ _encoders: dict[str, "WordEncoder"] = {}
 class WordEncoder:
     """Ids of whole texts under a tokenizer that encodes each word on its own.
 
-    Words recur, so each one's ids are made once by the tokenizer and looked up afterwards. The
-    results are those of ``Tokenizer.encode(text, add_special_tokens=False)``.
+    Words recur, so each one's ids are made once by the tokenizer and looked up afterwards. New words
+    go through it some hundred at a time, with spaces between them; the ids that end a word tell where
+    each one's stop. The results are those of ``Tokenizer.encode(text, add_special_tokens=False)``.
     """
 
     def __init__(self, path: str):
@@ -38,6 +41,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words = Tokenizer.from_file(path), {}
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
@@ -45,13 +51,21 @@ class WordEncoder:
         if len(self.words) > _WORDS:
             self.words.clear()
         words = self.words
-        new = list({w for s in split if s for w in s if w not in words})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                words[w] = _pack(e.ids)
+        new = [w for w in set().union(*filter(None, split)) if w not in words]
+        for i in range(0, len(new), 20 * _TOGETHER):
+            parts = [new[j : j + _TOGETHER] for j in range(i, min(i + 20 * _TOGETHER, len(new)), _TOGETHER)]
+            for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+                words.update(zip(part, self._cut(part, np.array(e.ids, "<u4")), strict=True))
         return [_pack(self.tokenizer.encode(t, add_special_tokens=False).ids) if s is None else b"".join([words[w] for w in s]) for t, s in zip(texts, split, strict=True)]
 
+    def _cut(self, part: list[str], ids: np.ndarray) -> list[bytes]:
+        """The ids of each of some words that were encoded together."""
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        if len(ends) != len(part) or ends[-1] != 4 * len(ids):  # a tokenizer that doesn't end each word so
+            return [_pack(e.ids) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        every = ids.tobytes()
+        return [every[a:b] for a, b in zip([0, *ends], ends)]
+
 
 def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
