@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+from tillage.llm import line_dedup
 from tillage.llm.line_dedup import _bands, band_keys, dedup_lines, signatures
 
 
@@ -148,3 +149,45 @@ def test_awkward_rows(awkward):
     assert [r.text for r in rows if r.doc_id == 2] == [None] and [r.text for r in rows if r.doc_id == 3] == [""]
     assert [r.n_lines for r in rows if r.doc_id == 2] == [0]
     assert dedup_lines(awkward.limit(0)).count() == 0
+
+
+def test_common_against_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 80)).astype(np.uint64)) for _ in range(120)]
+    rows = np.flatnonzero(rng.random(120) < 0.4)
+    want = [[len(np.intersect1d(sets[k], x)) for x in sets] for k in rows]
+    for often, width in ((64, 1024), (2, 3), (1, 7), (1000, 5)):
+        assert (line_dedup.common(sets, rows, often, width) == want).all()
+    assert (line_dedup.common([np.array([i], np.uint64) for i in range(3)], np.array([1])) == [[0, 1, 0]]).all()
+
+
+def test_large_cells_are_not_compared_line_by_line(monkeypatch):
+    """Near copies of one line, in families too far apart to be linked; the components are those of all pairs."""
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
+    base, norms = [word() for _ in range(40)], []
+    for _ in range(30):
+        family = list(base)
+        for i in rng.choice(40, rng.integers(2, 9), replace=False):
+            family[i] = word()
+        for _ in range(10):
+            one = list(family)
+            one[rng.integers(40)] = word()
+            norms.append(" ".join(one))
+    n, grams = len(norms), [{s[i : i + 5] for i in range(len(s) - 4)} for s in norms]
+    root = np.where(np.arange(n) < 60, 0, np.arange(n))
+    columns = {"key": np.ones(n, np.int64), "line": np.arange(n), "root": root, "leader_root": np.zeros(n, np.int64), "similarity": np.full(n, np.nan), "block_i": np.zeros(n, np.int32), "block_j": np.zeros(n, np.int32), "side": np.zeros(n, np.int32)}
+    monkeypatch.setattr(line_dedup, "shared", None)
+    found = [e for b in line_dedup._across(5, 0.8)(pa.table({**columns, "norm": norms})) for e in zip(*b.to_pydict().values(), strict=True)]
+    links = [(a, b) for a in range(n) for b in range(a) if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])]
+
+    def components(edges):
+        of = root.copy()
+        while True:
+            before = of.copy()
+            for a, b in edges:
+                of[of == max(of[a], of[b])] = min(of[a], of[b])
+            if (of == before).all():
+                return of.tolist()
+
+    assert components(found) == components(links) and 1 < len(set(components(links))) < n - 60

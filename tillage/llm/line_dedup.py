@@ -24,6 +24,8 @@ _PART = 32_000_000
 _RANGES = 1024
 #: Rows that one task makes of a group of rows that are equal in all columns.
 _CHUNK = 50_000
+#: Lines of a large cell whose shingles are counted against all its lines at once.
+_ROWS = 1024
 _BLANK = " \t\r\f\x0b"
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -305,6 +307,45 @@ def shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat((one[at] == every).astype(np.int64), np.cumsum([0, *map(len, others[:-1])]))
 
 
+def common(sets: list[np.ndarray], rows: np.ndarray, often: int = 64, width: int = 1024) -> np.ndarray:
+    """How many values each of the sets ``rows`` has in common with each of all sets; a set has distinct values, fewer than 2^24.
+
+    Values in over ``often`` sets are counted by products of 0-1 matrices of ``width`` columns, the others by listing the sets that have them.
+    """
+    n, every = len(sets), np.concatenate(sets)
+    own = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in sets])
+    order = np.argsort(every, kind="stable")
+    value = np.empty(len(every), np.int32)
+    value[order] = np.cumsum(np.append(False, every[order][1:] != every[order][:-1])[: len(every)])
+    del every, order
+    met = np.bincount(value)
+    own, value = own[met[value] > 1], value[met[value] > 1]
+    out = np.zeros((len(rows), n), np.float32)
+    # Values of many sets: blocks of columns.
+    dense = met > often
+    column = (np.cumsum(dense, dtype=np.int32) - 1)[value]
+    for low in range(0, int(dense.sum()), width):
+        at = np.flatnonzero(dense[value] & (column >= low) & (column < low + width))
+        table = np.zeros((n, width), np.float32)
+        table[own[at], column[at] - low] = 1
+        out += table[rows] @ table.T
+    # The others: the sets of each value one after the other, looked up for some rows at a time.
+    own, value = own[~dense[value]], value[~dense[value]]
+    size = np.bincount(own, minlength=n)
+    first, holders, met = np.cumsum(size) - size, own[np.argsort(value, kind="stable")], np.bincount(value)
+    begin = np.cumsum(met) - met
+    step = max(1, 4 * _CHARS // (often * max(1, int(size.max()))))
+    for low in range(0, len(rows), step):
+        part = rows[low : low + step]
+        ends = np.cumsum(size[part])
+        at = value[np.arange(size[part].sum()) + np.repeat(first[part] - ends + size[part], size[part])]
+        row, ends = np.repeat(np.repeat(np.arange(len(part)), size[part]), met[at]), np.cumsum(met[at])
+        to = holders[np.arange(len(row)) + np.repeat(begin[at] - ends + met[at], met[at])]
+        out[low : low + step] += np.bincount(row * n + to, minlength=len(part) * n).reshape(len(part), n)
+    out[np.arange(len(rows)), rows] = [len(sets[k]) for k in rows]  # values of one set only count for itself
+    return out
+
+
 def _verify(size: int):
     """Exact similarity of pairs of texts, and the number of distinct shingles of each."""
 
@@ -323,10 +364,11 @@ def _verify(size: int):
     return run
 
 
-def _across(size: int, least: float, first: int = 6):
+def _across(size: int, least: float, first: int = 6, many: int = 50_000):
     """Links between lines of different components in the cells of open keys.
 
-    A line is compared with ``first`` lines of a component before the rest: most join there.
+    A line is compared with ``first`` lines of a component before the rest: most join there. In a cell with over
+    ``many`` pairs to look at, what its lines have in common is counted for some hundred of them at once.
     """
 
     def cell(rows: dict[str, np.ndarray], sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -334,17 +376,23 @@ def _across(size: int, least: float, first: int = 6):
         n = np.array([len(x) for x in sets])
         same = rows["block_i"][0] == rows["block_j"][0]
         us, vs = [], []
+        outer, counts = np.flatnonzero(odd), None
+        at_once = len(outer) * len(line) > many and n.max() < 1 << 24
 
         def compare(k: int, at: np.ndarray) -> np.ndarray:
-            both = shared(sets[k], [sets[i] for i in at])
+            both = shared(sets[k], [sets[i] for i in at]) if counts is None else counts[at].astype(np.int64)
             return at[both >= least * (n[k] + n[at] - both)]
 
-        for k in np.flatnonzero(odd):
+        for i, k in enumerate(outer):
+            if at_once:
+                if i % _ROWS == 0:
+                    block = common(sets, outer[i : i + _ROWS])
+                counts = block[i % _ROWS]
             fit = ~(np.abs(near - near[k]) > 1 - least + 1e-9) & (np.minimum(n, n[k]) >= (least - 1e-9) * np.maximum(n, n[k]))
             fit &= ~odd | (np.arange(len(line)) > k)
             if not same:
                 fit &= rows["side"] != rows["side"][k]
-            for tried in (first, len(line)):
+            for tried in (first, len(line)) if counts is None else (len(line),):
                 at = np.flatnonzero(fit & (root != root[k]))
                 if tried < len(at):
                     order = at[np.argsort(root[at], kind="stable")]
